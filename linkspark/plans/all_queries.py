@@ -1,3 +1,4 @@
 """Import every query module so that each registers its queries."""
 
 from . import q_scoring  # noqa: F401
+from . import q_retrieval  # noqa: F401

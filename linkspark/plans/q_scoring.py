@@ -70,9 +70,10 @@ def q_vote_intersection(spark, d):
 
 
 # Self-consistency (D7): the voters play K sampled answers; the union is taken on the
-# raw (not canonicalised) answers with the first sample's spelling winning.
+# raw (not canonicalised) answers with the first sample's spelling winning (ties inside
+# one sample: the smallest spelling, since long rows carry no list position).
 @query("self_consistency", with_views("""
-    SELECT question_id, min_by(tbl, voter) AS tbl, min_by(col, voter) AS col
+    SELECT question_id, min({'v': voter, 's': tbl}).s AS tbl, min({'v': voter, 's': col}).s AS col
     FROM (SELECT question_id, voter, tbl, lower(tbl) AS tlc, NULL AS col, '' AS clc FROM fx_votes
           UNION ALL
           SELECT question_id, voter, tbl, lower(tbl), col, lower(col) FROM fx_votes WHERE col IS NOT NULL) s
@@ -86,8 +87,10 @@ def q_self_consistency(spark, d):
     s = v.select("question_id", "voter", F.explode(rows).alias("r")).select(
         "question_id", "voter", F.col("r.t").alias("tbl"), F.col("r.c").alias("col"),
         F.lower("r.t").alias("tlc"), F.coalesce(F.lower("r.c"), F.lit("")).alias("clc"))
+    # first-seen spelling: earliest sample, then the smallest spelling within that sample
     return s.groupBy("question_id", "tlc", "clc").agg(
-        F.min_by("tbl", "voter").alias("tbl"), F.min_by("col", "voter").alias("col")) \
+        F.min(F.struct("voter", "tbl"))["tbl"].alias("tbl"),
+        F.min(F.struct("voter", "col"))["col"].alias("col")) \
         .select("question_id", "tbl", "col")
 
 

@@ -129,3 +129,55 @@ def hallucination_tally(graded: DataFrame, pred_keys: Sequence[str] = ("question
     return graded.groupBy(*by).agg(
         F.count_distinct(bad_t).alias("bad_tables"),
         F.coalesce(F.sum(F.col("bad_column").cast("long")), F.lit(0)).alias("bad_columns"))
+
+
+def two_stage_merge(stage_a: DataFrame, stage_b: DataFrame, catalog: DataFrame,
+                    keys: Sequence[str] = ("question_id",), tbl: str = "tbl", col: str = "col") -> DataFrame:
+    """Merge a table-stage and a column-stage prediction.
+
+    Only catalog tables named by stage A survive (re-cased, de-duplicated); stage-B
+    columns survive when the column exists in a surviving table.  A surviving table
+    without valid columns keeps an empty list (its table row only).
+    """
+    keys = list(keys)
+    tables = broadcast_if_small(catalog_tables(catalog))
+    columns = broadcast_if_small(catalog_columns(catalog))
+    a = stage_a.select(*keys, F.lower(tbl).alias("tlc")).join(tables, "tlc").dropDuplicates([*keys, "tlc"])
+    b = (stage_b.select(*keys, F.lower(tbl).alias("tlc"), F.lower(col).alias("clc"))
+         .join(columns, ["tlc", "clc"]).dropDuplicates([*keys, "tlc", "clc"]))
+    b = b.join(a, [*keys, "tlc"])
+    null = F.lit(None).cast("string")
+    t_rows = a.select(*keys, "tlc", F.lit(NO_COLUMN).alias("clc"), F.col("tbl_c").alias("tbl"), null.alias("col"))
+    c_rows = b.select(*keys, "tlc", "clc", F.col("tbl_c").alias("tbl"), F.col("col_c").alias("col"))
+    return t_rows.unionByName(c_rows)
+
+
+def resolve_mentions(mentions: DataFrame, catalog: DataFrame, qid: str = "query_id") -> DataFrame:
+    """Turn extracted SQL mentions into links.
+
+    ``mentions(qid, alias, tbl, col_alias, col)``: one row per table mention (with its
+    alias) and column mention (qualifier may be NULL; ``*`` names no column).
+    Every mentioned catalog table is a link even without columns; a qualified column
+    resolves through the query's alias map; a bare column resolves to its unique
+    owner among the query's tables (ambiguous or unknown mentions are dropped).
+    """
+    tables = broadcast_if_small(catalog_tables(catalog))
+    columns = broadcast_if_small(catalog_columns(catalog))
+    scope = (mentions.select(qid, F.lower("tbl").alias("tlc")).join(tables, "tlc")
+             .dropDuplicates([qid, "tlc"]))
+    aliases = mentions.select(qid, F.lower("alias").alias("alias"), F.lower("tbl").alias("tlc")).distinct()
+    colm = mentions.where(F.col("col") != "*")
+    qualified = (colm.where(F.col("col_alias").isNotNull())
+                 .select(qid, F.lower("col_alias").alias("alias"), F.lower("col").alias("clc"))
+                 .join(aliases, [qid, "alias"]).select(qid, "tlc", "clc"))
+    bare = (colm.where(F.col("col_alias").isNull()).select(qid, F.lower("col").alias("clc")).distinct()
+            .join(columns.select("tlc", "clc"), "clc")
+            .join(scope.select(qid, "tlc"), [qid, "tlc"], "left_semi")
+            .groupBy(qid, "clc").agg(F.count(F.lit(1)).alias("owners"), F.min("tlc").alias("tlc"))
+            .where(F.col("owners") == 1).select(qid, "tlc", "clc"))
+    cols = (qualified.unionByName(bare).join(columns, ["tlc", "clc"]).join(tables, "tlc")
+            .dropDuplicates([qid, "tlc", "clc"]))
+    null = F.lit(None).cast("string")
+    t_rows = scope.select(qid, "tlc", F.lit(NO_COLUMN).alias("clc"), F.col("tbl_c").alias("tbl"), null.alias("col"))
+    c_rows = cols.select(qid, "tlc", "clc", F.col("tbl_c").alias("tbl"), F.col("col_c").alias("col"))
+    return t_rows.unionByName(c_rows)

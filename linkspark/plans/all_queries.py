@@ -2,3 +2,4 @@
 
 from . import q_scoring  # noqa: F401
 from . import q_retrieval  # noqa: F401
+from . import q_recovery  # noqa: F401

@@ -38,5 +38,35 @@ def tokenize_sql(expr: str) -> str:
 
 def word_count(col: Column | str) -> Column:
     """Whitespace word count of the trimmed text (0 for empty / NULL)."""
-    s = F.trim(F.col(col) if isinstance(col, str) else col)
+    s = F.regexp_replace(F.col(col) if isinstance(col, str) else col, r"^\s+|\s+$", "")
     return F.when(F.coalesce(s, F.lit("")) == "", F.lit(0)).otherwise(F.size(F.split(s, r"\s+")))
+
+
+# Stop-words ignored by the keyword column expansion (as in the reference).
+STOPWORDS = (
+    # English filler
+    "the", "a", "an", "of", "and", "or", "in", "on", "at", "to", "for",
+    "is", "are", "was", "were", "be", "been", "being", "has", "have", "had",
+    "do", "does", "did", "with", "from", "by", "into", "onto", "as",
+    "me", "us", "you", "i", "we", "they", "it", "them", "their", "our",
+    # Query-y words
+    "show", "list", "find", "get", "give", "tell", "display", "return",
+    "what", "when", "where", "who", "which", "why", "how", "whose",
+    "many", "much", "some", "any", "no", "not", "all", "each", "every",
+    "count", "sum", "avg", "min", "max", "group", "order", "sort",
+    "that", "this", "these", "those", "there", "than", "then", "over",
+    "most", "least", "top", "bottom", "first", "last", "next", "previous",
+    "one", "two", "three", "between", "including", "only", "also",
+)
+MIN_TOKEN_LEN = 3
+
+
+def meaningful_tokens(col: Column | str) -> Column:
+    """Distinct tokens of length >= 3 that are not stop-words."""
+    stop = F.array(*[F.lit(w) for w in STOPWORDS])
+    return F.array_distinct(F.filter(tokenize(col), lambda t: (F.length(t) >= MIN_TOKEN_LEN)
+                                     & ~F.array_contains(stop, t)))
+
+
+def stopwords_sql() -> str:
+    return "[" + ", ".join(f"'{w}'" for w in STOPWORDS) + "]"

@@ -24,3 +24,146 @@ def class_balance(links: DataFrame, groups: DataFrame, group_col: str, digits: i
     # the per-group result has one row per group: a single-partition window over it is bounded
     total = F.sum("n_examples").over(Window.partitionBy())
     return per.withColumn("share", F.round(F.col("n_examples") / total, digits))
+
+
+# ---------------------------------------------------------------- E5 / E6 / E7 / F3 / D11
+
+STATUS_OK = "ok"
+STATUS_EMPTY = "empty_question_or_sql"
+STATUS_DUPLICATE = "duplicate_question"
+STATUS_PARSE = "parse_error"
+STATUS_NO_TABLES = "zero_recognized_tables"
+
+
+def strip_ws(c):
+    """Python-style strip of surrounding whitespace (Spark ``trim`` only removes spaces)."""
+    return F.regexp_replace(F.coalesce(c, F.lit("")), r"^\s+|\s+$", "")
+
+
+def normalized_question(col: str = "question"):
+    return F.lower(strip_ws(F.col(col)))
+
+
+def validate_candidates(cand: DataFrame, existing: DataFrame, order: str = "pos") -> DataFrame:
+    """E5: ordered validation of generated candidates.
+
+    Reasons, first match wins: empty question or SQL -> duplicate of an existing
+    question or of an *earlier kept* candidate -> parse error -> no recognised table
+    -> ok.  The parser's verdict arrives as columns (``parse_failed``, ``n_tables``).
+    "Earlier kept" is resolved without a sequential loop: within a normalised
+    question, the first candidate that passes every other check is the one kept;
+    all later ones are duplicates.
+    """
+    c = cand.withColumn("_norm", normalized_question())
+    empty = (F.col("_norm") == "") | (strip_ws(F.col("gold_sql")) == "")
+    self_ok = ~empty & ~F.col("parse_failed") & (F.col("n_tables") > 0)
+    seen = existing.select(normalized_question().alias("_norm")).distinct()
+    c = c.join(broadcast_if_small(seen).withColumn("_existing", F.lit(True)), "_norm", "left")
+    first_ok = (c.where(self_ok & F.col("_existing").isNull())
+                .groupBy("_norm").agg(F.min(order).alias("_first_ok")))
+    c = c.join(first_ok, "_norm", "left")
+    status = (F.when(empty, F.lit(STATUS_EMPTY))
+              .when(F.col("_existing").isNotNull(), F.lit(STATUS_DUPLICATE))
+              .when(F.col("_first_ok").isNotNull() & (F.col(order) > F.col("_first_ok")), F.lit(STATUS_DUPLICATE))
+              .when(F.col("parse_failed"), F.lit(STATUS_PARSE))
+              .when(F.col("n_tables") <= 0, F.lit(STATUS_NO_TABLES))
+              .otherwise(F.lit(STATUS_OK)))
+    return c.withColumn("status", status).drop("_norm", "_existing", "_first_ok")
+
+
+def cap_per_group(audited: DataFrame, n: int, group: str = "db_id", order: str = "pos") -> DataFrame:
+    """Stop after ``n`` kept candidates per group; candidates after the n-th kept one
+    are neither kept nor audited.  The n-th kept position per group comes from a
+    rank-limited window (partial top-n before the shuffle)."""
+    w = Window.partitionBy(group).orderBy(order)
+    kept = (audited.where(F.col("status") == STATUS_OK).select(group, order)
+            .withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n))
+    last = kept.groupBy(group).agg(F.max(order).alias("_last"), F.count(F.lit(1)).alias("_k"))
+    j = audited.join(broadcast_if_small(last), group, "left")
+    full = (F.col("_k") == n)
+    return j.where(~full | F.col("_last").isNull() | (F.col(order) <= F.col("_last"))).drop("_last", "_k")
+
+
+def assign_ids(kept: DataFrame, existing_ids: DataFrame, gap: int = 700, order: str = "pos",
+               id_col: str = "question_id") -> DataFrame:
+    """Number the survivors from ``max(existing id) + gap`` in candidate order.
+    The survivor set is bounded by the per-group cap, so a global row number is cheap."""
+    base = existing_ids.agg(F.max(id_col)).scalar()  # scalar subquery, evaluated once
+    w = Window.orderBy(order)
+    numbered = kept.withColumn("_rn", F.row_number().over(w) - 1)
+    return numbered.withColumn(id_col, base + gap + F.col("_rn")).drop("_rn")
+
+
+def status_histogram(audited: DataFrame) -> DataFrame:
+    """Count per status, most common first."""
+    return audited.groupBy("status").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "status")
+
+
+def fewshot_sample(existing: DataFrame, k: int, group: str = "db_id", family: str = "family",
+                   order: str = "pos") -> DataFrame:
+    """K examples per group in a deterministic hash order; a group with fewer than k
+    of its own is topped up from its family's other groups.
+
+    Exact with bounded work: a short group needs at most k siblings, and the family's
+    first 2k examples in hash order always contain k from other groups when the
+    group owns fewer than k, so only that prefix is joined to short groups.
+    """
+    # deterministic arithmetic order (Knuth multiplicative hash of the position)
+    h = existing.withColumn("_h", F.pmod(F.col(order) * 2654435761, F.lit(4294967296)))
+    own = (h.withColumn("_r", F.row_number().over(Window.partitionBy(group).orderBy("_h", order)))
+           .where(F.col("_r") <= k))
+    counts = own.groupBy(group, family).agg(F.count(F.lit(1)).alias("_own"))
+    prefix = (h.withColumn("_fr", F.row_number().over(Window.partitionBy(family).orderBy("_h", order)))
+              .where(F.col("_fr") <= 2 * k)
+              .select(F.col(family).alias("_fam"), F.col(group).alias("_src"), F.col(order).alias("_pos"),
+                      "_h", "_fr"))
+    short = counts.where(F.col("_own") < k)
+    sib = (short.join(prefix, (short[family] == prefix["_fam"]) & (short[group] != prefix["_src"]))
+           .withColumn("_sr", F.row_number().over(Window.partitionBy(group).orderBy("_fr")))
+           .where(F.col("_sr") <= k - F.col("_own"))
+           .select(group, F.col("_pos").alias(order), (F.col("_own") + F.col("_sr")).alias("slot")))
+    mine = own.select(group, order, F.col("_r").alias("slot"))
+    return mine.unionByName(sib)
+
+
+def rationale_filter(rationales: DataFrame, gold_tables: DataFrame, keys: Sequence[str],
+                     max_words: int = 80) -> DataFrame:
+    """Keep a rationale when it is non-empty, has at most ``max_words`` whitespace
+    words and mentions (case-insensitive substring) at least one gold table name.
+
+    The mention test is a join of the rationale with its own example's gold tables
+    (bounded by that example's gold set), not a scan over all names."""
+    keys = list(keys)
+    r = rationales
+    text_lc = F.lower(F.col("text"))
+    mentions = (r.join(gold_tables, keys).where(F.contains(text_lc, F.col("t")))
+                .select(*keys, "turn").distinct().withColumn("_hit", F.lit(True)))
+    from ..functions.text import word_count
+    stripped = strip_ws(F.col("text"))
+    out = r.join(mentions, [*keys, "turn"], "left")
+    keep = (stripped != "") & (word_count("text") <= max_words) & F.coalesce(F.col("_hit"), F.lit(False))
+    return out.withColumn("keep", keep).drop("_hit")
+
+
+def expand_columns(pred: DataFrame, questions: DataFrame, catalog_cols: DataFrame,
+                   keys: Sequence[str] = ("question_id",), min_tokens: int = 2) -> DataFrame:
+    """Add a catalog column of a predicted table when it has at least ``min_tokens``
+    meaningful tokens and all of them occur in the question; predicted columns stay.
+
+    Inverted-index form: question tokens are joined to the predicted tables, then to
+    the column tokens of those tables on ``(table, token)``; a column qualifies when
+    its matched-token count equals its meaningful-token count.
+    """
+    from ..functions.text import meaningful_tokens
+    keys = list(keys)
+    qt = questions.select(*keys, F.explode(meaningful_tokens("question")).alias("token"))
+    ptab = pred.where(F.col("clc") == "").select(*keys, "tlc")
+    cols = (catalog_cols.select("tlc", "clc", "tbl", "col", meaningful_tokens("col").alias("ct"))
+            .where(F.size("ct") >= min_tokens))
+    ctok = cols.select("tlc", "clc", F.size("ct").alias("need"), F.explode("ct").alias("token"))
+    hits = (qt.join(ptab, keys).join(broadcast_if_small(ctok), ["tlc", "token"])
+            .groupBy(*keys, "tlc", "clc").agg(F.count(F.lit(1)).alias("got"), F.first("need").alias("need"))
+            .where(F.col("got") == F.col("need")).select(*keys, "tlc", "clc"))
+    extra = (hits.join(pred.select(*keys, "tlc", "clc"), [*keys, "tlc", "clc"], "left_anti")
+             .join(broadcast_if_small(cols.select("tlc", "clc", "tbl", "col")), ["tlc", "clc"]))
+    return pred.select(*keys, "tlc", "clc", "tbl", "col").unionByName(extra.select(*keys, "tlc", "clc", "tbl", "col"))

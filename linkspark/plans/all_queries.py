@@ -3,3 +3,4 @@
 from . import q_scoring  # noqa: F401
 from . import q_retrieval  # noqa: F401
 from . import q_recovery  # noqa: F401
+from . import q_runs, q_curate  # noqa: F401,E401

@@ -89,3 +89,69 @@ def pack_links(links: DataFrame, keys: Sequence[str] = ("question_id",)) -> Data
         F.array_sort(F.collect_set("col")).alias("cols")))
     return per_table.groupBy(*keys).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("tbl", "cols")))).alias("schema_links"))
+
+
+def ensemble_search(canon: DataFrame, gold: DataFrame, combos: DataFrame, questions: DataFrame | None = None,
+                    keys: Sequence[str] = ("question_id",), voter: str = "voter",
+                    modes: Sequence[str] = MODES, digits: int = 6) -> DataFrame:
+    """Score every (combination, mode) cell in one job.
+
+    ``combos(combo, voter, rank)`` lists the voters of each combination (rank 1 =
+    lead) and is broadcast onto the link rows; one aggregation keyed on
+    ``(combo, question, tlc, clc)`` yields votes and the lead flag for every cell, the
+    modes are derived from those two columns, and scoring joins each predicted row
+    to gold once.  Questions a cell predicts nothing for are folded in
+    arithmetically (they score 0, or 1 at column level when gold has no column),
+    so gold is never replicated per cell.
+    """
+    from . import evaluate as E
+    keys = list(keys)
+    gk = gold.select(*keys, "tlc", "clc")
+    gcount = gk.groupBy(*keys).agg(
+        F.sum(F.when(F.col("clc") == "", 1).otherwise(0)).cast("long").alias("n_gold_t"),
+        F.sum(F.when(F.col("clc") != "", 1).otherwise(0)).cast("long").alias("n_gold_c"))
+    evaluated = gcount.where(F.col("n_gold_t") + F.col("n_gold_c") > 0)
+    if questions is not None:
+        evaluated = evaluated.join(questions.select(*keys).distinct(), keys, "left_semi")
+    cb = F.broadcast(combos.select("combo", F.col("voter").alias(voter), "rank"))
+    votes = (canon.select(*keys, voter, "tlc", "clc").join(cb, voter)
+             .groupBy("combo", *keys, "tlc", "clc")
+             .agg(F.count(F.lit(1)).alias("votes"), F.max((F.col("rank") == 1).cast("int")).alias("lead")))
+    keep = {"union": F.lit(True), "maj2": F.col("votes") >= 2,
+            "maj2_or_lead": (F.col("votes") >= 2) | (F.col("lead") == 1)}
+    mode_arr = F.filter(F.array(*[F.when(keep[m], F.lit(m)) for m in modes]), lambda m: m.isNotNull())
+    pred = votes.select("combo", *keys, "tlc", "clc", F.explode(mode_arr).alias("mode"))
+    g = gk.withColumn("_g", F.lit(1))
+    j = pred.join(g, [*keys, "tlc", "clc"], "left")
+    t = F.col("clc") == ""
+    per = (j.groupBy("combo", "mode", *keys).agg(
+        F.sum(F.when(t, 1).otherwise(0)).cast("long").alias("n_pred_t"),
+        F.sum(F.when(~t, 1).otherwise(0)).cast("long").alias("n_pred_c"),
+        F.sum(F.when(t & F.col("_g").isNotNull(), 1).otherwise(0)).cast("long").alias("tp_t"),
+        F.sum(F.when(~t & F.col("_g").isNotNull(), 1).otherwise(0)).cast("long").alias("tp_c"))
+        .join(evaluated, keys))
+    p_t, r_t, f_t = E.prf(F.col("tp_t"), F.col("n_pred_t"), F.col("n_gold_t"))
+    p_c, r_c, f_c = E.prf(F.col("tp_c"), F.col("n_pred_c"), F.col("n_gold_c"))
+    cell = per.groupBy("combo", "mode").agg(
+        F.sum(p_t).alias("s_p_t"), F.sum(r_t).alias("s_r_t"), F.sum(f_t).alias("s_f_t"),
+        F.sum(p_c).alias("s_p_c"), F.sum(r_c).alias("s_r_c"), F.sum(f_c).alias("s_f_c"),
+        F.sum(F.when(F.col("n_gold_c") == 0, 1).otherwise(0)).alias("covered_empty_c"))
+    tot = evaluated.agg(F.count(F.lit(1)).alias("n"),
+                        F.sum(F.when(F.col("n_gold_c") == 0, 1).otherwise(0)).alias("empty_c"))
+    n = tot.select("n").scalar()
+    empty_c = tot.select("empty_c").scalar()
+    extra_c = empty_c - F.col("covered_empty_c")
+    ts = (F.col("s_p_t") + F.col("s_r_t") + F.col("s_f_t")) / n / 3.0
+    cs = (F.col("s_p_c") + F.col("s_r_c") + F.col("s_f_c") + 3 * extra_c) / n / 3.0
+    return cell.select("combo", "mode", F.round(ts, digits).alias("table_score"),
+                       F.round(cs, digits).alias("column_score"),
+                       F.round(0.5 * ts + 0.5 * cs, digits).alias("leaderboard"))
+
+
+def top_cells(search: DataFrame, n: int = 10) -> DataFrame:
+    """The n best cells (score desc, ties by name) with the running best score."""
+    from pyspark.sql import Window
+    top = search.orderBy(F.desc("leaderboard"), "combo", "mode").limit(n)
+    w = Window.orderBy(F.desc("leaderboard"), "combo", "mode")
+    return (top.withColumn("position", F.row_number().over(w))
+            .withColumn("running_best", F.max("leaderboard").over(w.rowsBetween(Window.unboundedPreceding, 0))))

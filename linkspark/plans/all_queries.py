@@ -5,3 +5,4 @@ from . import q_retrieval  # noqa: F401
 from . import q_recovery  # noqa: F401
 from . import q_runs, q_curate  # noqa: F401,E401
 from . import q_search  # noqa: F401
+from . import q_chat  # noqa: F401

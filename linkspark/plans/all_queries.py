@@ -7,3 +7,4 @@ from . import q_runs, q_curate  # noqa: F401,E401
 from . import q_search  # noqa: F401
 from . import q_chat  # noqa: F401
 from . import q_stream  # noqa: F401
+from . import q_catalog  # noqa: F401

@@ -73,7 +73,7 @@ def q_bm25_topk(spark, d):
 # Documents are (table, column) pairs of the catalog ("table column"), questions are
 # orders whose text is the names of the parts they contain.
 define("pair_docs", ("fx_catalog",), "SELECT 'catalog' AS db_id, tbl || '.' || col AS pair, tbl || ' ' || col AS text FROM fx_catalog")
-define("order_q", ("fx_base",), """SELECT question_id, 'catalog' AS db_id, string_agg(col, ' ' ORDER BY ln) AS question
+define("order_q", ("fx_base",), """SELECT question_id, 'catalog' AS db_id, string_agg(col, ' ' ORDER BY ln, col) AS question
     FROM fx_base GROUP BY question_id""")
 define("pr_dt", ("pair_docs",), f"SELECT db_id, pair, {tokenize_sql('text')} AS toks FROM pair_docs")
 define("pr_st", ("pr_dt",), "SELECT db_id, count(*) AS n_docs, avg(len(toks)) AS avgdl FROM pr_dt GROUP BY db_id")

@@ -8,3 +8,4 @@ from . import q_search  # noqa: F401
 from . import q_chat  # noqa: F401
 from . import q_stream  # noqa: F401
 from . import q_catalog  # noqa: F401
+from . import q_io  # noqa: F401

@@ -181,3 +181,102 @@ def force_include(kept: DataFrame, gold: DataFrame, catalog_tables: DataFrame,
     g = gold.select(*keys, F.lower(tbl).alias("tlc"))
     valid = g.join(broadcast_if_small(catalog_tables.select("tlc")), "tlc", "left_semi")
     return kept.select(*keys, "tlc").unionByName(valid.select(*keys, "tlc")).distinct()
+
+
+# ---------------------------------------------------------------- reciprocal rank fusion
+
+_COUNT_SCHEMA = T.StructType([
+    T.StructField("qid", T.LongType()), T.StructField("doc", T.LongType()),
+    T.StructField("n_before", T.LongType()), T.StructField("n_beat", T.LongType()),
+])
+
+
+def _count_kernel(cdf: pd.DataFrame, ddf: pd.DataFrame) -> pd.DataFrame:
+    """Per candidate (query, doc): documents of this block ordered before the doc, and
+    vector documents whose similarity beats the doc's (ties broken by id)."""
+    if cdf.empty:
+        return pd.DataFrame({c.name: pd.Series(dtype="int64") for c in _COUNT_SCHEMA.fields})
+    ids = ddf["doc"].to_numpy() if not ddf.empty else np.zeros(0, dtype=np.int64)
+    has = ddf["vec"].notna().to_numpy() if not ddf.empty else np.zeros(0, dtype=bool)
+    vids = ids[has]
+    dm = np.stack(ddf["vec"][has].to_numpy()).astype(np.float64) if has.any() else None
+    out = []
+    for q, grp in cdf.groupby("qid", sort=False):
+        qv = grp["qvec"].iloc[0]
+        sims = np.round(dm @ np.asarray(qv, dtype=np.float64), TIE_DIGITS) if (dm is not None and qv is not None) else None
+        for d, s in zip(grp["doc"].to_numpy(), grp["cos"].to_numpy()):
+            n_before = int((ids < d).sum())
+            if sims is None or s is None or (isinstance(s, float) and np.isnan(s)):
+                n_beat = 0
+            else:
+                rs = np.round(s, TIE_DIGITS)
+                n_beat = int(((sims > rs) | ((sims == rs) & (vids < d))).sum())
+            out.append((q, d, n_before, n_beat))
+    return pd.DataFrame(out, columns=["qid", "doc", "n_before", "n_beat"]).astype("int64")
+
+
+def rrf_top_k(scores: DataFrame, questions: DataFrame, docs: DataFrame, doc_vecs: DataFrame, k: int,
+              qid: str = "question_id", corpus: str = "db_id", doc: str = "table_idx",
+              block_rows: int = 4096) -> DataFrame:
+    """Top-k by ``1/(60 + r_bm25) + 1/(60 + r_emb)``; ranks start at 0, ties by document
+    order, a document without a vector takes rank = number of vectors in its corpus.
+
+    Exact without a question x document grid.  A document outside the top-M of both
+    rankings (M = 59 + 2k) scores at most 2/(60+M) < 1/(59+k), below each of the k best
+    BM25 documents, so candidates are the union of both top-M lists.  Their exact
+    ranks come from (a) a window over the question's matched documents, (b) for
+    zero-score documents, arithmetic on document order, and (c) a blocked kernel that
+    counts, per candidate, the documents ordered before it and the vectors beating it.
+
+    ``questions(qid, corpus, qvec)``, ``docs(corpus, doc)``, ``doc_vecs(doc, vec)``,
+    ``scores(qid, corpus, doc, score)`` with score > 0.
+    """
+    m = 59 + 2 * k
+    q = questions.select(F.col(qid).cast("long").alias("qid"), F.col(corpus).alias("corpus"), F.col("qvec"))
+    d = docs.select(F.col(corpus).alias("corpus"), F.col(doc).cast("long").alias("doc"))
+    v = doc_vecs.select(F.col(doc).cast("long").alias("doc"), F.col("vec"))
+    dv = d.join(v, "doc", "left")
+    pos = scores.select(F.col(qid).cast("long").alias("qid"), F.col(doc).cast("long").alias("doc"), "score")
+    wb = Window.partitionBy("qid").orderBy(F.desc(F.round("score", TIE_DIGITS)), F.asc("doc"))
+    pos = pos.withColumn("rb_pos", F.row_number().over(wb) - 1)
+    n_pos = pos.groupBy("qid").agg(F.count(F.lit(1)).alias("n_pos"))
+    # candidates: BM25 top-M (positives, then zero-score fill from the first M docs) and embedding top-M
+    first_m = (d.withColumn("_r", F.row_number().over(Window.partitionBy("corpus").orderBy("doc")))
+               .where(F.col("_r") <= m).drop("_r"))
+    c_bm = pos.where(F.col("rb_pos") < m).select("qid", "doc")
+    c_fill = q.join(broadcast_if_small(first_m), "corpus").select("qid", "doc")
+    qv = q.where(F.col("qvec").isNotNull()).select("qid", "corpus", F.col("qvec").alias("embedding"))
+    vv = dv.where(F.col("vec").isNotNull()).select("doc", "corpus", F.col("vec").alias("embedding"))
+    emb = cosine_top_k(qv, vv, m, doc="doc", corpus="corpus", block_rows=block_rows).select("qid", "doc")
+    cand = c_bm.unionByName(c_fill).unionByName(emb).distinct()
+    cand = (cand.join(q, "qid").join(dv, ["corpus", "doc"])
+            .withColumn("cos", F.when(F.col("vec").isNotNull() & F.col("qvec").isNotNull(),
+                                      cosine_native(F.col("qvec"), F.col("vec"))))
+            .drop("vec"))
+    # (c) counts over every document of the corpus, block by block
+    nb = (d.groupBy("corpus").agg(F.count(F.lit(1)).alias("n"))
+          .select("corpus", F.greatest(F.lit(1), F.ceil(F.col("n") / block_rows)).cast("int").alias("nb")))
+    nb = broadcast_if_small(nb)
+    dvb = dv.join(nb, "corpus").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("nb")).cast("int")).drop("nb")
+    cb = cand.join(nb, "corpus").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).drop("nb")
+    counts = (cb.select("corpus", "block", "qid", "doc", "qvec", "cos").groupBy("corpus", "block")
+              .cogroup(dvb.select("corpus", "block", "doc", "vec").groupBy("corpus", "block"))
+              .applyInPandas(_count_kernel, _COUNT_SCHEMA)
+              .groupBy("qid", "doc").agg(F.sum("n_before").alias("n_before"), F.sum("n_beat").alias("n_beat")))
+    n_vec = dv.groupBy("corpus").agg(F.count("vec").alias("n_vec"))
+    # (a)+(b) positives before each candidate, by document order (window over the question's own rows)
+    marks = (pos.select("qid", "doc", F.lit(1).alias("is_pos"))
+             .unionByName(cand.select("qid", "doc", F.lit(0).alias("is_pos"))))
+    wo = Window.partitionBy("qid").orderBy("doc", F.desc("is_pos")).rowsBetween(Window.unboundedPreceding, -1)
+    before = (marks.withColumn("pos_before", F.coalesce(F.sum("is_pos").over(wo), F.lit(0)))
+              .where(F.col("is_pos") == 0).select("qid", "doc", "pos_before"))
+    r = (cand.join(counts, ["qid", "doc"]).join(before, ["qid", "doc"])
+         .join(pos.select("qid", "doc", "rb_pos"), ["qid", "doc"], "left")
+         .join(n_pos, "qid", "left").join(broadcast_if_small(n_vec), "corpus"))
+    rb = F.coalesce(F.col("rb_pos"), F.coalesce(F.col("n_pos"), F.lit(0)) + F.col("n_before") - F.col("pos_before"))
+    re = F.when(F.col("cos").isNull(), F.col("n_vec")).otherwise(F.col("n_beat"))
+    fused = 1.0 / (RRF_K + rb) + 1.0 / (RRF_K + re)
+    r = r.select("qid", "doc", rb.alias("rank_bm25"), re.alias("rank_embed"), fused.alias("fused"))
+    w = Window.partitionBy("qid").orderBy(F.desc(F.round("fused", 12)), F.asc("doc"))
+    top = r.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return top.select(F.col("qid").alias(qid), F.col("doc").alias(doc), "rank_bm25", "rank_embed", "fused", "rank")

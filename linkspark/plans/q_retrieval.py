@@ -154,3 +154,39 @@ def q_recall_at_k(spark, d):
 def q_force_include(spark, d):
     kept = ensemble(spark, d, "maj2").where(F.col("clc") == "")
     return RT.force_include(kept, fx.fx_gold(spark, d), catalog_tables(fx.fx_catalog(spark, d)))
+
+
+# Question vector = the embedding with vec_id = question_id; document vector = the
+# embedding with vec_id = doc_id (documents beyond the vector count have none).
+RRF_TOP_K = 10
+
+
+@query("rrf_topk", with_views(f"""
+    SELECT question_id, table_idx, rank_bm25, rank_embed, round(fused, {R}) AS fused, rank FROM (
+      SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY round(fused, 12) DESC, table_idx) AS rank FROM (
+        SELECT question_id, table_idx, rank_bm25, rank_embed, 1.0 / (60 + rank_bm25) + 1.0 / (60 + rank_embed) AS fused
+        FROM (
+          SELECT g.question_id, g.table_idx,
+            row_number() OVER (PARTITION BY g.question_id ORDER BY round(coalesce(s.score, 0.0), 9) DESC, g.table_idx) - 1 AS rank_bm25,
+            CASE WHEN g.cos IS NULL THEN g.n_vec
+                 ELSE row_number() OVER (PARTITION BY g.question_id, g.cos IS NULL ORDER BY round(g.cos, 9) DESC, g.table_idx) - 1 END AS rank_embed
+          FROM (SELECT q.question_id, x.table_idx, n.n_vec,
+                  list_dot_product(CAST(qe.embedding AS DOUBLE[]), CAST(de.embedding AS DOUBLE[])) AS cos
+                FROM fx_questions q JOIN fx_docs x ON q.db_id = x.db_id
+                LEFT JOIN embeddings qe ON qe.vec_id = q.question_id
+                LEFT JOIN embeddings de ON de.vec_id = x.table_idx
+                JOIN (SELECT d.db_id, count(e.vec_id) AS n_vec FROM fx_docs d LEFT JOIN embeddings e ON e.vec_id = d.table_idx
+                      GROUP BY d.db_id) n ON n.db_id = q.db_id) g
+          LEFT JOIN bm_sc s ON s.question_id = g.question_id AND s.table_idx = g.table_idx) r1) r2) r3
+    WHERE rank <= {RRF_TOP_K}""", "bm_sc", "fx_questions", "fx_docs"))
+def q_rrf_topk(spark, d):
+    from ..sources.tables import read_table
+    emb = read_table(spark, d, "embeddings").select("vec_id", "embedding")
+    qs = fx.fx_questions(spark, d)
+    qv = qs.join(emb, qs.question_id == emb.vec_id, "left").select("question_id", "db_id", F.col("embedding").alias("qvec"))
+    docs = fx.fx_docs(spark, d)
+    dv = emb.select(F.col("vec_id").alias("table_idx"), F.col("embedding").alias("vec"))
+    top = RT.rrf_top_k(bm25_tables(spark, d), qv, docs.select("db_id", "table_idx"), dv, RRF_TOP_K)
+    return top.select("question_id", "table_idx", F.col("rank_bm25").cast("long").alias("rank_bm25"),
+                      F.col("rank_embed").cast("long").alias("rank_embed"), F.round("fused", R).alias("fused"),
+                      F.col("rank").cast("long").alias("rank"))

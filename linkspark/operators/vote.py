@@ -138,8 +138,8 @@ def ensemble_search(canon: DataFrame, gold: DataFrame, combos: DataFrame, questi
         F.sum(F.when(F.col("n_gold_c") == 0, 1).otherwise(0)).alias("covered_empty_c"))
     tot = evaluated.agg(F.count(F.lit(1)).alias("n"),
                         F.sum(F.when(F.col("n_gold_c") == 0, 1).otherwise(0)).alias("empty_c"))
-    n = tot.select("n").scalar()
-    empty_c = tot.select("empty_c").scalar()
+    totals = tot.select(F.struct("n", "empty_c")).scalar()  # one scalar subquery for both totals
+    n, empty_c = totals["n"], totals["empty_c"]
     extra_c = empty_c - F.col("covered_empty_c")
     ts = (F.col("s_p_t") + F.col("s_r_t") + F.col("s_f_t")) / n / 3.0
     cs = (F.col("s_p_c") + F.col("s_r_c") + F.col("s_f_c") + 3 * extra_c) / n / 3.0

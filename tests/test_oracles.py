@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 FAST = ["leaderboard", "canonicalize", "vote_maj2_or_lead", "score_questions", "hallucination_tally",
         "bm25_topk", "cosine_topk", "recover_links", "resolve_mentions", "validate_candidates",
         "cap_per_group", "chat_render", "catalog_columns", "fk_resolve", "canonical_target",
-        "expand_columns", "best_run", "log_parse", "ensemble_search", "links_explode"]
+        "expand_columns", "best_run", "log_parse", "ensemble_search", "links_explode", "rrf_topk"]
 
 
 @pytest.fixture(scope="module")

@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from linkspark.llm.chat_examples import OP1_SQL, op1_chat_prefix_targets
+from linkspark.llm.warc_store import OP2_SQL, op2_warc_index_first
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_prefix_targets": op1_chat_prefix_targets,
+    "op2_warc_index_first": op2_warc_index_first,
 }
 
 ORACLES: dict[str, str] = {
     "op1_chat_prefix_targets": OP1_SQL,
+    "op2_warc_index_first": OP2_SQL,
 }

@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from linkspark.llm.chat_examples import OP1_SQL, op1_chat_prefix_targets
 from linkspark.llm.warc_store import OP2_SQL, op2_warc_index_first
 from linkspark.llm.pii_anchors import op9_pii_anchor_expansion
+from linkspark.llm.language_codes import op10_language_ecoc
+from linkspark.llm.quality_vectors import op8_quality_subwords
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_prefix_targets": op1_chat_prefix_targets,
     "op2_warc_index_first": op2_warc_index_first,
     "op9_pii_anchor_expansion": op9_pii_anchor_expansion,
+    "op10_language_ecoc": op10_language_ecoc,
+    "op8_quality_subwords": op8_quality_subwords,
 }
 
 ORACLES: dict[str, str] = {

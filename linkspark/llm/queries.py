@@ -11,6 +11,7 @@ from linkspark.llm.warc_store import OP2_SQL, op2_warc_index_first
 from linkspark.llm.pii_anchors import op9_pii_anchor_expansion
 from linkspark.llm.language_codes import op10_language_ecoc
 from linkspark.llm.quality_vectors import op8_quality_subwords
+from linkspark.llm.source_mix import OP7_SQL, op7_source_mix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_prefix_targets": op1_chat_prefix_targets,
@@ -18,9 +19,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii_anchor_expansion": op9_pii_anchor_expansion,
     "op10_language_ecoc": op10_language_ecoc,
     "op8_quality_subwords": op8_quality_subwords,
+    "op7_source_mix": op7_source_mix,
 }
 
 ORACLES: dict[str, str] = {
     "op1_chat_prefix_targets": OP1_SQL,
     "op2_warc_index_first": OP2_SQL,
+    "op7_source_mix": OP7_SQL,
 }

@@ -12,6 +12,7 @@ from linkspark.llm.pii_anchors import op9_pii_anchor_expansion
 from linkspark.llm.language_codes import op10_language_ecoc
 from linkspark.llm.quality_vectors import op8_quality_subwords
 from linkspark.llm.source_mix import OP7_SQL, op7_source_mix
+from linkspark.llm.paragraph_sketch import op4_paragraph_sketch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_prefix_targets": op1_chat_prefix_targets,
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_ecoc": op10_language_ecoc,
     "op8_quality_subwords": op8_quality_subwords,
     "op7_source_mix": op7_source_mix,
+    "op4_paragraph_sketch": op4_paragraph_sketch,
 }
 
 ORACLES: dict[str, str] = {

@@ -13,6 +13,7 @@ from linkspark.llm.language_codes import op10_language_ecoc
 from linkspark.llm.quality_vectors import op8_quality_subwords
 from linkspark.llm.source_mix import OP7_SQL, op7_source_mix
 from linkspark.llm.paragraph_sketch import op4_paragraph_sketch
+from linkspark.llm.best_fit_packing import op6_best_fit_packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_prefix_targets": op1_chat_prefix_targets,
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_subwords": op8_quality_subwords,
     "op7_source_mix": op7_source_mix,
     "op4_paragraph_sketch": op4_paragraph_sketch,
+    "op6_best_fit_packing": op6_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {

@@ -14,6 +14,7 @@ from linkspark.llm.quality_vectors import op8_quality_subwords
 from linkspark.llm.source_mix import OP7_SQL, op7_source_mix
 from linkspark.llm.paragraph_sketch import op4_paragraph_sketch
 from linkspark.llm.best_fit_packing import op6_best_fit_packing
+from linkspark.llm.learned_partitions import op3_learned_partitions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_prefix_targets": op1_chat_prefix_targets,
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_source_mix": op7_source_mix,
     "op4_paragraph_sketch": op4_paragraph_sketch,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op3_learned_partitions": op3_learned_partitions,
 }
 
 ORACLES: dict[str, str] = {

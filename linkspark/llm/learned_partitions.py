@@ -4,7 +4,9 @@ On a bounded sample (``FIT_ROWS`` vectors in order of a hash of the id) the grap
 cut into balanced parts, and a small network with one hidden layer learns which part a vector, and its
 neighbours, belong to.  Every row is indexed under its most probable part.  A query is sent to the most
 probable parts until their probabilities add up to the mass that found ``TARGET`` of the true neighbours on
-the sample, and its candidates are reranked by the exact inner product in double precision.
+the sample, and its candidates are reranked by the exact inner product in double precision.  The query's
+``k``-th best score in the sample, which can only be below its ``k``-th best overall, goes along as a floor,
+so a block of a part passes on no row that cannot be among the answers.
 
 Parts are searched in blocks: (part, block of rows, block of queries) groups hold at most about
 ``BLOCK_ROWS`` rows and ``BLOCK_QUERIES`` queries however large a part gets, so neither a part with a third
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from linkspark.llm.common import materialise, read
 
 FIT_ROWS, DEGREE, PART_ROWS, MOST_PARTS = 8192, 16, 2048, 256
-TARGET = 0.97
+TARGET = 0.95
 BLOCK_ROWS, BLOCK_QUERIES = 8192, 4096
 HIDDEN, EPOCHS, RATE = 128, 30, 0.05
 
@@ -172,7 +174,9 @@ def search(rows: DataFrame, queries: DataFrame, k: int, target: float = TARGET)
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS).toArrow()
     if not n_rows:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    router = spark.sparkContext.broadcast(fit(_matrix(sample["v"]), n_rows, k, target))
+    known, known_ids = _matrix(sample["v"]), sample["vec_id"].to_numpy()
+    router = spark.sparkContext.broadcast(fit(known, n_rows, k, target))
+    known = spark.sparkContext.broadcast((known, known_ids))  # at most FIT_ROWS vectors
     kind = rows.schema["v"].dataType.simpleString()
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,13 +187,19 @@ def search(rows: DataFrame, queries: DataFrame, k: int, target: float = TARGET)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if len(b):
-                row, part = router.value.probes(_matrix(b.column("v")))
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), *(c.take(pa.array(row)) for c in b.columns)], ["part", "vec_id", "v"])
+            for at in range(0, len(b), 256):
+                c = b.slice(at, 256)
+                q, (v, ids) = _matrix(c.column("v")), known.value
+                row, part = router.value.probes(q)
+                s = q @ v.T
+                s[ids[None, :] == c.column("vec_id").to_numpy()[:, None]] = -np.inf
+                floor = np.partition(s, -k, axis=1)[:, -k] if len(ids) >= k else np.full(len(q), -np.inf)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part, pa.int32()), *(x.take(pa.array(row)) for x in c.columns), pa.array(floor[row])], ["part", "vec_id", "v", "floor"])
 
     indexed = materialise(rows.mapInArrow(index, f"part int, vec_id long, v {kind}"), "ann-index")
     once = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
-    routed = materialise(once.mapInArrow(route, f"part int, vec_id long, v {kind}"), "ann-queries")
+    routed = materialise(once.mapInArrow(route, f"part int, vec_id long, v {kind}, floor double"), "ann-queries")
 
     def blocks(df: DataFrame, most: int):
         n = {r["part"]: -(-r["count"] // most) for r in df.groupBy("part").count().collect()}
@@ -205,13 +215,13 @@ def search(rows: DataFrame, queries: DataFrame, k: int, target: float = TARGET)
         q_ids, ids = asked["vec_id"].to_numpy(), rows["vec_id"].to_numpy()
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if len(q_ids) and len(ids):
-            v, q = _matrix(rows["v"]), _matrix(asked["v"])
+            v, q, floor = _matrix(rows["v"]), _matrix(asked["v"]), asked["floor"].to_numpy()
             longest = np.linalg.norm(v, axis=1).max()
             for at in range(0, len(q), 256):
                 s = q[at: at + 256] @ v.T
                 s[ids[None, :] == q_ids[at: at + 256, None]] = -np.inf
                 kth = np.partition(s, max(len(ids) - k, 0), axis=1)[:, max(len(ids) - k, 0)]
-                for i, (line, least) in enumerate(zip(s, kth), at):
+                for i, (line, least) in enumerate(zip(s, np.maximum(kth, floor[at: at + 256])), at):
                     # products of a block differ in the last bits from those of a pair: keep a margin, then rescore
                     c = np.flatnonzero((line > -np.inf) & (line >= least - 1e-12 * longest * np.linalg.norm(q[i])))
                     score = (q[i] * v[c]).sum(axis=1)

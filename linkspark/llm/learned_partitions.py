@@ -5,8 +5,8 @@ cut into balanced parts, and a small network with one hidden layer learns which
 neighbours, belong to.  Every row is indexed under its most probable part.  A query is sent to the most
 probable parts until their probabilities add up to the mass that found ``TARGET`` of the true neighbours on
 the sample, and its candidates are reranked by the exact inner product in double precision.  The query's
-``k``-th best score in the sample, which can only be below its ``k``-th best overall, goes along as a floor,
-so a block of a part passes on no row that cannot be among the answers.
+``k``-th best score among the sample's rows in its parts goes along as a floor, so a block of a part passes
+on no row that cannot be among the answers.
 
 Parts are searched in blocks: (part, block of rows, block of queries) groups hold at most about
 ``BLOCK_ROWS`` rows and ``BLOCK_QUERIES`` queries however large a part gets, so neither a part with a third
@@ -176,7 +176,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int, target: float = TARGET)
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     known, known_ids = _matrix(sample["v"]), sample["vec_id"].to_numpy()
     router = spark.sparkContext.broadcast(fit(known, n_rows, k, target))
-    known = spark.sparkContext.broadcast((known, known_ids))  # at most FIT_ROWS vectors
+    known = spark.sparkContext.broadcast((known, known_ids, router.value(known).argmax(axis=1)))  # at most FIT_ROWS vectors
     kind = rows.schema["v"].dataType.simpleString()
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,10 +189,12 @@ def search(rows: DataFrame, queries: DataFrame, k: int, target: float = TARGET)
         for b in batches:
             for at in range(0, len(b), 256):
                 c = b.slice(at, 256)
-                q, (v, ids) = _matrix(c.column("v")), known.value
+                q, (v, ids, home) = _matrix(c.column("v")), known.value
                 row, part = router.value.probes(q)
                 s = q @ v.T
-                s[ids[None, :] == c.column("vec_id").to_numpy()[:, None]] = -np.inf
+                asked = np.zeros((len(q), len(router.value.b2)), bool)
+                asked[row, part] = True
+                s[(ids[None, :] == c.column("vec_id").to_numpy()[:, None]) | ~asked[:, home]] = -np.inf
                 floor = np.partition(s, -k, axis=1)[:, -k] if len(ids) >= k else np.full(len(q), -np.inf)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(part, pa.int32()), *(x.take(pa.array(row)) for x in c.columns), pa.array(floor[row])], ["part", "vec_id", "v", "floor"])

@@ -15,6 +15,7 @@ from linkspark.llm.source_mix import OP7_SQL, op7_source_mix
 from linkspark.llm.paragraph_sketch import op4_paragraph_sketch
 from linkspark.llm.best_fit_packing import op6_best_fit_packing
 from linkspark.llm.learned_partitions import op3_learned_partitions
+from linkspark.llm.jaccard_join import op5_jaccard_set_relations
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_prefix_targets": op1_chat_prefix_targets,
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_paragraph_sketch": op4_paragraph_sketch,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op3_learned_partitions": op3_learned_partitions,
+    "op5_jaccard_set_relations": op5_jaccard_set_relations,
 }
 
 ORACLES: dict[str, str] = {

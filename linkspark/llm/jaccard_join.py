@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkspark.llm.common import drop_materialised, materialise, read
+from linkspark.llm.common import materialise, read
 from linkspark.llm.text_features import mix
 
 WORDS, PERCENT = 4, 85
@@ -44,6 +44,7 @@ WORDS, PERCENT = 4, 85
 REGION = {85: 4, 80: 5}
 ROUNDS = 3
 BITMAP_WORDS = 1 << 17  # longs in the bitmap of wanted sets (1 MB)
+PARITY = 16  # longs of a set's parity bits
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -241,6 +242,23 @@ def _intersections(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(one("b"), "b").join(one("a"), "a").mapInArrow(run, "a long, b long, n_a long, n_b long, common long")
 
 
+def _parity_bits(sets: DataFrame) -> DataFrame:
+    """``rid, size, p0 ...``: for each of ``64 * PARITY`` buckets, whether an odd number of shingles falls in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits, size = np.zeros((len(batch), PARITY * 64), np.uint8), []
+            for row, s in zip(bits, batch.column("s")):
+                h = np.frombuffer(s.as_buffer(), "<u8")
+                row[:] = np.bincount((mix(h) % np.uint64(PARITY * 64)).astype(np.int64), minlength=PARITY * 64) & 1
+                size.append(len(h))
+            words = np.packbits(bits, axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("rid"), pa.array(size, pa.int64()), *(pa.array(words[:, k]) for k in range(PARITY))],
+                                             ["rid", "size", *(f"p{k}" for k in range(PARITY))])
+
+    return sets.select("rid", "s").mapInArrow(run, "rid long, size long, " + ", ".join(f"p{k} long" for k in range(PARITY)))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``rid, comp`` (the smallest rid of the component) of all ends of ``edges (a, b)``.  Every round each
     vertex joins its smallest neighbour, two steps at once, and edges are drawn anew between the joined."""
@@ -298,20 +316,24 @@ def linked_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
         "shingle", "rid", "n", "pos", F.coalesce("home", "rid").alias("home"), F.coalesce("comp", "rid").alias("comp"), F.coalesce("d", F.lit(0.0)).alias("d"))
     mixed = entries.groupBy("shingle").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("shingle")
     entries = materialise(entries.join(mixed, "shingle", "left_semi"), "jaccard-entries")
+    reach = 1 - percent / 100 + 1e-9
+    bits = materialise(_parity_bits(sets).join(radius, F.col("rid") == F.col("h"), "left").drop("h")
+                       .withColumn("radius", F.coalesce("radius", F.lit(0.0))).withColumnRenamed("rid", "home"), "jaccard-bits")
     blocks = entries.groupBy("shingle", "home", "comp").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("pos")).alias("room"))
-    side = lambda x: blocks.select("shingle", *(F.col(c).alias(f"{c}_{x}") for c in ("home", "comp", "low", "high", "room")))
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("pos")).alias("room")).join(bits, "home")
+    side = lambda x: blocks.select("shingle", *(F.col(c).alias(f"{c}_{x}") for c in blocks.columns if c != "shingle"))
     need = F.ceil((F.col("low_a") + F.col("low_b")) * percent / (100 + percent))
+    apart = sum((F.bit_count(F.col(f"p{k}_a").bitwiseXOR(F.col(f"p{k}_b"))) for k in range(PARITY)), F.lit(0))
+    near = 2 * apart / (F.col("size_a") + F.col("size_b") + apart) <= F.lit(reach) + F.col("radius_a") + F.col("radius_b")
     home_pairs = (side("a").join(side("b"), "shingle").where(
         (F.col("comp_a") < F.col("comp_b")) & (F.col("high_a") * 100 >= F.col("low_b") * percent)
-        & (F.col("high_b") * 100 >= F.col("low_a") * percent) & (F.least("room_a", "room_b") >= need))
+        & (F.col("high_b") * 100 >= F.col("low_a") * percent) & (F.least("room_a", "room_b") >= need) & near)
         .select(F.least("home_a", "home_b").alias("a"), F.greatest("home_a", "home_b").alias("b")).distinct())
     home_pairs = materialise(home_pairs, "jaccard-home-pairs")
     if home_pairs.isEmpty():
         return ids, comp
     seen = known.select("a", "b", "n_a", "n_b", "common")
     old = home_pairs.join(seen, ["a", "b"])
-    # homes need not be in a common list, so their sets may be missing from none: every home has entries
     new = _intersections(home_pairs.join(seen, ["a", "b"], "left_anti"), sets)
     between = materialise(old.select("a", "b", "n_a", "n_b", "common").unionByName(new), "jaccard-between")
     links = links.select("a", "b").unionByName(between.where(linked).select("a", "b"))
@@ -319,11 +341,14 @@ def linked_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
 
     # members: answers that the triangle inequality leaves open, between sets that share a list
     r = lambda c: radius.select(F.col("h").alias(c), F.col("radius").alias(f"r_{c}"))
-    reach = 1 - percent / 100 + 1e-9
+    now = comp.select("rid", F.col("comp").alias("now"))
+    at = lambda c: now.select(F.col("rid").alias(c), F.col("now").alias(f"now_{c}"))
     open_ = (between.where(~linked).withColumn("d_ab", distance).join(r("a"), "a", "left").join(r("b"), "b", "left")
              .where(F.col("d_ab") - F.coalesce("r_a", F.lit(0.0)) - F.coalesce("r_b", F.lit(0.0)) <= reach)
-             .where(F.col("r_a").isNotNull() | F.col("r_b").isNotNull()).select("a", "b", "d_ab"))
-    now = comp.select("rid", F.col("comp").alias("now"))
+             .where(F.col("r_a").isNotNull() | F.col("r_b").isNotNull())
+             .join(at("a"), "a", "left").join(at("b"), "b", "left")
+             .where(F.coalesce("now_a", "a") != F.coalesce("now_b", "b")).select("a", "b", "d_ab"))
+    open_ = materialise(open_, "jaccard-open")
     e = entries.drop("comp").join(now, "rid", "left").withColumn("now", F.coalesce("now", "rid"))
     x = lambda s: e.select("shingle", *(F.col(c).alias(f"{c}_{s}") for c in ("rid", "n", "pos", "home", "now", "d")))
     member_pairs = (x("a").join(open_, F.col("home_a") == F.col("a")).join(

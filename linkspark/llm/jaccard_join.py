@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructType
 
 from linkspark.llm.common import materialise, read
 from linkspark.llm.text_features import mix
@@ -366,7 +367,34 @@ def linked_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
 def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n, sid, component_id`` of every row of ``docs``."""
     rows = materialise(digest_rows(docs, words), "jaccard-rows")
+    return _row_components(rows, *linked_sets(docs, words, percent))
+
+
+def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each component: one of the smallest id, null ids last, of equal rows any.
+    Rows without words link with nothing and all stay."""
+    rows = materialise(digest_rows(docs, words), "jaccard-rows")
     ids, comp = linked_sets(docs, words, percent)
+    group = ids.join(comp, "rid", "left").select("sid", F.coalesce("comp", "rid").alias("group"))
+    each = rows.where("sid is not null").groupBy("sid", "doc_id").agg(F.count("*").alias("copies"))
+    best = (each.join(group, "sid").groupBy("group").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "sid", "copies")).alias("k"))
+        .select(F.col("k.doc_id").alias("_id"), F.col("k.sid").alias("_keep"), F.col("k.copies").alias("_copies")))
+    columns = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sid = pa.array([d for _, _, d in _sets(batch, words)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, sid], schema=pa.schema([*batch.schema, ("_sid", pa.binary())]))
+
+    marked = docs.mapInArrow(run, StructType([*docs.schema.fields]).add("_sid", BinaryType()))
+    kept = marked.join(best, (F.col("_sid") == F.col("_keep")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left").where(
+        F.col("_copies").isNotNull() | F.col("_sid").isNull())
+    single = kept.where(F.coalesce("_copies", F.lit(1)) == 1)
+    return single.select(columns).unionByName(kept.where("_copies > 1").dropDuplicates(["_sid"]).select(columns))
+
+
+def _row_components(rows: DataFrame, ids: DataFrame, comp: DataFrame) -> DataFrame:
     first = rows.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("first_id"))
     sets = first.join(ids.join(comp, "rid"), "sid", "left")
     least = sets.where("comp is not null").groupBy("comp").agg(F.min("first_id").alias("component_id"))

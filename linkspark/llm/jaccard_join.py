@@ -46,6 +46,7 @@ REGION = {85: 4, 80: 5}
 ROUNDS = 3
 BITMAP_WORDS = 1 << 17  # longs in the bitmap of wanted sets (1 MB)
 PARITY = 16  # longs of a set's parity bits
+SHINGLE_BYTES = 1 << 19  # text whose sets are built at once
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -108,11 +109,16 @@ def least_overlap(n, percent: int):
 
 def _sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.ndarray, bytes | None]]:
     """Row number, set and 128-bit set digest (None if empty) of each row of a batch."""
-    for at in range(0, len(batch), 512):
-        texts = [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in batch.column("text").slice(at, 512)]
-        h, begin = shingle_sets(texts, words)
-        for i, (a, b) in enumerate(zip(begin[:-1], begin[1:]), at):
-            yield i, h[a:b], hashlib.blake2b(h[a:b].tobytes(), digest_size=16).digest() if b > a else None
+    texts: list[bytes] = []
+    size = 0
+    for at, t in enumerate(batch.column("text"), 1):
+        texts.append((t.as_py() or "").encode("utf-8", "surrogatepass"))
+        size += len(texts[-1])
+        if size >= SHINGLE_BYTES or at == len(batch):  # the arrays take some fifty times the text
+            h, begin = shingle_sets(texts, words)
+            for i, (a, b) in enumerate(zip(begin[:-1], begin[1:]), at - len(texts)):
+                yield i, h[a:b], hashlib.blake2b(h[a:b].tobytes(), digest_size=16).digest() if b > a else None
+            texts, size = [], 0
 
 
 def digest_rows(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -318,12 +324,14 @@ def linked_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     mixed = entries.groupBy("shingle").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("shingle")
     entries = materialise(entries.join(mixed, "shingle", "left_semi"), "jaccard-entries")
     reach = 1 - percent / 100 + 1e-9
-    bits = materialise(_parity_bits(sets).join(radius, F.col("rid") == F.col("h"), "left").drop("h")
+    parity = materialise(_parity_bits(sets), "jaccard-parity")
+    bits = materialise(parity.join(radius, F.col("rid") == F.col("h"), "left").drop("h")
                        .withColumn("radius", F.coalesce("radius", F.lit(0.0))).withColumnRenamed("rid", "home"), "jaccard-bits")
     blocks = entries.groupBy("shingle", "home", "comp").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("pos")).alias("room")).join(bits, "home")
     side = lambda x: blocks.select("shingle", *(F.col(c).alias(f"{c}_{x}") for c in blocks.columns if c != "shingle"))
     need = F.ceil((F.col("low_a") + F.col("low_b")) * percent / (100 + percent))
+    # the same names serve for pairs of homes and for pairs of members
     apart = sum((F.bit_count(F.col(f"p{k}_a").bitwiseXOR(F.col(f"p{k}_b"))) for k in range(PARITY)), F.lit(0))
     near = 2 * apart / (F.col("size_a") + F.col("size_b") + apart) <= F.lit(reach) + F.col("radius_a") + F.col("radius_b")
     home_pairs = (side("a").join(side("b"), "shingle").where(
@@ -351,10 +359,12 @@ def linked_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
              .where(F.coalesce("now_a", "a") != F.coalesce("now_b", "b")).select("a", "b", "d_ab"))
     open_ = materialise(open_, "jaccard-open")
     e = entries.drop("comp").join(now, "rid", "left").withColumn("now", F.coalesce("now", "rid"))
-    x = lambda s: e.select("shingle", *(F.col(c).alias(f"{c}_{s}") for c in ("rid", "n", "pos", "home", "now", "d")))
+    e = e.join(open_.select(F.col("a").alias("home")).union(open_.select("b")).distinct(), "home", "left_semi").join(parity, "rid")
+    x = lambda s: e.select("shingle", *(F.col(c).alias(f"{c}_{s}") for c in e.columns if c != "shingle"))
     member_pairs = (x("a").join(open_, F.col("home_a") == F.col("a")).join(
         x("b").withColumnRenamed("shingle", "shingle_b"), (F.col("home_b") == F.col("b")) & (F.col("shingle") == F.col("shingle_b")))
         .where((F.col("now_a") != F.col("now_b")) & (F.col("d_ab") - F.col("d_a") - F.col("d_b") <= reach)
+               & (2 * apart / (F.col("size_a") + F.col("size_b") + apart) <= reach)
                & _may_link(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b"), percent))
         .select(F.least("rid_a", "rid_b").alias("a"), F.greatest("rid_a", "rid_b").alias("b")).distinct())
     member_pairs = materialise(member_pairs.join(seen, ["a", "b"], "left_anti"), "jaccard-member-pairs")

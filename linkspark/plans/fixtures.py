@@ -106,7 +106,7 @@ def fx_cand(spark: SparkSession, d: str) -> DataFrame:
     j = docs.join(labels, "doc_id", "left")
     return j.select(
         F.col("source").alias("db_id"), F.col("doc_id").alias("pos"),
-        F.substring("text", 1, 40).alias("question"),
+        F.col("text").alias("question"),
         F.when(F.col("quality").isNull(), F.lit("")).otherwise(F.lit("select 1")).alias("gold_sql"),
         (F.coalesce(F.col("quality"), F.lit(0)) == 0).alias("parse_failed"),
         F.when(F.col("toxic") == 1, F.lit(0)).otherwise(F.lit(1)).alias("n_tables"))

@@ -32,7 +32,7 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM (SELECT event_id, event_type, user_id, concat('{"', event_type, '": ',
                 CASE WHEN user_id % 7 = 0 THEN '[]' WHEN user_id % 11 = 0 THEN 'null'
                 ELSE concat('["c', CAST(user_id % 5 AS VARCHAR(10)), '"]') END, '}') AS j FROM events) e"""),
-    "fx_cand": ((), """SELECT d.source AS db_id, d.doc_id AS pos, substr(d.text, 1, 40) AS question,
+    "fx_cand": ((), """SELECT d.source AS db_id, d.doc_id AS pos, d.text AS question,
           CASE WHEN l.quality IS NULL THEN '' ELSE 'select 1' END AS gold_sql,
           coalesce(l.quality, 0) = 0 AS parse_failed, CASE WHEN l.toxic = 1 THEN 0 ELSE 1 END AS n_tables
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""),

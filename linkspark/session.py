@@ -41,7 +41,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when unset (tests)."""
+    """Use the cluster's ``spark.checkpoint.dir``; where it is unset, make a scratch one for a local
+    master (tests) and refuse on a cluster, whose machines share no temporary folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if spark.sparkContext.getCheckpointDir() is None:
@@ -50,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="linkspark-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -25,9 +25,10 @@ def explode_links(records: DataFrame, links_col: str = "schema_links") -> DataFr
     return rows
 
 
-def read_link_file(spark: SparkSession, path: str) -> DataFrame:
-    """Multi-line JSON list of records; the links map is kept as raw JSON text."""
-    raw = spark.read.option("multiLine", True).schema(RECORD_SCHEMA).json(path)
+def read_link_file(spark: SparkSession, path: str, json_list: bool = False) -> DataFrame:
+    """Records one to a line, as ``write_link_file`` leaves them (and readable in splits), or with
+    ``json_list`` a file that is one JSON list; the links map is kept as raw JSON text."""
+    raw = spark.read.option("multiLine", json_list).schema(RECORD_SCHEMA).json(path)
     return explode_links(raw)
 
 

@@ -361,11 +361,12 @@ def linked_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     e = entries.drop("comp").join(now, "rid", "left").withColumn("now", F.coalesce("now", "rid"))
     e = e.join(open_.select(F.col("a").alias("home")).union(open_.select("b")).distinct(), "home", "left_semi").join(parity, "rid")
     x = lambda s: e.select("shingle", *(F.col(c).alias(f"{c}_{s}") for c in e.columns if c != "shingle"))
-    member_pairs = (x("a").join(open_, F.col("home_a") == F.col("a")).join(
-        x("b").withColumnRenamed("shingle", "shingle_b"), (F.col("home_b") == F.col("b")) & (F.col("shingle") == F.col("shingle_b")))
-        .where((F.col("now_a") != F.col("now_b")) & (F.col("d_ab") - F.col("d_a") - F.col("d_b") <= reach)
+    member_pairs = (x("a").join(x("b"), "shingle")
+        .where((F.col("now_a") != F.col("now_b")) & (F.col("home_a") < F.col("home_b"))
                & (2 * apart / (F.col("size_a") + F.col("size_b") + apart) <= reach)
                & _may_link(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b"), percent))
+        .join(open_, (F.col("home_a") == F.col("a")) & (F.col("home_b") == F.col("b")))
+        .where(F.col("d_ab") - F.col("d_a") - F.col("d_b") <= reach)
         .select(F.least("rid_a", "rid_b").alias("a"), F.greatest("rid_a", "rid_b").alias("b")).distinct())
     member_pairs = materialise(member_pairs.join(seen, ["a", "b"], "left_anti"), "jaccard-member-pairs")
     if member_pairs.isEmpty():

@@ -11,8 +11,10 @@ Working form of links (the *normal form* used by every downstream operator):
   column-level sets are ``WHERE clc <> ''``;
 * ``tbl`` / ``col`` carry the catalog's spelling.
 
-The catalog is joined through a size-checked broadcast; links are never
-collected.  De-duplication is keyed on ``(question, tlc, clc)`` first so a
+Every lookup is made in the link's own database: ``scope`` (default ``db_id``) is a
+column of both links and catalog, so another database's tables are unknown here and
+spelling is that of this database.  The catalog is joined through a size-checked
+broadcast; links are never collected.  De-duplication is keyed on ``(question, tlc, clc)`` first so a
 question that owns a third of all rows is still spread over many tasks.
 """
 
@@ -27,18 +29,24 @@ from ..plans.joins import broadcast_if_small
 
 HALLU = "__hallu__:"  # fixed marker for schema-invalid identifiers in graded scoring
 NO_COLUMN = ""        # clc of a table row in the normal form
+SCOPE = ("db_id",)    # columns of links and catalog that name the database a question is asked of
 
 
-def catalog_tables(catalog: DataFrame, tbl: str = "tbl") -> DataFrame:
-    """``tlc -> tbl`` (one spelling per lower-cased table)."""
+def _columns(*names: Sequence[str]) -> list[str]:
+    """All names once, in order."""
+    return list(dict.fromkeys(n for part in names for n in part))
+
+
+def catalog_tables(catalog: DataFrame, scope: Sequence[str] = SCOPE, tbl: str = "tbl") -> DataFrame:
+    """``scope, tlc -> tbl_c`` (one spelling per database and lower-cased table)."""
     return (catalog.where(F.col(tbl).isNotNull())
-            .groupBy(F.lower(tbl).alias("tlc")).agg(F.min(tbl).alias("tbl_c")))
+            .groupBy(*scope, F.lower(tbl).alias("tlc")).agg(F.min(tbl).alias("tbl_c")))
 
 
-def catalog_columns(catalog: DataFrame, tbl: str = "tbl", col: str = "col") -> DataFrame:
-    """``(tlc, clc) -> col`` (one spelling per lower-cased column of a table)."""
+def catalog_columns(catalog: DataFrame, scope: Sequence[str] = SCOPE, tbl: str = "tbl", col: str = "col") -> DataFrame:
+    """``scope, tlc, clc -> col_c`` (one spelling per database and lower-cased column of a table)."""
     return (catalog.where(F.col(tbl).isNotNull() & F.col(col).isNotNull() & (F.col(col) != ""))
-            .groupBy(F.lower(tbl).alias("tlc"), F.lower(col).alias("clc"))
+            .groupBy(*scope, F.lower(tbl).alias("tlc"), F.lower(col).alias("clc"))
             .agg(F.min(col).alias("col_c")))
 
 
@@ -56,23 +64,22 @@ def _normal_rows(df: DataFrame, keys: Sequence[str], tbl_c: Column, col_c: Colum
 
 
 def canonicalize(links: DataFrame, catalog: DataFrame, keys: Sequence[str] = ("question_id",),
-                 tbl: str = "tbl", col: str = "col",
-                 partition_keys: Sequence[str] | None = None) -> DataFrame:
+                 tbl: str = "tbl", col: str = "col", partition_keys: Sequence[str] | None = None,
+                 scope: Sequence[str] = SCOPE) -> DataFrame:
     """Drop unknown tables (with their columns) and unknown columns, re-case to the
     catalog, merge keys that differ only in case, keep tables whose column list is empty.
 
-    ``links`` holds raw link rows ``keys..., tbl, col`` (``col`` NULL = table only).
+    ``links`` holds raw link rows ``keys..., scope..., tbl, col`` (``col`` NULL = table only).
     Returns the normal form, de-duplicated on ``keys + (tlc, clc)`` and hash
     partitioned on ``partition_keys + (tlc, clc)`` (default ``keys``).  Voting passes
     the question keys without the voter so the vote aggregation needs no new exchange.
     """
-    keys = list(keys)
-    tables = broadcast_if_small(catalog_tables(catalog))
-    columns = broadcast_if_small(catalog_columns(catalog))
-    l = links.select(*keys, F.lower(tbl).alias("tlc"), F.lower(col).alias("clc_in"))
-    j = l.join(tables, "tlc")  # unknown tables disappear together with their columns
-    j = j.join(columns, (j.tlc == columns.tlc) & (j.clc_in == columns.clc), "left") \
-        .select(*[j[k] for k in keys], j.tbl_c, columns.col_c)
+    keys, scope = list(keys), list(scope)
+    tables = broadcast_if_small(catalog_tables(catalog, scope))
+    columns = broadcast_if_small(catalog_columns(catalog, scope))
+    l = links.select(*_columns(keys, scope), F.lower(tbl).alias("tlc"), F.lower(col).alias("clc"))
+    j = l.join(tables, [*scope, "tlc"])  # unknown tables disappear together with their columns
+    j = j.join(columns, [*scope, "tlc", "clc"], "left")
     out = _normal_rows(j, keys, F.col("tbl_c"), F.col("col_c"))
     # One exchange on (question keys, tlc, clc); voting and scoring reuse it.
     part = list(partition_keys) if partition_keys is not None else keys
@@ -80,21 +87,20 @@ def canonicalize(links: DataFrame, catalog: DataFrame, keys: Sequence[str] = ("q
 
 
 def graded_links(links: DataFrame, catalog: DataFrame, keys: Sequence[str] = ("question_id",),
-                 tbl: str = "tbl", col: str = "col", is_gold: bool = False) -> DataFrame:
+                 tbl: str = "tbl", col: str = "col", is_gold: bool = False,
+                 scope: Sequence[str] = SCOPE) -> DataFrame:
     """The grader's variant.  Unknown identifiers are *kept* for predictions as
     un-matchable ``__hallu__:`` markers (false positives) and dropped for gold.
 
     Returns the normal form with ``bad_table`` / ``bad_column`` flags per input row
     (before de-duplication) so that :func:`hallucination_tally` can count them.
     """
-    keys = list(keys)
-    tables = broadcast_if_small(catalog_tables(catalog))
-    columns = broadcast_if_small(catalog_columns(catalog))
-    l = links.select(*keys, F.col(tbl).alias("tbl_in"), F.col(col).alias("col_in"),
-                     F.lower(tbl).alias("tlc"), F.lower(col).alias("clc_in"))
-    j = l.join(tables, "tlc", "left")
-    j = j.join(columns, (j.tlc == columns.tlc) & (j.clc_in == columns.clc), "left") \
-        .select(*[j[k] for k in keys], j.tbl_in, j.col_in, j.tlc, j.tbl_c, columns.col_c)
+    keys, scope = list(keys), list(scope)
+    tables = broadcast_if_small(catalog_tables(catalog, scope))
+    columns = broadcast_if_small(catalog_columns(catalog, scope))
+    l = links.select(*_columns(keys, scope), F.col(tbl).alias("tbl_in"), F.col(col).alias("col_in"),
+                     F.lower(tbl).alias("tlc"), F.lower(col).alias("clc"))
+    j = l.join(tables, [*scope, "tlc"], "left").join(columns, [*scope, "tlc", "clc"], "left")
     known_t = F.col("tbl_c").isNotNull()
     has_col = F.col("col_in").isNotNull()
     tbl_g = F.when(known_t, F.col("tbl_c")).otherwise(F.concat(F.lit(HALLU), F.col("tlc")))
@@ -132,52 +138,60 @@ def hallucination_tally(graded: DataFrame, pred_keys: Sequence[str] = ("question
 
 
 def two_stage_merge(stage_a: DataFrame, stage_b: DataFrame, catalog: DataFrame,
-                    keys: Sequence[str] = ("question_id",), tbl: str = "tbl", col: str = "col") -> DataFrame:
+                    keys: Sequence[str] = ("question_id",), tbl: str = "tbl", col: str = "col",
+                    scope: Sequence[str] = SCOPE) -> DataFrame:
     """Merge a table-stage and a column-stage prediction.
 
     Only catalog tables named by stage A survive (re-cased, de-duplicated); stage-B
     columns survive when the column exists in a surviving table.  A surviving table
     without valid columns keeps an empty list (its table row only).
     """
-    keys = list(keys)
-    tables = broadcast_if_small(catalog_tables(catalog))
-    columns = broadcast_if_small(catalog_columns(catalog))
-    a = stage_a.select(*keys, F.lower(tbl).alias("tlc")).join(tables, "tlc").dropDuplicates([*keys, "tlc"])
-    b = (stage_b.select(*keys, F.lower(tbl).alias("tlc"), F.lower(col).alias("clc"))
-         .join(columns, ["tlc", "clc"]).dropDuplicates([*keys, "tlc", "clc"]))
-    b = b.join(a, [*keys, "tlc"])
+    keys, scope = list(keys), list(scope)
+    own = _columns(keys, scope)
+    tables = broadcast_if_small(catalog_tables(catalog, scope))
+    columns = broadcast_if_small(catalog_columns(catalog, scope))
+    a = (stage_a.select(*own, F.lower(tbl).alias("tlc")).join(tables, [*scope, "tlc"])
+         .dropDuplicates([*own, "tlc"]))
+    b = (stage_b.select(*own, F.lower(tbl).alias("tlc"), F.lower(col).alias("clc"))
+         .join(columns, [*scope, "tlc", "clc"]).dropDuplicates([*own, "tlc", "clc"]))
+    b = b.join(a, [*own, "tlc"])
     null = F.lit(None).cast("string")
     t_rows = a.select(*keys, "tlc", F.lit(NO_COLUMN).alias("clc"), F.col("tbl_c").alias("tbl"), null.alias("col"))
     c_rows = b.select(*keys, "tlc", "clc", F.col("tbl_c").alias("tbl"), F.col("col_c").alias("col"))
     return t_rows.unionByName(c_rows)
 
 
-def resolve_mentions(mentions: DataFrame, catalog: DataFrame, qid: str = "query_id") -> DataFrame:
+def resolve_mentions(mentions: DataFrame, catalog: DataFrame, qid: str = "query_id",
+                     scope: Sequence[str] = SCOPE) -> DataFrame:
     """Turn extracted SQL mentions into links.
 
-    ``mentions(qid, alias, tbl, col_alias, col)``: one row per table mention (with its
-    alias) and column mention (qualifier may be NULL; ``*`` names no column).
+    ``mentions(qid, scope..., alias, tbl, col_alias, col)``: one row per table mention (with
+    its alias, if any) and column mention (qualifier may be NULL; ``*`` names no column).
     Every mentioned catalog table is a link even without columns; a qualified column
-    resolves through the query's alias map; a bare column resolves to its unique
-    owner among the query's tables (ambiguous or unknown mentions are dropped).
+    resolves through the query's aliases and the tables' own names; a bare column resolves to
+    its unique owner among the query's tables (ambiguous or unknown mentions are dropped).
     """
-    tables = broadcast_if_small(catalog_tables(catalog))
-    columns = broadcast_if_small(catalog_columns(catalog))
-    scope = (mentions.select(qid, F.lower("tbl").alias("tlc")).join(tables, "tlc")
-             .dropDuplicates([qid, "tlc"]))
-    aliases = mentions.select(qid, F.lower("alias").alias("alias"), F.lower("tbl").alias("tlc")).distinct()
+    scope = list(scope)
+    own = _columns([qid], scope)
+    tables = broadcast_if_small(catalog_tables(catalog, scope))
+    columns = broadcast_if_small(catalog_columns(catalog, scope))
+    named = (mentions.select(*own, F.lower("tbl").alias("tlc")).join(tables, [*scope, "tlc"])
+             .dropDuplicates([*own, "tlc"]))
+    aliases = (mentions.select(*own, F.explode(F.array(F.lower("alias"), F.lower("tbl"))).alias("alias"),
+                               F.lower("tbl").alias("tlc"))
+               .where(F.col("alias").isNotNull()).distinct())
     colm = mentions.where(F.col("col") != "*")
     qualified = (colm.where(F.col("col_alias").isNotNull())
-                 .select(qid, F.lower("col_alias").alias("alias"), F.lower("col").alias("clc"))
-                 .join(aliases, [qid, "alias"]).select(qid, "tlc", "clc"))
-    bare = (colm.where(F.col("col_alias").isNull()).select(qid, F.lower("col").alias("clc")).distinct()
-            .join(columns.select("tlc", "clc"), "clc")
-            .join(scope.select(qid, "tlc"), [qid, "tlc"], "left_semi")
-            .groupBy(qid, "clc").agg(F.count(F.lit(1)).alias("owners"), F.min("tlc").alias("tlc"))
-            .where(F.col("owners") == 1).select(qid, "tlc", "clc"))
-    cols = (qualified.unionByName(bare).join(columns, ["tlc", "clc"]).join(tables, "tlc")
-            .dropDuplicates([qid, "tlc", "clc"]))
+                 .select(*own, F.lower("col_alias").alias("alias"), F.lower("col").alias("clc"))
+                 .join(aliases, [*own, "alias"]).select(*own, "tlc", "clc"))
+    bare = (colm.where(F.col("col_alias").isNull()).select(*own, F.lower("col").alias("clc")).distinct()
+            .join(named.select(*own, "tlc"), own)  # the query's few tables first, then their columns
+            .join(columns.select(*scope, "tlc", "clc"), [*scope, "tlc", "clc"], "left_semi")
+            .groupBy(*own, "clc").agg(F.count(F.lit(1)).alias("owners"), F.min("tlc").alias("tlc"))
+            .where(F.col("owners") == 1).select(*own, "tlc", "clc"))
+    cols = (qualified.unionByName(bare).join(columns, [*scope, "tlc", "clc"]).join(tables, [*scope, "tlc"])
+            .dropDuplicates([*own, "tlc", "clc"]))
     null = F.lit(None).cast("string")
-    t_rows = scope.select(qid, "tlc", F.lit(NO_COLUMN).alias("clc"), F.col("tbl_c").alias("tbl"), null.alias("col"))
+    t_rows = named.select(qid, "tlc", F.lit(NO_COLUMN).alias("clc"), F.col("tbl_c").alias("tbl"), null.alias("col"))
     c_rows = cols.select(qid, "tlc", "clc", F.col("tbl_c").alias("tbl"), F.col("col_c").alias("col"))
     return t_rows.unionByName(c_rows)

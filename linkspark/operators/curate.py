@@ -28,11 +28,13 @@ def class_balance(links: DataFrame, groups: DataFrame, group_col: str, digits: i
 
 # ---------------------------------------------------------------- E5 / E6 / E7 / F3 / D11
 
+# fixed values: the statuses of the audit
 STATUS_OK = "ok"
 STATUS_EMPTY = "empty_question_or_sql"
 STATUS_DUPLICATE = "duplicate_question"
 STATUS_PARSE = "parse_error"
 STATUS_NO_TABLES = "zero_recognized_tables"
+STATUS_OVER_LIMIT = "over_limit"  # own status: beyond the caller's limit, kept in the audit
 
 
 def strip_ws(c):
@@ -56,7 +58,10 @@ def validate_candidates(cand: DataFrame, existing: DataFrame, order: str = "pos"
     """
     c = cand.withColumn("_norm", normalized_question())
     empty = (F.col("_norm") == "") | (strip_ws(F.col("gold_sql")) == "")
-    self_ok = ~empty & ~F.col("parse_failed") & (F.col("n_tables") > 0)
+    # empty questions get a key of their own each: they match nothing and must not meet in one task
+    c = c.withColumn("_empty", empty).withColumn(
+        "_norm", F.when(F.col("_norm") == "", F.concat(F.lit("\0"), F.col(order).cast("string"))).otherwise(F.col("_norm")))
+    empty, self_ok = F.col("_empty"), ~F.col("_empty") & ~F.col("parse_failed") & (F.col("n_tables") > 0)
     seen = existing.select(normalized_question().alias("_norm")).distinct()
     c = c.join(broadcast_if_small(seen).withColumn("_existing", F.lit(True)), "_norm", "left")
     first_ok = (c.where(self_ok & F.col("_existing").isNull())
@@ -68,30 +73,39 @@ def validate_candidates(cand: DataFrame, existing: DataFrame, order: str = "pos"
               .when(F.col("parse_failed"), F.lit(STATUS_PARSE))
               .when(F.col("n_tables") <= 0, F.lit(STATUS_NO_TABLES))
               .otherwise(F.lit(STATUS_OK)))
-    return c.withColumn("status", status).drop("_norm", "_existing", "_first_ok")
+    return c.withColumn("status", status).drop("_norm", "_empty", "_existing", "_first_ok")
 
 
-def cap_per_group(audited: DataFrame, n: int, group: str = "db_id", order: str = "pos") -> DataFrame:
-    """Stop after ``n`` kept candidates per group; candidates after the n-th kept one
-    are neither kept nor audited.  The n-th kept position per group comes from a
-    rank-limited window (partial top-n before the shuffle)."""
+def cap_per_group(audited: DataFrame, n: int | None = None, group: str = "db_id", order: str = "pos") -> DataFrame:
+    """At most ``n`` kept candidates per group (default: no limit).  Candidates after the
+    n-th kept one stay in the audit with status ``over_limit``, so its counts add up to the
+    input.  The n-th kept position per group comes from a rank-limited window (partial
+    top-n before the shuffle)."""
+    if n is None:
+        return audited
     w = Window.partitionBy(group).orderBy(order)
     kept = (audited.where(F.col("status") == STATUS_OK).select(group, order)
             .withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n))
     last = kept.groupBy(group).agg(F.max(order).alias("_last"), F.count(F.lit(1)).alias("_k"))
     j = audited.join(broadcast_if_small(last), group, "left")
-    full = (F.col("_k") == n)
-    return j.where(~full | F.col("_last").isNull() | (F.col(order) <= F.col("_last"))).drop("_last", "_k")
+    over = (F.col("_k") == n) & (F.col(order) > F.col("_last"))
+    return j.withColumn("status", F.when(over, F.lit(STATUS_OVER_LIMIT)).otherwise(F.col("status"))).drop("_last", "_k")
 
 
 def assign_ids(kept: DataFrame, existing_ids: DataFrame, gap: int = 700, order: str = "pos",
-               id_col: str = "question_id") -> DataFrame:
+               id_col: str = "question_id", width: int = 1 << 16) -> DataFrame:
     """Number the survivors from ``max(existing id) + gap`` in candidate order.
-    The survivor set is bounded by the per-group cap, so a global row number is cheap."""
-    base = existing_ids.agg(F.max(id_col)).scalar()  # scalar subquery, evaluated once
-    w = Window.orderBy(order)
-    numbered = kept.withColumn("_rn", F.row_number().over(w) - 1)
-    return numbered.withColumn(id_col, base + gap + F.col("_rn")).drop("_rn")
+
+    Survivors are numbered within ranges of ``width`` positions, each from the running total
+    of the ranges before it; only those totals, one row per range, meet in one task."""
+    base = F.coalesce(existing_ids.agg(F.max(id_col)).scalar(), F.lit(0))  # evaluated once
+    part = F.floor(F.col(order) / width)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (kept.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+              .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(order)) - 1
+    return (kept.withColumn("_part", part).join(totals, "_part")
+            .withColumn(id_col, base + gap + F.col("_before") + place).drop("_part", "_before"))
 
 
 def status_histogram(audited: DataFrame) -> DataFrame:
@@ -100,9 +114,10 @@ def status_histogram(audited: DataFrame) -> DataFrame:
 
 
 def fewshot_sample(existing: DataFrame, k: int, group: str = "db_id", family: str = "family",
-                   order: str = "pos") -> DataFrame:
+                   order: str = "pos", targets: DataFrame | None = None) -> DataFrame:
     """K examples per group in a deterministic hash order; a group with fewer than k
-    of its own is topped up from its family's other groups.
+    of its own is topped up from its family's other groups.  ``targets(group, family)``
+    lists the groups to serve, also those without any example of their own.
 
     Exact with bounded work: a short group needs at most k siblings, and the family's
     first 2k examples in hash order always contain k from other groups when the
@@ -113,6 +128,9 @@ def fewshot_sample(existing: DataFrame, k: int, group: str = "db_id", family: st
     own = (h.withColumn("_r", F.row_number().over(Window.partitionBy(group).orderBy("_h", order)))
            .where(F.col("_r") <= k))
     counts = own.groupBy(group, family).agg(F.count(F.lit(1)).alias("_own"))
+    if targets is not None:
+        counts = (targets.select(group, family).distinct().join(counts, [group, family], "left")
+                  .select(group, family, F.coalesce("_own", F.lit(0).cast("long")).alias("_own")))
     prefix = (h.withColumn("_fr", F.row_number().over(Window.partitionBy(family).orderBy("_h", order)))
               .where(F.col("_fr") <= 2 * k)
               .select(F.col(family).alias("_fam"), F.col(group).alias("_src"), F.col(order).alias("_pos"),
@@ -146,24 +164,24 @@ def rationale_filter(rationales: DataFrame, gold_tables: DataFrame, keys: Sequen
 
 
 def expand_columns(pred: DataFrame, questions: DataFrame, catalog_cols: DataFrame,
-                   keys: Sequence[str] = ("question_id",), min_tokens: int = 2) -> DataFrame:
+                   keys: Sequence[str] = ("question_id",), min_tokens: int = 2,
+                   scope: Sequence[str] = ("db_id",)) -> DataFrame:
     """Add a catalog column of a predicted table when it has at least ``min_tokens``
     meaningful tokens and all of them occur in the question; predicted columns stay.
 
-    Inverted-index form: question tokens are joined to the predicted tables, then to
-    the column tokens of those tables on ``(table, token)``; a column qualifies when
-    its matched-token count equals its meaningful-token count.
+    ``questions`` and ``catalog_cols`` carry ``scope``: a column is looked up in the question's
+    own database.  A table's columns with their tokens are one row, so each predicted table
+    joins its catalog row once and the tokens are compared inside the row.
     """
     from ..functions.text import meaningful_tokens
-    keys = list(keys)
-    qt = questions.select(*keys, F.explode(meaningful_tokens("question")).alias("token"))
-    ptab = pred.where(F.col("clc") == "").select(*keys, "tlc")
-    cols = (catalog_cols.select("tlc", "clc", "tbl", "col", meaningful_tokens("col").alias("ct"))
-            .where(F.size("ct") >= min_tokens))
-    ctok = cols.select("tlc", "clc", F.size("ct").alias("need"), F.explode("ct").alias("token"))
-    hits = (qt.join(ptab, keys).join(broadcast_if_small(ctok), ["tlc", "token"])
-            .groupBy(*keys, "tlc", "clc").agg(F.count(F.lit(1)).alias("got"), F.first("need").alias("need"))
-            .where(F.col("got") == F.col("need")).select(*keys, "tlc", "clc"))
-    extra = (hits.join(pred.select(*keys, "tlc", "clc"), [*keys, "tlc", "clc"], "left_anti")
-             .join(broadcast_if_small(cols.select("tlc", "clc", "tbl", "col")), ["tlc", "clc"]))
-    return pred.select(*keys, "tlc", "clc", "tbl", "col").unionByName(extra.select(*keys, "tlc", "clc", "tbl", "col"))
+    keys, scope = list(keys), list(scope)
+    asked = questions.select(*dict.fromkeys([*keys, *scope]), meaningful_tokens("question").alias("asked"))
+    per_table = (catalog_cols.select(*scope, "tlc", "clc", "tbl", "col", meaningful_tokens("col").alias("tokens"))
+                 .where(F.size("tokens") >= min_tokens)
+                 .groupBy(*scope, "tlc").agg(F.collect_list(F.struct("clc", "tbl", "col", "tokens")).alias("cols")))
+    named = pred.groupBy(*keys, "tlc").agg(F.collect_set("clc").alias("have"))
+    fits = F.filter("cols", lambda c: (F.size(F.array_except(c["tokens"], F.col("asked"))) == 0)
+                    & ~F.array_contains(F.col("have"), c["clc"]))
+    extra = (named.join(asked, keys).join(per_table, [*scope, "tlc"])
+             .select(*keys, "tlc", F.explode(fits).alias("c")).select(*keys, "tlc", "c.clc", "c.tbl", "c.col"))
+    return pred.select(*keys, "tlc", "clc", "tbl", "col").unionByName(extra)

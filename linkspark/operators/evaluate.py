@@ -55,22 +55,24 @@ def prf(tp: Column, n_pred: Column, n_gold: Column) -> tuple[Column, Column, Col
 
 
 def per_question_scores(pred: DataFrame, gold: DataFrame, questions: DataFrame | None = None,
-                        keys: Sequence[str] = ("question_id",)) -> DataFrame:
+                        keys: Sequence[str] = ("question_id",), predicted: DataFrame | None = None) -> DataFrame:
     """C3 + D8: one metric row per *evaluated* question.
 
-    A question is evaluated when it is in ``questions`` (when given) and has gold;
-    a question without predictions scores as empty; predictions for questions
-    outside the set are ignored (C4 reports them).
+    ``questions`` lists the ids that have a gold record (default: those of ``gold``), also
+    those whose gold is empty or wholly invalid; a question without predictions scores as
+    empty; predictions for other questions are ignored (C4 reports them).  ``predicted``
+    lists the ids that have a prediction record, empty or not (default: those of ``pred``);
+    ``missing_prediction`` is true for the others.
     """
     keys = list(keys)
-    counts = set_counts(pred, gold, keys).where(F.col("n_gold_t") + F.col("n_gold_c") > 0)
-    if questions is not None:
-        counts = counts.join(questions.select(*keys).distinct(), keys, "left_semi")
+    ids = (gold if questions is None else questions).select(*keys).distinct()
+    given = (pred if predicted is None else predicted).select(*keys).distinct().withColumn("_given", F.lit(True))
+    counts = ids.join(set_counts(pred, gold, keys), keys, "left").na.fill(0).join(given, keys, "left")
     p_t, r_t, f1_t = prf(F.col("tp_t"), F.col("n_pred_t"), F.col("n_gold_t"))
     p_c, r_c, f1_c = prf(F.col("tp_c"), F.col("n_pred_c"), F.col("n_gold_c"))
     return counts.select(*keys, p_t.alias("p_t"), r_t.alias("r_t"), f1_t.alias("f1_t"),
                          p_c.alias("p_c"), r_c.alias("r_c"), f1_c.alias("f1_c"),
-                         (F.col("n_pred_t") == 0).alias("missing_prediction"))
+                         F.col("_given").isNull().alias("missing_prediction"))
 
 
 def leaderboard(per_question: DataFrame, digits: int = 6) -> DataFrame:

@@ -101,9 +101,24 @@ def stage_b_user(db_id: Column, question: Column, table: Column, columns: Column
                     F.lit("\n\nOutput the columns JSON now."))
 
 
+# fixed values: the short JSON escapes, by UTF-16 unit in hex
+_JSON_SHORT = {"0008": "\\b", "0009": "\\t", "000A": "\\n", "000C": "\\f", "000D": "\\r", "0022": '\\"', "005C": "\\\\"}
+
+
 def _json_str(c: Column) -> Column:
-    esc = F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    return F.concat(F.lit('"'), esc, F.lit('"'))
+    """A JSON string in ASCII: other characters as ``\\uXXXX``, one per UTF-16 unit."""
+    plain = F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    units = F.hex(F.encode(c, "UTF-16BE"))
+    short = F.create_map(*[F.lit(x) for pair in _JSON_SHORT.items() for x in pair])
+
+    def one(i: Column) -> Column:
+        u = F.substring(units, i * 4 + 1, F.lit(4))
+        return (F.when(short[u].isNotNull(), short[u])
+                .when((u < "0020") | (u > "007E"), F.concat(F.lit("\\u"), F.lower(u)))
+                .otherwise(F.char(F.conv(u, 16, 10).cast("int"))))
+
+    escaped = F.array_join(F.transform(F.sequence(F.lit(0), (F.length(units) / 4 - 1).cast("int")), one), "")
+    return F.concat(F.lit('"'), F.when(c.rlike("[^ -~]"), escaped).otherwise(plain), F.lit('"'))
 
 
 def canonical_target(links: DataFrame, keys: Sequence[str] = ("question_id",)) -> DataFrame:

@@ -175,11 +175,12 @@ def recall_at_k(ranked: DataFrame, gold: DataFrame, ks: Sequence[int], qid: str
 
 
 def force_include(kept: DataFrame, gold: DataFrame, catalog_tables: DataFrame,
-                  keys: Sequence[str] = ("question_id",), tbl: str = "tbl") -> DataFrame:
-    """Add every gold table that exists in the catalog to the kept set (distinct)."""
-    keys = list(keys)
-    g = gold.select(*keys, F.lower(tbl).alias("tlc"))
-    valid = g.join(broadcast_if_small(catalog_tables.select("tlc")), "tlc", "left_semi")
+                  keys: Sequence[str] = ("question_id",), tbl: str = "tbl",
+                  scope: Sequence[str] = ("db_id",)) -> DataFrame:
+    """Add every gold table that exists in the question's own database to the kept set (distinct)."""
+    keys, scope = list(keys), list(scope)
+    g = gold.select(*dict.fromkeys([*keys, *scope]), F.lower(tbl).alias("tlc"))
+    valid = g.join(broadcast_if_small(catalog_tables.select(*scope, "tlc")), [*scope, "tlc"], "left_semi")
     return kept.select(*keys, "tlc").unionByName(valid.select(*keys, "tlc")).distinct()
 
 

@@ -36,8 +36,8 @@ def vote_counts(canon: DataFrame, keys: Sequence[str] = ("question_id",), voter:
     keys = list(keys)
     rank = F.col(voter_rank) if voter_rank else F.col(voter)
     df = canon.withColumn("_rank", rank)
-    # Lead = the voter of rank 1 (explicit rank column, else the voter id), or an explicit id.
-    lead = F.col("_rank") == F.lit(1) if lead_voter is None else F.col(voter) == F.lit(lead_voter)
+    # without an explicit id, the lead is the lowest rank among all voters (one more pass over the links)
+    lead = F.col("_rank") == df.agg(F.min("_rank")).scalar() if lead_voter is None else F.col(voter) == F.lit(lead_voter)
     return (df.groupBy(*keys, "tlc", "clc").agg(
         F.count(F.lit(1)).alias("votes"),
         F.max(lead.cast("int")).cast("boolean").alias("lead"),
@@ -45,14 +45,6 @@ def vote_counts(canon: DataFrame, keys: Sequence[str] = ("question_id",), voter:
         F.min_by("col", "_rank").alias("col")))
 
 
-def dedupe_per_voter(canon: DataFrame, keys: Sequence[str] = ("question_id",),
-                     voter: str = "voter") -> DataFrame:
-    """Ensure one row per (keys, voter, tlc, clc); a no-op shuffle-wise when the input
-    is already partitioned on (keys, tlc, clc)."""
-    keys = list(keys)
-    return canon.dropDuplicates([*keys, voter, "tlc", "clc"])
-
-
 def vote_filter(votes: DataFrame, mode: str = "maj2", k: int = 2) -> DataFrame:
     """Keep the rows of the chosen ensemble mode.
 
@@ -76,76 +68,77 @@ def ensemble(canon: DataFrame, mode: str = "maj2", keys: Sequence[str] = ("quest
     return vote_filter(votes, mode, k).select(*keys, "tlc", "clc", "tbl", "col", "votes")
 
 
-def pack_links(links: DataFrame, keys: Sequence[str] = ("question_id",)) -> DataFrame:
+def pack_links(links: DataFrame, keys: Sequence[str] = ("question_id",),
+               questions: DataFrame | None = None) -> DataFrame:
     """Normal form -> ``schema_links MAP<STRING, ARRAY<STRING>>`` per question.
 
     Columns are sorted by code point; a table without columns maps to ``[]``.
     The group is one question's links (bounded by the catalog width of the
-    tables it names), never a whole corpus.
+    tables it names), never a whole corpus.  With ``questions`` there is one record per
+    question of that list, with an empty map where no link is left.
     """
     keys = list(keys)
     per_table = (links.groupBy(*keys, "tlc").agg(
         F.min("tbl").alias("tbl"),
         F.array_sort(F.collect_set("col")).alias("cols")))
-    return per_table.groupBy(*keys).agg(
+    packed = per_table.groupBy(*keys).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("tbl", "cols")))).alias("schema_links"))
+    if questions is None:
+        return packed
+    none = F.from_json(F.lit("{}"), "map<string,array<string>>")
+    return (questions.select(*keys).distinct().join(packed, keys, "left")
+            .withColumn("schema_links", F.coalesce("schema_links", none)))
 
 
-def ensemble_search(canon: DataFrame, gold: DataFrame, combos: DataFrame, questions: DataFrame | None = None,
+def ensemble_search(canon: DataFrame, gold: DataFrame, combos: Sequence[Sequence], questions: DataFrame | None = None,
                     keys: Sequence[str] = ("question_id",), voter: str = "voter",
                     modes: Sequence[str] = MODES, digits: int = 6) -> DataFrame:
     """Score every (combination, mode) cell in one job.
 
-    ``combos(combo, voter, rank)`` lists the voters of each combination (rank 1 =
-    lead) and is broadcast onto the link rows; one aggregation keyed on
-    ``(combo, question, tlc, clc)`` yields votes and the lead flag for every cell, the
-    modes are derived from those two columns, and scoring joins each predicted row
-    to gold once.  Questions a cell predicts nothing for are folded in
-    arithmetically (they score 0, or 1 at column level when gold has no column),
-    so gold is never replicated per cell.
+    ``combos`` lists the voters of each combination, the lead first.  One aggregation turns
+    the links into a voter bitmask per ``(question, tlc, clc)``, gold is joined once, and a
+    question keeps only its counts per ``(level, mask, in gold)``; cells are applied to those
+    few counts, so no link is copied per cell.  Every question of the list counts in every
+    cell, also where the cell predicts nothing or gold is empty.
     """
     from . import evaluate as E
     keys = list(keys)
-    gk = gold.select(*keys, "tlc", "clc")
-    gcount = gk.groupBy(*keys).agg(
-        F.sum(F.when(F.col("clc") == "", 1).otherwise(0)).cast("long").alias("n_gold_t"),
-        F.sum(F.when(F.col("clc") != "", 1).otherwise(0)).cast("long").alias("n_gold_c"))
-    evaluated = gcount.where(F.col("n_gold_t") + F.col("n_gold_c") > 0)
-    if questions is not None:
-        evaluated = evaluated.join(questions.select(*keys).distinct(), keys, "left_semi")
-    cb = F.broadcast(combos.select("combo", F.col("voter").alias(voter), "rank"))
-    votes = (canon.select(*keys, voter, "tlc", "clc").join(cb, voter)
-             .groupBy("combo", *keys, "tlc", "clc")
-             .agg(F.count(F.lit(1)).alias("votes"), F.max((F.col("rank") == 1).cast("int")).alias("lead")))
-    keep = {"union": F.lit(True), "maj2": F.col("votes") >= 2,
-            "maj2_or_lead": (F.col("votes") >= 2) | (F.col("lead") == 1)}
-    mode_arr = F.filter(F.array(*[F.when(keep[m], F.lit(m)) for m in modes]), lambda m: m.isNotNull())
-    pred = votes.select("combo", *keys, "tlc", "clc", F.explode(mode_arr).alias("mode"))
-    g = gk.withColumn("_g", F.lit(1))
-    j = pred.join(g, [*keys, "tlc", "clc"], "left")
-    t = F.col("clc") == ""
-    per = (j.groupBy("combo", "mode", *keys).agg(
-        F.sum(F.when(t, 1).otherwise(0)).cast("long").alias("n_pred_t"),
-        F.sum(F.when(~t, 1).otherwise(0)).cast("long").alias("n_pred_c"),
-        F.sum(F.when(t & F.col("_g").isNotNull(), 1).otherwise(0)).cast("long").alias("tp_t"),
-        F.sum(F.when(~t & F.col("_g").isNotNull(), 1).otherwise(0)).cast("long").alias("tp_c"))
-        .join(evaluated, keys))
-    p_t, r_t, f_t = E.prf(F.col("tp_t"), F.col("n_pred_t"), F.col("n_gold_t"))
-    p_c, r_c, f_c = E.prf(F.col("tp_c"), F.col("n_pred_c"), F.col("n_gold_c"))
-    cell = per.groupBy("combo", "mode").agg(
-        F.sum(p_t).alias("s_p_t"), F.sum(r_t).alias("s_r_t"), F.sum(f_t).alias("s_f_t"),
-        F.sum(p_c).alias("s_p_c"), F.sum(r_c).alias("s_r_c"), F.sum(f_c).alias("s_f_c"),
-        F.sum(F.when(F.col("n_gold_c") == 0, 1).otherwise(0)).alias("covered_empty_c"))
-    tot = evaluated.agg(F.count(F.lit(1)).alias("n"),
-                        F.sum(F.when(F.col("n_gold_c") == 0, 1).otherwise(0)).alias("empty_c"))
-    totals = tot.select(F.struct("n", "empty_c")).scalar()  # one scalar subquery for both totals
-    n, empty_c = totals["n"], totals["empty_c"]
-    extra_c = empty_c - F.col("covered_empty_c")
-    ts = (F.col("s_p_t") + F.col("s_r_t") + F.col("s_f_t")) / n / 3.0
-    cs = (F.col("s_p_c") + F.col("s_r_c") + F.col("s_f_c") + 3 * extra_c) / n / 3.0
-    return cell.select("combo", "mode", F.round(ts, digits).alias("table_score"),
-                       F.round(cs, digits).alias("column_score"),
-                       F.round(0.5 * ts + 0.5 * cs, digits).alias("leaderboard"))
+    voters = sorted({v for c in combos for v in c})
+    bits = {v: 1 << i for i, v in enumerate(voters)}
+    bit = F.element_at(F.create_map(*[F.lit(x) for v in voters for x in (v, bits[v])]), F.col(voter))
+    on = [*keys, "tlc", "clc"]
+    masks = canon.where(F.col(voter).isin(voters)).groupBy(*on).agg(F.bit_or(bit).alias("mask"))
+    gk = gold.select(*on).distinct()
+    hits = masks.join(gk.withColumn("_g", F.lit(1)), on, "left")
+    per_mask = hits.groupBy(*keys, (F.col("clc") == "").alias("t"), "mask", F.col("_g").isNotNull().alias("g")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    found = per_mask.groupBy(*keys).agg(F.collect_list(F.struct("t", "mask", "g", "n")).alias("found"))
+    gcount = gk.groupBy(*keys).agg(F.count(F.when(F.col("clc") == "", 1)).alias("n_gold_t"),
+                                   F.count(F.when(F.col("clc") != "", 1)).alias("n_gold_c"))
+    ids = (gold if questions is None else questions).select(*keys).distinct()
+    per = ids.join(gcount, keys, "left").na.fill(0, ["n_gold_t", "n_gold_c"]).join(found, keys, "left")
+    cells = F.array(*[F.struct(F.lit("+".join(map(str, c))).alias("combo"), F.lit(m).alias("mode"),
+                               F.lit(sum(bits[v] for v in c)).alias("members"), F.lit(1 if m == "union" else 2).alias("need"),
+                               F.lit(bits[c[0]] if m == "maj2_or_lead" else 0).alias("lead"))
+                      for c in combos for m in modes])
+    per = per.withColumn("cell", F.explode(cells))
+
+    def total(wanted):
+        def add(acc, x):
+            keep = (F.bit_count(x["mask"].bitwiseAND(F.col("cell.members"))) >= F.col("cell.need")) | (
+                x["mask"].bitwiseAND(F.col("cell.lead")) != 0)
+            return acc + F.when(wanted(x) & keep, x["n"]).otherwise(F.lit(0).cast("long"))
+        return F.coalesce(F.aggregate("found", F.lit(0).cast("long"), add), F.lit(0).cast("long"))
+
+    per = per.select("cell.combo", "cell.mode", "n_gold_t", "n_gold_c",
+                     total(lambda x: x["t"]).alias("n_pred_t"), total(lambda x: x["t"] & x["g"]).alias("tp_t"),
+                     total(lambda x: ~x["t"]).alias("n_pred_c"), total(lambda x: ~x["t"] & x["g"]).alias("tp_c"))
+    ts = sum(E.prf(F.col("tp_t"), F.col("n_pred_t"), F.col("n_gold_t")), F.lit(0.0))
+    cs = sum(E.prf(F.col("tp_c"), F.col("n_pred_c"), F.col("n_gold_c")), F.lit(0.0))
+    cell = per.groupBy("combo", "mode").agg((F.avg(ts) / 3.0).alias("ts"), (F.avg(cs) / 3.0).alias("cs"))
+    return cell.select("combo", "mode", F.round("ts", digits).alias("table_score"),
+                       F.round("cs", digits).alias("column_score"),
+                       F.round(0.5 * F.col("ts") + 0.5 * F.col("cs"), digits).alias("leaderboard"))
 
 
 def top_cells(search: DataFrame, n: int = 10) -> DataFrame:

@@ -18,31 +18,54 @@ VOTERS = (1, 2, 3, 4)
 
 
 def fx_catalog(spark: SparkSession, d: str) -> DataFrame:
-    """Catalog: brand = table, part name = column (schema order = alphabetical)."""
-    return (read_table(spark, d, "part")
-            .select(F.col("p_brand").alias("tbl"), F.col("p_name").alias("col"))
-            .distinct())
+    """Catalog of three databases: brand = table, part name = column.  Database k lacks the
+    tables whose last digit + k divides by 3; database 1 spells its tables in capitals."""
+    part = read_table(spark, d, "part").select("p_brand", "p_name").distinct()
+    k = F.col("k")
+    return (part.withColumn("k", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+            .where((F.substring("p_brand", -1, 1).cast("int") + k) % 3 != 0)
+            .select(F.concat(F.lit("db"), k.cast("string")).alias("db_id"),
+                    F.when(k == 1, F.upper("p_brand")).otherwise(F.col("p_brand")).alias("tbl"),
+                    F.col("p_name").alias("col")))
+
+
+def question_db(question_id: str):
+    """The database a question is asked of."""
+    return F.concat(F.lit("db"), (F.col(question_id) % 3).cast("string")).alias("db_id")
 
 
 def fx_base(spark: SparkSession, d: str) -> DataFrame:
     li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     part = read_table(spark, d, "part").select("p_partkey", "p_brand", "p_name")
     return (li.join(part, li.l_partkey == part.p_partkey)
-            .select(F.col("l_orderkey").alias("question_id"), F.col("l_linenumber").alias("ln"),
+            .select(F.col("l_orderkey").alias("question_id"), question_db("l_orderkey"), F.col("l_linenumber").alias("ln"),
                     F.col("l_partkey").alias("pk"), F.col("p_brand").alias("tbl"),
                     F.col("p_name").alias("col")))
 
 
 def fx_questions_ids(spark: SparkSession, d: str) -> DataFrame:
     """The question set of the voting fixtures: every order that has a line item."""
-    return fx_base(spark, d).select("question_id").distinct()
+    return read_table(spark, d, "lineitem").select(F.col("l_orderkey").alias("question_id")).distinct()
+
+
+def fx_gold_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Questions with a gold record, also where none of its links is valid."""
+    return (read_table(spark, d, "lineitem").where((F.col("l_orderkey") + F.col("l_partkey")) % 3 != 0)
+            .select(F.col("l_orderkey").alias("question_id")).distinct())
+
+
+def fx_vote_ids(spark: SparkSession, d: str) -> DataFrame:
+    """``question_id, voter`` of every prediction record, also where none of its links is valid."""
+    li = read_table(spark, d, "lineitem").withColumn("voter", F.explode(F.array(*[F.lit(v) for v in VOTERS])))
+    return (li.where((F.col("l_partkey") * F.col("voter") + F.col("l_orderkey") + F.col("l_linenumber")) % 5 > 1)
+            .select(F.col("l_orderkey").alias("question_id"), "voter").distinct())
 
 
 def fx_gold(spark: SparkSession, d: str) -> DataFrame:
     """Gold links; a NULL column means the table is used without a column."""
     b = fx_base(spark, d)
     return (b.where((F.col("question_id") + F.col("pk")) % 3 != 0)
-            .select("question_id", "tbl",
+            .select("question_id", "db_id", "tbl",
                     F.when(F.col("ln") == 7, F.lit(None).cast("string")).otherwise(F.col("col")).alias("col"))
             .distinct())
 
@@ -59,7 +82,7 @@ def fx_votes(spark: SparkSession, d: str) -> DataFrame:
            .when(s % 3 == 0, F.upper("col"))
            .otherwise(F.col("col")))
     keep = (F.col("pk") * F.col("voter") + F.col("question_id") + F.col("ln")) % 5 > 1
-    return b.where(keep).select("question_id", "voter", tbl.alias("tbl"), col.alias("col"))
+    return b.where(keep).select("question_id", "db_id", "voter", tbl.alias("tbl"), col.alias("col"))
 
 
 def fx_docs(spark: SparkSession, d: str) -> DataFrame:
@@ -125,7 +148,7 @@ def fx_mentions(spark: SparkSession, d: str) -> DataFrame:
     part = read_table(spark, d, "part").select("p_partkey", "p_brand", "p_name")
     alias = F.concat(F.lit("t"), F.col("l_linenumber").cast("string"))
     return (li.join(part, li.l_partkey == part.p_partkey)
-            .select(F.col("l_orderkey").alias("query_id"), alias.alias("alias"),
+            .select(F.col("l_orderkey").alias("query_id"), question_db("l_orderkey"), alias.alias("alias"),
                     F.col("p_brand").alias("tbl"),
                     F.when(F.col("l_linenumber") % 3 == 0, F.lit(None).cast("string"))
                     .otherwise(alias).alias("col_alias"),

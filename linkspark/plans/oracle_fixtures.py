@@ -7,14 +7,20 @@ named views and everything they depend on, in dependency order.
 from __future__ import annotations
 
 _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
-    "fx_catalog": ((), "SELECT DISTINCT p_brand AS tbl, p_name AS col FROM part"),
-    "fx_base": ((), """SELECT l_orderkey AS question_id, l_linenumber AS ln, l_partkey AS pk,
+    "fx_catalog": ((), """SELECT DISTINCT concat('db', CAST(k AS VARCHAR)) AS db_id,
+        CASE WHEN k = 1 THEN upper(p_brand) ELSE p_brand END AS tbl, p_name AS col
+        FROM part, (SELECT unnest([0, 1, 2]) AS k) u WHERE (CAST(right(p_brand, 1) AS INTEGER) + k) % 3 <> 0"""),
+    "fx_base": ((), """SELECT l_orderkey AS question_id, concat('db', CAST(l_orderkey % 3 AS VARCHAR)) AS db_id, l_linenumber AS ln, l_partkey AS pk,
         p_brand AS tbl, p_name AS col FROM lineitem JOIN part ON l_partkey = p_partkey"""),
-    "fx_qids": (("fx_base",), "SELECT DISTINCT question_id FROM fx_base"),
-    "fx_gold": (("fx_base",), """SELECT DISTINCT question_id, tbl,
+    "fx_qids": ((), "SELECT DISTINCT l_orderkey AS question_id FROM lineitem"),
+    "gold_ids": ((), "SELECT DISTINCT l_orderkey AS question_id FROM lineitem WHERE (l_orderkey + l_partkey) % 3 <> 0"),
+    "vote_ids": ((), """SELECT DISTINCT l_orderkey AS question_id, voter
+        FROM (SELECT *, unnest([1, 2, 3, 4]) AS voter FROM lineitem) l
+        WHERE (l_partkey * voter + l_orderkey + l_linenumber) % 5 > 1"""),
+    "fx_gold": (("fx_base",), """SELECT DISTINCT question_id, db_id, tbl,
         CASE WHEN ln = 7 THEN NULL ELSE col END AS col
         FROM fx_base WHERE (question_id + pk) % 3 <> 0"""),
-    "fx_votes": (("fx_base",), """SELECT question_id, voter,
+    "fx_votes": (("fx_base",), """SELECT question_id, db_id, voter,
         CASE WHEN (pk + voter) % 17 = 0 THEN 'Brand#99' WHEN (pk + voter) % 2 = 0 THEN upper(tbl) ELSE tbl END AS tbl,
         CASE WHEN ln = 7 THEN NULL WHEN (pk + voter) % 13 = 0 THEN 'no such column'
              WHEN (pk + voter) % 3 = 0 THEN upper(col) ELSE col END AS col
@@ -38,27 +44,27 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""),
     "fx_runs": ((), """SELECT user_id % 10 AS experiment, user_id AS run, event_type AS metric,
         event_id AS step, value FROM events"""),
-    "fx_mentions": ((), """SELECT l_orderkey AS query_id, concat('t', CAST(l_linenumber AS VARCHAR(10))) AS alias,
+    "fx_mentions": ((), """SELECT l_orderkey AS query_id, concat('db', CAST(l_orderkey % 3 AS VARCHAR)) AS db_id, concat('t', CAST(l_linenumber AS VARCHAR(10))) AS alias,
           p_brand AS tbl,
           CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE concat('t', CAST(l_linenumber AS VARCHAR(10))) END AS col_alias,
           CASE WHEN l_linenumber = 7 THEN '*' ELSE lower(p_name) END AS col
         FROM lineitem JOIN part ON l_partkey = p_partkey"""),
     # catalog lookups (one spelling per lower-cased key)
-    "cat_t": (("fx_catalog",), "SELECT lower(tbl) AS tlc, min(tbl) AS tbl_c FROM fx_catalog GROUP BY lower(tbl)"),
-    "cat_c": (("fx_catalog",), """SELECT lower(tbl) AS tlc, lower(col) AS clc, min(col) AS col_c FROM fx_catalog
-        WHERE col IS NOT NULL AND col <> '' GROUP BY lower(tbl), lower(col)"""),
+    "cat_t": (("fx_catalog",), "SELECT db_id, lower(tbl) AS tlc, min(tbl) AS tbl_c FROM fx_catalog GROUP BY db_id, lower(tbl)"),
+    "cat_c": (("fx_catalog",), """SELECT db_id, lower(tbl) AS tlc, lower(col) AS clc, min(col) AS col_c FROM fx_catalog
+        WHERE col IS NOT NULL AND col <> '' GROUP BY db_id, lower(tbl), lower(col)"""),
     # canonical normal form of the votes and of the gold
     "canon_raw": (("fx_votes", "cat_t", "cat_c"), """SELECT v.question_id, v.voter, t.tbl_c, c.col_c
-        FROM fx_votes v JOIN cat_t t ON lower(v.tbl) = t.tlc
-        LEFT JOIN cat_c c ON c.tlc = t.tlc AND c.clc = lower(v.col)"""),
+        FROM fx_votes v JOIN cat_t t ON v.db_id = t.db_id AND lower(v.tbl) = t.tlc
+        LEFT JOIN cat_c c ON c.db_id = t.db_id AND c.tlc = t.tlc AND c.clc = lower(v.col)"""),
     "canon": (("canon_raw",), """SELECT DISTINCT question_id, voter, lower(tbl_c) AS tlc, '' AS clc,
           tbl_c AS tbl, CAST(NULL AS VARCHAR) AS col FROM canon_raw
         UNION
         SELECT DISTINCT question_id, voter, lower(tbl_c) AS tlc, lower(col_c) AS clc, tbl_c AS tbl, col_c AS col
         FROM canon_raw WHERE col_c IS NOT NULL"""),
     "gold_raw": (("fx_gold", "cat_t", "cat_c"), """SELECT g.question_id, t.tbl_c, c.col_c
-        FROM fx_gold g JOIN cat_t t ON lower(g.tbl) = t.tlc
-        LEFT JOIN cat_c c ON c.tlc = t.tlc AND c.clc = lower(g.col)"""),
+        FROM fx_gold g JOIN cat_t t ON g.db_id = t.db_id AND lower(g.tbl) = t.tlc
+        LEFT JOIN cat_c c ON c.db_id = t.db_id AND c.tlc = t.tlc AND c.clc = lower(g.col)"""),
     "gold_n": (("gold_raw",), """SELECT DISTINCT question_id, lower(tbl_c) AS tlc, '' AS clc,
           tbl_c AS tbl, CAST(NULL AS VARCHAR) AS col FROM gold_raw
         UNION

@@ -19,6 +19,8 @@ from ..operators import retrieve as RT
 from ..sources import catalog as CAT
 from ..sources.tables import read_table
 from .oracle_fixtures import define, with_views
+from .q_retrieval import _bm25_sql
+from .q_scoring import R
 from .registry import query
 
 THRESHOLD_COLS = 100   # schemas above this many columns are filtered to the top tables
@@ -164,6 +166,28 @@ define("ex_base", (), """SELECT l_orderkey * 100 + CAST(regexp_extract(p_brand,
     FROM lineitem JOIN part ON l_partkey = p_partkey""")
 define("ex_qs", ("ex_base",), """SELECT question_id, db_id, string_agg(col, ' ' ORDER BY ln, col) AS question
     FROM ex_base GROUP BY question_id, db_id""")
+# Documents are the (table, column) pairs of a database, scored for that database's questions.
+define("pr_docs", ("cat_cols",), "SELECT db_id, tbl || '.' || col AS pair, tbl || ' ' || col AS text FROM cat_cols")
+define("pr_dt", ("pr_docs",), f"SELECT db_id, pair, {tokenize_sql('text')} AS toks FROM pr_docs")
+define("pr_st", ("pr_dt",), "SELECT db_id, count(*) AS n_docs, avg(len(toks)) AS avgdl FROM pr_dt GROUP BY db_id")
+define("pr_tf", ("pr_dt",), """SELECT db_id, pair, term, count(*) AS f, any_value(dl) AS dl
+    FROM (SELECT db_id, pair, greatest(1, len(toks)) AS dl, unnest(toks) AS term FROM pr_dt) x GROUP BY db_id, pair, term""")
+define("pr_df", ("pr_tf",), "SELECT db_id, term, count(*) AS df FROM pr_tf GROUP BY db_id, term")
+define("pr_qt", ("ex_qs",), f"""SELECT question_id, db_id, term, count(*) AS qf
+    FROM (SELECT question_id, db_id, unnest({tokenize_sql('question')}) AS term FROM ex_qs) x
+    GROUP BY question_id, db_id, term""")
+define("pr_sc", ("pr_qt", "pr_tf", "pr_df", "pr_st"), _bm25_sql("pr_qt", "pr_tf", "pr_df", "pr_st", "pair"))
+
+
+@query("bm25_pairs", with_views(f"SELECT question_id, db_id, pair, round(score, {R}) AS score FROM pr_sc", "pr_sc"))
+def q_bm25_pairs(spark, d):
+    """Every positive score of a question's pairs (ranking them is E1)."""
+    cols, _ = catalog(spark, d)
+    q, _ = examples(spark, d)
+    docs = cols.select("db_id", F.concat_ws(".", "tbl", "col").alias("pair"), F.concat_ws(" ", "tbl", "col").alias("text"))
+    return RT.bm25(q, docs, doc="pair").select("question_id", "db_id", "pair", F.round("score", R).alias("score"))
+
+
 define("tb_docs", ("cat_cols",), """SELECT db_id, table_idx, tbl || ' ' || string_agg(col, ' ' ORDER BY column_idx) AS text
     FROM cat_cols GROUP BY db_id, table_idx, tbl""")
 define("tb_dt", ("tb_docs",), f"SELECT db_id, table_idx, {tokenize_sql('text')} AS toks FROM tb_docs")
@@ -265,8 +289,7 @@ def q_build_prompt(spark, d):
 def gold_targets(spark, d):
     cols, _ = catalog(spark, d)
     _, gold = examples(spark, d)
-    cat = cols.select("tbl", "col").distinct()
-    links = C.canonicalize(gold.select("question_id", "tbl", "col"), cat)
+    links = C.canonicalize(gold.select("question_id", "db_id", "tbl", "col"), cols.select("db_id", "tbl", "col"))
     return RD.canonical_target(links)
 
 

@@ -12,7 +12,7 @@ from .oracle_fixtures import define, with_views
 from .q_scoring import R, ensemble
 from .registry import query
 
-CAP = 5          # kept candidates per schema
+CAP = 5          # the limit asked for by the query cap_per_group; the others have none
 FEWSHOT_K = 5
 GAP = 700        # fixed id gap above the existing examples
 
@@ -38,14 +38,14 @@ define("cu_audit", ("cu_cand", "cu_first", "cu_seen"), """SELECT c.db_id, c.pos,
       WHEN f.first_ok IS NOT NULL AND c.pos > f.first_ok THEN 'duplicate_question'
       WHEN c.parse_failed THEN 'parse_error' WHEN c.n_tables <= 0 THEN 'zero_recognized_tables' ELSE 'ok' END AS status
     FROM cu_cand c LEFT JOIN cu_first f ON c.norm = f.norm""")
-define("cu_capped", ("cu_audit",), f"""SELECT a.db_id, a.pos, a.question, a.status FROM cu_audit a LEFT JOIN (
+define("cu_capped", ("cu_audit",), f"""SELECT a.db_id, a.pos, a.question,
+      CASE WHEN l.k = {CAP} AND a.pos > l.last THEN 'over_limit' ELSE a.status END AS status FROM cu_audit a LEFT JOIN (
       SELECT db_id, max(pos) AS last, count(*) AS k FROM (
         SELECT db_id, pos, row_number() OVER (PARTITION BY db_id ORDER BY pos) AS r FROM cu_audit WHERE status = 'ok') x
-      WHERE r <= {CAP} GROUP BY db_id) l ON a.db_id = l.db_id
-    WHERE l.k IS NULL OR l.k < {CAP} OR a.pos <= l.last""")
-define("cu_new", ("cu_capped", "fx_cand"), f"""SELECT pos, db_id, question,
+      WHERE r <= {CAP} GROUP BY db_id) l ON a.db_id = l.db_id""")
+define("cu_new", ("cu_audit", "fx_cand"), f"""SELECT pos, db_id, question,
       (SELECT max(pos) FROM fx_cand WHERE pos % 10 = 0) + {GAP} + row_number() OVER (ORDER BY pos) - 1 AS question_id
-    FROM cu_capped WHERE status = 'ok'""")
+    FROM cu_audit WHERE status = 'ok'""")
 
 
 def audited(spark, d):
@@ -59,7 +59,7 @@ def capped(spark, d):
 
 def new_examples(spark, d):
     existing, _ = _split(spark, d)
-    kept = capped(spark, d).where(F.col("status") == CU.STATUS_OK)
+    kept = audited(spark, d).where(F.col("status") == CU.STATUS_OK)
     return CU.assign_ids(kept, existing.select(F.col("pos").alias("question_id")), GAP)
 
 
@@ -87,9 +87,9 @@ def q_merge_train(spark, d):
     return old.unionByName(new_examples(spark, d).select("question_id", "db_id", "question"))
 
 
-@query("drop_reasons", with_views("SELECT status, count(*) AS n FROM cu_capped GROUP BY status", "cu_capped"))
+@query("drop_reasons", with_views("SELECT status, count(*) AS n FROM cu_audit GROUP BY status", "cu_audit"))
 def q_drop_reasons(spark, d):
-    return CU.status_histogram(capped(spark, d))
+    return CU.status_histogram(audited(spark, d))
 
 
 define("fs_ex", ("fx_cand",), """SELECT db_id, regexp_replace(db_id, '[0-9]+$', '') AS family, pos,
@@ -98,17 +98,19 @@ define("fs_ex", ("fx_cand",), """SELECT db_id, regexp_replace(db_id, '[0-9]+$',
 
 @query("fewshot_sample", with_views(f"""
     SELECT db_id, pos, slot FROM fs_own WHERE slot <= {FEWSHOT_K}
-    UNION ALL SELECT db_id, pos, slot FROM fs_sib WHERE slot <= {FEWSHOT_K}""", "fs_ex", extra={
+    UNION ALL SELECT db_id, pos, slot FROM fs_sib WHERE slot <= {FEWSHOT_K}""", "fs_ex", "fx_cand", extra={
     "fs_own": "SELECT db_id, family, pos, row_number() OVER (PARTITION BY db_id ORDER BY h, pos) AS slot FROM fs_ex",
-    "fs_cnt": f"""SELECT db_id, family, count(*) FILTER (WHERE slot <= {FEWSHOT_K}) AS n_own
-                  FROM fs_own GROUP BY db_id, family""",
+    "fs_cnt": f"""SELECT g.db_id, g.family, count(o.pos) FILTER (WHERE o.slot <= {FEWSHOT_K}) AS n_own
+                  FROM (SELECT DISTINCT db_id, regexp_replace(db_id, '[0-9]+$', '') AS family FROM fx_cand) g
+                  LEFT JOIN fs_own o ON o.db_id = g.db_id GROUP BY g.db_id, g.family""",
     "fs_sib": f"""SELECT c.db_id, e.pos, c.n_own + row_number() OVER (PARTITION BY c.db_id ORDER BY e.h, e.pos) AS slot
                   FROM fs_cnt c JOIN fs_ex e ON e.family = c.family AND e.db_id <> c.db_id
                   WHERE c.n_own < {FEWSHOT_K}"""}))
 def q_fewshot_sample(spark, d):
     existing, _ = _split(spark, d)
-    ex = existing.select("db_id", F.regexp_replace("db_id", "[0-9]+$", "").alias("family"), "pos")
-    return CU.fewshot_sample(ex, FEWSHOT_K).select("db_id", "pos", F.col("slot").cast("long").alias("slot"))
+    family = F.regexp_replace("db_id", "[0-9]+$", "").alias("family")
+    ex = existing.select("db_id", family, "pos")
+    return CU.fewshot_sample(ex, FEWSHOT_K, targets=fx.fx_cand(spark, d).select("db_id", family)).select("db_id", "pos", F.col("slot").cast("long").alias("slot"))
 
 
 # Length profile of the documents as training examples (chars, chars/4 tokens, share over a cap).
@@ -150,27 +152,26 @@ def q_rationale_filter(spark, d):
 
 
 # Predicted columns = the majority vote; question text = the order's part names.
-define("ex_q", ("order_q",), f"""SELECT question_id, list_distinct(list_filter({tokenize_sql('question')},
+define("ex_q", ("order_q",), f"""SELECT question_id, db_id, list_distinct(list_filter({tokenize_sql('question')},
       lambda t: length(t) >= 3 AND NOT list_contains(STOPWORDS_LIST, t))) AS qt FROM order_q""")
-define("ex_cols", ("fx_catalog",), f"""SELECT lower(tbl) AS tlc, lower(col) AS clc, min(tbl) AS tbl, min(col) AS col,
+define("ex_cols", ("fx_catalog",), f"""SELECT db_id, lower(tbl) AS tlc, lower(col) AS clc, min(tbl) AS tbl, min(col) AS col,
       any_value(list_distinct(list_filter({tokenize_sql('col')},
         lambda t: length(t) >= 3 AND NOT list_contains(STOPWORDS_LIST, t)))) AS ct
-    FROM fx_catalog GROUP BY lower(tbl), lower(col)""")
+    FROM fx_catalog GROUP BY db_id, lower(tbl), lower(col)""")
 define("ex_pred", ("votes",), "SELECT question_id, tlc, clc, tbl, col FROM votes WHERE votes >= 2")
 
 
 @query("expand_columns", with_views("""
     SELECT question_id, tbl, col FROM ex_pred
     UNION
-    SELECT p.question_id, c.tbl, c.col FROM ex_pred p JOIN ex_cols c ON p.tlc = c.tlc AND p.clc = ''
-    JOIN ex_q q ON q.question_id = p.question_id
+    SELECT p.question_id, c.tbl, c.col FROM ex_pred p JOIN ex_q q ON q.question_id = p.question_id
+    JOIN ex_cols c ON c.db_id = q.db_id AND p.tlc = c.tlc AND p.clc = ''
     WHERE len(c.ct) >= 2 AND len(q.qt) > 0 AND list_has_all(q.qt, c.ct)""", "ex_pred", "ex_cols", "ex_q")
     .replace("STOPWORDS_LIST", __import__("linkspark.functions.text", fromlist=["x"]).stopwords_sql()))
 def q_expand_columns(spark, d):
-    from ..operators.canon import catalog_tables  # noqa: F401
     from .q_retrieval import order_questions
     cat = fx.fx_catalog(spark, d)
-    cols = (cat.groupBy(F.lower("tbl").alias("tlc"), F.lower("col").alias("clc"))
+    cols = (cat.groupBy("db_id", F.lower("tbl").alias("tlc"), F.lower("col").alias("clc"))
             .agg(F.min("tbl").alias("tbl"), F.min("col").alias("col")))
     out = CU.expand_columns(ensemble(spark, d, "maj2"), order_questions(spark, d), cols)
     return out.select("question_id", "tbl", "col")

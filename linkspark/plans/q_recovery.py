@@ -46,9 +46,9 @@ def q_recover_array(spark, d):
 
 # Stage A = the tables voter 1 named, stage B = the columns voter 2 named for them.
 define("ts_a", ("fx_votes", "cat_t"), """SELECT DISTINCT v.question_id, t.tlc, t.tbl_c
-    FROM fx_votes v JOIN cat_t t ON lower(v.tbl) = t.tlc WHERE v.voter = 1""")
+    FROM fx_votes v JOIN cat_t t ON v.db_id = t.db_id AND lower(v.tbl) = t.tlc WHERE v.voter = 1""")
 define("ts_b", ("fx_votes", "cat_c"), """SELECT DISTINCT v.question_id, c.tlc, c.col_c
-    FROM fx_votes v JOIN cat_c c ON lower(v.tbl) = c.tlc AND lower(v.col) = c.clc WHERE v.voter = 2""")
+    FROM fx_votes v JOIN cat_c c ON v.db_id = c.db_id AND lower(v.tbl) = c.tlc AND lower(v.col) = c.clc WHERE v.voter = 2""")
 
 
 @query("two_stage_merge", with_views("""
@@ -59,32 +59,33 @@ define("ts_b", ("fx_votes", "cat_c"), """SELECT DISTINCT v.question_id, c.tlc, c
 def q_two_stage_merge(spark, d):
     from ..operators.canon import two_stage_merge
     v = fx.fx_votes(spark, d)
-    stage_a = v.where(F.col("voter") == 1).select("question_id", "tbl")
-    stage_b = v.where(F.col("voter") == 2).select("question_id", "tbl", "col")
+    stage_a = v.where(F.col("voter") == 1).select("question_id", "db_id", "tbl")
+    stage_b = v.where(F.col("voter") == 2).select("question_id", "db_id", "tbl", "col")
     out = two_stage_merge(stage_a, stage_b, fx.fx_catalog(spark, d))
     return out.select("question_id", "tbl", "col")
 
 
 # Resolve extracted SQL mentions (alias map, qualified / bare columns, stars).
-define("mn_alias", ("fx_mentions",), "SELECT DISTINCT query_id, lower(alias) AS alias, lower(tbl) AS tlc FROM fx_mentions")
-define("mn_tables", ("fx_mentions", "cat_t"), """SELECT DISTINCT m.query_id, t.tlc, t.tbl_c FROM fx_mentions m
-    JOIN cat_t t ON lower(m.tbl) = t.tlc""")
-define("mn_qual", ("fx_mentions", "mn_alias", "cat_c"), """SELECT DISTINCT m.query_id, a.tlc, c.clc
+define("mn_alias", ("fx_mentions",), """SELECT query_id, lower(alias) AS alias, lower(tbl) AS tlc FROM fx_mentions
+    UNION SELECT query_id, lower(tbl), lower(tbl) FROM fx_mentions""")
+define("mn_tables", ("fx_mentions", "cat_t"), """SELECT DISTINCT m.query_id, m.db_id, t.tlc, t.tbl_c FROM fx_mentions m
+    JOIN cat_t t ON m.db_id = t.db_id AND lower(m.tbl) = t.tlc""")
+define("mn_qual", ("fx_mentions", "mn_alias", "cat_c"), """SELECT DISTINCT m.query_id, m.db_id, a.tlc, c.clc
     FROM fx_mentions m JOIN mn_alias a ON m.query_id = a.query_id AND lower(m.col_alias) = a.alias
-    JOIN cat_c c ON c.tlc = a.tlc AND c.clc = lower(m.col)
+    JOIN cat_c c ON c.db_id = m.db_id AND c.tlc = a.tlc AND c.clc = lower(m.col)
     WHERE m.col_alias IS NOT NULL AND m.col <> '*'""")
-define("mn_bare", ("fx_mentions", "mn_tables", "cat_c"), """SELECT query_id, clc, min(tlc) AS tlc FROM (
-      SELECT DISTINCT m.query_id, c.clc, c.tlc FROM fx_mentions m JOIN cat_c c ON c.clc = lower(m.col)
-      JOIN mn_tables s ON s.query_id = m.query_id AND s.tlc = c.tlc
-      WHERE m.col_alias IS NULL AND m.col <> '*') o GROUP BY query_id, clc HAVING count(*) = 1""")
+define("mn_bare", ("fx_mentions", "mn_tables", "cat_c"), """SELECT query_id, db_id, clc, min(tlc) AS tlc FROM (
+      SELECT DISTINCT m.query_id, m.db_id, c.clc, c.tlc FROM fx_mentions m JOIN mn_tables s ON s.query_id = m.query_id
+      JOIN cat_c c ON c.db_id = s.db_id AND c.tlc = s.tlc AND c.clc = lower(m.col)
+      WHERE m.col_alias IS NULL AND m.col <> '*') o GROUP BY query_id, db_id, clc HAVING count(*) = 1""")
 
 
 @query("resolve_mentions", with_views("""
     SELECT query_id, tbl_c AS tbl, CAST(NULL AS VARCHAR) AS col FROM mn_tables
     UNION
-    SELECT x.query_id, t.tbl_c, c.col_c FROM (SELECT query_id, tlc, clc FROM mn_qual
-                                             UNION SELECT query_id, tlc, clc FROM mn_bare) x
-    JOIN cat_t t ON t.tlc = x.tlc JOIN cat_c c ON c.tlc = x.tlc AND c.clc = x.clc""",
+    SELECT x.query_id, t.tbl_c, c.col_c FROM (SELECT query_id, db_id, tlc, clc FROM mn_qual
+                                             UNION SELECT query_id, db_id, tlc, clc FROM mn_bare) x
+    JOIN cat_t t ON t.db_id = x.db_id AND t.tlc = x.tlc JOIN cat_c c ON c.db_id = x.db_id AND c.tlc = x.tlc AND c.clc = x.clc""",
     "mn_tables", "mn_qual", "mn_bare", "cat_t", "cat_c"))
 def q_resolve_mentions(spark, d):
     m = fx.fx_mentions(spark, d)

@@ -70,43 +70,15 @@ def q_bm25_topk(spark, d):
                       F.round("score", R).alias("score"))
 
 
-# Documents are (table, column) pairs of the catalog ("table column"), questions are
-# orders whose text is the names of the parts they contain.
-define("pair_docs", ("fx_catalog",), "SELECT 'catalog' AS db_id, tbl || '.' || col AS pair, tbl || ' ' || col AS text FROM fx_catalog")
-define("order_q", ("fx_base",), """SELECT question_id, 'catalog' AS db_id, string_agg(col, ' ' ORDER BY ln, col) AS question
-    FROM fx_base GROUP BY question_id""")
-define("pr_dt", ("pair_docs",), f"SELECT db_id, pair, {tokenize_sql('text')} AS toks FROM pair_docs")
-define("pr_st", ("pr_dt",), "SELECT db_id, count(*) AS n_docs, avg(len(toks)) AS avgdl FROM pr_dt GROUP BY db_id")
-define("pr_tf", ("pr_dt",), """SELECT db_id, pair, term, count(*) AS f, any_value(dl) AS dl
-    FROM (SELECT db_id, pair, greatest(1, len(toks)) AS dl, unnest(toks) AS term FROM pr_dt) x GROUP BY db_id, pair, term""")
-define("pr_df", ("pr_tf",), "SELECT db_id, term, count(*) AS df FROM pr_tf GROUP BY db_id, term")
-define("pr_qt", ("order_q",), f"""SELECT question_id, db_id, term, count(*) AS qf
-    FROM (SELECT question_id, db_id, unnest({tokenize_sql('question')}) AS term FROM order_q) x
-    GROUP BY question_id, db_id, term""")
-define("pr_sc", ("pr_qt", "pr_tf", "pr_df", "pr_st"), _bm25_sql("pr_qt", "pr_tf", "pr_df", "pr_st", "pair"))
-
+define("order_q", ("fx_base",), """SELECT question_id, db_id, string_agg(col, ' ' ORDER BY ln, col) AS question
+    FROM fx_base GROUP BY question_id, db_id""")
 
 def order_questions(spark: SparkSession, d: str) -> DataFrame:
     """One question per order: its part names in line order (bounded: lines of one order)."""
     b = fx.fx_base(spark, d)
-    return b.groupBy("question_id").agg(
+    return b.groupBy("question_id", "db_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ln", "col"))), lambda s: s["col"]), " ")
-        .alias("question")).withColumn("db_id", F.lit("catalog"))
-
-
-@query("bm25_pairs", with_views(f"""SELECT question_id, pair, rank, round(score, {R}) AS score FROM (
-      SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY round(score, 9) DESC, pair) AS rank FROM pr_sc) r
-    WHERE rank <= {TOP_K}""", "pr_sc"))
-def q_bm25_pairs(spark, d):
-    """Top-k (table, column) pairs per question by BM25 (the ranking is the feature)."""
-    from pyspark.sql import Window
-    cat = fx.fx_catalog(spark, d)
-    docs = cat.select(F.lit("catalog").alias("db_id"), F.concat_ws(".", "tbl", "col").alias("pair"),
-                      F.concat_ws(" ", "tbl", "col").alias("text"))
-    s = RT.bm25(order_questions(spark, d), docs, doc="pair")
-    w = Window.partitionBy("question_id").orderBy(F.desc(F.round("score", RT.TIE_DIGITS)), F.asc("pair"))
-    top = s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= TOP_K)
-    return top.select("question_id", "pair", F.col("rank").cast("long").alias("rank"), F.round("score", R).alias("score"))
+        .alias("question"))
 
 
 # D3: every vector is a query against the vectors of its own corpus (label).
@@ -149,7 +121,7 @@ def q_recall_at_k(spark, d):
 @query("force_include", with_views("""
     SELECT question_id, tlc FROM votes WHERE votes >= 2 AND clc = ''
     UNION
-    SELECT g.question_id, lower(g.tbl) FROM fx_gold g WHERE lower(g.tbl) IN (SELECT tlc FROM cat_t)""",
+    SELECT g.question_id, lower(g.tbl) FROM fx_gold g JOIN cat_t t ON t.db_id = g.db_id AND t.tlc = lower(g.tbl)""",
     "votes", "fx_gold", "cat_t"))
 def q_force_include(spark, d):
     kept = ensemble(spark, d, "maj2").where(F.col("clc") == "")

@@ -26,7 +26,7 @@ def canon_gold(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ensemble(spark: SparkSession, d: str, mode: str, k: int = 2) -> DataFrame:
-    return V.ensemble(canon_votes(spark, d), mode=mode, k=k)
+    return V.ensemble(canon_votes(spark, d), mode=mode, k=k, lead_voter=fx.VOTERS[0])
 
 
 def _links_out(df: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def q_canonicalize(spark, d):
 @query("vote_counts", with_views(
     "SELECT question_id, tbl, col, votes, lead FROM votes", "votes"))
 def q_vote_counts(spark, d):
-    return V.vote_counts(canon_votes(spark, d)).select(
+    return V.vote_counts(canon_votes(spark, d), lead_voter=fx.VOTERS[0]).select(
         "question_id", "tbl", "col", F.col("votes").cast("long").alias("votes"), "lead")
 
 
@@ -69,29 +69,11 @@ def q_vote_intersection(spark, d):
     return _links_out(ensemble(spark, d, "kofn", k=len(fx.VOTERS)))
 
 
-# Self-consistency (D7): the voters play K sampled answers; the union is taken on the
-# raw (not canonicalised) answers with the first sample's spelling winning (ties inside
-# one sample: the smallest spelling, since long rows carry no list position).
-@query("self_consistency", with_views("""
-    SELECT question_id, min({'v': voter, 's': tbl}).s AS tbl, min({'v': voter, 's': col}).s AS col
-    FROM (SELECT question_id, voter, tbl, lower(tbl) AS tlc, NULL AS col, '' AS clc FROM fx_votes
-          UNION ALL
-          SELECT question_id, voter, tbl, lower(tbl), col, lower(col) FROM fx_votes WHERE col IS NOT NULL) s
-    GROUP BY question_id, tlc, clc""", "fx_votes"))
+# Self-consistency (D7): the voters play K sampled answers; each is canonicalised against its
+# question's database before the union, so invented identifiers do not survive.
+@query("self_consistency", with_views("SELECT question_id, tbl, col, votes AS n_samples FROM votes", "votes"))
 def q_self_consistency(spark, d):
-    v = fx.fx_votes(spark, d)
-    null = F.lit(None).cast("string")
-    rows = F.when(F.col("col").isNull(), F.array(F.struct(F.col("tbl").alias("t"), null.alias("c")))) \
-        .otherwise(F.array(F.struct(F.col("tbl").alias("t"), null.alias("c")),
-                           F.struct(F.col("tbl").alias("t"), F.col("col").alias("c"))))
-    s = v.select("question_id", "voter", F.explode(rows).alias("r")).select(
-        "question_id", "voter", F.col("r.t").alias("tbl"), F.col("r.c").alias("col"),
-        F.lower("r.t").alias("tlc"), F.coalesce(F.lower("r.c"), F.lit("")).alias("clc"))
-    # first-seen spelling: earliest sample, then the smallest spelling within that sample
-    return s.groupBy("question_id", "tlc", "clc").agg(
-        F.min(F.struct("voter", "tbl"))["tbl"].alias("tbl"),
-        F.min(F.struct("voter", "col"))["col"].alias("col")) \
-        .select("question_id", "tbl", "col")
+    return ensemble(spark, d, "union").select("question_id", "tbl", "col", F.col("votes").alias("n_samples"))
 
 
 # ---------------------------------------------------------------- scoring
@@ -122,14 +104,16 @@ def _prf_sql(tp: str, npred: str, ngold: str, suffix: str) -> str:
 
 
 define("counts", ("flags",), _counts_sql("flags"))
-define("per_q", ("counts", "fx_qids"), f"""SELECT question_id, {_prf_sql('tp_t', 'n_pred_t', 'n_gold_t', 't')},
-      {_prf_sql('tp_c', 'n_pred_c', 'n_gold_c', 'c')}, n_pred_t = 0 AS missing_prediction
-    FROM counts WHERE n_gold_t + n_gold_c > 0 AND question_id IN (SELECT question_id FROM fx_qids)""")
+_COUNTS = ("n_pred_t", "n_gold_t", "tp_t", "n_pred_c", "n_gold_c", "tp_c")
+_ZEROS = ", ".join(f"coalesce(c.{x}, 0) AS {x}" for x in _COUNTS)
+define("per_q", ("counts", "gold_ids", "vote_ids"), f"""SELECT question_id, {_prf_sql('tp_t', 'n_pred_t', 'n_gold_t', 't')},
+      {_prf_sql('tp_c', 'n_pred_c', 'n_gold_c', 'c')}, question_id NOT IN (SELECT question_id FROM vote_ids) AS missing_prediction
+    FROM (SELECT g.question_id, {_ZEROS} FROM gold_ids g LEFT JOIN counts c ON c.question_id = g.question_id) s""")
 
 
 def per_question(spark: SparkSession, d: str) -> DataFrame:
     return E.per_question_scores(ensemble(spark, d, "maj2"), canon_gold(spark, d),
-                                 fx.fx_questions_ids(spark, d))
+                                 fx.fx_gold_ids(spark, d), predicted=fx.fx_vote_ids(spark, d))
 
 
 @query("prf_tables", with_views(
@@ -161,35 +145,41 @@ def q_leaderboard(spark, d):
     return E.leaderboard(per_question(spark, d), R)
 
 
-# eval.py semantics on one raw predictor: hallucinations kept as markers (C2) and the
-# question set drives the loop (C3): no prediction = empty, no gold = skipped.
+# The grader's semantics on every raw predictor: hallucinations kept as markers (C2) and the
+# question set drives the scoring (C3): no prediction = empty, no gold record = skipped.
 define("graded_raw", ("fx_votes", "cat_t", "cat_c"), """SELECT v.question_id, v.tbl AS tbl_in,
       t.tbl_c IS NULL AS bad_table, v.col IS NOT NULL AND (t.tbl_c IS NULL OR c.col_c IS NULL) AS bad_column,
       CASE WHEN t.tbl_c IS NOT NULL THEN t.tbl_c ELSE concat('__hallu__:', lower(v.tbl)) END AS tbl_g,
       CASE WHEN v.col IS NULL THEN NULL WHEN t.tbl_c IS NOT NULL AND c.col_c IS NOT NULL THEN c.col_c
            ELSE concat('__hallu__:', lower(v.col)) END AS col_g, v.voter
-    FROM fx_votes v LEFT JOIN cat_t t ON lower(v.tbl) = t.tlc
-    LEFT JOIN cat_c c ON c.tlc = lower(v.tbl) AND c.clc = lower(v.col)""")
-define("graded_v1", ("graded_raw",), """SELECT DISTINCT question_id, lower(tbl_g) AS tlc, '' AS clc FROM graded_raw WHERE voter = 1
-    UNION SELECT DISTINCT question_id, lower(tbl_g), lower(col_g) FROM graded_raw WHERE voter = 1 AND col_g IS NOT NULL""")
-define("flags_v1", ("graded_v1", "gold_n"), """SELECT coalesce(p.question_id, g.question_id) AS question_id,
+    FROM fx_votes v LEFT JOIN cat_t t ON v.db_id = t.db_id AND lower(v.tbl) = t.tlc
+    LEFT JOIN cat_c c ON c.db_id = v.db_id AND c.tlc = lower(v.tbl) AND c.clc = lower(v.col)""")
+define("graded_n", ("graded_raw",), """SELECT DISTINCT question_id, voter, lower(tbl_g) AS tlc, '' AS clc FROM graded_raw
+    UNION SELECT DISTINCT question_id, voter, lower(tbl_g), lower(col_g) FROM graded_raw WHERE col_g IS NOT NULL""")
+define("gold_v", ("gold_n",), "SELECT *, unnest([1, 2, 3, 4]) AS voter FROM gold_n")
+define("flags_v", ("graded_n", "gold_v"), """SELECT coalesce(p.question_id, g.question_id) AS question_id, coalesce(p.voter, g.voter) AS voter,
       coalesce(p.clc, g.clc) AS clc, p.question_id IS NOT NULL AS in_pred, g.question_id IS NOT NULL AS in_gold
-    FROM graded_v1 p FULL OUTER JOIN gold_n g ON p.question_id = g.question_id AND p.tlc = g.tlc AND p.clc = g.clc""")
-define("counts_v1", ("flags_v1",), _counts_sql("flags_v1"))
+    FROM graded_n p FULL OUTER JOIN gold_v g
+      ON p.question_id = g.question_id AND p.voter = g.voter AND p.tlc = g.tlc AND p.clc = g.clc""")
+define("counts_v", ("flags_v",), _counts_sql("flags_v").replace("question_id", "question_id, voter"))
 
 
 @query("score_questions", with_views(f"""
-    SELECT question_id, round(p_t, {R}) AS p_t, round(r_t, {R}) AS r_t, round(f1_t, {R}) AS f1_t,
+    SELECT question_id, voter, round(p_t, {R}) AS p_t, round(r_t, {R}) AS r_t, round(f1_t, {R}) AS f1_t,
       round(p_c, {R}) AS p_c, round(r_c, {R}) AS r_c, round(f1_c, {R}) AS f1_c, missing_prediction
-    FROM (SELECT question_id, {_prf_sql('tp_t', 'n_pred_t', 'n_gold_t', 't')},
-            {_prf_sql('tp_c', 'n_pred_c', 'n_gold_c', 'c')}, n_pred_t = 0 AS missing_prediction
-          FROM counts_v1 WHERE n_gold_t + n_gold_c > 0 AND question_id IN (SELECT question_id FROM fx_qids)) s""",
-    "counts_v1", "fx_qids"))
+    FROM (SELECT question_id, voter, {_prf_sql('tp_t', 'n_pred_t', 'n_gold_t', 't')},
+            {_prf_sql('tp_c', 'n_pred_c', 'n_gold_c', 'c')}, missing_prediction
+          FROM (SELECT g.question_id, g.voter, {_ZEROS}, i.question_id IS NULL AS missing_prediction
+                FROM (SELECT question_id, unnest([1, 2, 3, 4]) AS voter FROM gold_ids) g
+                LEFT JOIN counts_v c ON c.question_id = g.question_id AND c.voter = g.voter
+                LEFT JOIN vote_ids i ON i.question_id = g.question_id AND i.voter = g.voter) x) s""",
+    "counts_v", "gold_ids", "vote_ids"))
 def q_score_questions(spark, d):
-    v1 = fx.fx_votes(spark, d).where(F.col("voter") == 1)
-    pred = C.graded_normal_form(C.graded_links(v1, fx.fx_catalog(spark, d)))
-    pq = E.per_question_scores(pred, canon_gold(spark, d), fx.fx_questions_ids(spark, d))
-    return pq.select("question_id", *[F.round(c, R).alias(c) for c in E.METRICS], "missing_prediction")
+    keys = ["question_id", "voter"]
+    each = lambda df: df.withColumn("voter", F.explode(F.array(*[F.lit(v) for v in fx.VOTERS])))
+    pred = C.graded_normal_form(C.graded_links(fx.fx_votes(spark, d), fx.fx_catalog(spark, d), keys), keys)
+    pq = E.per_question_scores(pred, each(canon_gold(spark, d)), each(fx.fx_gold_ids(spark, d)), keys, fx.fx_vote_ids(spark, d))
+    return pq.select(*keys, *[F.round(c, R).alias(c) for c in E.METRICS], "missing_prediction")
 
 
 @query("hallucination_tally", with_views("""
@@ -229,36 +219,27 @@ def q_prediction_diff(spark, d):
            (SELECT CAST(count(*) AS BIGINT) FROM (SELECT question_id, tlc, clc FROM gold_n
               EXCEPT SELECT question_id, tlc, clc FROM pred_maj2) x) AS fn""", "pred_maj2", "gold_n"))
 def q_set_ops_check(spark, d):
-    """tp / fp / fn over all link rows from the full-outer flags; the set-operator
-    form (INTERSECT / EXCEPT) is asserted equal in the tests."""
+    """tp / fp / fn over all link rows from the full-outer flags; the oracle uses the
+    set operators."""
     pred = ensemble(spark, d, "maj2").select("question_id", "tlc", "clc")
     gold = canon_gold(spark, d).select("question_id", "tlc", "clc")
     f = E.prediction_diff(pred, gold)
     return f.select(F.col("both").alias("tp"), F.col("only_left").alias("fp"), F.col("only_right").alias("fn"))
 
 
-def set_ops_by_operators(spark: SparkSession, d: str) -> DataFrame:
-    pred = ensemble(spark, d, "maj2").select("question_id", "tlc", "clc")
-    gold = canon_gold(spark, d).select("question_id", "tlc", "clc")
-    tp = pred.intersect(gold).agg(F.count(F.lit(1)).alias("tp"))
-    fp = pred.exceptAll(gold).agg(F.count(F.lit(1)).alias("fp"))
-    fn = gold.exceptAll(pred).agg(F.count(F.lit(1)).alias("fn"))
-    return tp, fp, fn
-
-
 # ---------------------------------------------------------------- pack, last-wins, profiles
 
 @query("links_pack", with_views("""
-    SELECT question_id, count(*) AS n_tables, CAST(sum(n_cols) AS BIGINT) AS n_columns,
-      string_agg(tbl || ':' || cols, ';' ORDER BY tbl) AS links_text
-    FROM (SELECT question_id, tlc, min(tbl) AS tbl, count(col) AS n_cols,
+    SELECT q.question_id, count(t.tlc) AS n_tables, CAST(coalesce(sum(n_cols), 0) AS BIGINT) AS n_columns,
+      coalesce(string_agg(tbl || ':' || cols, ';' ORDER BY tbl), '') AS links_text
+    FROM fx_qids q LEFT JOIN (SELECT question_id, tlc, min(tbl) AS tbl, count(col) AS n_cols,
             coalesce(string_agg(col, ',' ORDER BY col), '') AS cols
-          FROM votes WHERE votes >= 2 GROUP BY question_id, tlc) t
-    GROUP BY question_id""", "votes"))
+          FROM votes WHERE votes >= 2 GROUP BY question_id, tlc) t ON t.question_id = q.question_id
+    GROUP BY q.question_id""", "votes", "fx_qids"))
 def q_links_pack(spark, d):
     """Pack the majority vote into ``MAP<table, ARRAY<column>>`` per question; the
     map is also rendered as text so both engines can compare it."""
-    packed = V.pack_links(ensemble(spark, d, "maj2"))
+    packed = V.pack_links(ensemble(spark, d, "maj2"), questions=fx.fx_questions_ids(spark, d))
     entries = F.map_entries("schema_links")
     text = F.array_join(F.transform(entries, lambda e: F.concat(
         e["key"], F.lit(":"), F.array_join(e["value"], ","))), ";")

@@ -20,10 +20,6 @@ def combo_rows():
     return [("+".join(map(str, c)), v, i + 1) for c in COMBOS for i, v in enumerate(c)]
 
 
-def combos_df(spark):
-    return spark.createDataFrame(combo_rows(), "combo string, voter int, rank int")
-
-
 _values = ", ".join(f"('{c}', {v}, {r})" for c, v, r in combo_rows())
 define("combos", (), f"SELECT * FROM (VALUES {_values}) t(combo, voter, rank)")
 define("sr_votes", ("canon", "combos"), """SELECT b.combo, c.question_id, c.tlc, c.clc, count(*) AS votes,
@@ -32,10 +28,11 @@ define("sr_votes", ("canon", "combos"), """SELECT b.combo, c.question_id, c.tlc,
 define("sr_pred", ("sr_votes",), """SELECT combo, 'union' AS mode, question_id, tlc, clc FROM sr_votes
     UNION ALL SELECT combo, 'maj2', question_id, tlc, clc FROM sr_votes WHERE votes >= 2
     UNION ALL SELECT combo, 'maj2_or_lead', question_id, tlc, clc FROM sr_votes WHERE votes >= 2 OR lead""")
-define("sr_cells", ("sr_pred",), "SELECT DISTINCT combo, mode FROM sr_pred")
-define("sr_eval", ("gold_n", "fx_qids"), """SELECT question_id,
-      count(*) FILTER (WHERE clc = '') AS n_gold_t, count(*) FILTER (WHERE clc <> '') AS n_gold_c
-    FROM gold_n WHERE question_id IN (SELECT question_id FROM fx_qids) GROUP BY question_id""")
+define("sr_cells", ("combos",), """SELECT combo, unnest(['union', 'maj2', 'maj2_or_lead']) AS mode
+    FROM (SELECT DISTINCT combo FROM combos) c""")
+define("sr_eval", ("gold_n", "gold_ids"), """SELECT i.question_id,
+      count(g.tlc) FILTER (WHERE g.clc = '') AS n_gold_t, count(g.tlc) FILTER (WHERE g.clc <> '') AS n_gold_c
+    FROM gold_ids i LEFT JOIN gold_n g ON g.question_id = i.question_id GROUP BY i.question_id""")
 define("sr_counts", ("sr_pred", "sr_cells", "sr_eval", "gold_n"), """SELECT c.combo, c.mode, e.question_id, e.n_gold_t, e.n_gold_c,
       count(p.tlc) FILTER (WHERE p.clc = '') AS n_pred_t, count(p.tlc) FILTER (WHERE p.clc <> '') AS n_pred_c,
       count(g.tlc) FILTER (WHERE p.clc = '') AS tp_t, count(g.tlc) FILTER (WHERE p.clc <> '') AS tp_c
@@ -62,8 +59,8 @@ SEARCH_SQL_BODY = f"""SELECT combo, mode, round(ts, {R}) AS table_score, round(c
 
 
 def search(spark, d):
-    return V.ensemble_search(canon_votes(spark, d), canon_gold(spark, d), combos_df(spark),
-                             fx.fx_questions_ids(spark, d), digits=R)
+    return V.ensemble_search(canon_votes(spark, d), canon_gold(spark, d), COMBOS,
+                             fx.fx_gold_ids(spark, d), digits=R)
 
 
 @query("ensemble_search", with_views(SEARCH_SQL_BODY, "sr_scores"))

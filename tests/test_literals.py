@@ -16,17 +16,17 @@ CATALOG = [("INJURY", "AIS"), ("INJURY", "REGION"), ("INJURY", "AGE"), ("TIRE",
 
 
 def _cat(spark):
-    return spark.createDataFrame(CATALOG, "tbl string, col string")
+    return spark.createDataFrame([("db1", *c) for c in CATALOG], "db_id string, tbl string, col string")
 
 
 def _links(spark, d):
     rows = []
     for t, cols in d.items():
         if isinstance(cols, list):
-            rows += [(1, t, None)] + [(1, t, c) for c in cols]
+            rows += [(1, "db1", t, None)] + [(1, "db1", t, c) for c in cols]
         else:
-            rows.append((1, t, None))
-    return spark.createDataFrame(rows, "question_id long, tbl string, col string")
+            rows.append((1, "db1", t, None))
+    return spark.createDataFrame(rows, "question_id long, db_id string, tbl string, col string")
 
 
 def _as_map(df):
@@ -54,7 +54,7 @@ def test_canonicalize_cases(spark):
 
 def test_canonicalize_idempotent(spark):
     once = C.canonicalize(_links(spark, {"injury": ["ais", "nope"], "tire": []}), _cat(spark))
-    twice = C.canonicalize(once.select("question_id", "tbl", "col"), _cat(spark))
+    twice = C.canonicalize(once.select("question_id", F.lit("db1").alias("db_id"), "tbl", "col"), _cat(spark))
     assert sorted(map(tuple, once.select("tlc", "clc").collect())) == sorted(map(tuple, twice.select("tlc", "clc").collect()))
 
 
@@ -80,8 +80,8 @@ def test_prf_boundaries(spark):
 
 
 def test_graded_variant(spark):
-    links = spark.createDataFrame([(1, "Fake", "x"), (1, "Fake", "x"), (1, "INJURY", "nope")],
-                                  "question_id long, tbl string, col string")
+    links = spark.createDataFrame([(1, "db1", "Fake", "x"), (1, "db1", "Fake", "x"), (1, "db1", "INJURY", "nope")],
+                                  "question_id long, db_id string, tbl string, col string")
     g = C.graded_links(links, _cat(spark))
     tally = C.hallucination_tally(g).first()
     assert (tally.bad_tables, tally.bad_columns) == (1, 3)
@@ -94,8 +94,9 @@ def test_votes(spark):
     rows = [(1, 1, "A", None), (1, 1, "A", "x"), (1, 1, "A", "y"), (1, 1, "B", None),
             (1, 2, "a", None), (1, 2, "a", "X"),
             (1, 3, "C", None), (1, 3, "C", "z"), (1, 3, "B", None), (1, 3, "B", "w")]
-    links = spark.createDataFrame(rows, "question_id long, voter int, tbl string, col string")
-    cat = spark.createDataFrame([("A", "x"), ("A", "y"), ("B", "w"), ("C", "z")], "tbl string, col string")
+    links = spark.createDataFrame(rows, "question_id long, voter int, tbl string, col string").withColumn("db_id", F.lit("d"))
+    cat = spark.createDataFrame([("d", "A", "x"), ("d", "A", "y"), ("d", "B", "w"), ("d", "C", "z")],
+                                "db_id string, tbl string, col string")
     canon = C.canonicalize(links, cat, keys=["question_id", "voter"], partition_keys=["question_id"])
     res = {m: _as_map(V.ensemble(canon, m)) for m in V.MODES}
     assert res["union"] == {"A": ["x", "y"], "B": ["w"], "C": ["z"]}

@@ -28,17 +28,15 @@ def _scratch(spark, name: str) -> str:
 
 @query("stream_votes", with_views("SELECT question_id, tbl, col FROM votes WHERE votes >= 2", "votes"))
 def q_stream_votes(spark, d):
-    """Voters arrive one file each; the final publication equals the batch majority vote."""
+    """Votes arrive in files, a few per trigger; the final publication equals the batch majority vote."""
     root = _scratch(spark, "stream_votes")
     src = os.path.join(root, "in")
-    votes = fx.fx_votes(spark, d)
-    for v in fx.VOTERS:  # arrival order = voter order (one commit per voter)
-        votes.where(F.col("voter") == v).coalesce(1).write.parquet(os.path.join(src, f"arrival={v}"))
-    spark.sql("SELECT 1")  # keep the session active between writes
+    fx.fx_votes(spark, d).withColumn("arrival", F.col("voter")).write.partitionBy("arrival").parquet(src)
     out = os.path.join(root, "out")
     SV.run_incremental_vote(spark, os.path.join(src, "arrival=*"), fx.fx_catalog(spark, d), out,
-                            os.path.join(root, "checkpoint"), n_voters=len(fx.VOTERS))
-    return spark.read.parquet(out).select("question_id", "tbl", "col")
+                            os.path.join(root, "checkpoint"), n_voters=len(fx.VOTERS),
+                            max_files_per_trigger=8)
+    return SV.latest_publication(spark, out).select("question_id", "tbl", "col")
 
 
 @query("stream_run_metrics", with_views(f"""
@@ -47,17 +45,13 @@ def q_stream_votes(spark, d):
     FROM events GROUP BY time_bucket(INTERVAL 1 hour, ts), event_type
     HAVING time_bucket(INTERVAL 1 hour, ts) + INTERVAL 1 hour <= (SELECT max(ts) - INTERVAL 10 minute FROM events)"""))
 def q_stream_run_metrics(spark, d):
-    """Events arrive week by week (one commit per week, in time order); closed windows are appended."""
+    """The events are replayed as arriving files; closed windows are appended."""
     root = _scratch(spark, "stream_run_metrics")
     src = os.path.join(root, "in")
     ev = read_table(spark, d, "events")
-    t0 = ev.agg(F.min(F.unix_seconds(F.col("ts").cast("timestamp")))).scalar()
-    ev = ev.withColumn("_week", F.floor((F.unix_seconds(F.col("ts").cast("timestamp")) - t0) / (7 * 86400)))
-    weeks = [r[0] for r in ev.select("_week").distinct().orderBy("_week").collect()]  # a handful of slice ids
-    for w in weeks:
-        ev.where(F.col("_week") == w).drop("_week").write.parquet(os.path.join(src, f"week={w:05d}"))
+    ev.write.parquet(src)
     out = os.path.join(root, "out")
-    SM.run_windowed_metrics(spark, os.path.join(src, "week=*"), out, os.path.join(root, "checkpoint"))
+    SM.run_windowed_metrics(spark, src, out, os.path.join(root, "checkpoint"))
     res = spark.read.parquet(out)
     return res.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "metric",
                       "n", F.round("avg_value", R).alias("avg_value"))

@@ -2,10 +2,11 @@
 
 Link rows of each voter arrive as files.  One stateful aggregation keyed on
 ``(question, tlc, clc)`` keeps the set of voters seen per identifier (bounded by
-the number of voters).  Every micro-batch publishes, through ``foreachBatch``,
-the running *union* until all configured voters have arrived, then the final
-aggregation mode; the write goes through the output committer, so a reader sees
-either the previous or the new publication.
+the number of voters; the state itself grows with the questions).  Every micro-batch
+publishes, through ``foreachBatch``, the running *union* until a link of every configured
+voter has arrived, then the final aggregation mode.  A publication is written to a folder
+of its own (``epoch=<id>``) and then marked in ``published``; readers take the last marked
+one, so they see the previous or the new publication, never a part.
 """
 
 from __future__ import annotations
@@ -15,21 +16,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.canon import NO_COLUMN, catalog_columns, catalog_tables
+from ..operators.canon import NO_COLUMN, SCOPE, catalog_columns, catalog_tables
 from ..plans.joins import broadcast_if_small
 
-LINK_SCHEMA = "question_id long, voter int, tbl string, col string"
+LINK_SCHEMA = "question_id long, db_id string, voter int, tbl string, col string"
 
 
-def canonical_stream(links: DataFrame, catalog: DataFrame, keys: Sequence[str] = ("question_id",)) -> DataFrame:
+def canonical_stream(links: DataFrame, catalog: DataFrame, keys: Sequence[str] = ("question_id",),
+                     scope: Sequence[str] = SCOPE) -> DataFrame:
     """Stream-static canonicalisation (no de-duplication: voter sets absorb repeats)."""
-    keys = list(keys)
-    tables = broadcast_if_small(catalog_tables(catalog))
-    columns = broadcast_if_small(catalog_columns(catalog))
-    l = links.select(*keys, "voter", F.lower("tbl").alias("tlc"), F.lower("col").alias("clc_in"))
-    j = l.join(tables, "tlc")
-    j = j.join(columns, (j.tlc == columns.tlc) & (j.clc_in == columns.clc), "left") \
-        .select(*[j[k] for k in keys], j.voter, j.tlc, j.tbl_c, columns.col_c)
+    keys, scope = list(keys), list(scope)
+    tables = broadcast_if_small(catalog_tables(catalog, scope))
+    columns = broadcast_if_small(catalog_columns(catalog, scope))
+    l = links.select(*dict.fromkeys([*keys, *scope]), "voter", F.lower("tbl").alias("tlc"), F.lower("col").alias("clc"))
+    j = l.join(tables, [*scope, "tlc"]).join(columns, [*scope, "tlc", "clc"], "left")
     null = F.lit(None).cast("string")
     rows = F.when(F.col("col_c").isNull(), F.array(F.struct(F.col("tbl_c").alias("tbl"), null.alias("col")))) \
         .otherwise(F.array(F.struct(F.col("tbl_c").alias("tbl"), null.alias("col")),
@@ -49,15 +49,21 @@ def publish_fn(output_path: str, n_voters: int, final_mode: str = "maj2", lead_v
             out = batch.where(keep)
         else:
             out = batch
-        (out.select("question_id", "tbl", "col", votes.alias("votes"), F.lit(epoch_id).alias("epoch"))
-         .write.mode("overwrite").parquet(output_path))
+        out.select("question_id", "tbl", "col", votes.alias("votes")).write.mode("overwrite").parquet(f"{output_path}/epoch={epoch_id}")
+        batch.sparkSession.range(1).select(F.lit(epoch_id).alias("epoch")).write.mode("append").parquet(f"{output_path}/published")
     return publish
 
 
+def latest_publication(spark: SparkSession, output_path: str) -> DataFrame:
+    """The last publication that was written whole."""
+    epoch = spark.read.parquet(f"{output_path}/published").agg(F.max("epoch")).first()[0]
+    return spark.read.parquet(f"{output_path}/epoch={epoch}")
+
+
 def run_incremental_vote(spark: SparkSession, source_dir: str, catalog: DataFrame, output_path: str,
                          checkpoint: str, n_voters: int, final_mode: str = "maj2",
                          max_files_per_trigger: int = 1) -> None:
-    """Drain ``source_dir`` (availableNow) and leave the last publication at ``output_path``."""
+    """Drain ``source_dir`` (availableNow) and leave the publications below ``output_path``."""
     links = (spark.readStream.schema(LINK_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
              .parquet(source_dir))
     canon = canonical_stream(links, catalog)

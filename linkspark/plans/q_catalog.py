@@ -23,8 +23,7 @@ from .q_retrieval import _bm25_sql
 from .q_scoring import R
 from .registry import query
 
-THRESHOLD_COLS = 100   # schemas above this many columns are filtered to the top tables
-MAX_TABLES = 3
+TOP_TABLES = 3   # what the filtered queries ask for; the caller chooses, never the schema's size
 
 
 def _cat_parts(spark, d):
@@ -209,16 +208,12 @@ define("tb_top", ("ex_qs", "cat_t2", "tb_sc"), f"""SELECT question_id, db_id, ta
       SELECT q.question_id, q.db_id, t.table_idx, row_number() OVER (PARTITION BY q.question_id
         ORDER BY round(coalesce(s.score, 0.0), 9) DESC, t.table_idx) AS rank
       FROM ex_qs q JOIN cat_t2 t ON q.db_id = t.db_id
-      LEFT JOIN tb_sc s ON s.question_id = q.question_id AND s.table_idx = t.table_idx) r WHERE rank <= {MAX_TABLES}""")
-define("db_ncols", ("cat_cols",), "SELECT db_id, count(*) AS n_cols FROM cat_cols GROUP BY db_id")
+      LEFT JOIN tb_sc s ON s.question_id = q.question_id AND s.table_idx = t.table_idx) r WHERE rank <= {TOP_TABLES}""")
 define("tb_lines", ("cat_cols",), """SELECT db_id, table_idx, tbl || ': ' || string_agg(col, ', ' ORDER BY column_idx) AS line
     FROM cat_cols GROUP BY db_id, table_idx, tbl""")
-define("kept_inf", ("ex_qs", "cat_t2", "tb_top", "db_ncols"), f"""
-    SELECT q.question_id, q.db_id, t.table_idx FROM ex_qs q JOIN db_ncols n ON q.db_id = n.db_id
-      JOIN cat_t2 t ON t.db_id = q.db_id WHERE n.n_cols <= {THRESHOLD_COLS}
-    UNION SELECT k.question_id, k.db_id, k.table_idx FROM tb_top k JOIN db_ncols n ON k.db_id = n.db_id
-      WHERE n.n_cols > {THRESHOLD_COLS}""")
-define("kept_train", ("kept_inf", "ex_base", "cat_t2"), """SELECT question_id, db_id, table_idx FROM kept_inf
+define("kept_all", ("ex_qs", "cat_t2"), """SELECT q.question_id, q.db_id, t.table_idx
+    FROM ex_qs q JOIN cat_t2 t ON t.db_id = q.db_id""")
+define("kept_train", ("tb_top", "ex_base", "cat_t2"), """SELECT question_id, db_id, table_idx FROM tb_top
     UNION SELECT DISTINCT b.question_id, b.db_id, t.table_idx FROM ex_base b
       JOIN cat_t2 t ON t.db_id = b.db_id AND lower(t.tbl) = lower(b.tbl)""")
 
@@ -228,29 +223,25 @@ def _ctx_sql(kept: str) -> str:
       FROM {kept} k JOIN tb_lines l ON l.db_id = k.db_id AND l.table_idx = k.table_idx GROUP BY k.question_id"""
 
 
-define("ctx_inf", ("kept_inf", "tb_lines"), _ctx_sql("kept_inf"))
+define("ctx_all", ("kept_all", "tb_lines"), _ctx_sql("kept_all"))
+define("ctx_top", ("tb_top", "tb_lines"), _ctx_sql("tb_top"))
 define("ctx_train", ("kept_train", "tb_lines"), _ctx_sql("kept_train"))
 _USER = ("'Database: ' || q.db_id || chr(10) || 'Schema:' || chr(10) || c.context || chr(10) || chr(10) || "
          "'Question: ' || q.question || chr(10) || chr(10) || 'Output the schema_links JSON now.'")
 
 
-def kept_tables(spark, d, with_gold: bool):
-    """B6 selection: whole schema when small, else BM25 top tables (zero-filled), plus gold
-    tables at training time (C5)."""
+def kept_tables(spark, d, top: int | None = None, with_gold: bool = False):
+    """B6 selection: every table of the question's database, or its ``top`` tables by BM25
+    (zero-filled), plus gold tables at training time (C5)."""
     cols, _ = catalog(spark, d)
     q, gold = examples(spark, d)
     tdocs = cols.groupBy("db_id", "table_idx", "tbl").agg(
         F.array_sort(F.collect_list(F.struct("column_idx", "col"))).alias("c"))
     tdocs = tdocs.select("db_id", "table_idx", "tbl", F.concat_ws(" ", F.col("tbl"), F.array_join(
         F.transform("c", lambda x: x["col"]), " ")).alias("text"))
-    ncols = cols.groupBy("db_id").agg(F.count(F.lit(1)).alias("n_cols"))
-    small = q.join(ncols, "db_id").where(F.col("n_cols") <= THRESHOLD_COLS).select("question_id", "db_id")
-    big = q.join(ncols, "db_id").where(F.col("n_cols") > THRESHOLD_COLS).select("question_id", "db_id", "question")
     tables = tdocs.select("db_id", "table_idx")
-    whole = small.join(tables, "db_id").select("question_id", "db_id", "table_idx")
-    scores = RT.bm25(big, tdocs)
-    top = RT.top_k_with_fill(scores, big, tables, MAX_TABLES).select("question_id", "db_id", "table_idx")
-    kept = whole.unionByName(top)
+    kept = (q.join(tables, "db_id") if top is None else RT.top_k_with_fill(RT.bm25(q, tdocs), q, tables, top)).select(
+        "question_id", "db_id", "table_idx")
     if with_gold:
         tnames = tdocs.select("db_id", "table_idx", F.lower("tbl").alias("tlc"))
         g = (gold.select("question_id", "db_id", F.lower("tbl").alias("tlc")).distinct()
@@ -259,8 +250,8 @@ def kept_tables(spark, d, with_gold: bool):
     return kept.distinct(), q, cols
 
 
-def contexts(spark, d, with_gold: bool):
-    kept, q, cols = kept_tables(spark, d, with_gold)
+def contexts(spark, d, top: int | None = None, with_gold: bool = False):
+    kept, q, cols = kept_tables(spark, d, top, with_gold)
     lines = RD.table_lines(cols.withColumn("to_table", F.lit(None).cast("string"))
                            .withColumn("to_column", F.lit(None).cast("string")), "compact")
     return RD.context_for_questions(kept, lines), q
@@ -271,19 +262,27 @@ def _md5_cols(text):
 
 
 @query("prompt_context", with_views("SELECT question_id, n_tables, CAST(length(context) AS BIGINT) AS n_chars, "
-                                    "md5(context) AS md5 FROM ctx_inf", "ctx_inf"))
+                                    "md5(context) AS md5 FROM ctx_all", "ctx_all"))
 def q_prompt_context(spark, d):
-    ctx, _ = contexts(spark, d, with_gold=False)
+    """B6 with the whole schema."""
+    ctx, _ = contexts(spark, d)
     return ctx.select("question_id", F.col("n_tables").cast("long").alias("n_tables"), *_md5_cols(F.col("context")))
 
 
-@query("build_prompt", with_views(f"""SELECT q.question_id, CAST(length({_USER}) AS BIGINT) AS n_chars, md5({_USER}) AS md5
-    FROM ex_qs q JOIN ctx_inf c ON c.question_id = q.question_id""", "ex_qs", "ctx_inf"))
+@query("prompt_context_topk", with_views("SELECT question_id, n_tables, context FROM ctx_top", "ctx_top"))
+def q_prompt_context_topk(spark, d):
+    """B6 with the best tables by BM25."""
+    ctx, _ = contexts(spark, d, TOP_TABLES)
+    return ctx.select("question_id", F.col("n_tables").cast("long").alias("n_tables"), "context")
+
+
+@query("build_prompt", with_views(f"""SELECT q.question_id, {_USER} AS user_text
+    FROM ex_qs q JOIN ctx_top c ON c.question_id = q.question_id""", "ex_qs", "ctx_top"))
 def q_build_prompt(spark, d):
-    ctx, q = contexts(spark, d, with_gold=False)
+    ctx, q = contexts(spark, d, TOP_TABLES)
     j = q.join(ctx, "question_id")
     user = RD.user_message(F.col("db_id"), F.col("question"), F.col("context"))
-    return j.select("question_id", *_md5_cols(user))
+    return j.select("question_id", user.alias("user_text"))
 
 
 def gold_targets(spark, d):
@@ -304,12 +303,12 @@ def q_canonical_target(spark, d):
     return gold_targets(spark, d)
 
 
-@query("format_sft", with_views(f"""SELECT q.question_id, 3 AS n_messages, md5({_USER}) AS user_md5, t.target
+@query("format_sft", with_views(f"""SELECT q.question_id, 3 AS n_messages, {_USER} AS user_text, t.target
     FROM ex_qs q JOIN ctx_train c ON c.question_id = q.question_id JOIN ex_target t ON t.question_id = q.question_id""",
     "ex_qs", "ctx_train", "ex_target"))
 def q_format_sft(spark, d):
     """[system, user (context with gold tables forced in), assistant = canonical target]."""
-    ctx, q = contexts(spark, d, with_gold=True)
+    ctx, q = contexts(spark, d, TOP_TABLES, with_gold=True)
     j = q.join(ctx, "question_id").join(gold_targets(spark, d), "question_id")
     msgs = F.array(F.struct(F.lit("system").alias("role"), F.lit(RD.SYSTEM_PROMPT).alias("content")),
                    F.struct(F.lit("user").alias("role"),
@@ -317,7 +316,7 @@ def q_format_sft(spark, d):
                    F.struct(F.lit("assistant").alias("role"), F.col("target").alias("content")))
     m = j.select("question_id", msgs.alias("messages"))
     return m.select("question_id", F.size("messages").alias("n_messages"),
-                    F.md5(m.messages[1]["content"]).alias("user_md5"), m.messages[2]["content"].alias("target"))
+                    m.messages[1]["content"].alias("user_text"), m.messages[2]["content"].alias("target"))
 
 
 @query("two_stage_a", with_views("""SELECT q.question_id, md5('Database: ' || q.db_id || chr(10) || 'Tables:' || chr(10)

@@ -303,10 +303,12 @@ def q_canonical_target(spark, d):
     return gold_targets(spark, d)
 
 
-@query("format_sft", with_views(f"""SELECT q.question_id, 3 AS n_messages, {_USER} AS user_text, t.target
+SFT_SQL = with_views(f"""SELECT q.question_id, 3 AS n_messages, {_USER} AS user_text, t.target
     FROM ex_qs q JOIN ctx_train c ON c.question_id = q.question_id JOIN ex_target t ON t.question_id = q.question_id""",
-    "ex_qs", "ctx_train", "ex_target"))
-def q_format_sft(spark, d):
+    "ex_qs", "ctx_train", "ex_target")
+
+
+def sft_records(spark, d):
     """[system, user (context with gold tables forced in), assistant = canonical target]."""
     ctx, q = contexts(spark, d, TOP_TABLES, with_gold=True)
     j = q.join(ctx, "question_id").join(gold_targets(spark, d), "question_id")
@@ -314,11 +316,19 @@ def q_format_sft(spark, d):
                    F.struct(F.lit("user").alias("role"),
                             RD.user_message(F.col("db_id"), F.col("question"), F.col("context")).alias("content")),
                    F.struct(F.lit("assistant").alias("role"), F.col("target").alias("content")))
-    m = j.select("question_id", msgs.alias("messages"))
+    return j.select("question_id", msgs.alias("messages"))
+
+
+def sft_columns(m):
     return m.select("question_id", F.size("messages").alias("n_messages"),
                     m.messages[1]["content"].alias("user_text"), m.messages[2]["content"].alias("target"))
 
 
+@query("format_sft", SFT_SQL)
+def q_format_sft(spark, d):
+    return sft_columns(sft_records(spark, d))
+
+
 @query("two_stage_a", with_views("""SELECT q.question_id, md5('Database: ' || q.db_id || chr(10) || 'Tables:' || chr(10)
       || t.tl || chr(10) || chr(10) || 'Question: ' || q.question || chr(10) || chr(10) || 'Output the tables JSON now.') AS md5
     FROM ex_qs q JOIN (SELECT db_id, string_agg('- ' || tbl, chr(10) ORDER BY table_idx) AS tl FROM cat_t2 GROUP BY db_id) t

@@ -1,16 +1,20 @@
-"""Link-file round trip and the pluggable predictor."""
+"""Files written and read back (A4-A8, A10) and the pluggable predictor."""
 
 from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import functions as F
 
-from ..sources.links import explode_links
+from ..sources.links import explode_links, write_link_file
+from ..sources.records import read_csv, read_jsonl, write_csv, write_jsonl
 from ..operators import vote as V
 from . import fixtures as fx
 from .oracle_fixtures import with_views
 from .registry import query
-from .q_scoring import ensemble
+from .q_catalog import SFT_SQL, sft_columns, sft_records
+from .q_curate import audited
+from .q_scoring import PACK_SQL, SCORE_SQL, ensemble, links_as_text, q_score_questions
+from .q_stream import _scratch
 
 
 @query("links_explode", with_views("""
@@ -26,6 +30,39 @@ def q_links_explode(spark, d):
     return explode_links(records)
 
 
+@query("link_file_round_trip", PACK_SQL)
+def q_link_file_round_trip(spark, d):
+    """A6 to a file and back: every question has its record, also without links."""
+    path = _scratch(spark, "link_file")
+    write_link_file(ensemble(spark, d, "maj2"), path, fx.fx_questions_ids(spark, d))
+    return links_as_text(read_jsonl(spark, path, "question_id long, schema_links map<string,array<string>>"))
+
+
+@query("sft_round_trip", SFT_SQL)
+def q_sft_round_trip(spark, d):
+    """A7 then A5: the chat records as JSON lines and back."""
+    path = _scratch(spark, "sft")
+    write_jsonl(sft_records(spark, d), path)
+    return sft_columns(read_jsonl(spark, path, "question_id long, messages array<struct<role:string,content:string>>"))
+
+
+@query("score_csv_round_trip", SCORE_SQL)
+def q_score_csv_round_trip(spark, d):
+    """The per-question scores as CSV and back."""
+    path = _scratch(spark, "scores")
+    scores = q_score_questions(spark, d)
+    write_csv(scores, path)
+    return read_csv(spark, path, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in scores.schema))
+
+
+@query("audit_round_trip", with_views("SELECT db_id, pos, question, status FROM cu_audit", "cu_audit"))
+def q_audit_round_trip(spark, d):
+    """A10: the audit of all candidates as JSON lines and back."""
+    path = _scratch(spark, "audit")
+    write_jsonl(audited(spark, d).select("db_id", "pos", "question", "status"), path)
+    return read_jsonl(spark, path, "db_id string, pos long, question string, status string")
+
+
 # Any Python predictor over question batches, exactly one output row per question.
 def mock_predictor(batch: pd.DataFrame) -> pd.DataFrame:
     """The reference's mock: an empty link set for every question."""

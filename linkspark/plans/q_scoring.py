@@ -164,7 +164,7 @@ define("flags_v", ("graded_n", "gold_v"), """SELECT coalesce(p.question_id, g.qu
 define("counts_v", ("flags_v",), _counts_sql("flags_v").replace("question_id", "question_id, voter"))
 
 
-@query("score_questions", with_views(f"""
+SCORE_SQL = with_views(f"""
     SELECT question_id, voter, round(p_t, {R}) AS p_t, round(r_t, {R}) AS r_t, round(f1_t, {R}) AS f1_t,
       round(p_c, {R}) AS p_c, round(r_c, {R}) AS r_c, round(f1_c, {R}) AS f1_c, missing_prediction
     FROM (SELECT question_id, voter, {_prf_sql('tp_t', 'n_pred_t', 'n_gold_t', 't')},
@@ -173,7 +173,10 @@ define("counts_v", ("flags_v",), _counts_sql("flags_v").replace("question_id", "
                 FROM (SELECT question_id, unnest([1, 2, 3, 4]) AS voter FROM gold_ids) g
                 LEFT JOIN counts_v c ON c.question_id = g.question_id AND c.voter = g.voter
                 LEFT JOIN vote_ids i ON i.question_id = g.question_id AND i.voter = g.voter) x) s""",
-    "counts_v", "gold_ids", "vote_ids"))
+    "counts_v", "gold_ids", "vote_ids")
+
+
+@query("score_questions", SCORE_SQL)
 def q_score_questions(spark, d):
     keys = ["question_id", "voter"]
     each = lambda df: df.withColumn("voter", F.explode(F.array(*[F.lit(v) for v in fx.VOTERS])))
@@ -229,17 +232,23 @@ def q_set_ops_check(spark, d):
 
 # ---------------------------------------------------------------- pack, last-wins, profiles
 
-@query("links_pack", with_views("""
+PACK_SQL = with_views("""
     SELECT q.question_id, count(t.tlc) AS n_tables, CAST(coalesce(sum(n_cols), 0) AS BIGINT) AS n_columns,
       coalesce(string_agg(tbl || ':' || cols, ';' ORDER BY tbl), '') AS links_text
     FROM fx_qids q LEFT JOIN (SELECT question_id, tlc, min(tbl) AS tbl, count(col) AS n_cols,
             coalesce(string_agg(col, ',' ORDER BY col), '') AS cols
           FROM votes WHERE votes >= 2 GROUP BY question_id, tlc) t ON t.question_id = q.question_id
-    GROUP BY q.question_id""", "votes", "fx_qids"))
+    GROUP BY q.question_id""", "votes", "fx_qids")
+
+
+@query("links_pack", PACK_SQL)
 def q_links_pack(spark, d):
     """Pack the majority vote into ``MAP<table, ARRAY<column>>`` per question; the
     map is also rendered as text so both engines can compare it."""
-    packed = V.pack_links(ensemble(spark, d, "maj2"), questions=fx.fx_questions_ids(spark, d))
+    return links_as_text(V.pack_links(ensemble(spark, d, "maj2"), questions=fx.fx_questions_ids(spark, d)))
+
+
+def links_as_text(packed: DataFrame) -> DataFrame:
     entries = F.map_entries("schema_links")
     text = F.array_join(F.transform(entries, lambda e: F.concat(
         e["key"], F.lit(":"), F.array_join(e["value"], ","))), ";")

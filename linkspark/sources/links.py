@@ -32,7 +32,7 @@ def read_link_file(spark: SparkSession, path: str, json_list: bool = False) -> D
     return explode_links(raw)
 
 
-def write_link_file(links: DataFrame, path: str) -> None:
-    """One JSON record per question (columns sorted, empty lists kept); the output
-    committer makes the publication atomic."""
-    pack_links(links).write.mode("overwrite").json(path)
+def write_link_file(links: DataFrame, path: str, questions: DataFrame | None = None) -> None:
+    """One JSON record per question (columns sorted, empty lists kept), with ``questions``
+    also for those without links.  An existing folder is replaced."""
+    pack_links(links, questions=questions).write.mode("overwrite").json(path)

@@ -11,6 +11,9 @@ SF = "/root/testdata/sf0.001"
 FAST = ["leaderboard", "canonicalize", "vote_maj2_or_lead", "score_questions", "hallucination_tally",
         "bm25_topk", "cosine_topk", "recover_links", "resolve_mentions", "validate_candidates",
         "cap_per_group", "chat_render", "catalog_columns", "fk_resolve", "canonical_target",
+        "link_file_round_trip", "score_csv_round_trip", "audit_round_trip", "self_consistency", "links_pack",
+        "assign_ids", "drop_reasons", "fewshot_sample", "two_stage_merge", "force_include", "bm25_pairs",
+        "prompt_context_topk", "stream_votes", "stream_run_metrics",
         "expand_columns", "best_run", "log_parse", "ensemble_search", "links_explode", "rrf_topk"]
 
 

@@ -27,6 +27,7 @@ from linkspark.llm.common import WORD, materialise, read
 WEIGHTS, CAP, SEED = (5, 2, 1), 3, "mix-1"
 #: The table of ranges is broadcast up to so many rows, and joined by its keys beyond.
 BROADCAST_ROWS = 100_000
+MIX_COLUMNS = ("mix_size", "mix_source_size", "mix_target", "mix_copies")
 
 
 def n_words(text: Column) -> Column:
@@ -58,10 +59,21 @@ def offset(source: Column, seed: str = SEED) -> Column:
 
 def mixing_plan(docs: DataFrame, size: Column, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED) -> DataFrame:
     """``docs`` (with ``doc_id`` and ``source``) with ``mix_size, mix_source_size, mix_target`` and
-    ``mix_copies``, the number of times the mix takes the document."""
-    kept = docs.drop("mix_size", "mix_source_size", "mix_target", "mix_copies", "_at")
+    ``mix_copies``, the number of times the mix takes the document; columns of ``docs`` with these names
+    are replaced."""
+    plan, columns = _plan(docs, size, weights, cap, seed)
+    return plan.select(*(v for c, v in columns.items() if c not in MIX_COLUMNS), *MIX_COLUMNS)
+
+
+def _plan(docs: DataFrame, size: Column, weights: tuple[int, ...], cap: int, seed: str) -> tuple[DataFrame, dict[str, Column]]:
+    """The rows of ``docs`` with ``MIX_COLUMNS``, and how to get each of the columns of ``docs`` back: all but
+    the keys travel inside one struct, so that no name among them can clash."""
     keys = ("source", "mix_size", "doc_id")
-    placed = materialise(kept.withColumn("mix_size", size).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    others = [c for c in docs.columns if c not in ("source", "doc_id")]
+    columns = {c: F.col("_row").getField(c).alias(c) if c in others else F.col(c) for c in docs.columns}
+    row = F.struct(*others) if others else F.lit(0)
+    kept = docs.select("source", "doc_id", row.alias("_row"), size.alias("mix_size"))
+    placed = materialise(kept.repartitionByRange(*keys).sortWithinPartitions(*keys)
                          .withColumn("_at", F.monotonically_increasing_id()), "mix-ranges")
     rng = F.shiftright("_at", 33)
     ranges = materialise(placed.groupBy(rng.alias("_range"), "source").agg(
@@ -81,13 +93,14 @@ def mixing_plan(docs: DataFrame, size: Column, weights: tuple[int, ...] = WEIGHT
     start = offset(F.col("source"), seed)
     crossed = F.floor(place * each + start) - F.floor((place - 1) * each + start)
     # expected copies never exceed cap, so this only guards against rounding of the products
-    return rows.withColumn("mix_copies", F.least(crossed, F.lit(cap).cast("long"))).drop("_at", "_r", "_range", "_s", "_shift")
+    return rows.withColumn("mix_copies", F.least(crossed, F.lit(cap).cast("long"))), columns
 
 
-def mix(docs: DataFrame, size: Column | None = None, **options) -> DataFrame:
+def mix(docs: DataFrame, size: Column | None = None, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED) -> DataFrame:
     """The mix itself: each row of ``docs`` as many times as the plan takes it."""
-    plan = mixing_plan(docs, n_words(F.col("text")) if size is None else size, **options).where("mix_copies > 0")
-    return plan.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))).select(*docs.columns)
+    plan, columns = _plan(docs, n_words(F.col("text")) if size is None else size, weights, cap, seed)
+    taken = plan.where("mix_copies > 0")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))).select(*columns.values())
 
 
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from linkspark.llm.best_fit_packing import pack, tokenizer_path, with_digest
-from linkspark.llm.common import materialise, read
+from linkspark.llm.common import materialise, neutral_names, read
 from linkspark.llm.jaccard_join import keep_one
 from linkspark.llm.language_codes import fit, predict
 from linkspark.llm.pii_anchors import redact
@@ -22,8 +22,9 @@ WORDS, PERCENT = 5, 80
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a letter, and texts between two languages, go."""
-    known = predict(docs, fit(docs)).where("lang_pred != 'und' and not lang_ambiguous")
-    return known.select(docs.columns)
+    plain = neutral_names(docs, ("doc_id", "text"))
+    known = predict(plain, fit(docs)).where("lang_pred != 'und' and not lang_ambiguous")
+    return known.select(plain.columns).toDF(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

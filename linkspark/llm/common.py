@@ -42,6 +42,13 @@ def drop_materialised(dfs: Iterable[DataFrame]) -> None:
             break
 
 
+def neutral_names(docs: DataFrame, kept: Iterable[str]) -> DataFrame:
+    """``docs`` with all columns but ``kept`` named by their place, so that none clashes with a column an
+    operator adds; ``toDF(*docs.columns)`` undoes it."""
+    kept = set(kept)
+    return docs.toDF(*(c if c in kept else f"given_{i}" for i, c in enumerate(docs.columns)))
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that no model may learn from: crc32 of the decimal id leaves 2 when divided by 4."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

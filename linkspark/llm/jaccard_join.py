@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructType
 
-from linkspark.llm.common import materialise, read
+from linkspark.llm.common import materialise, neutral_names, read
 from linkspark.llm.text_features import mix
 
 WORDS, PERCENT = 4, 85
@@ -391,18 +391,20 @@ def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
     best = (each.join(group, "sid").groupBy("group").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "sid", "copies")).alias("k"))
         .select(F.col("k.doc_id").alias("_id"), F.col("k.sid").alias("_keep"), F.col("k.copies").alias("_copies")))
-    columns = docs.columns
+    plain = neutral_names(docs, ("doc_id", "text"))
+    columns = plain.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sid = pa.array([d for _, _, d in _sets(batch, words)], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, sid], schema=pa.schema([*batch.schema, ("_sid", pa.binary())]))
 
-    marked = docs.mapInArrow(run, StructType([*docs.schema.fields]).add("_sid", BinaryType()))
+    marked = plain.mapInArrow(run, StructType([*plain.schema.fields]).add("_sid", BinaryType()))
     kept = marked.join(best, (F.col("_sid") == F.col("_keep")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left").where(
         F.col("_copies").isNotNull() | F.col("_sid").isNull())
     single = kept.where(F.coalesce("_copies", F.lit(1)) == 1)
-    return single.select(columns).unionByName(kept.where("_copies > 1").dropDuplicates(["_sid"]).select(columns))
+    return single.select(columns).unionByName(
+        kept.where("_copies > 1").dropDuplicates(["_sid"]).select(columns)).toDF(*docs.columns)
 
 
 def _row_components(rows: DataFrame, ids: DataFrame, comp: DataFrame) -> DataFrame:

@@ -59,3 +59,16 @@ def test_held_out_languages(spark):
     got = language_codes.predict(docs, language_codes.fit(docs)).where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2)
     right = got.select(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
     assert right >= 0.98
+
+
+def test_clashing_columns(spark):
+    names = ["_sid", "_id", "_keep", "_copies", "sid", "n", "s", "lang_pred", "lang_score", "lang_ambiguous", "mix_size", "mix_copies",
+             "_at", "_r", "_row", "_copy", "_range", "given_0", "spans", "ids", "piece", "sequence_id"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("*", *(f"cast(doc_id as string) as {c}" for c in names))
+    docs = docs.select(*reversed(docs.columns))
+    for name, stage in corpus_pipeline.STAGES:
+        out = materialise(stage(spark, docs, SF), f"clash-{name}")
+        if name != "packing":
+            assert out.columns == docs.columns and out.dtypes == docs.dtypes
+            assert out.count() and out.where(" or ".join(f"not {c} <=> cast(doc_id as string)" for c in names)).count() == 0
+        docs = out

@@ -1,4 +1,4 @@
-"""Rank catalog tables against questions.
+"""Rank catalog tables against questions.
 
 BM25 is computed as an inverted-index join: document tokens are exploded once,
 filtered to the vocabulary the questions actually use (size-checked broadcast
@@ -184,6 +184,28 @@ def force_include(kept: DataFrame, gold: DataFrame, catalog_tables: DataFrame,
     return kept.select(*keys, "tlc").unionByName(valid.select(*keys, "tlc")).distinct()
 
 
+def voter_retrievers(specs: DataFrame, default: str, spec: str = "spec") -> DataFrame:
+    """Voter lists like ``path[:retriever], ...`` as rows ``(spec, voter, path, retriever)``, voters
+    counted from 1 over the entries that are not blank; the last colon parts the retriever off."""
+    entries = F.filter(F.transform(F.split(spec, ","), lambda e: F.trim(e)), lambda e: e != "")
+    e = specs.select(F.col(spec).alias("spec"), F.posexplode(entries).alias("pos", "entry"))
+    named = F.contains("entry", F.lit(":"))
+    retriever = F.substring_index("entry", ":", -1)
+    path = F.substring("entry", F.lit(1), F.length("entry") - F.length(retriever) - 1)
+    return e.select("spec", (F.col("pos") + 1).alias("voter"),
+                    F.trim(F.when(named, path).otherwise(F.col("entry"))).alias("path"),
+                    F.when(named, F.trim(retriever)).otherwise(F.lit(default)).alias("retriever"))
+
+
+def voter_contexts(voters: DataFrame, rankings: DataFrame, k: int, qid: str = "question_id",
+                   doc: str = "table_idx") -> DataFrame:
+    """The top-k tables each voter sees, from ``rankings(retriever, qid, doc, rank)``.  Each retriever
+    ranks once, whatever the number of its voters; a voter whose retriever has no ranking gets no rows."""
+    kept = rankings.where(F.col("rank") <= k)
+    return (kept.join(voters.select("voter", "path", "retriever"), "retriever")
+            .select(qid, "voter", "path", "retriever", doc, "rank"))
+
+
 # ---------------------------------------------------------------- reciprocal rank fusion
 
 _COUNT_SCHEMA = T.StructType([

@@ -1,4 +1,4 @@
-"""Files written and read back (A4-A8, A10) and the pluggable predictor."""
+"""Files written and read back (A3-A8, A10) and the pluggable predictor."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from ..sources.links import explode_links, write_link_file
-from ..sources.records import read_csv, read_jsonl, write_csv, write_jsonl
+from ..sources.records import read_csv, read_jsonl, read_questions, write_csv, write_jsonl
 from ..operators import vote as V
 from . import fixtures as fx
 from .oracle_fixtures import with_views
@@ -38,6 +38,14 @@ def q_link_file_round_trip(spark, d):
     return links_as_text(read_jsonl(spark, path, "question_id long, schema_links map<string,array<string>>"))
 
 
+@query("question_file_round_trip", with_views("SELECT question_id, db_id, question FROM fx_questions", "fx_questions"))
+def q_question_file_round_trip(spark, d):
+    """A3: the question list as a file and read from it."""
+    path = _scratch(spark, "questions")
+    write_jsonl(fx.fx_questions(spark, d), path)
+    return read_questions(spark, path)
+
+
 @query("sft_round_trip", SFT_SQL)
 def q_sft_round_trip(spark, d):
     """A7 then A5: the chat records as JSON lines and back."""

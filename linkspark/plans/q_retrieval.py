@@ -1,5 +1,5 @@
 """Retrieval queries: tokeniser, BM25 over tables / pairs, top-k, cosine top-k, recall@k,
-forced gold inclusion (B1, D1, D2, D3, E1, D14, C5)."""
+forced gold inclusion, contexts per voter (B1, D1, D2, D3, E1, D14, C5, U3)."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from ..operators.canon import catalog_tables
 from . import fixtures as fx
 from .oracle_fixtures import define, with_views
 from .q_scoring import R, canon_gold, canon_votes, ensemble
-from .registry import query
+from .registry import ORACLES, query
 
 TOP_K = 20       # max_tables of the reference's filtered serialisation
 COSINE_K = 10
@@ -162,3 +162,22 @@ def q_rrf_topk(spark, d):
     return top.select("question_id", "table_idx", F.col("rank_bm25").cast("long").alias("rank_bm25"),
                       F.col("rank_embed").cast("long").alias("rank_embed"), F.round("fused", R).alias("fused"),
                       F.col("rank").cast("long").alias("rank"))
+
+
+# Four voters, of whom one names no retriever, over the two rankings above.
+VOTER_SPEC, DEFAULT_RETRIEVER, CONTEXT_K = "v1:bm25, v2 : rrf,,v3, dir:v4:bm25", "rrf", 5
+
+
+@query("voter_contexts", f"""
+    SELECT r.question_id, v.voter, v.path, v.retriever, r.table_idx, r.rank
+    FROM (VALUES (1, 'v1', 'bm25'), (2, 'v2', 'rrf'), (3, 'v3', 'rrf'), (4, 'dir:v4', 'bm25')) v(voter, path, retriever)
+    JOIN (SELECT 'bm25' AS retriever, question_id, table_idx, rank FROM ({ORACLES['bm25_topk']}) b
+          UNION ALL SELECT 'rrf', question_id, table_idx, rank FROM ({ORACLES['rrf_topk']}) f) r USING (retriever)
+    WHERE r.rank <= {CONTEXT_K}""")
+def q_voter_contexts(spark, d):
+    rankings = None
+    for name, ranked in (("bm25", q_bm25_topk), ("rrf", q_rrf_topk)):
+        r = ranked(spark, d).select(F.lit(name).alias("retriever"), "question_id", "table_idx", "rank")
+        rankings = r if rankings is None else rankings.unionByName(r)
+    voters = RT.voter_retrievers(spark.range(1).select(F.lit(VOTER_SPEC).alias("spec")), DEFAULT_RETRIEVER)
+    return RT.voter_contexts(voters, rankings, CONTEXT_K)

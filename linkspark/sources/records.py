@@ -1,4 +1,4 @@
-"""Record files: JSON lines (A5, A7, A10) and CSV (A8), one record to a line, written and read in parts."""
+"""Record files: question lists (A3), JSON lines (A5, A7, A10) and CSV."""
 
 from __future__ import annotations
 
@@ -22,3 +22,13 @@ def write_csv(records: DataFrame, path: str) -> None:
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+
+
+QUESTION_SCHEMA = "question_id long, db_id string, question string"
+
+
+def read_questions(spark: SparkSession, path: str, json_list: bool = False) -> DataFrame:
+    """A3: the questions of one record to a line, or with ``json_list`` of files that are one JSON list
+    each (such a file is one task's work).  Other fields are ignored, absent ones are null."""
+    reader = spark.read.schema(QUESTION_SCHEMA).option("mode", "FAILFAST")
+    return reader.option("multiLine", json_list).json(path)

@@ -6,9 +6,11 @@ well that bit did for that language in training (loss-weighted decoding), and ta
 smallest loss.  ``score`` is the winner's share when losses are read as negative log-likelihoods;
 ``ambiguous`` marks texts whose runner-up comes within ``AMBIGUOUS`` of it.
 
-Learning uses a bounded sample: at most ``FIT_ROWS`` texts in all, an equal quota for each of the
-``MAX_LANGS`` commonest languages, taken in order of a hash of the id, none longer than ``FIT_CHARS``.
-Prediction reads every whole text in one map-only pass.
+Every language with a labelled text that may be learned from is a class.  Learning uses a sample: an equal
+quota for each language of ``FIT_ROWS`` texts in all, though never below ``LANG_ROWS`` a language, so the sample
+grows with the languages and not with the rows; whole texts of any length, taken in order of a hash of id and
+text.  Tasks turn them into bucket counts, and only those reach the driver.  Prediction reads every whole text
+in one map-only pass.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; with nothing to learn from
 every text is ``und``; with one language every text with a letter gets it; rows with a null ``doc_id``
@@ -32,7 +34,7 @@ from linkspark.llm.common import held_out, read
 from linkspark.llm.text_features import code_points, is_letter, ngram_buckets
 
 BITS, ORDERS = 13, (1, 2, 3)
-FIT_ROWS, FIT_CHARS, MAX_LANGS = 4000, 20_000, 128
+FIT_ROWS, LANG_ROWS = 4000, 32
 AMBIGUOUS = 0.2
 EPOCHS, RATE, BATCH, DECAY = 12, 1.0, 32, 1e-6
 
@@ -65,9 +67,13 @@ def codewords(n: int, seed: int = 1) -> np.ndarray:
     best, least = None, -1
     for _ in range(50):
         code = rng.integers(0, 2, (n, width)) * 2 - 1
-        apart = (width - code @ code.T) // 2 + np.eye(n, dtype=int) * width
-        if apart.min() > least:
-            best, least = code, apart.min()
+        exact, alike = code.astype(np.float32), -width
+        for at in range(0, n, 1024):  # the products of n codewords with all n at once would not fit for large n
+            agree = exact[at: at + 1024] @ exact.T
+            agree[np.arange(len(agree)), np.arange(at, at + len(agree))] = -width
+            alike = max(alike, int(agree.max()))
+        if (width - alike) // 2 > least:
+            best, least = code, (width - alike) // 2
     return best
 
 
@@ -82,8 +88,8 @@ class Model:
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each row of features: the language's number, the score, and whether it is ambiguous."""
         margin = x @ self.weights + self.bias
-        loss = np.logaddexp(0, -margin[:, None, :] * self.code[None]) * self.trust[None]
-        total = loss.sum(axis=2)
+        total = (np.logaddexp(0, -margin) @ (self.trust * (self.code > 0)).T
+                 + np.logaddexp(0, margin) @ (self.trust * (self.code < 0)).T)
         like = np.exp(total.min(axis=1, keepdims=True) - total)
         share = like / like.sum(axis=1, keepdims=True)
         best = share.argmax(axis=1)
@@ -92,61 +98,71 @@ class Model:
         return best, share[np.arange(len(x)), best].astype(float), close
 
 
-def train(x: np.ndarray, y: np.ndarray, langs: list[str], seed: int = 7) -> Model:
+def dense(rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """One row of features for each ``(buckets, values)``."""
+    x = np.zeros((len(rows), 1 << BITS), np.float32)
+    for row, (at, values) in zip(x, rows):
+        row[at] = values
+    return x
+
+
+def train(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, langs: list[str], seed: int = 7) -> Model:
     """Adaptive stochastic gradient descent on all bits at once."""
     rng, code = np.random.default_rng(seed), codewords(len(langs))
-    w, b = np.zeros((x.shape[1], code.shape[1]), np.float32), np.zeros(code.shape[1], np.float32)
+    w, b = np.zeros((1 << BITS, code.shape[1]), np.float32), np.zeros(code.shape[1], np.float32)
     gw, gb = np.full_like(w, 1e-6), np.full_like(b, 1e-6)
     for _ in range(EPOCHS):
-        order = rng.permutation(len(x))
-        for at in range(0, len(x), BATCH):
+        order = rng.permutation(len(rows))
+        for at in range(0, len(rows), BATCH):
             i = order[at: at + BATCH]
-            bits = code[y[i]].astype(np.float32)
-            pull = -bits / (1 + np.exp(np.clip(bits * (x[i] @ w + b), -30, 30))) / len(i)
-            dw, db = x[i].T @ pull + DECAY * w, pull.sum(axis=0)
+            x, bits = dense([rows[k] for k in i]), code[y[i]].astype(np.float32)
+            pull = -bits / (1 + np.exp(np.clip(bits * (x @ w + b), -30, 30))) / len(i)
+            dw, db = x.T @ pull + DECAY * w, pull.sum(axis=0)
             gw += dw * dw
             gb += db * db
             w -= RATE * dw / np.sqrt(gw)
             b -= RATE * db / np.sqrt(gb)
     right = np.zeros(code.shape)
-    hit = (np.sign(x @ w + b) == code[y]).astype(float)
-    for k in range(len(langs)):
-        right[k] = hit[y == k].mean(axis=0) if (y == k).any() else 1.0
-    trust = np.maximum(right, 1e-3)
+    for at in range(0, len(rows), 512):
+        k = y[at: at + 512]
+        np.add.at(right, k, np.sign(dense(rows[at: at + 512]) @ w + b) == code[k])
+    trust = np.maximum(right / np.bincount(y, minlength=len(langs))[:, None], 1e-3)
     return Model(langs, code, trust / trust.sum(axis=1, keepdims=True) * code.shape[1], w, b)
 
 
 def fit(docs: DataFrame, fit_rows: int = FIT_ROWS) -> Model | None:
     """Learn from ``text`` and ``lang`` of rows that are not held out; None if there are none."""
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
-                      & (F.length("text") <= FIT_CHARS))
-    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    if not top:
+    # a letter, or a character that Java does not know and Python may; which one it is, counts() tells
+    rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"[\p{L}\p{Cn}]") & ~held_out(F.col("doc_id"))).select(
+        "lang", "text", F.xxhash64("doc_id", "text").alias("place"))
+    found = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("place").alias("least")).collect()
+    if not found:
         return None
-    langs = sorted(r["lang"] for r in top)
-    quota = max(1, fit_rows // len(langs))
-    # a hash threshold thins the rows to about twice the quota before the window makes the bound exact
-    share = F.create_map(*(F.lit(v) for r in top for v in (r["lang"], min(1.0, 2 * quota / r["count"] + 1e-6))))
-    place = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = (rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
-              .select("lang", "doc_id", "text").withColumn("place", F.row_number().over(place)).where(F.col("place") <= quota))
+    quota = max(LANG_ROWS, fit_rows // len(found))
+    # a hash threshold thins the rows to about twice the quota, and to one at least, before the window makes the bound exact
+    last = docs.sparkSession.createDataFrame(
+        [(r["lang"], max(r["least"], 2 * quota * (2**64 - 1) // max(r["n"], 2 * quota) - 2**63)) for r in found], "lang string, last long")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                if (x := counts(text)) is not None:
+            for lang, place, text in zip(batch.column("lang").to_pylist(), batch.column("place").to_pylist(), batch.column("text")):
+                if (x := counts(text.as_py())) is not None:
                     at = np.flatnonzero(x)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang]), pa.array([at.astype(np.int32).tobytes()]), pa.array([x[at].tobytes()])], ["lang", "at", "x"])
+                        [pa.array([lang]), pa.array([place]), pa.array([at.astype(np.uint16).tobytes()]), pa.array([x[at].tobytes()])],
+                        ["lang", "place", "at", "x"])
 
-    got = sample.mapInArrow(features, "lang string, at binary, x binary").collect()
+    sample = (rows.join(F.broadcast(last), "lang").where("place <= last").select("lang", "place", "text")
+              .mapInArrow(features, "lang string, place long, at binary, x binary"))
+    nth = Window.partitionBy("lang").orderBy("place", "at", "x")
+    got = sample.withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= quota).select("lang", "at", "x").collect()
     got.sort(key=lambda r: (r["lang"], r["at"], r["x"]))
     if not got:
         return None
-    x, y = np.zeros((len(got), 1 << BITS), np.float32), np.array([langs.index(r["lang"]) for r in got])
-    for row, r in zip(x, got):
-        row[np.frombuffer(r["at"], np.int32)] = np.frombuffer(r["x"], np.float32)
-    return train(x, y, langs)
+    langs = sorted({r["lang"] for r in got})
+    number = {lang: k for k, lang in enumerate(langs)}
+    return train([(np.frombuffer(r["at"], np.uint16), np.frombuffer(r["x"], np.float32)) for r in got],
+                 np.array([number[r["lang"]] for r in got]), langs)
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -135,6 +135,33 @@ def test_language_with_little_to_learn(spark, tmp_path, langs):
     assert [(r.doc_id, r.lang_pred) for r in sorted(got)] == [(i, v or "und") for i, v in enumerate(langs)]
 
 
+def test_long_texts_are_learned_from(spark, tmp_path):
+    words = {"en": "the quick brown fox ", "el": "αλφα βητα γαμμα "}
+    docs = [(i, words[v] * 2500 + str(i), v, "s", *EXTRA) for i in range(12) for v in words]
+    table(spark, tmp_path, "documents", [*docs, (50, words["en"], None, "s", *EXTRA)], DOCS)
+    got = language_codes.op10_language_ecoc(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.lang_pred) for r in got) == sorted([*((i, v) for i, _, v, *_ in docs), (50, "en")])
+
+
+def test_every_language_is_learned(spark, tmp_path):
+    text = lambda k, i: "".join(chr(0x4E00 + 20 * k + (7 * i + j * j) % 20) for j in range(40))
+    rows = [(10 * k + i, text(k, i), f"l{k:03}") for k in range(150) for i in range(10)]
+    table(spark, tmp_path, "documents", [(*r, "s", *EXTRA) for r in rows], DOCS)
+    got = {r.doc_id: r.lang_pred for r in language_codes.op10_language_ecoc(spark, str(tmp_path)).collect()}
+    assert len(set(got.values())) == 150
+    assert sum(got[i] == v for i, _, v in rows) >= 0.98 * len(rows)
+
+
+def test_a_language_without_ids_is_learned(spark):
+    rows = [(None, f"the quick brown fox {i}", "en") for i in range(300)] + [(i, f"αλφα βητα {i}", "el") for i in range(300)]
+    rows += [(i, "12 34", "el") for i in range(1000, 1300)] + [(i, "1 2 3", "digits") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_codes.fit(docs, fit_rows=64)
+    assert model.langs == ["el", "en"]
+    got = language_codes.predict(docs, model).collect()
+    assert all(r.lang_pred == (r.lang if any(map(str.isalpha, r.text)) else "und") for r in got)
+
+
 LABELS = "doc_id long, quality int, toxic int, text string, label int"
 
 

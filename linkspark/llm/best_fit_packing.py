@@ -7,7 +7,8 @@ cross no exchange.  What the bins still open at a task's end hold (at most ``OPE
 out anew to a few tasks, longest pieces first, and packed the same way; the number of those tasks grows
 with the number of such pieces.
 
-A document's ids are its tokens and then the separator 0.  Only documents longer than a sequence are cut,
+A document's ids are its tokens and then the separator 0; a vocabulary's added tokens that stand in a text
+(``<|endoftext|>``) are one id each, as the tokenizer gives them.  Only documents longer than a sequence are cut,
 into full sequences and a rest.
 
 Defined cases: null and empty texts are the separator alone; ids may be null or repeated (each row is a
@@ -46,6 +47,7 @@ class WordIds(dict):
         spaces = [chr(i) for i in range(sys.maxunicode + 1) if chr(i).isspace()]
         odd = [c for c in spaces if self.encode(f"a{c}b") != self.encode("a b")]
         self.odd = re.compile(f"[{''.join(odd)}]") if odd else None
+        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
     def encode(self, text: str) -> bytes:
         ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -60,7 +62,8 @@ class WordIds(dict):
         return ids
 
     def of(self, text: str) -> bytes:
-        if self.odd and self.odd.search(text):  # white space to Python that the tokenizer keeps
+        # white space to Python that the tokenizer keeps, or a token that it finds before it looks at words
+        if self.odd and self.odd.search(text) or any(t in text for t in self.added):
             return self.encode(text)
         return b"".join(map(self.__getitem__, text.split()))
 
@@ -70,9 +73,7 @@ def word_ids(path: str) -> WordIds:
     """One per Python worker and vocabulary file."""
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return WordIds(tokenizer)
+    return WordIds(Tokenizer.from_file(path))
 
 
 class OpenBins:

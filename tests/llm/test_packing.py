@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from linkspark.llm import best_fit_packing as B
 
@@ -23,6 +24,13 @@ def test_word_by_word_equals_whole_text(words, text):
     assert words.of(text) == words.encode(text)
 
 
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "a<|endoftext|>b", "<|startoftext|><|endoftext|>", "x <|ENDOFTEXT|> <|endof text|>", "it's"])
+def test_ids_are_those_of_the_tokenizer_as_loaded(spark, text):
+    ids = Tokenizer.from_file(B.tokenizer_path()).encode(text, add_special_tokens=False).ids + [0]
+    got = B.with_digest(B.pack(spark.createDataFrame([(1, text)], "doc_id long, text string"), B.tokenizer_path())).collect()
+    assert [(r.start, r.length, r.ids_crc32) for r in got] == [(0, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 20), max_size=200), st.integers(1, 12))
 def test_open_bins(sizes, most):

@@ -7,7 +7,8 @@ work is linear in the text and nothing is tried at other places.
 Base kinds (leftmost, non-overlapping within a kind; a candidate that fails its check is consumed):
 email, ip (parts at most 255), card (13 to 19 digits, Luhn), phone (9 to 15 digits).  Added kinds: iban
 (cue, then a number that passes mod 97), account (cue, then an identifier of 6 to 34 characters with at
-least 5 digits), login (``scheme://user:password@host``).  Spans are code points, end exclusive.
+least 5 digits, groups of digits parted by single spaces not counting those), login
+(``scheme://user:password@host``).  Cues count in any case.  Spans are code points, end exclusive.
 
 Defined cases: a null text has no spans; repeated rows are treated alike; an empty table gives an empty
 result; only ``doc_id`` and ``text`` are read, ``redact`` keeps every other column.
@@ -38,8 +39,8 @@ _IP = re.compile(r"([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _RUN = re.compile(r"[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_FILLER = re.compile(r"(?:[ \t]*+(?:no|nr|number|num|id|n°)\b\.?)?[ \t]*+[:=#]?[ \t]*+", re.I)
-_IDENT = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9]|-(?=[A-Za-z0-9])){5,33}(?![A-Za-z0-9-])")
+_FILLER = re.compile(r"(?:[ \t]*+(?:no|nr|number|num|id|n°)\b\.?)?(?:[ \t]*+is(?=[ \t:=#]))?[ \t]*+[:=#]?[ \t]*+", re.I)
+_IDENT = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9]|-(?=[A-Za-z0-9])|(?<=[0-9]) (?=[0-9]++(?![A-Za-z]))[0-9]){5,33}(?![A-Za-z0-9-])")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 _LOGIN = re.compile(r"[^\s/@:]+:[^\s/@]+@[A-Za-z0-9.-]+")
 
@@ -54,12 +55,16 @@ def automaton():
     for mark, kind in (("@", "email"), ("+", "phone"), ("://", "login")):
         a.add_word(mark, (kind, len(mark)))
     for cue, kind in [("iban", "iban"), *((c, "account") for c in CUES)]:
-        for form in {cue, cue.upper(), cue.capitalize()}:
-            a.add_word(form, (kind, len(form)))
+        a.add_word(cue, (kind, len(cue)))
     a.make_automaton()
     return a
 
 
+def ascii_lower(text: str) -> str:
+    """``text`` with A to Z in lower case and every other character, and so every place, as it was."""
+    return text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, d in enumerate(reversed(digits)):
@@ -81,7 +86,7 @@ def find(text: str) -> list[tuple[str, int, int]]:
         found[kind].append((kind, start, end))
         past[kind] = end
 
-    for last, (kind, width) in automaton().iter(text):
+    for last, (kind, width) in automaton().iter(ascii_lower(text)):
         at, after = last - width + 1, last + 1
         if kind == "number":
             if at >= past["run"]:  # the first digit of a run

@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -37,6 +38,20 @@ def test_added_spans():
     assert [(k, e - s) for k, s, e in found if k not in P.BASE_KINDS] == [("iban", 27), ("account", 8), ("login", len("ftp://me:pw@host.example"))]
 
 
+@pytest.mark.parametrize("text, number", [
+    ("Customer ID: 12345678", "12345678"), ("İ cUSTOMER iD 12345678", "12345678"), ("PassPort No. X1234567", "X1234567"),
+    ("Account: 1234 5678 9012", "1234 5678 9012"), ("account number is 12345678", "12345678"), ("Account is: DE12 3456, then", "DE12 3456"),
+    ("account is-12345678", "is-12345678"), ("account 12345678 9th", "12345678"), ("account 1234567  89", "1234567"),
+    ("account 1234567 " + "8" * 50, "1234567"), ("account 123 456 " + "7 " * 28 + "x", ("123 456 " + "7 " * 28).strip())])
+def test_accounts_in_any_spelling(text, number):
+    at = text.index(number)
+    assert [s for s in P.find(text) if s[0] == "account"] == [("account", at, at + len(number))]
+
+
+def test_iban_in_any_spelling():
+    assert [s[0] for s in P.find("Your iBan is DE89 3704 0044 0532 0130 00")][-1] == "iban"
+
+
 def test_long_runs_are_linear():
     for text in ("1" * 300_000, "1." * 150_000, "a@" * 150_000, "+1" * 150_000, "a" * 300_000 + "@", "iban " * 60_000):
         P.find(text)

@@ -4,7 +4,8 @@ On a bounded sample (``FIT_ROWS`` vectors in order of a hash of the id) the grap
 cut into balanced parts, and a small network with one hidden layer learns which part a vector, and its
 neighbours, belong to.  Every row is indexed under its most probable part.  A query is sent to the most
 probable parts until their probabilities add up to the mass that found ``TARGET`` of the true neighbours on
-the sample, and its candidates are reranked by the exact inner product in double precision.  The query's
+the sample, and on to further parts until they hold ``k`` rows besides those of its own id; its candidates are
+reranked by the exact inner product in double precision.  The query's
 ``k``-th best score among the sample's rows in its parts goes along as a floor, so a block of a part passes
 on no row that cannot be among the answers.
 
@@ -110,12 +111,14 @@ class Router:
                     v -= RATE * 10 * (1 - epoch / EPOCHS) * g
                     p_ += v
 
-    def probes(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (row, part), each row's most probable parts up to ``mass``."""
+    def probes(self, x: np.ndarray, held: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (row, part), each row's most probable parts up to ``mass``, and on until they hold its
+        ``least`` rows (``held`` has the rows of each part)."""
         p = self(x)
         order = np.argsort(-p, axis=1, kind="stable")
         sorted_p = np.take_along_axis(p, order, axis=1)
         take = np.cumsum(sorted_p, axis=1) - sorted_p < self.mass
+        take |= np.cumsum(held[order], axis=1) - held[order] < least[:, None]
         row, place = np.nonzero(take)
         return row, order[row, place]
 
@@ -190,24 +193,33 @@ def search(rows: DataFrame, queries: DataFrame, k: int, target: float = TARGET)
             for at in range(0, len(b), 256):
                 c = b.slice(at, 256)
                 q, (v, ids, home) = _matrix(c.column("v")), known.value
-                row, part = router.value.probes(q)
+                row, part = router.value.probes(q, held.value, k + c.column("own").to_numpy())
                 s = q @ v.T
                 asked = np.zeros((len(q), len(router.value.b2)), bool)
                 asked[row, part] = True
                 s[(ids[None, :] == c.column("vec_id").to_numpy()[:, None]) | ~asked[:, home]] = -np.inf
                 floor = np.partition(s, -k, axis=1)[:, -k] if len(ids) >= k else np.full(len(q), -np.inf)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(part, pa.int32()), *(x.take(pa.array(row)) for x in c.columns), pa.array(floor[row])], ["part", "vec_id", "v", "floor"])
+                    [pa.array(part, pa.int32()), *(c.column(n).take(pa.array(row)) for n in ("vec_id", "v")), pa.array(floor[row])],
+                    ["part", "vec_id", "v", "floor"])
+
+    def counted(df: DataFrame) -> dict[int, int]:
+        return {r["part"]: r["count"] for r in df.groupBy("part").count().collect()}
 
     indexed = materialise(rows.mapInArrow(index, f"part int, vec_id long, v {kind}"), "ann-index")
-    once = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
+    part_rows = counted(indexed)
+    held = spark.sparkContext.broadcast(np.array([part_rows.get(i, 0) for i in range(len(router.value.b2))]))
+    # the rows of a query's own id are no answers to it, wherever they lie
+    own_rows = rows.groupBy("vec_id").agg(F.count("*").alias("own"))
+    once = (queries.groupBy("vec_id").agg(F.min("v").alias("v")).join(own_rows, "vec_id", "left")
+            .select("vec_id", "v", F.coalesce("own", F.lit(0)).alias("own")))
     routed = materialise(once.mapInArrow(route, f"part int, vec_id long, v {kind}, floor double"), "ann-queries")
 
-    def blocks(df: DataFrame, most: int):
-        n = {r["part"]: -(-r["count"] // most) for r in df.groupBy("part").count().collect()}
+    def blocks(part_rows: dict[int, int], most: int):
+        n = {part: -(-count // most) for part, count in part_rows.items()}
         return F.coalesce(F.create_map(*(F.lit(x) for item in (n or {-1: 1}).items() for x in item))[F.col("part")], F.lit(1))
 
-    row_blocks, query_blocks = blocks(indexed, BLOCK_ROWS), blocks(routed, BLOCK_QUERIES)
+    row_blocks, query_blocks = blocks(part_rows, BLOCK_ROWS), blocks(counted(routed), BLOCK_QUERIES)
     every = lambda n: F.explode(F.sequence(F.lit(0), n.cast("int") - 1))
     own = lambda n: F.pmod(F.xxhash64("vec_id", F.lit(17)), n).cast("int")
     left = indexed.withColumn("rb", own(row_blocks)).withColumn("qb", every(query_blocks))

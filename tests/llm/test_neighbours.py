@@ -46,6 +46,26 @@ def test_recall_and_order(spark, tmp_path, monkeypatch, copies):
     assert hit >= 0.9 * 20 * len(want)
 
 
+def test_small_parts_are_topped_up(spark, monkeypatch):
+    router = L.Router(8, 8, np.random.default_rng(0))
+    router.w1, router.w2, router.mass = np.eye(8, L.HIDDEN), 50 * np.eye(L.HIDDEN, 8), 1e-9  # part i lies around axis i; one probe
+    monkeypatch.setattr(L, "fit", lambda *_: router)
+    rng = np.random.default_rng(1)
+    rows = []
+    for part, size in enumerate([2, 0, 9, 21, 15, 40]):
+        rows += [(100 * part + i, [float(y) for y in np.eye(8)[part] + rng.random(8) * 0.2]) for i in range(size)]
+    rows += [(0, rows[0][1])] * 30 + [(300, rows[-1][1])] * 5  # repeats of a query, in its part and in another
+    table = spark.createDataFrame(rows, "vec_id long, v array<float>")
+    got = {}
+    for r in L.search(table, table.where("vec_id % 100 = 0"), 20).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    assert set(got) == {0, 200, 300, 400, 500}
+    for q, found in got.items():
+        assert sorted(n for n, _ in found) == list(range(1, 21)) and q not in {i for _, i in found}
+    few = table.where("vec_id in (0, 1, 200, 201)")
+    assert sorted((r.query_id, r.vec_id) for r in L.search(few, few.where("vec_id = 0"), 20).dropDuplicates().collect()) == [(0, 1), (0, 200), (0, 201)]
+
+
 def test_few_rows(spark, tmp_path):
     for name, data in (("a", []), ("b", [(20, [1.0, 2.0])]), ("c", [(20, [1.0, 2.0]), (3, [1.0, 2.0]), (1, [1.0, 2.0]), (40, [-1.0, 0.0]), (40, [-1.0, 0.0])])):
         spark.createDataFrame(data, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / name / "embeddings.parquet"))

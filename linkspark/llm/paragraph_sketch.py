@@ -4,11 +4,13 @@ A paragraph is a line; lines longer than ``SPLIT`` characters are cut at sentenc
 length.  Repeated paragraphs are told apart by their number, so a text is a set of 64-bit digests.  Every
 digest is added to one cell in each of three subtables; a cell holds a count, the sum of its digests and
 the sum of their check values.  Sketches of one size subtract cell by cell, and peeling (take a cell that
-holds one digest, remove it from its other cells, go on) recovers the digests in which two texts differ;
-where peeling gets stuck, the pair is tried again at twice the size.  Sizes are powers of two and halves
-of a sketch add up to the sketch of half the size, so a larger fingerprint can always be compared at a
-smaller size.  A fingerprint has the smallest size from ``n / 2`` cells a subtable at which it peels by
-itself: it can be turned back into its digests, and with them be widened.
+holds one digest, remove it from its other cells, go on) recovers the digests in which two texts differ.
+Sizes are powers of two.  A fingerprint has the smallest size from ``n / 2`` cells a subtable at which it
+peels by itself, so it can be turned back into its digests.
+
+Fingerprints are not subtracted as they are.  Two texts are compared in a new, small sketch filled from the
+digests of both; where peeling gets stuck, the pair is tried again in one of twice the size.  Within the query
+the digests are those of the texts; ``fingerprint_likeness`` first turns both fingerprints back into theirs.
 
 Likeness is the Jaccard similarity of the two digest sets, from their sizes and the recovered difference.
 

@@ -17,13 +17,17 @@ nothing left gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import Matrices
 from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkspark.llm.common import materialise, read
@@ -65,25 +69,47 @@ def sums(rows: DataFrame) -> tuple[int, list[int]]:
     return (each[0]["n"], [int(r["s"]) for r in each]) if each else (0, [])
 
 
-def centred(x: Column, n: int, s: list[int]) -> Column:
-    """``x - s/n`` with one rounding, taken over the exact ``n*x - s`` where that fits a long."""
-    def entry(c: Column, total: Column) -> Column:
-        exact = F.try_subtract(F.try_multiply(c, F.lit(n)), total.cast("long"))
-        return F.coalesce(exact.cast("double") / n, c.cast("double") - total.cast("double") / n)
+def distances(x: np.ndarray, n: int, s: list[int]) -> np.ndarray:
+    """The exact ``n*x - s``, as Python integers where 64 bits might not do."""
+    if int(np.abs(x).max()) * n + max(map(abs, s)) < 2**62:
+        return x * n - np.array(s, np.int64)
+    return x.astype(object) * n - np.array(s, object)
+
+
+def deviations(d: np.ndarray) -> list[int | None]:
+    """The exact sum of squares of each row, None beyond a long."""
+    most = max(abs(int(d.max())), abs(int(d.min())))
+    squares = (d.astype(object) if d.dtype == object or most * most * d.shape[1] >= 2**63 else d) ** 2
+    return [t if t < 2**63 else None for t in map(int, squares.sum(axis=1))]
+
+
+def centred(rows: DataFrame, n: int, s: list[int]) -> DataFrame:
+    """``row, v`` (the vector less the mean, rounded once) of ``rows``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if len(b):
+                v = distances(matrix(b.column("x")), n, s).astype(float) / n
+                ends = pa.array(np.arange(len(b) + 1, dtype=np.int32) * len(s))
+                yield pa.RecordBatch.from_arrays([b.column("row"), pa.ListArray.from_arrays(ends, pa.array(v.ravel()))], ["row", "v"])
+
+    return rows.select("row", "x").mapInArrow(run, "row long, v array<double>")
+
 
-    return F.zip_with(x, F.lit(s) if max(map(abs, s)) < 2**63 else F.array(*(F.lit(str(t)).cast("decimal(38,0)") for t in s)), entry)
+def measured(rows: DataFrame, n: int, s: list[int]) -> DataFrame:
+    """``row, vec_id, deviation`` of ``rows``."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if len(b):
+                out = deviations(distances(matrix(b.column("x")), n, s))
+                yield pa.RecordBatch.from_arrays([b.column("row"), b.column("vec_id"), pa.array(out, pa.int64())], ["row", "vec_id", "deviation"])
 
-def deviation(x: Column, n: int, s: list[int]) -> Column:
-    """The exact sum of ``(n*x - s)**2``, null beyond a long."""
-    if max(map(abs, s)) >= 2**63:
-        return F.lit(None).cast("long")
+    return rows.select("row", "vec_id", "x").mapInArrow(run, "row long, vec_id long, deviation long")
 
-    def square(c: Column, total: Column) -> Column:
-        d = F.try_subtract(F.try_multiply(c, F.lit(n)), total)
-        return F.try_multiply(d, d)
 
-    return F.aggregate(F.zip_with(x, F.lit(s), square), F.lit(0).cast("long"), lambda a, b: F.try_add(a, b))
+def matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy().reshape(len(column), -1)
 
 
 def block_matrix(rows: DataFrame, n: int, dim: int) -> BlockMatrix:
@@ -133,10 +159,12 @@ def whiten(table: DataFrame, most: int = COMPONENTS) -> DataFrame:
     if not n:
         return nothing
     rows = numbered(rows)
-    x = block_matrix(rows.select("row", centred(F.col("x"), n, s).alias("v")), n, len(s))
+    # read five times over; what a lost executor held is built again from the rows
+    x = block_matrix(centred(rows, n, s), n, len(s)).persist(StorageLevel.MEMORY_AND_DISK)
     v = scatter(x) / n
     e, vectors = components(v, most)
     if not len(e):
+        x._java_matrix_wrapper._java_model.blocks().unpersist(False)
         return nothing
     whitening = Matrices.dense(len(s), len(e), (vectors / np.sqrt(e)).ravel(order="F").tolist())
     w = BlockMatrix(spark.sparkContext.parallelize([((0, 0), whitening)], 1), len(s), len(e), len(s), len(e))
@@ -144,8 +172,9 @@ def whiten(table: DataFrame, most: int = COMPONENTS) -> DataFrame:
     z = callMLlibFunc("getIndexedRows", projected._java_matrix_wrapper._java_model).select(
         F.col("index").alias("row"), vector_to_array("vector").alias("z"))
     z = materialise(z, "whiten-projected")
+    x._java_matrix_wrapper._java_model.blocks().unpersist(False)
     error = identity_error(z, n, len(e))
-    return rows.select("row", "vec_id", deviation(F.col("x"), n, s).alias("deviation")).join(z, "row").select(
+    return measured(rows, n, s).join(z, "row").select(
         "vec_id", F.lit(n).cast("long").alias("n"), "deviation", "z",
         F.lit([float(share) for share in e / np.trace(v)]).alias("explained"), F.lit(error).alias("identity_error"))
 

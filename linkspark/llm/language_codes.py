@@ -190,6 +190,16 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     return kept.mapInArrow(score, schema)
 
 
+def with_letter(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text has a letter, which are those with a language."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([bool(is_letter(code_points((t.as_py() or "").lower())).any()) for t in batch.column("text")], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op10_language_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return predict(docs.select("doc_id", "text"), fit(docs)).select(

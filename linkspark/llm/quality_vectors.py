@@ -1,18 +1,20 @@
 """A quality classifier on supervised subword embeddings.
 
-Every word, every character 2- to 4-gram and every immediate repetition of a word is hashed to a bucket
-with a learned vector; the text's vector is the average over all of them, and a softmax over two classes reads it.  Vectors and
+Every word, every two neighbouring words and every character 2- to 4-gram is hashed to a bucket with a learned
+vector; the text's vector is the average over all of them, and a softmax over two classes reads it.  Vectors and
 output weights are learned together by numpy stochastic gradient descent.  Because the output is linear
 in the average, scoring a text needs one number per bucket (its vector's product with the difference of
 the two output weights), which gives the same score as the vectors themselves.
 
-Learning uses a bounded sample of labelled rows: at most ``FIT_ROWS`` texts in order of a hash of the id,
-none longer than ``FIT_CHARS``.  Scoring reads every whole text in one map-only pass.
+Learning uses a bounded sample of labelled rows: at most ``FIT_ROWS`` texts of any length, in order of a hash of
+the id.  Tasks turn whole texts into bucket counts, and only those (six bytes for each of at most ``2**BITS``
+buckets a text) reach the driver.  Scoring reads every whole text in one map-only pass.
 
 Defined cases: null and empty texts have no features and get the bias alone; a document whose labels
-disagree, or whose label is null, is not learned from; without labelled rows every score is 0.5;
-repeated rows score alike; an empty table gives an empty result; only ``doc_id`` and ``text`` of the
-documents and ``doc_id`` and ``quality`` of the labels are read.
+disagree, or one of whose labels is null or neither 0 nor 1, is not learned from; of rows that repeat a labelled id
+the smallest text is learned from; with labels of one class only every score leans to it; without labelled rows every
+score is 0.5; repeated rows score alike; an empty table gives an empty result; only ``doc_id`` and ``text`` of
+the documents and ``doc_id`` and ``quality`` of the labels are read.
 """
 
 from __future__ import annotations
@@ -27,23 +29,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from linkspark.llm.common import held_out, read
-from linkspark.llm.text_features import code_points, ngram_buckets, word_buckets
+from linkspark.llm.text_features import code_points, mix, ngram_buckets, word_buckets
 
-BITS, ORDERS, DIM = 17, (2, 3, 4), 16
-#: A marker counts as so many features, about a fifth of what a word's n-grams are.
-REPEAT_WEIGHT = 4
-FIT_ROWS, FIT_CHARS = 3000, 8_000
+BITS, ORDERS, DIM = 16, (2, 3, 4), 16
+FIT_ROWS = 3000
 EPOCHS, RATE = 8, 2.0
 THRESHOLD = 0.7
+#: Keeps a pair of words apart from the same two the other way round.
+PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def features(text: str) -> np.ndarray:
-    """Buckets of all words, of all character n-grams, and of a marker for each word that repeats the
-    one or two before it (a word bigram whose two halves are equal, whatever the word)."""
+    """Buckets of all words, of all pairs of neighbouring words and of all character n-grams."""
     points = code_points(text)
     words = word_buckets(points, 62)
-    again = [np.full(REPEAT_WEIGHT * int((words[lag:] == words[:-lag]).sum()), lag, np.int64) for lag in (1, 2)]
-    return np.concatenate([words >> (62 - BITS), *again, *(ngram_buckets(points, n, BITS) for n in ORDERS)])
+    pairs = mix(words[:-1].astype(np.uint64) * PAIR + words[1:].astype(np.uint64)) >> np.uint64(64 - BITS)
+    return np.concatenate([words >> (62 - BITS), pairs.astype(np.int64), *(ngram_buckets(points, n, BITS) for n in ORDERS)])
 
 
 @dataclass
@@ -80,12 +81,14 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 11) -> Mod
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model | None:
     """Learn from labelled documents that are not held out; None if there are none."""
-    one = (labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id")
-           .agg(F.min("quality").alias("label"), F.max("quality").alias("most")).where("label = most").drop("most"))
-    usable = docs.select("doc_id", "text").where(F.length("text") <= FIT_CHARS)
+    clear = F.coalesce(F.col("quality").isin(0, 1), F.lit(False))
+    one = (labels.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id")
+           .agg(F.min("quality").cast("int").alias("label"), F.max("quality").alias("most"), F.bool_and(clear).alias("clear"))
+           .where("clear and label = most").select("doc_id", "label"))
+    usable = docs.select("doc_id", "text").where(F.length("text") > 0)
     ids = usable.select("doc_id").join(one, "doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     # the ids are bounded by fit_rows, a documented parameter
-    sample = usable.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
+    sample = (usable.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,14 +96,14 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model |
                 at, n = np.unique(features(text), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([doc_id.as_py()], pa.int64()), pa.array([label.as_py()], pa.int32()),
-                     pa.array([at.astype(np.int32).tobytes()]), pa.array([n.astype(np.int32).tobytes()])], ["doc_id", "label", "at", "n"])
+                     pa.array([at.astype(np.uint16).tobytes()]), pa.array([n.astype(np.int32).tobytes()])], ["doc_id", "label", "at", "n"])
 
     got = sample.mapInArrow(hashed, "doc_id long, label int, at binary, n binary").collect()
     rows = []
     for r in sorted(got, key=lambda r: r["doc_id"]):
         n = np.frombuffer(r["n"], np.int32)
         if len(n):
-            rows.append((np.frombuffer(r["at"], np.int32), (n / n.sum()).astype(np.float32), r["label"]))
+            rows.append((np.frombuffer(r["at"], np.uint16).astype(np.int32), (n / n.sum()).astype(np.float32), r["label"]))
     return train(rows) if rows else None
 
 

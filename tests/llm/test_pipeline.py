@@ -72,3 +72,10 @@ def test_clashing_columns(spark):
             assert out.columns == docs.columns and out.dtypes == docs.dtypes
             assert out.count() and out.where(" or ".join(f"not {c} <=> cast(doc_id as string)" for c in names)).count() == 0
         docs = out
+
+
+def test_a_corpus_without_languages_is_kept(spark):
+    rows = [(i, f"plain text {i}", None, "s", 9) for i in range(50)] + [(60, "12 34", None, "s", 5), (61, None, None, "s", 0), (62, "", None, "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.language(spark, docs, SF)
+    assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == list(range(50))

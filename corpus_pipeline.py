@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from linkspark.llm.best_fit_packing import pack, tokenizer_path, with_digest
 from linkspark.llm.common import materialise, neutral_names, read
 from linkspark.llm.jaccard_join import keep_one
-from linkspark.llm.language_codes import fit, predict
+from linkspark.llm.language_codes import fit, predict, with_letter
 from linkspark.llm.pii_anchors import redact
 from linkspark.llm.source_mix import mix
 
@@ -21,9 +21,11 @@ WORDS, PERCENT = 5, 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter, and texts between two languages, go."""
+    """Texts without a letter, and texts between two languages, go.  Where no row has a language to learn from,
+    no text lies between two, so every text with a letter stays."""
     plain = neutral_names(docs, ("doc_id", "text"))
-    known = predict(plain, fit(docs)).where("lang_pred != 'und' and not lang_ambiguous")
+    model = fit(docs)
+    known = predict(plain, model).where("lang_pred != 'und' and not lang_ambiguous") if model else with_letter(plain)
     return known.select(plain.columns).toDF(*docs.columns)
 
 

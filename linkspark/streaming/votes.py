@@ -1,12 +1,14 @@
 """Incremental ensemble as a Structured Streaming job.
 
-Link rows of each voter arrive as files.  One stateful aggregation keyed on
-``(question, tlc, clc)`` keeps the set of voters seen per identifier (bounded by
-the number of voters; the state itself grows with the questions).  Every micro-batch
-publishes, through ``foreachBatch``, the running *union* until a link of every configured
-voter has arrived, then the final aggregation mode.  A publication is written to a folder
-of its own (``epoch=<id>``) and then marked in ``published``; readers take the last marked
-one, so they see the previous or the new publication, never a part.
+Link rows of each voter arrive in files, in any order and number; an end record (``n_links`` set, no question)
+says how many link rows its voter has sent in all.  A voter is present once its end record and that many
+rows, valid or not, have arrived.  One stateful aggregation in update mode keeps the voters of each identifier and
+how many rows each voter has sent; the state grows with the questions.
+
+Every micro-batch publishes only the identifiers that it changed, as a delta of its epoch, and then a manifest:
+the last compacted base, the deltas since, and the voters' counts.  Every ``compact_every`` epochs base and
+deltas become a new base.  Readers follow the last manifest that was written whole: they see the running *union*
+until all voters are present, then the final mode.  An epoch that is run again replaces what it wrote.
 """
 
 from __future__ import annotations
@@ -19,56 +21,118 @@ from pyspark.sql import functions as F
 from ..operators.canon import NO_COLUMN, SCOPE, catalog_columns, catalog_tables
 from ..plans.joins import broadcast_if_small
 
-LINK_SCHEMA = "question_id long, db_id string, voter int, tbl string, col string"
+LINK_SCHEMA = "question_id long, db_id string, voter int, tbl string, col string, n_links long"
+MANIFEST = "epoch long, base long, deltas array<long>, mode string, voters map<int,struct<seen:long,sent:long>>"
+STATE = "question_id long, tlc string, clc string, voters array<int>, tbl string, col string"
+
+
+def end_records(links: DataFrame) -> DataFrame:
+    """The end record of each voter of ``links``."""
+    return links.groupBy("voter").agg(F.count(F.lit(1)).alias("n_links")).select(
+        F.lit(None).cast("long").alias("question_id"), F.lit(None).cast("string").alias("db_id"), F.col("voter").cast("int").alias("voter"),
+        F.lit(None).cast("string").alias("tbl"), F.lit(None).cast("string").alias("col"), "n_links")
 
 
 def canonical_stream(links: DataFrame, catalog: DataFrame, keys: Sequence[str] = ("question_id",),
                      scope: Sequence[str] = SCOPE) -> DataFrame:
-    """Stream-static canonicalisation (no de-duplication: voter sets absorb repeats)."""
+    """Stream-static canonicalisation (no de-duplication: voter sets absorb repeats).  Every input row also gives
+    one row without identifiers that counts it for its voter: ``seen`` 1, or ``sent`` from an end record."""
     keys, scope = list(keys), list(scope)
     tables = broadcast_if_small(catalog_tables(catalog, scope))
     columns = broadcast_if_small(catalog_columns(catalog, scope))
-    l = links.select(*dict.fromkeys([*keys, *scope]), "voter", F.lower("tbl").alias("tlc"), F.lower("col").alias("clc"))
-    j = l.join(tables, [*scope, "tlc"]).join(columns, [*scope, "tlc", "clc"], "left")
+    l = links.select(*dict.fromkeys([*keys, *scope]), "voter", F.lower("tbl").alias("tlc"), F.lower("col").alias("clc"), "n_links")
+    j = l.join(tables, [*scope, "tlc"], "left").join(columns, [*scope, "tlc", "clc"], "left")
     null = F.lit(None).cast("string")
-    rows = F.when(F.col("col_c").isNull(), F.array(F.struct(F.col("tbl_c").alias("tbl"), null.alias("col")))) \
-        .otherwise(F.array(F.struct(F.col("tbl_c").alias("tbl"), null.alias("col")),
-                           F.struct(F.col("tbl_c").alias("tbl"), F.col("col_c").alias("col"))))
+
+    def row(tbl, col, seen, sent):
+        return F.struct(tbl.alias("tbl"), col.alias("col"), seen.cast("long").alias("seen"), sent.cast("long").alias("sent"))
+
+    end = F.col("n_links").isNotNull()
+    nothing = F.lit(None)
+    counted = row(null, null, F.when(end, F.lit(0)).otherwise(F.lit(1)), F.col("n_links"))
+    table, column = row(F.col("tbl_c"), null, nothing, nothing), row(F.col("tbl_c"), F.col("col_c"), nothing, nothing)
+    rows = F.when(F.col("tbl_c").isNull(), F.array(counted)).when(F.col("col_c").isNull(), F.array(counted, table)) \
+        .otherwise(F.array(counted, table, column))
     e = j.select(*keys, "voter", F.explode(rows).alias("r"))
-    return e.select(*keys, "voter", F.lower("r.tbl").alias("tlc"),
-                    F.coalesce(F.lower("r.col"), F.lit(NO_COLUMN)).alias("clc"),
-                    F.col("r.tbl").alias("tbl"), F.col("r.col").alias("col"))
-
-
-def publish_fn(output_path: str, n_voters: int, final_mode: str = "maj2", lead_voter: int = 1):
-    def publish(batch: DataFrame, epoch_id: int) -> None:
-        seen = batch.select(F.explode("voters").alias("v")).agg(F.count_distinct("v")).first()[0]
-        votes = F.size("voters")
-        if seen >= n_voters and final_mode != "union":
-            keep = votes >= 2 if final_mode == "maj2" else (votes >= 2) | F.array_contains("voters", lead_voter)
-            out = batch.where(keep)
-        else:
-            out = batch
-        out.select("question_id", "tbl", "col", votes.alias("votes")).write.mode("overwrite").parquet(f"{output_path}/epoch={epoch_id}")
-        batch.sparkSession.range(1).select(F.lit(epoch_id).alias("epoch")).write.mode("append").parquet(f"{output_path}/published")
+    link = F.col("r.seen").isNull()
+    return e.select(*[F.when(link, F.col(k)).alias(k) for k in keys], "voter", F.when(~link, F.col("voter")).alias("of"),
+                    F.lower("r.tbl").alias("tlc"), F.when(link, F.coalesce(F.lower("r.col"), F.lit(NO_COLUMN))).alias("clc"),
+                    "r.tbl", "r.col", "r.seen", "r.sent")
+
+
+def _epochs(spark: SparkSession, path: str) -> list[int]:
+    """The epochs below ``path`` that were written whole."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    found = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("epoch=")]
+    return sorted(int(p.getName().split("=")[1]) for p in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def manifest(spark: SparkSession, output_path: str, before: int | None = None) -> dict | None:
+    """The last manifest, of those before epoch ``before`` if that is given."""
+    epochs = [e for e in _epochs(spark, f"{output_path}/manifest") if before is None or e < before]
+    return spark.read.schema(MANIFEST).parquet(f"{output_path}/manifest/epoch={epochs[-1]}").first().asDict(True) if epochs else None
+
+
+def _state(spark: SparkSession, output_path: str, base: int | None, deltas: Sequence[int]) -> DataFrame:
+    """The last row of each identifier over a base and deltas."""
+    rows = spark.createDataFrame([], f"{STATE}, epoch long")
+    if base is not None:
+        rows = spark.read.schema(STATE).parquet(f"{output_path}/base/epoch={base}").withColumn("epoch", F.lit(base).cast("long"))
+    if deltas:
+        changed = spark.read.schema(f"{STATE}, epoch long").option("basePath", f"{output_path}/delta").parquet(
+            *(f"{output_path}/delta/epoch={e}" for e in deltas))
+        rows = changed if base is None else rows.unionByName(changed)
+    last = F.max_by(F.struct("voters", "tbl", "col"), "epoch").alias("s")
+    return rows.groupBy("question_id", "tlc", "clc").agg(last).select("question_id", "tlc", "clc", "s.*")
+
+
+def publish_fn(output_path: str, n_voters: int, final_mode: str = "maj2", compact_every: int = 8):
+    def publish(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()  # read twice: the changed identifiers and the changed voters
+        try:
+            columns = [c.split()[0] for c in STATE.split(", ")]
+            batch.where(F.col("of").isNull()).select(*columns).write.mode("overwrite").parquet(f"{output_path}/delta/epoch={epoch}")
+            last = manifest(spark, output_path, epoch) or {"base": None, "deltas": [], "voters": {}}
+            # a row for each voter at most
+            counts = {r["of"]: {"seen": r["seen"], "sent": r["sent"]} for r in batch.where(F.col("of").isNotNull()).select("of", "seen", "sent").collect()}
+        finally:
+            batch.unpersist()
+        voters = {**last["voters"], **counts}
+        base, deltas = last["base"], [*last["deltas"], epoch]
+        if len(deltas) >= compact_every:
+            _state(spark, output_path, base, deltas).write.mode("overwrite").parquet(f"{output_path}/base/epoch={epoch}")
+            base, deltas = epoch, []
+        present = sum(v["sent"] is not None and v["seen"] >= v["sent"] for v in voters.values())
+        mode = final_mode if present >= n_voters else "union"
+        # _SUCCESS is written last: a manifest without it is not followed
+        spark.createDataFrame([(epoch, base, deltas, mode, voters)], MANIFEST).coalesce(1).write.mode("overwrite").parquet(
+            f"{output_path}/manifest/epoch={epoch}")
     return publish
 
 
-def latest_publication(spark: SparkSession, output_path: str) -> DataFrame:
-    """The last publication that was written whole."""
-    epoch = spark.read.parquet(f"{output_path}/published").agg(F.max("epoch")).first()[0]
-    return spark.read.parquet(f"{output_path}/epoch={epoch}")
+def latest_publication(spark: SparkSession, output_path: str, lead_voter: int = 1) -> DataFrame:
+    """``question_id, tbl, col, votes`` as the last whole manifest has them."""
+    m = manifest(spark, output_path)
+    rows = _state(spark, output_path, m["base"], m["deltas"]) if m else spark.createDataFrame([], STATE)
+    votes = F.size("voters")
+    keep = {"maj2": votes >= 2, "maj2_or_lead": (votes >= 2) | F.array_contains("voters", lead_voter)}
+    return rows.where(keep.get(m["mode"] if m else "union", F.lit(True))).select("question_id", "tbl", "col", votes.alias("votes"))
 
 
 def run_incremental_vote(spark: SparkSession, source_dir: str, catalog: DataFrame, output_path: str,
                          checkpoint: str, n_voters: int, final_mode: str = "maj2",
-                         max_files_per_trigger: int = 1) -> None:
+                         max_files_per_trigger: int = 1, compact_every: int = 8) -> None:
     """Drain ``source_dir`` (availableNow) and leave the publications below ``output_path``."""
     links = (spark.readStream.schema(LINK_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
              .parquet(source_dir))
     canon = canonical_stream(links, catalog)
-    agg = canon.groupBy("question_id", "tlc", "clc").agg(
-        F.collect_set("voter").alias("voters"), F.min("tbl").alias("tbl"), F.min("col").alias("col"))
-    q = (agg.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
-         .foreachBatch(publish_fn(output_path, n_voters, final_mode)).trigger(availableNow=True).start())
+    agg = canon.groupBy("question_id", "tlc", "clc", "of").agg(
+        F.collect_set("voter").alias("voters"), F.min("tbl").alias("tbl"), F.min("col").alias("col"),
+        F.sum("seen").alias("seen"), F.max("sent").alias("sent"))
+    q = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+         .foreachBatch(publish_fn(output_path, n_voters, final_mode, compact_every)).trigger(availableNow=True).start())
     q.awaitTermination()

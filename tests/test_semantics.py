@@ -10,7 +10,6 @@ from linkspark.operators import evaluate as E
 from linkspark.operators import render as RD
 from linkspark.operators import retrieve as RT
 from linkspark.operators import vote as V
-from linkspark.streaming.metrics import run_windowed_metrics
 
 TWO = [("db1", "INJURY", "AIS"), ("db2", "Orders", "id"), ("db2", "injury", "ais")]
 LINK = "question_id long, db_id string, tbl string, col string"
@@ -99,14 +98,3 @@ def test_group_without_examples_is_served_by_its_family(spark):
     targets = spark.createDataFrame([("s1", "s"), ("s2", "s"), ("x1", "x")], "db_id string, family string")
     got = CU.fewshot_sample(ex, 1, targets=targets).collect()
     assert sorted(r.db_id for r in got) == ["s1", "s2"]
-
-
-def test_live_metrics_do_not_depend_on_the_files(spark, tmp_path):
-    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    seen = []
-    for parts in (1, 4, 16):
-        src, out = str(tmp_path / f"in{parts}"), str(tmp_path / f"out{parts}")
-        ev.repartition(parts).write.parquet(src)
-        run_windowed_metrics(spark, src, out, str(tmp_path / f"ckpt{parts}"))
-        seen.append(sorted((r.window_start, r.metric, r.n) for r in spark.read.parquet(out).collect()))
-    assert seen[0] and seen[0] == seen[1] == seen[2]

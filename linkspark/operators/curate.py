@@ -46,6 +46,8 @@ def normalized_question(col: str = "question"):
     return F.lower(strip_ws(F.col(col)))
 
 
+
+
 def validate_candidates(cand: DataFrame, existing: DataFrame, order: str = "pos") -> DataFrame:
     """E5: ordered validation of generated candidates.
 
@@ -170,18 +172,71 @@ def expand_columns(pred: DataFrame, questions: DataFrame, catalog_cols: DataFram
     meaningful tokens and all of them occur in the question; predicted columns stay.
 
     ``questions`` and ``catalog_cols`` carry ``scope``: a column is looked up in the question's
-    own database.  A table's columns with their tokens are one row, so each predicted table
-    joins its catalog row once and the tokens are compared inside the row.
+    own database.  A predicted table meets only those of its columns that are filed under a word of the
+    question (``contain.containment_index``).
     """
     from ..functions.text import meaningful_tokens
+    from .contain import contained, containment_index
     keys, scope = list(keys), list(scope)
     asked = questions.select(*dict.fromkeys([*keys, *scope]), meaningful_tokens("question").alias("asked"))
-    per_table = (catalog_cols.select(*scope, "tlc", "clc", "tbl", "col", meaningful_tokens("col").alias("tokens"))
-                 .where(F.size("tokens") >= min_tokens)
-                 .groupBy(*scope, "tlc").agg(F.collect_list(F.struct("clc", "tbl", "col", "tokens")).alias("cols")))
+    index = containment_index(catalog_cols.select(*scope, "tlc", "clc", "tbl", "col"), scope, "col", min_tokens)
     named = pred.groupBy(*keys, "tlc").agg(F.collect_set("clc").alias("have"))
-    fits = F.filter("cols", lambda c: (F.size(F.array_except(c["tokens"], F.col("asked"))) == 0)
-                    & ~F.array_contains(F.col("have"), c["clc"]))
-    extra = (named.join(asked, keys).join(per_table, [*scope, "tlc"])
-             .select(*keys, "tlc", F.explode(fits).alias("c")).select(*keys, "tlc", "c.clc", "c.tbl", "c.col"))
+    found = contained(named.join(asked, keys), broadcast_if_small(index), [*scope, "tlc"])
+    extra = found.where(~F.array_contains("have", F.col("clc"))).select(*keys, "tlc", "clc", "tbl", "col")
     return pred.select(*keys, "tlc", "clc", "tbl", "col").unionByName(extra)
+
+
+def sequential_admission(cand: DataFrame, existing: DataFrame, n: int, scratch: str, group: str = "db_id",
+                         order: str = "pos") -> DataFrame:
+    """E5 and E6 in the order of one pass over the candidates: group by group, in order within a group, a group
+    closed once ``n`` of its candidates are kept.  Candidates after that are ``over_limit`` and do not make later
+    ones duplicates, in whatever group those are.
+
+    Found without a pass, by rounds: with the closing places of the round before, the first passing candidate of
+    each question is kept, and the ``n``-th kept one of each group is where it closes.  Closing places are right
+    for one group more after each round, usually for all after a few; rounds work on digests of the passing
+    candidates, and only on questions that more than one of them asks, and end when no place moves.
+    """
+    spark = cand.sparkSession
+    empty = (normalized_question("question") == "") | (strip_ws(F.col("gold_sql")) == "")
+    c = cand.withColumn("_norm", F.md5(normalized_question("question"))).withColumn("_empty", empty)
+    seen = existing.select(F.md5(normalized_question("question")).alias("_norm")).distinct().withColumn("_old", F.lit(True))
+    c = c.join(seen, "_norm", "left").withColumn(
+        "_passes", ~F.col("_empty") & F.col("_old").isNull() & ~F.col("parse_failed") & (F.col("n_tables") > 0))
+    c.where("_passes").select("_norm", group, order).write.parquet(f"{scratch}/passing")
+    passing = spark.read.parquet(f"{scratch}/passing")
+    shared = passing.groupBy("_norm").agg(F.count(F.lit(1)).alias("_n"))
+    once = passing.join(shared.where("_n = 1").select("_norm"), "_norm", "left_semi")
+    often = passing.join(shared.where("_n > 1").select("_norm"), "_norm", "left_semi")
+    once.write.parquet(f"{scratch}/once")
+    often.write.parquet(f"{scratch}/often")
+    once, often = (spark.read.parquet(f"{scratch}/{x}") for x in ("once", "often"))
+    place = Window.partitionBy(group).orderBy(order)
+    schema = f"{group} {cand.schema[group].dataType.simpleString()}, close {cand.schema[order].dataType.simpleString()}"
+    close = spark.createDataFrame([], schema)  # a row for each group that closes
+
+    def open_yet(rows: DataFrame, close: DataFrame) -> DataFrame:
+        return rows.join(close, group, "left").where(F.col("close").isNull() | (F.col(order) <= F.col("close"))).drop("close")
+
+    round_no = 0
+    while True:
+        first = open_yet(often, close).groupBy("_norm").agg(F.min(F.struct(group, order)).alias("k")).select("_norm", f"k.{group}", f"k.{order}")
+        kept = first.unionByName(open_yet(once, close))
+        new = (kept.withColumn("_r", F.row_number().over(place)).where(F.col("_r") == n)
+               .select(group, F.col(order).alias("close")))
+        new.write.parquet(f"{scratch}/close-{round_no}")
+        new = spark.read.schema(schema).parquet(f"{scratch}/close-{round_no}")
+        both = new.withColumn("side", F.lit(1)).unionByName(close.withColumn("side", F.lit(-1)))
+        still = both.groupBy(group, "close").agg(F.sum("side").alias("d")).where("d != 0").isEmpty()
+        close, round_no = new, round_no + 1
+        if still:
+            break
+    first = open_yet(passing, close).groupBy("_norm").agg(F.min(F.struct(group, order)).alias("_first"))
+    j = c.join(close, group, "left").join(first, "_norm", "left")
+    me = F.struct(F.col(group), F.col(order))
+    status = (F.when(F.col(order) > F.col("close"), F.lit(STATUS_OVER_LIMIT))
+              .when(F.col("_empty"), F.lit(STATUS_EMPTY))
+              .when(F.col("_old").isNotNull() | (F.col("_first") < me), F.lit(STATUS_DUPLICATE))
+              .when(F.col("parse_failed"), F.lit(STATUS_PARSE))
+              .when(F.col("n_tables") <= 0, F.lit(STATUS_NO_TABLES)).otherwise(F.lit(STATUS_OK)))
+    return j.withColumn("status", status).select(*cand.columns, "status")

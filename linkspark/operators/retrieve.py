@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import tokenize
-from ..plans.joins import broadcast_if_small
+from ..plans.joins import broadcast_if_small, spread
 
 K1 = 1.5   # fixed BM25 constants of the reference ranking
 B = 0.75
@@ -38,13 +38,12 @@ def doc_terms(docs: DataFrame, corpus: str, doc: str, text: str, vocabulary: Dat
     Returns ``(stats, tf)``: ``stats(corpus, n_docs, avgdl)`` over *all* documents and
     ``tf(corpus, doc, term, f, dl)`` restricted to ``vocabulary(corpus, term)`` when given.
     """
-    toks = docs.select(F.col(corpus).alias("corpus"), F.col(doc).alias("doc"),
-                       tokenize(text).alias("toks"))
-    toks = toks.withColumn("len", F.size("toks"))
+    toks = spread(docs.select(F.col(corpus).alias("corpus"), F.col(doc).alias("doc"), F.col(text).alias("text")))
+    toks = toks.select("corpus", "doc", tokenize("text").alias("toks")).withColumn("len", F.size("toks"))
     stats = toks.groupBy("corpus").agg(F.count(F.lit(1)).alias("n_docs"),
                                        F.avg("len").alias("avgdl"))
     terms = toks.select("corpus", "doc", F.greatest(F.lit(1), F.col("len")).alias("dl"),
-                        F.explode("toks").alias("term"))
+                        F.explode_outer("toks").alias("term")).where(F.col("term").isNotNull())
     if vocabulary is not None:
         terms = terms.join(broadcast_if_small(vocabulary), ["corpus", "term"], "left_semi")
     tf = terms.groupBy("corpus", "doc", "term").agg(F.count(F.lit(1)).alias("f"), F.first("dl").alias("dl"))
@@ -102,6 +101,12 @@ def top_k_with_fill(scores: DataFrame, questions: DataFrame, docs: DataFrame, k:
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def best_of(scores: DataFrame, k: int, qid: str = "question_id", doc: str = "table_idx") -> DataFrame:
+    """The ``k`` best scored documents of each question, ties by document order, with ``rank``."""
+    w = Window.partitionBy(qid).orderBy(F.desc(F.round("score", TIE_DIGITS)), F.asc(doc))
+    return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
 # ---------------------------------------------------------------- embeddings
 
 _TOPK_SCHEMA = T.StructType([

@@ -16,8 +16,10 @@ So one shuffle (the vote aggregation, map-side combined) produces every mode.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,17 +97,18 @@ def ensemble_search(canon: DataFrame, gold: DataFrame, combos: Sequence[Sequence
                     modes: Sequence[str] = MODES, digits: int = 6) -> DataFrame:
     """Score every (combination, mode) cell in one job.
 
-    ``combos`` lists the voters of each combination, the lead first.  One aggregation turns
+    ``combos`` lists the voters of each combination, the lead first, at most 63 different ones.  One aggregation turns
     the links into a voter bitmask per ``(question, tlc, clc)``, gold is joined once, and a
-    question keeps only its counts per ``(level, mask, in gold)``; cells are applied to those
-    few counts, so no link is copied per cell.  Every question of the list counts in every
-    cell, also where the cell predicts nothing or gold is empty.
+    question keeps only its counts per ``(level, mask, in gold)``.  Cells are applied to whole batches of those
+    counts, and a batch passes on one sum a cell: no row is copied per cell.  Every question of the list counts in
+    every cell, also where the cell predicts nothing or gold is empty.
     """
-    from . import evaluate as E
     keys = list(keys)
     voters = sorted({v for c in combos for v in c})
+    if len(voters) > 63:
+        raise ValueError("a mask holds at most 63 voters")
     bits = {v: 1 << i for i, v in enumerate(voters)}
-    bit = F.element_at(F.create_map(*[F.lit(x) for v in voters for x in (v, bits[v])]), F.col(voter))
+    bit = F.element_at(F.create_map(*[F.lit(x) for v in voters for x in (v, bits[v])]), F.col(voter)).cast("long")
     on = [*keys, "tlc", "clc"]
     masks = canon.where(F.col(voter).isin(voters)).groupBy(*on).agg(F.bit_or(bit).alias("mask"))
     gk = gold.select(*on).distinct()
@@ -117,30 +120,46 @@ def ensemble_search(canon: DataFrame, gold: DataFrame, combos: Sequence[Sequence
                                    F.count(F.when(F.col("clc") != "", 1)).alias("n_gold_c"))
     ids = (gold if questions is None else questions).select(*keys).distinct()
     per = ids.join(gcount, keys, "left").na.fill(0, ["n_gold_t", "n_gold_c"]).join(found, keys, "left")
-    cells = F.array(*[F.struct(F.lit("+".join(map(str, c))).alias("combo"), F.lit(m).alias("mode"),
-                               F.lit(sum(bits[v] for v in c)).alias("members"), F.lit(1 if m == "union" else 2).alias("need"),
-                               F.lit(bits[c[0]] if m == "maj2_or_lead" else 0).alias("lead"))
-                      for c in combos for m in modes])
-    per = per.withColumn("cell", F.explode(cells))
-
-    def total(wanted):
-        def add(acc, x):
-            keep = (F.bit_count(x["mask"].bitwiseAND(F.col("cell.members"))) >= F.col("cell.need")) | (
-                x["mask"].bitwiseAND(F.col("cell.lead")) != 0)
-            return acc + F.when(wanted(x) & keep, x["n"]).otherwise(F.lit(0).cast("long"))
-        return F.coalesce(F.aggregate("found", F.lit(0).cast("long"), add), F.lit(0).cast("long"))
-
-    per = per.select("cell.combo", "cell.mode", "n_gold_t", "n_gold_c",
-                     total(lambda x: x["t"]).alias("n_pred_t"), total(lambda x: x["t"] & x["g"]).alias("tp_t"),
-                     total(lambda x: ~x["t"]).alias("n_pred_c"), total(lambda x: ~x["t"] & x["g"]).alias("tp_c"))
-    ts = sum(E.prf(F.col("tp_t"), F.col("n_pred_t"), F.col("n_gold_t")), F.lit(0.0))
-    cs = sum(E.prf(F.col("tp_c"), F.col("n_pred_c"), F.col("n_gold_c")), F.lit(0.0))
-    cell = per.groupBy("combo", "mode").agg((F.avg(ts) / 3.0).alias("ts"), (F.avg(cs) / 3.0).alias("cs"))
+    cells = [("+".join(map(str, c)), m, sum(bits[v] for v in c), 1 if m == "union" else 2, bits[c[0]] if m == "maj2_or_lead" else 0)
+             for c in combos for m in modes]
+    sums = per.select("n_gold_t", "n_gold_c", "found").mapInArrow(_score_cells(cells), "combo string, mode string, n long, ts double, cs double")
+    cell = sums.groupBy("combo", "mode").agg((F.sum("ts") / F.sum("n") / 3.0).alias("ts"), (F.sum("cs") / F.sum("n") / 3.0).alias("cs"))
     return cell.select("combo", "mode", F.round("ts", digits).alias("table_score"),
                        F.round("cs", digits).alias("column_score"),
                        F.round(0.5 * F.col("ts") + 0.5 * F.col("cs"), digits).alias("leaderboard"))
 
 
+def _prf_sum(tp: np.ndarray, n_pred: np.ndarray, n_gold: np.ndarray) -> float:
+    """The sum of precision, recall and F1 over questions, with the rules for empty sets of ``evaluate.prf``."""
+    p = np.where(n_pred > 0, tp / np.maximum(n_pred, 1), np.where(n_gold == 0, 1.0, 0.0))
+    r = np.where(n_gold > 0, tp / np.maximum(n_gold, 1), 1.0)
+    f = np.where(p + r > 0, 2 * p * r / np.where(p + r > 0, p + r, 1), 0.0)
+    return float((p + r + f).sum())
+
+
+def _score_cells(cells: Sequence[tuple]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            found = batch.column("found")
+            question = np.repeat(np.arange(len(batch)), np.array(found.value_lengths().fill_null(0)))
+            table, mask, in_gold, n = (found.flatten().field(i).to_numpy(zero_copy_only=False) for i in range(4))
+            golds = [batch.column(c).to_numpy() for c in ("n_gold_t", "n_gold_c")]
+            out = []
+            for combo, mode, members, need, lead in cells:
+                voted = mask & np.int64(members)
+                kept = (np.bitwise_count(voted) >= need) | ((voted & np.int64(lead)) != 0)
+                sums = []
+                for level, n_gold in zip((table, ~table), golds):
+                    def total(which: np.ndarray) -> np.ndarray:
+                        return np.bincount(question[which], n[which], len(batch))
+                    sums.append(_prf_sum(total(kept & level & in_gold), total(kept & level), n_gold))
+                out.append((combo, mode, len(batch), *sums))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["combo", "mode", "n", "ts", "cs"])
+    return run
+
+
 def top_cells(search: DataFrame, n: int = 10) -> DataFrame:
     """The n best cells (score desc, ties by name) with the running best score."""
     from pyspark.sql import Window

@@ -70,9 +70,9 @@ def fx_gold(spark: SparkSession, d: str) -> DataFrame:
             .distinct())
 
 
-def fx_votes(spark: SparkSession, d: str) -> DataFrame:
-    """Four noisy voters: dropped rows, invalid tables / columns, wrong case, NULL columns."""
-    b = fx_base(spark, d).withColumn("voter", F.explode(F.array(*[F.lit(v) for v in VOTERS])))
+def fx_votes(spark: SparkSession, d: str, voters: tuple[int, ...] = VOTERS) -> DataFrame:
+    """Noisy voters: dropped rows, invalid tables / columns, wrong case, NULL columns."""
+    b = fx_base(spark, d).withColumn("voter", F.explode(F.array(*[F.lit(v) for v in voters])))
     s = F.col("pk") + F.col("voter")
     tbl = (F.when(s % 17 == 0, F.lit("Brand#99"))
            .when(s % 2 == 0, F.upper("tbl"))

@@ -30,9 +30,16 @@ def broadcast_limit(df: DataFrame, default: int = DEFAULT_BROADCAST_LIMIT) -> in
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast only if its estimated size is provably below the limit."""
+    """Mark ``df`` for broadcast only if its estimated size is below the limit."""
     limit = max_bytes if max_bytes is not None else broadcast_limit(df)
     size = estimated_size_bytes(df)
     if size is not None and 0 <= size <= limit:
         return F.broadcast(df)
     return df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its scan has fewer splits than the cluster has cores: such an input is
+    small (a split a core at most), and costly expressions above it would run in a few tasks."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -101,3 +101,8 @@ def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> s
 def define(name: str, deps: tuple[str, ...], text: str) -> None:
     """Register an additional reusable view (used by the oracle module)."""
     _VIEWS[name] = (deps, text)
+
+
+def view(name: str) -> tuple[tuple[str, ...], str]:
+    """What a view depends on, and its text."""
+    return _VIEWS[name]

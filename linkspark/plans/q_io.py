@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from ..sources.links import explode_links, write_link_file
 from ..sources.records import read_csv, read_jsonl, read_questions, write_csv, write_jsonl
+from ..functions.text import stopwords_sql, tokenize_sql
 from ..operators import vote as V
+from ..operators.predict import predict, predict_lexical
 from . import fixtures as fx
 from .oracle_fixtures import with_views
 from .registry import query
-from .q_catalog import SFT_SQL, sft_columns, sft_records
+from .q_catalog import SFT_SQL, catalog, examples, sft_columns, sft_records
 from .q_curate import audited
 from .q_scoring import PACK_SQL, SCORE_SQL, ensemble, links_as_text, q_score_questions
 from .q_stream import _scratch
@@ -71,20 +72,35 @@ def q_audit_round_trip(spark, d):
     return read_jsonl(spark, path, "db_id string, pos long, question string, status string")
 
 
-# Any Python predictor over question batches, exactly one output row per question.
-def mock_predictor(batch: pd.DataFrame) -> pd.DataFrame:
-    """The reference's mock: an empty link set for every question."""
-    return pd.DataFrame({"question_id": batch["question_id"], "schema_links": ["{}"] * len(batch)})
-
-
-def predict(questions, predictor=mock_predictor):
-    """Apply ``predictor`` (pandas DataFrame -> DataFrame) to Arrow batches of questions."""
-    def run(it):
-        for b in it:
-            yield predictor(b)
-    return questions.mapInPandas(run, "question_id long, schema_links string")
-
-
 @query("predict_mock", with_views("SELECT question_id, '{}' AS schema_links FROM fx_qids", "fx_qids"))
 def q_predict_mock(spark, d):
     return predict(fx.fx_questions_ids(spark, d))
+
+
+# The built-in predictor without a model, over the derived catalog: the best tables by BM25 and the columns
+# whose words the question has.
+LEXICAL_TABLES = 3
+
+
+@query("predict_lexical", with_views(f"""
+    SELECT q.question_id, coalesce(l.links, '{{}}') AS schema_links FROM ex_qs q LEFT JOIN (
+      SELECT question_id, '{{' || string_agg(item, ',' ORDER BY tbl) || '}}' AS links FROM (
+        SELECT question_id, tbl, '"' || tbl || '": [' || coalesce(string_agg('"' || col || '"', ',' ORDER BY col), '') || ']' AS item
+        FROM (SELECT DISTINCT t.question_id, n.tbl, c.col FROM lx_top t
+              JOIN cat_t2 n ON n.db_id = t.db_id AND n.table_idx = t.table_idx
+              LEFT JOIN (SELECT a.question_id, b.db_id, b.table_idx, b.col FROM lx_top a2 JOIN lx_asked a USING (question_id)
+                         JOIN lx_cols b ON b.db_id = a2.db_id AND b.table_idx = a2.table_idx
+                         WHERE len(b.ct) >= 2 AND list_has_all(a.qt, b.ct)) c
+                ON c.question_id = t.question_id AND c.db_id = t.db_id AND c.table_idx = t.table_idx) x
+        GROUP BY question_id, tbl) y GROUP BY question_id) l ON l.question_id = q.question_id""",
+    "ex_qs", "tb_sc", "cat_t2", "cat_cols", extra={
+        "lx_top": f"""SELECT question_id, db_id, table_idx FROM (SELECT *, row_number() OVER (
+            PARTITION BY question_id ORDER BY round(score, 9) DESC, table_idx) AS rank FROM tb_sc) r WHERE rank <= {LEXICAL_TABLES}""",
+        "lx_asked": f"""SELECT question_id, list_distinct(list_filter({tokenize_sql('question')},
+            lambda t: length(t) >= 3 AND NOT list_contains({stopwords_sql()}, t))) AS qt FROM ex_qs""",
+        "lx_cols": f"""SELECT db_id, table_idx, col, list_distinct(list_filter({tokenize_sql('col')},
+            lambda t: length(t) >= 3 AND NOT list_contains({stopwords_sql()}, t))) AS ct FROM cat_cols"""}))
+def q_predict_lexical(spark, d):
+    cols, _ = catalog(spark, d)
+    questions, _ = examples(spark, d)
+    return predict_lexical(questions, cols.select("db_id", "table_idx", "tbl", "col"), LEXICAL_TABLES)

@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize, tokenize_sql
+from ..operators import ranked as RK
 from ..operators import retrieve as RT
 from ..operators.canon import catalog_tables
 from . import fixtures as fx
 from .oracle_fixtures import define, with_views
 from .q_scoring import R, canon_gold, canon_votes, ensemble
+from .q_stream import _scratch
 from .registry import ORACLES, query
 
 TOP_K = 20       # max_tables of the reference's filtered serialisation
@@ -70,6 +72,17 @@ def q_bm25_topk(spark, d):
                       F.round("score", R).alias("score"))
 
 
+@query("bm25_ranked", ORACLES["bm25_topk"])
+def q_bm25_ranked(spark, d):
+    """The same ranking from an index of posting blocks, without scoring every match."""
+    questions, docs = fx.fx_questions(spark, d), fx.fx_docs(spark, d)
+    vocabulary = RT.question_terms(questions, "question_id", "db_id", "question").select("corpus", "term")
+    index = RK.build_index(docs, _scratch(spark, "index"), vocabulary=vocabulary)
+    scores = RK.ranked_scores(questions, index, TOP_K, _scratch(spark, "ranked"))
+    top = RT.top_k_with_fill(scores, questions, docs, TOP_K)
+    return top.select("question_id", "table_idx", F.col("rank").cast("long").alias("rank"), F.round("score", R).alias("score"))
+
+
 define("order_q", ("fx_base",), """SELECT question_id, db_id, string_agg(col, ' ' ORDER BY ln, col) AS question
     FROM fx_base GROUP BY question_id, db_id""")
 

@@ -8,6 +8,7 @@ from ..operators import runs as RU
 from ..sources.tables import read_table
 from . import fixtures as fx
 from .oracle_fixtures import define, with_views
+from .q_stream import _scratch
 from .registry import query
 
 define("run_last", ("fx_runs",), """SELECT experiment, run, metric, max_by(value, step) AS value, max(step) AS step
@@ -61,3 +62,51 @@ def q_log_parse(spark, d):
     return parsed.groupBy("level").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.count_distinct(F.when(F.col("level") != "CONTINUATION", F.col("experiment"))).alias("n_experiments"))
+
+
+def log_lines(spark, d):
+    """``event_id, value``: the events as log lines, every ninth a continuation of the one before."""
+    ev = read_table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    level = F.when(F.col("value") >= 90, "ERROR").when(F.col("value") >= 50, "WARNING").otherwise("INFO")
+    line = F.concat_ws(" | ", F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSS"),
+                       F.concat(F.lit("exp"), (F.col("user_id") % 10).cast("string")), F.col("event_type"), level,
+                       F.concat(F.lit("train.py:"), (F.col("event_id") % 300).cast("string")),
+                       F.concat(F.lit("metric payload "), F.col("props")))
+    text = F.when(F.col("event_id") % 9 == 8, F.concat(F.lit("    continued: "), F.col("props"))).otherwise(line)
+    return ev.select("event_id", text.alias("value"))
+
+
+@query("log_records", with_views("""
+    SELECT strftime(e.ts, '%Y-%m-%d %H:%M:%S.%g') AS ts, 'exp' || CAST(e.user_id % 10 AS VARCHAR) AS experiment, e.event_type AS component,
+      CASE WHEN e.value >= 90 THEN 'ERROR' WHEN e.value >= 50 THEN 'WARNING' ELSE 'INFO' END AS level,
+      'train.py:' || CAST(e.event_id % 300 AS VARCHAR) AS site,
+      'metric payload ' || e.props || coalesce(chr(10) || '    continued: ' || c.props, '') AS message,
+      CASE WHEN c.event_id IS NULL THEN 1 ELSE 2 END AS n_lines
+    FROM events e LEFT JOIN events c ON c.event_id = e.event_id + 1 AND c.event_id % 9 = 8
+    WHERE e.event_id % 9 <> 8"""))
+def q_log_records(spark, d):
+    """The log written as files, each with whole records in order, and read back record by record."""
+    path = _scratch(spark, "log")
+    record = F.expr("event_id div 9")
+    n = max(2, spark.sparkContext.defaultParallelism // 2)
+    log_lines(spark, d).repartitionByRange(n, record).sortWithinPartitions("event_id").select("value").write.text(path)
+    return RU.read_log_records(spark, path).select(
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("ts"), "experiment", "component", "level", "site", "message", "n_lines")
+
+
+# A run's target lies a little above nine tenths of its experiment's last step; runs of experiment 9 have none.
+define("run_targets", ("fx_runs",), """SELECT experiment, run, CAST(90 * max(step) // 100 + run % 7 AS BIGINT) AS target FROM (
+      SELECT experiment, run, max(step) OVER (PARTITION BY experiment) AS step FROM fx_runs WHERE experiment <> 9) x GROUP BY experiment, run""")
+
+
+@query("run_status", with_views("""
+    SELECT r.experiment, r.run, r.reached, coalesce(t.target, -1) AS target,
+      CASE WHEN t.target IS NULL THEN 'unknown' WHEN r.reached >= t.target THEN 'completed' ELSE 'partial' END AS status
+    FROM (SELECT experiment, run, max(step) AS reached FROM fx_runs GROUP BY experiment, run) r
+    LEFT JOIN run_targets t ON t.experiment = r.experiment AND t.run = r.run""", "fx_runs", "run_targets"))
+def q_run_status(spark, d):
+    m = fx.fx_runs(spark, d)
+    last = m.where("experiment <> 9").groupBy("experiment").agg(F.max("step").alias("last"))
+    targets = m.where("experiment <> 9").select("experiment", "run").distinct().join(last, "experiment").select(
+        "experiment", "run", F.expr("90 * last div 100 + run % 7").cast("long").alias("target"))
+    return RU.run_status(m, targets).withColumn("target", F.coalesce("target", F.lit(-1).cast("long")))

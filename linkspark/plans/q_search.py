@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from itertools import combinations
 
 from pyspark.sql import functions as F
 
+from ..operators import canon as C
 from ..operators import vote as V
 from . import fixtures as fx
-from .oracle_fixtures import define, with_views
+from .oracle_fixtures import define, view, with_views
 from .q_scoring import R, canon_gold, canon_votes
 from .registry import query
 
@@ -75,3 +77,29 @@ def q_ensemble_search(spark, d):
 def q_top10_combos(spark, d):
     return V.top_cells(search(spark, d), 10).select(
         "combo", "mode", "leaderboard", F.col("position").cast("long").alias("position"), "running_best")
+
+
+# D10 at the size of a real search: twelve voters; a triple, with each of the nine others, and with each two of them.
+MANY = tuple(range(1, 13))
+MANY_COMBOS = [MANY[:3] + extra for k in range(3) for extra in combinations(MANY[3:], k)]
+_many_rows = [("+".join(map(str, c)), v, i + 1) for c in MANY_COMBOS for i, v in enumerate(c)]
+_renamed = ("fx_votes", "canon_raw", "canon", "combos", "sr_votes", "sr_pred", "sr_cells", "sr_counts", "sr_scores")
+
+
+def _many(text: str) -> str:
+    return re.sub(r"\b(" + "|".join(_renamed) + r")\b", r"\1_many", text)
+
+
+for _name in _renamed:
+    _deps, _text = view(_name)
+    if _name == "combos":
+        _text = "SELECT * FROM (VALUES " + ", ".join(f"('{c}', {v}, {r})" for c, v, r in _many_rows) + ") t(combo, voter, rank)"
+    _text = _text.replace("unnest([1, 2, 3, 4])", f"unnest({list(MANY)})")
+    define(f"{_name}_many", tuple(map(_many, _deps)), _text if _name == "combos" else _many(_text))
+
+
+@query("ensemble_search_many", with_views(_many(SEARCH_SQL_BODY), "sr_scores_many"))
+def q_ensemble_search_many(spark, d):
+    """46 combinations in three modes: 138 cells."""
+    votes = C.canonicalize(fx.fx_votes(spark, d, MANY), fx.fx_catalog(spark, d), keys=["question_id", "voter"], partition_keys=["question_id"])
+    return V.ensemble_search(votes, canon_gold(spark, d), MANY_COMBOS, fx.fx_gold_ids(spark, d), digits=R)

@@ -240,3 +240,12 @@ def sequential_admission(cand: DataFrame, existing: DataFrame, n: int, scratch:
               .when(F.col("parse_failed"), F.lit(STATUS_PARSE))
               .when(F.col("n_tables") <= 0, F.lit(STATUS_NO_TABLES)).otherwise(F.lit(STATUS_OK)))
     return j.withColumn("status", status).select(*cand.columns, "status")
+
+
+def length_percentiles(lengths: DataFrame, group: str, shares: Sequence[float], n: str = "n") -> DataFrame:
+    """Per group, and over all (``group`` '*'), how many examples, the longest, and exact percentiles (the least
+    length that so large a share does not exceed).  Lengths are counted before they are exchanged, so a
+    group costs the number of its different lengths."""
+    each = [F.expr(f"percentile_disc({q}) within group (order by {n})").cast("long").alias(f"p{round(q * 100):d}_chars") for q in shares]
+    return lengths.rollup(group).agg(F.count(F.lit(1)).alias("n_examples"), F.max(n).alias("max_chars"), *each).withColumn(
+        group, F.coalesce(group, F.lit("*")))

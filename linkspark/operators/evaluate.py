@@ -111,3 +111,12 @@ def miss_attribution(pred: DataFrame, gold: DataFrame, group: DataFrame, group_c
     from pyspark.sql import Window
     total = F.sum("missed_tables").over(Window.partitionBy())
     return per.withColumn("share", F.round(F.col("missed_tables") / total, 6))
+
+
+def last_wins(records: DataFrame, order: Sequence[str], keys: Sequence[str] = ("question_id",)) -> DataFrame:
+    """Of the records of a key the last by ``order`` (a file's place, or the columns that say it), with all its
+    columns, and ``n_duplicates``, how many came before it."""
+    keys = list(keys)
+    rest = [c for c in records.columns if c not in keys]
+    last = F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")
+    return records.groupBy(*keys).agg(last, (F.count(F.lit(1)) - 1).alias("n_duplicates")).select(*keys, "_last.*", "n_duplicates")

@@ -60,7 +60,7 @@ def build_index(docs: DataFrame, path: str, corpus: str = "db_id", doc: str = "t
     term is collected whole."""
     spark = docs.sparkSession
     toks = spread(docs.select(F.col(corpus).cast("string").alias("corpus"), F.col(doc).cast("long").alias("doc"), F.col(text).alias("text")))
-    toks = toks.select("corpus", "doc", tokenize(F.coalesce("text", F.lit(""))).alias("toks"))
+    toks = toks.select("corpus", "doc", tokenize("text").alias("toks"))
     stats = toks.groupBy("corpus").agg(F.count(F.lit(1)).alias("n_docs"), F.avg(F.size("toks")).alias("avgdl"))
     # the outer form, since a filter on the array would tokenise once more
     each = toks.select("corpus", "doc", F.size("toks").alias("len"), F.explode_outer("toks").alias("term"))

@@ -87,6 +87,43 @@ def user_message(db_id: Column, question: Column, schema_text: Column) -> Column
                     F.lit("\n\nQuestion: "), question, F.lit("\n\nOutput the schema_links JSON now."))
 
 
+# fixed values: the system turns of the two stages
+STAGE_A_SYSTEM = (
+    "You are a schema-linking assistant. Given a database's TABLE NAMES and a "
+    "natural-language question, identify the tables the underlying SQL would "
+    "reference. Reply with a single JSON object on one line and nothing else, "
+    "of the form: {\"tables\": [\"Table1\", \"Table2\"]}. Use only table names "
+    "that appear in the provided list -- do not invent names."
+)
+STAGE_B_SYSTEM = (
+    "You are a schema-linking assistant. Given a database table's COLUMN names "
+    "and a natural-language question, identify the columns of that table the "
+    "underlying SQL would reference. Reply with a single JSON object on one "
+    "line and nothing else, of the form: {\"columns\": [\"Col1\", \"Col2\"]}. "
+    "A table referenced with no specific columns (e.g. `SELECT COUNT(*) FROM t`) "
+    "should produce {\"columns\": []}. Use only column names that appear in the "
+    "provided list -- do not invent names."
+)
+
+
+def messages(system: str, user: Column, assistant: Column) -> Column:
+    """A training record's three turns."""
+    turn = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
+    return F.array(turn("system", F.lit(system)), turn("user", user), turn("assistant", assistant))
+
+
+def named_list(name: str, items: Column) -> Column:
+    """``{"name": ["x","y"]}`` with the items as given."""
+    return F.concat(F.lit('{"' + name + '": ['), F.array_join(F.transform(items, _json_str), ","), F.lit("]}"))
+
+
+def reasoned(reasoning: Column, target: Column) -> Column:
+    """The assistant turn with a rationale before the target; null without one."""
+    bare = F.regexp_replace(reasoning, r"^\s+|\s+$", "")
+    return F.when(reasoning != "", F.concat(bare, F.lit("\n"), target))
+
+
+# fixed values: the texts of the user turns
 def stage_a_user(db_id: Column, question: Column, table_list: Column) -> Column:
     """B10 stage A: table names only."""
     return F.concat(F.lit("Database: "), db_id, F.lit("\nTables:\n"),

@@ -179,6 +179,20 @@ def recall_at_k(ranked: DataFrame, gold: DataFrame, ks: Sequence[int], qid: str
                  F.count(F.lit(1)).alias("n_gold"))
 
 
+def recall_curve(ranked: DataFrame, gold: DataFrame, most: int, by: Sequence[str] = ("retriever",), qid: str = "question_id",
+                 doc: str = "table_idx") -> DataFrame:
+    """For each retriever of ``ranked (by, qid, doc, rank)`` and every k up to ``most``, the share of gold documents
+    among the k best.  One count per rank, added up over at most ``most`` rows a retriever."""
+    by = list(by)
+    total = gold.select(qid, doc).distinct().agg(F.count(F.lit(1)).alias("n_gold"))
+    hits = (gold.select(qid, doc).distinct().join(ranked.where(F.col("rank") <= most), [qid, doc])
+            .groupBy(*by, "rank").agg(F.count(F.lit(1)).alias("hits")))
+    every = ranked.select(*by).distinct().withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(most))))
+    upto = F.sum(F.coalesce("hits", F.lit(0))).over(Window.partitionBy(*by).orderBy("k"))
+    at = every.join(hits.withColumnRenamed("rank", "k"), [*by, "k"], "left").withColumn("found", upto)
+    return at.withColumn("n_gold", total.scalar()).select(*by, F.col("k").cast("long").alias("k"), "found", "n_gold", (F.col("found") / F.col("n_gold")).alias("recall"))
+
+
 def force_include(kept: DataFrame, gold: DataFrame, catalog_tables: DataFrame,
                   keys: Sequence[str] = ("question_id",), tbl: str = "tbl",
                   scope: Sequence[str] = ("db_id",)) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.text import tokenize_sql
 from ..operators import canon as C
 from ..operators import render as RD
+from ..operators.curate import length_percentiles
 from ..operators import retrieve as RT
 from ..sources import catalog as CAT
 from ..sources.tables import read_table
@@ -359,3 +360,85 @@ def q_two_stage_b(spark, d):
     j = q.join(g, "question_id").join(cl, ["db_id", "tbl"])
     return j.select("question_id", "tbl",
                     F.md5(RD.stage_b_user(F.col("db_id"), F.col("question"), F.col("tbl"), F.col("cl"))).alias("md5"))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+STAGE_KEYS = ("question_id", "db_id")
+
+
+def turns(records):
+    return records.select(*[c for c in records.columns if c != "messages"], *[
+        records.messages[i]["content"].alias(name) for i, name in enumerate(("system_text", "user_text", "target"))])
+
+
+@query("two_stage_a_records", with_views(f"""SELECT q.question_id, q.db_id, {_quoted(RD.STAGE_A_SYSTEM)} AS system_text,
+      'Database: ' || q.db_id || chr(10) || 'Tables:' || chr(10) || t.tl || chr(10) || chr(10) || 'Question: ' || q.question
+        || chr(10) || chr(10) || 'Output the tables JSON now.' AS user_text, g.target
+    FROM ex_qs q JOIN (SELECT db_id, string_agg('- ' || tbl, chr(10) ORDER BY table_idx) AS tl FROM cat_t2 GROUP BY db_id) t ON t.db_id = q.db_id
+    JOIN (SELECT question_id, '{{"tables": [' || string_agg('"' || tbl || '"', ',' ORDER BY tbl) || ']}}' AS target
+          FROM (SELECT DISTINCT question_id, tbl FROM ex_gold) x GROUP BY question_id) g ON g.question_id = q.question_id""",
+    "ex_qs", "cat_t2", "ex_gold"))
+def q_two_stage_a_records(spark, d):
+    """B10 stage A: the whole record, one per example."""
+    cols, _ = catalog(spark, d)
+    q, gold = examples(spark, d)
+    names = F.transform(F.array_sort(F.collect_set(F.struct("table_idx", "tbl"))), lambda x: x["tbl"])
+    shown = cols.groupBy("db_id").agg(names.alias("tl"))
+    wanted = gold.groupBy("question_id").agg(F.array_sort(F.collect_set("tbl")).alias("gold"))
+    j = q.join(shown, "db_id").join(wanted, "question_id")
+    user = RD.stage_a_user(F.col("db_id"), F.col("question"), F.col("tl"))
+    return turns(j.select(*STAGE_KEYS, RD.messages(RD.STAGE_A_SYSTEM, user, RD.named_list("tables", F.col("gold"))).alias("messages")))
+
+
+@query("two_stage_b_records", with_views(f"""SELECT q.question_id, q.db_id, g.tbl, {_quoted(RD.STAGE_B_SYSTEM)} AS system_text,
+      'Database: ' || q.db_id || chr(10) || 'Table: ' || g.tbl || chr(10) || 'Columns: ' || c.cl || chr(10) || chr(10) || 'Question: '
+        || q.question || chr(10) || chr(10) || 'Output the columns JSON now.' AS user_text, g.target
+    FROM ex_qs q JOIN (SELECT question_id, tbl, '{{"columns": [' || string_agg('"' || col || '"', ',' ORDER BY col) || ']}}' AS target
+                       FROM ex_gold GROUP BY question_id, tbl) g ON g.question_id = q.question_id
+    JOIN (SELECT db_id, tbl, string_agg(col, ', ' ORDER BY column_idx) AS cl FROM cat_cols GROUP BY db_id, tbl) c
+      ON c.db_id = q.db_id AND c.tbl = g.tbl""", "ex_qs", "ex_gold", "cat_cols"))
+def q_two_stage_b_records(spark, d):
+    """B10 stage B: the whole record, one per gold table of an example."""
+    cols, _ = catalog(spark, d)
+    q, gold = examples(spark, d)
+    cl = cols.groupBy("db_id", "tbl").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("column_idx", "col"))), lambda x: x["col"]).alias("cl"))
+    links = C.canonicalize(gold.select("question_id", "db_id", "tbl", "col"), cols.select("db_id", "tbl", "col"))
+    g = links.groupBy("question_id", "tbl").agg(F.array_sort(F.collect_set("col")).alias("gold"))
+    j = q.join(g, "question_id").join(cl, ["db_id", "tbl"])
+    user = RD.stage_b_user(F.col("db_id"), F.col("question"), F.col("tbl"), F.col("cl"))
+    return turns(j.select(*STAGE_KEYS, "tbl", RD.messages(RD.STAGE_B_SYSTEM, user, RD.named_list("columns", F.col("gold"))).alias("messages")))
+
+
+# B9 with rationales: two examples in three have one, of which every fifth is blank.
+define("ex_reasons", ("ex_qs",), """SELECT question_id, CASE WHEN question_id % 3 = 0 THEN NULL WHEN question_id % 5 = 0 THEN ''
+      ELSE '  It asks of ' || CAST(length(question) AS VARCHAR) || ' letters. ' || chr(10) END AS reasoning FROM ex_qs""")
+
+
+@query("format_sft_reasoning", with_views(f"""SELECT q.question_id, {_USER} AS user_text,
+      regexp_replace(r.reasoning, '^\\s+|\\s+$', '', 'g') || chr(10) || t.target AS target
+    FROM ex_qs q JOIN ctx_train c ON c.question_id = q.question_id JOIN ex_target t ON t.question_id = q.question_id
+    JOIN ex_reasons r ON r.question_id = q.question_id WHERE r.reasoning <> ''""", "ex_qs", "ctx_train", "ex_target", "ex_reasons"))
+def q_format_sft_reasoning(spark, d):
+    """Examples without a rationale are left out, the others answer with it before the target."""
+    q, _ = examples(spark, d)
+    said = F.concat(F.lit("  It asks of "), F.length("question").cast("string"), F.lit(" letters. \n"))
+    reasons = q.select("question_id", F.when(F.col("question_id") % 3 == 0, F.lit(None)).when(F.col("question_id") % 5 == 0, "").otherwise(said).alias("reasoning"))
+    j = sft_columns(sft_records(spark, d)).join(reasons, "question_id")
+    return j.withColumn("target", RD.reasoned(F.col("reasoning"), F.col("target"))).where(F.col("target").isNotNull()).select(
+        "question_id", "user_text", "target")
+
+
+# B16 over rendered examples: exact percentiles, from how often each length occurs, per database and over all.
+@query("length_percentiles", with_views(f"""SELECT coalesce(db_id, '*') AS db_id, count(*) AS n_examples, max(n) AS max_chars,
+      quantile_disc(n, 0.5) AS p50_chars, quantile_disc(n, 0.9) AS p90_chars, quantile_disc(n, 0.99) AS p99_chars
+    FROM (SELECT q.db_id, length({_quoted(RD.SYSTEM_PROMPT)}) + length({_USER}) + length(t.target) AS n
+          FROM ex_qs q JOIN ctx_train c ON c.question_id = q.question_id JOIN ex_target t ON t.question_id = q.question_id) x
+    GROUP BY ROLLUP (db_id)""", "ex_qs", "ctx_train", "ex_target"))
+def q_length_percentiles(spark, d):
+    records = sft_records(spark, d).join(examples(spark, d)[0].select("question_id", "db_id"), "question_id")
+    n = F.aggregate("messages", F.lit(0), lambda a, m: a + F.length(m["content"])).cast("long")
+    return length_percentiles(records.select("db_id", n.alias("n")), "db_id", (0.5, 0.9, 0.99))

@@ -8,6 +8,7 @@ from ..sources.links import explode_links, write_link_file
 from ..sources.records import read_csv, read_jsonl, read_questions, write_csv, write_jsonl
 from ..functions.text import stopwords_sql, tokenize_sql
 from ..operators import vote as V
+from ..sources.versions import publish, read_version
 from ..operators.predict import predict, predict_lexical
 from . import fixtures as fx
 from .oracle_fixtures import with_views
@@ -39,6 +40,15 @@ def q_link_file_round_trip(spark, d):
     return links_as_text(read_jsonl(spark, path, "question_id long, schema_links map<string,array<string>>"))
 
 
+@query("link_versions_round_trip", PACK_SQL)
+def q_link_versions_round_trip(spark, d):
+    """Two versions published one after the other, first all voted links, then the majority's; readers get the last."""
+    path, schema = _scratch(spark, "link_versions"), "question_id long, schema_links map<string,array<string>>"
+    for mode in ("union", "maj2"):
+        publish(V.pack_links(ensemble(spark, d, mode), questions=fx.fx_questions_ids(spark, d)), path)
+    return links_as_text(read_version(spark, path, schema))
+
+
 @query("question_file_round_trip", with_views("SELECT question_id, db_id, question FROM fx_questions", "fx_questions"))
 def q_question_file_round_trip(spark, d):
     """A3: the question list as a file and read from it."""

@@ -194,3 +194,39 @@ def q_voter_contexts(spark, d):
         rankings = r if rankings is None else rankings.unionByName(r)
     voters = RT.voter_retrievers(spark.range(1).select(F.lit(VOTER_SPEC).alias("spec")), DEFAULT_RETRIEVER)
     return RT.voter_contexts(voters, rankings, CONTEXT_K)
+
+
+# D14 over the ranks of the retrievers themselves: gold are the question's documents with (table_idx + question_id) % 40 = 0.
+CURVE_K = 10
+_EMBED_SQL = f"""SELECT question_id, table_idx, rank FROM (
+      SELECT q.question_id, x.table_idx, row_number() OVER (PARTITION BY q.question_id ORDER BY round(
+        list_dot_product(CAST(qe.embedding AS DOUBLE[]), CAST(de.embedding AS DOUBLE[])), 9) DESC, x.table_idx) AS rank
+      FROM fx_questions q JOIN fx_docs x ON q.db_id = x.db_id
+      JOIN embeddings qe ON qe.vec_id = q.question_id JOIN embeddings de ON de.vec_id = x.table_idx) r WHERE rank <= {CURVE_K}"""
+
+
+@query("recall_curve", with_views(f"""
+    SELECT n.retriever, k, CAST(sum(CASE WHEN r.rank <= k THEN 1 ELSE 0 END) AS BIGINT) AS found, (SELECT count(*) FROM cv_gold) AS n_gold,
+      round(sum(CASE WHEN r.rank <= k THEN 1 ELSE 0 END) / (SELECT count(*) FROM cv_gold), {R}) AS recall
+    FROM (SELECT unnest(['bm25', 'embed', 'rrf']) AS retriever) n CROSS JOIN (SELECT unnest(range(1, {CURVE_K} + 1)) AS k) ks
+    LEFT JOIN (SELECT c.retriever, c.rank FROM cv_ranked c JOIN cv_gold g USING (question_id, table_idx)) r ON r.retriever = n.retriever
+    GROUP BY n.retriever, k""", "fx_questions", "fx_docs", extra={
+        "cv_gold": """SELECT q.question_id, x.table_idx FROM fx_questions q JOIN fx_docs x ON x.db_id = q.db_id
+                      WHERE (x.table_idx + q.question_id) % 40 = 0""",
+        "cv_ranked": f"""SELECT 'bm25' AS retriever, question_id, table_idx, rank FROM ({ORACLES['bm25_topk']}) b
+                         UNION ALL SELECT 'embed', question_id, table_idx, rank FROM ({_EMBED_SQL}) e
+                         UNION ALL SELECT 'rrf', question_id, table_idx, rank FROM ({ORACLES['rrf_topk']}) f"""}))
+def q_recall_curve(spark, d):
+    from ..sources.tables import read_table
+    questions, docs = fx.fx_questions(spark, d), fx.fx_docs(spark, d)
+    emb = read_table(spark, d, "embeddings").select("vec_id", "embedding")
+    asked = questions.join(emb, questions.question_id == emb.vec_id).select("question_id", "db_id", "embedding")
+    vectors = docs.join(emb, docs.table_idx == emb.vec_id).select("table_idx", "db_id", "embedding")
+    near = RT.cosine_top_k(asked, vectors, CURVE_K, qid="question_id", doc="table_idx")
+    cols = ["question_id", "table_idx", "rank"]
+    ranked = None
+    for name, r in (("bm25", q_bm25_topk(spark, d)), ("embed", near), ("rrf", q_rrf_topk(spark, d))):
+        one = r.select(F.lit(name).alias("retriever"), *cols)
+        ranked = one if ranked is None else ranked.unionByName(one)
+    gold = questions.join(docs, "db_id").where((F.col("table_idx") + F.col("question_id")) % 40 == 0).select("question_id", "table_idx")
+    return RT.recall_curve(ranked, gold, CURVE_K).withColumn("recall", F.round("recall", R))

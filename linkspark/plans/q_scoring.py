@@ -264,9 +264,8 @@ def links_as_text(packed: DataFrame) -> DataFrame:
     SELECT question_id, max(voter) AS kept_record, count(DISTINCT voter) - 1 AS n_duplicates
     FROM fx_votes GROUP BY question_id""", "fx_votes"))
 def q_last_wins(spark, d):
-    v = fx.fx_votes(spark, d)
-    return v.groupBy("question_id").agg(F.max("voter").alias("kept_record"),
-                                        (F.count_distinct("voter") - 1).alias("n_duplicates"))
+    records = fx.fx_votes(spark, d).select("question_id", F.col("voter").alias("kept_record")).distinct()
+    return E.last_wins(records, ["kept_record"])
 
 
 define("q_db", (), "SELECT o_orderkey AS question_id, o_orderstatus AS db_id FROM orders")

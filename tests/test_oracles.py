@@ -16,7 +16,10 @@ FAST = ["leaderboard", "canonicalize", "vote_maj2_or_lead", "score_questions", "
         "link_file_round_trip", "score_csv_round_trip", "audit_round_trip", "self_consistency", "links_pack",
         "assign_ids", "drop_reasons", "fewshot_sample", "two_stage_merge", "force_include", "bm25_pairs",
         "prompt_context_topk", "stream_votes", "stream_run_metrics",
-        "expand_columns", "best_run", "log_parse", "ensemble_search", "links_explode", "rrf_topk"]
+        "expand_columns", "best_run", "log_parse", "ensemble_search", "links_explode", "rrf_topk",
+        "log_records", "run_status", "ensemble_search_many", "bm25_ranked", "predict_lexical", "recall_curve",
+        "sequential_admission", "two_stage_a_records", "two_stage_b_records", "format_sft_reasoning", "length_percentiles",
+        "link_versions_round_trip", "last_wins"]
 
 
 @pytest.fixture(scope="module")

@@ -38,8 +38,8 @@ STATUS_OVER_LIMIT = "over_limit"  # own status: beyond the caller's limit, kept
 
 
 def strip_ws(c):
-    """Python-style strip of surrounding whitespace (Spark ``trim`` only removes spaces)."""
-    return F.regexp_replace(F.coalesce(c, F.lit("")), r"^\s+|\s+$", "")
+    """Strip surrounding ASCII whitespace, all kinds of it."""
+    return F.trim(F.coalesce(c, F.lit("")), F.lit(" \t\n\x0b\f\r"))
 
 
 def normalized_question(col: str = "question"):
@@ -61,10 +61,11 @@ def validate_candidates(cand: DataFrame, existing: DataFrame, order: str = "pos"
     c = cand.withColumn("_norm", normalized_question())
     empty = (F.col("_norm") == "") | (strip_ws(F.col("gold_sql")) == "")
     # empty questions get a key of their own each: they match nothing and must not meet in one task
+    # and texts are compared by digest, so that no text moves for it
     c = c.withColumn("_empty", empty).withColumn(
-        "_norm", F.when(F.col("_norm") == "", F.concat(F.lit("\0"), F.col(order).cast("string"))).otherwise(F.col("_norm")))
+        "_norm", F.md5(F.when(F.col("_norm") == "", F.concat(F.lit("\0"), F.col(order).cast("string"))).otherwise(F.col("_norm"))))
     empty, self_ok = F.col("_empty"), ~F.col("_empty") & ~F.col("parse_failed") & (F.col("n_tables") > 0)
-    seen = existing.select(normalized_question().alias("_norm")).distinct()
+    seen = existing.select(F.md5(normalized_question()).alias("_norm")).distinct()
     c = c.join(broadcast_if_small(seen).withColumn("_existing", F.lit(True)), "_norm", "left")
     first_ok = (c.where(self_ok & F.col("_existing").isNull())
                 .groupBy("_norm").agg(F.min(order).alias("_first_ok")))

@@ -46,11 +46,9 @@ def render_column(style: str) -> Column:
 
 
 def with_fk_targets(columns: DataFrame, fks: DataFrame) -> DataFrame:
-    """Attach each column's FK target.  A column with several FKs keeps one target
-    (the reference keeps the last listed; long rows carry no list order, so the
-    largest target is taken deterministically)."""
+    """Attach each column's FK target; of several FKs of a column the last listed (by ``fk_idx``)."""
     f = fks.groupBy("db_id", "from_table", "from_column").agg(
-        F.max(F.struct("to_table", "to_column")).alias("t"))
+        F.max(F.struct("fk_idx", "to_table", "to_column")).alias("t"))
     f = f.select("db_id", F.col("from_table").alias("tbl"), F.col("from_column").alias("col"),
                  F.col("t.to_table").alias("to_table"), F.col("t.to_column").alias("to_column"))
     return columns.join(broadcast_if_small(f), ["db_id", "tbl", "col"], "left")

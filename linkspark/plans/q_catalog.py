@@ -103,7 +103,7 @@ def q_catalog_index(spark, d):
 @query("fk_resolve", with_views("SELECT db_id, from_table, from_column, to_table, to_column FROM cat_fks", "cat_fks"))
 def q_fk_resolve(spark, d):
     _, fks = catalog(spark, d)
-    return fks
+    return fks.drop("fk_idx")
 
 
 @query("db_file_key", with_views("""SELECT n_nationkey, n_name AS db_id,

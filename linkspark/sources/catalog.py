@@ -40,25 +40,23 @@ def db_file_key(db_id) -> F.Column:
     return F.concat(F.translate(c, " /", "__"), F.lit(".json"))
 
 
-def _positions(docs: DataFrame) -> DataFrame:
-    """(db_id, pos, tidx, name) with pos = index in column_names_original (0 = star)."""
-    e = docs.select("db_id", F.posexplode("column_names_original").alias("pos", "pair"))
-    return e.select("db_id", "pos", F.col("pair")[0].cast("int").alias("tidx"), F.col("pair")[1].alias("name"))
+def _positions(docs: DataFrame, compat: bool) -> DataFrame:
+    """``db_id, pos, tidx, name, tbl, type`` of each column, pos = index in column_names_original (0 = star).  Table
+    and type are looked up inside the document's row, so its arrays are not copied to each column."""
+    # aligned: the column at list position p (star at 0) owns type p-1; compat: type p
+    one = F.transform("column_names_original", lambda pair, i: F.struct(
+        pair[0].cast("int").alias("tidx"), pair[1].alias("name"),
+        F.get("table_names_original", pair[0].cast("int")).alias("tbl"),
+        F.get("column_types", i if compat else i - 1).alias("type"), F.size("column_types").alias("n_types")))
+    return docs.select("db_id", F.posexplode(one).alias("pos", "c")).select("db_id", "pos", "c.*")
 
 
 def normalize_catalog(docs: DataFrame, compat: bool = False) -> tuple[DataFrame, DataFrame]:
-    pos = _positions(docs).where(F.col("tidx") >= 0)
-    meta = docs.select("db_id", "table_names_original", "column_types")
-    j = pos.join(meta, "db_id")
-    # aligned: column at list position p (star at 0) owns type p-1; compat: type p.
-    type_at = F.col("pos") + (1 if compat else 0)          # 1-based element_at index
-    dtype = F.try_element_at("column_types", type_at)
+    j = _positions(docs, compat).where(F.col("tidx") >= 0)
     if compat:
-        j = j.where(F.col("pos") <= F.size("column_types") - 1)  # zip() truncation drops the last column
-    cols = j.select("db_id", F.col("tidx").alias("table_idx"),
-                    F.try_element_at("table_names_original", F.col("tidx") + 1).alias("tbl"),
-                    (F.col("pos") - 1).alias("column_idx"), F.col("name").alias("col"),
-                    F.upper(F.coalesce(dtype, F.lit("TEXT"))).alias("data_type"), "pos")
+        j = j.where(F.col("pos") <= F.col("n_types") - 1)  # zip() truncation drops the last column
+    cols = j.select("db_id", F.col("tidx").alias("table_idx"), "tbl", (F.col("pos") - 1).alias("column_idx"), F.col("name").alias("col"),
+                    F.upper(F.coalesce("type", F.lit("TEXT"))).alias("data_type"), "pos")
     # primary keys: an entry is an index or a list of indexes
     pk_raw = docs.select("db_id", F.explode("primary_keys").alias("k"))
     pk_idx = pk_raw.select("db_id", F.explode(
@@ -67,14 +65,14 @@ def normalize_catalog(docs: DataFrame, compat: bool = False) -> tuple[DataFrame,
     offset = 0 if compat else 1
     pks = pk_idx.select("db_id", (F.col("k") + offset).alias("pos")).distinct().withColumn("is_pk", F.lit(True))
     cols = cols.join(pks, ["db_id", "pos"], "left").withColumn("is_pk", F.coalesce("is_pk", F.lit(False)))
-    # foreign keys: pairs of indexes, both resolvable and not the star
-    fk = (docs.select("db_id", F.explode("foreign_keys").alias("p")).where(F.size("p") == 2)
-          .select("db_id", (F.col("p")[0] + offset).alias("from_pos"), (F.col("p")[1] + offset).alias("to_pos")))
+    # foreign keys: pairs of indexes, both resolvable and not the star; fk_idx is the place in the list
+    fk = (docs.select("db_id", F.posexplode("foreign_keys").alias("fk_idx", "p")).where(F.size("p") == 2)
+          .select("db_id", "fk_idx", (F.col("p")[0] + offset).alias("from_pos"), (F.col("p")[1] + offset).alias("to_pos")))
     c = cols.select("db_id", "pos", "tbl", "col")
     fks = (fk.join(c.withColumnsRenamed({"pos": "from_pos", "tbl": "from_table", "col": "from_column"}),
                    ["db_id", "from_pos"])
            .join(c.withColumnsRenamed({"pos": "to_pos", "tbl": "to_table", "col": "to_column"}), ["db_id", "to_pos"])
-           .select("db_id", "from_table", "from_column", "to_table", "to_column"))
+           .select("db_id", "fk_idx", "from_table", "from_column", "to_table", "to_column"))
     return cols.drop("pos"), fks
 
 

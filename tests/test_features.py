@@ -229,3 +229,15 @@ def test_recall_curve(spark):
     gold = spark.createDataFrame([(1, 10), (1, 11), (2, 20), (2, 21)], "question_id long, table_idx long")
     got = sorted((r.retriever, r.k, r.recall) for r in RT.recall_curve(ranks, gold, 3).collect())
     assert got == [("a", 1, 0.25), ("a", 2, 0.5), ("a", 3, 0.75), ("b", 1, 0.0), ("b", 2, 0.0), ("b", 3, 0.0)]
+
+
+def test_the_last_listed_key_is_rendered(spark):
+    from linkspark.sources.catalog import normalize_catalog
+
+    docs = spark.createDataFrame([("d", ["Z", "A"], [["-1", "*"], ["0", "x"], ["0", "y"], ["1", "k"]], ["INT", None, "text"], ["0"], [[0, 2], [1, 1], [0, 1], [7, 0], [2]])],
+                                 "db_id string, table_names_original array<string>, column_names_original array<array<string>>, "
+                                 "column_types array<string>, primary_keys array<string>, foreign_keys array<array<int>>")
+    cols, fks = normalize_catalog(docs)
+    assert sorted((r.tbl, r.col, r.data_type, r.is_pk) for r in cols.collect()) == [("A", "k", "TEXT", False), ("Z", "x", "INT", True), ("Z", "y", "TEXT", False)]
+    got = render.table_lines(render.with_fk_targets(cols, fks), "keys").collect()
+    assert sorted(r.line for r in got) == ["A: k", "Z: x*->Z.y, y->Z.y"]

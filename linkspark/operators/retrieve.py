@@ -6,11 +6,11 @@ semi-join, before any shuffle), counted per (document, term) and joined to the
 question terms on ``(corpus, term)``.  Only (question, document, term) triples
 that match are ever produced; no question x document grid is built.
 
-Embedding similarity runs as a blocked NumPy kernel: the vectors of each corpus
-are hashed into blocks sized from the corpus' own row count, each question
-vector is replicated to its corpus' blocks, and every (corpus, block) group
-returns only its local top-k per question.  A final window keeps the global
-top-k.  A hot corpus therefore spreads over many blocks/tasks.
+Embedding similarity runs as a blocked NumPy kernel: the vectors and the questions
+of each corpus are hashed into blocks sized from the corpus' own row counts, and every
+(corpus, document block, question block) group returns only its local top-k per
+question.  A final window keeps the global top-k.  A corpus with most of the
+documents, or most of the questions, therefore spreads over many tasks.
 """
 
 from __future__ import annotations
@@ -115,48 +115,68 @@ _TOPK_SCHEMA = T.StructType([
 ])
 
 
+def _chunks(n: int, size: int = 256):
+    return (slice(at, at + size) for at in range(0, n, size))
+
+
 def _block_topk(k: int):
     def kernel(qdf: pd.DataFrame, ddf: pd.DataFrame) -> pd.DataFrame:
-        if qdf.empty or ddf.empty:
-            return pd.DataFrame({"qid": pd.Series(dtype="int64"), "doc": pd.Series(dtype="int64"),
-                                 "score": pd.Series(dtype="float64")})
-        qm = np.stack(qdf["vec"].to_numpy()).astype(np.float64)
-        dm = np.stack(ddf["vec"].to_numpy()).astype(np.float64)
-        sims = qm @ dm.T                                   # |q| x |block|
-        ids = ddf["doc"].to_numpy()
-        kk = min(k, dm.shape[0])
-        out_q, out_d, out_s = [], [], []
-        rounded = np.round(sims, TIE_DIGITS)
-        for i, q in enumerate(qdf["qid"].to_numpy()):
-            # order: score desc, then id asc; lexsort uses the last key first
-            order = np.lexsort((ids, -rounded[i]))[:kk]
-            out_q.append(np.full(kk, q)); out_d.append(ids[order]); out_s.append(sims[i, order])
+        out_q, out_d, out_s = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
+        if not qdf.empty and not ddf.empty:
+            qm = np.stack(qdf["vec"].to_numpy()).astype(np.float64)
+            dm = np.stack(ddf["vec"].to_numpy()).astype(np.float64)
+            qids, ids = qdf["qid"].to_numpy(), ddf["doc"].to_numpy()
+            kk = min(k, len(ids))
+            for part in _chunks(len(qm)):
+                sims = qm[part] @ dm.T
+                rounded = np.round(sims, TIE_DIGITS)
+                rounded[np.isnan(rounded)] = -np.inf
+                least = np.partition(rounded, len(ids) - kk, axis=1)[:, len(ids) - kk]
+                for q, line, score, kth in zip(qids[part], rounded, sims, least):
+                    c = np.flatnonzero(line >= kth)  # ties with the last place included, settled by id
+                    c = c[np.lexsort((ids[c], -line[c]))[:kk]]
+                    out_q.append(np.full(kk, q, np.int64)); out_d.append(ids[c]); out_s.append(score[c])
         return pd.DataFrame({"qid": np.concatenate(out_q).astype("int64"),
                              "doc": np.concatenate(out_d).astype("int64"),
                              "score": np.concatenate(out_s)})
     return kernel
 
 
+def _grid(queries: DataFrame, docs: DataFrame, n_queries: DataFrame, query_rows: int,
+          block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``block`` and ``qblock``: within a corpus every query meets every document in one
+    (block of documents, block of queries) group, and no group grows with the corpus or with its questions.
+
+    ``queries(corpus, qid, ...)``, ``docs(corpus, doc, ...)``, ``n_queries(corpus, qid)`` one row a query.  Blocks
+    are sized from one count a corpus on either side; a corpus without documents or without queries drops out.
+    """
+    blocks = lambda n, most: F.greatest(F.lit(1), F.ceil(n / most)).cast("int")
+    sizes = (docs.groupBy("corpus").agg(blocks(F.count(F.lit(1)), block_rows).alias("nb"))
+             .join(n_queries.groupBy("corpus").agg(blocks(F.count(F.lit(1)), query_rows).alias("nq")), "corpus"))
+    sizes = broadcast_if_small(sizes)
+    own = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = queries.join(sizes, "corpus").withColumn("qblock", own("qid", "nq")).withColumn("block", every("nb"))
+    right = docs.join(sizes, "corpus").withColumn("block", own("doc", "nb")).withColumn("qblock", every("nq"))
+    return left.drop("nb", "nq"), right.drop("nb", "nq")
+
+
 def cosine_top_k(queries: DataFrame, vectors: DataFrame, k: int, qid: str = "qid",
                  doc: str = "vec_id", corpus: str = "db_id", vec: str = "embedding",
-                 block_rows: int = 4096) -> DataFrame:
+                 block_rows: int = 4096, query_rows: int = 4096) -> DataFrame:
     """D3: top-k vectors per query by cosine (dot of unit vectors), ties by id.
 
-    ``queries(qid, corpus, vec)`` and ``vectors(doc, corpus, vec)``.  The number of
-    blocks of a corpus is ``ceil(rows / block_rows)`` from a per-corpus count (one
-    row per corpus, broadcast); each block is an independent cogroup task.
+    ``queries(qid, corpus, vec)`` and ``vectors(doc, corpus, vec)``.  Documents and queries of a
+    corpus are both cut into blocks (``_grid``); every pair of blocks is a cogroup task of its own
+    that multiplies 256 queries at a time and returns only its local top-k.
     """
     v = vectors.select(F.col(doc).cast("long").alias("doc"), F.col(corpus).alias("corpus"),
                        F.col(vec).alias("vec"))
-    nb = (v.groupBy("corpus").agg(F.count(F.lit(1)).alias("n"))
-          .select("corpus", F.greatest(F.lit(1), F.ceil(F.col("n") / block_rows)).cast("int").alias("nb")))
-    nb = broadcast_if_small(nb)
-    vb = v.join(nb, "corpus").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("nb")).cast("int")).drop("nb")
     q = queries.select(F.col(qid).cast("long").alias("qid"), F.col(corpus).alias("corpus"),
                        F.col(vec).alias("vec"))
-    qb = q.join(nb, "corpus").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).drop("nb")
-    local = (qb.groupBy("corpus", "block").cogroup(vb.groupBy("corpus", "block"))
-             .applyInPandas(_block_topk(k), _TOPK_SCHEMA))
+    qb, vb = _grid(q, v, q, query_rows, block_rows)
+    keys = ("corpus", "block", "qblock")
+    local = qb.groupBy(*keys).cogroup(vb.groupBy(*keys)).applyInPandas(_block_topk(k), _TOPK_SCHEMA)
     w = Window.partitionBy("qid").orderBy(F.desc(F.round("score", TIE_DIGITS)), F.asc("doc"))
     ranked = local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return ranked.select(F.col("qid").alias(qid), F.col("doc").alias(doc), "score", "rank")
@@ -238,28 +258,25 @@ def _count_kernel(cdf: pd.DataFrame, ddf: pd.DataFrame) -> pd.DataFrame:
     vector documents whose similarity beats the doc's (ties broken by id)."""
     if cdf.empty:
         return pd.DataFrame({c.name: pd.Series(dtype="int64") for c in _COUNT_SCHEMA.fields})
-    ids = ddf["doc"].to_numpy() if not ddf.empty else np.zeros(0, dtype=np.int64)
-    has = ddf["vec"].notna().to_numpy() if not ddf.empty else np.zeros(0, dtype=bool)
-    vids = ids[has]
-    dm = np.stack(ddf["vec"][has].to_numpy()).astype(np.float64) if has.any() else None
-    out = []
-    for q, grp in cdf.groupby("qid", sort=False):
-        qv = grp["qvec"].iloc[0]
-        sims = np.round(dm @ np.asarray(qv, dtype=np.float64), TIE_DIGITS) if (dm is not None and qv is not None) else None
-        for d, s in zip(grp["doc"].to_numpy(), grp["cos"].to_numpy()):
-            n_before = int((ids < d).sum())
-            if sims is None or s is None or (isinstance(s, float) and np.isnan(s)):
-                n_beat = 0
-            else:
-                rs = np.round(s, TIE_DIGITS)
-                n_beat = int(((sims > rs) | ((sims == rs) & (vids < d))).sum())
-            out.append((q, d, n_before, n_beat))
-    return pd.DataFrame(out, columns=["qid", "doc", "n_before", "n_beat"]).astype("int64")
+    d = cdf["doc"].to_numpy()
+    before, beat = np.searchsorted(np.sort(ddf["doc"].to_numpy()), d), np.zeros(len(cdf), np.int64)
+    with_vec = ddf[ddf["vec"].notna()]
+    if len(with_vec):
+        ids, dm = with_vec["doc"].to_numpy(), np.stack(with_vec["vec"].to_numpy()).astype(np.float64)
+        cos = np.round(cdf["cos"].to_numpy(dtype=np.float64, na_value=np.nan), TIE_DIGITS)
+        for at in cdf.groupby("qid", sort=False).indices.values():
+            at = at[~np.isnan(cos[at])]
+            if len(at):
+                sims = np.round(dm @ np.asarray(cdf["qvec"].iloc[at[0]], dtype=np.float64), TIE_DIGITS)
+                for part in _chunks(len(at)):
+                    c, i = cos[at[part], None], d[at[part], None]
+                    beat[at[part]] = ((sims > c) | ((sims == c) & (ids < i))).sum(axis=1)
+    return pd.DataFrame({"qid": cdf["qid"].to_numpy(), "doc": d, "n_before": before, "n_beat": beat}).astype("int64")
 
 
 def rrf_top_k(scores: DataFrame, questions: DataFrame, docs: DataFrame, doc_vecs: DataFrame, k: int,
               qid: str = "question_id", corpus: str = "db_id", doc: str = "table_idx",
-              block_rows: int = 4096) -> DataFrame:
+              block_rows: int = 4096, query_rows: int = 256) -> DataFrame:
     """Top-k by ``1/(60 + r_bm25) + 1/(60 + r_emb)``; ranks start at 0, ties by document
     order, a document without a vector takes rank = number of vectors in its corpus.
 
@@ -296,14 +313,10 @@ def rrf_top_k(scores: DataFrame, questions: DataFrame, docs: DataFrame, doc_vecs
                                       cosine_native(F.col("qvec"), F.col("vec"))))
             .drop("vec"))
     # (c) counts over every document of the corpus, block by block
-    nb = (d.groupBy("corpus").agg(F.count(F.lit(1)).alias("n"))
-          .select("corpus", F.greatest(F.lit(1), F.ceil(F.col("n") / block_rows)).cast("int").alias("nb")))
-    nb = broadcast_if_small(nb)
-    dvb = dv.join(nb, "corpus").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("nb")).cast("int")).drop("nb")
-    cb = cand.join(nb, "corpus").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).drop("nb")
-    counts = (cb.select("corpus", "block", "qid", "doc", "qvec", "cos").groupBy("corpus", "block")
-              .cogroup(dvb.select("corpus", "block", "doc", "vec").groupBy("corpus", "block"))
-              .applyInPandas(_count_kernel, _COUNT_SCHEMA)
+    cb, dvb = _grid(cand.select("corpus", "qid", "doc", "qvec", "cos"), dv.select("corpus", "doc", "vec"),
+                    q.select("corpus", "qid"), query_rows, block_rows)
+    keys = ("corpus", "block", "qblock")
+    counts = (cb.groupBy(*keys).cogroup(dvb.groupBy(*keys)).applyInPandas(_count_kernel, _COUNT_SCHEMA)
               .groupBy("qid", "doc").agg(F.sum("n_before").alias("n_before"), F.sum("n_beat").alias("n_beat")))
     n_vec = dv.groupBy("corpus").agg(F.count("vec").alias("n_vec"))
     # (a)+(b) positives before each candidate, by document order (window over the question's own rows)

@@ -1,10 +1,9 @@
 """Recover structured links from untidy model output (B13, B14), JVM-side.
 
 Direct path: clean the text, ``try_parse_json``, accept an OBJECT root.
-Fallback (only rows whose direct parse is not an object): a single left-to-right
-``aggregate`` over the characters implements the string/escape-aware brace
-scanner and returns every top-level ``{...}`` block; the first block that
-parses to an object wins.  No Python UDF is involved.
+Fallback (only rows whose direct parse is not an object): one pass over the string
+literals, braces and gaps of the text finds the top-level ``{...}`` blocks; the
+first block that parses to an object wins.  No Python UDF is involved.
 """
 
 from __future__ import annotations
@@ -18,7 +17,8 @@ FENCE_OPEN = r"^```(?:json)?\s*"
 FENCE_CLOSE = r"\s*```$"
 STRIP = r"^\s+|\s+$"
 
-_CANDS = "array<struct<s:int,e:int>>"
+#: A string literal, a brace, or a run of anything else; possessive, so long strings need no backtracking stack.
+TOKEN = r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"?|[{}]|[^"{}]++'
 
 
 def clean_model_text(col: Column) -> Column:
@@ -34,40 +34,35 @@ def is_object(v: Column) -> Column:
     return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
-def brace_blocks(s: Column) -> Column:
-    """All top-level balanced ``{...}`` blocks of ``s`` in order (strings and escapes respected;
-    an unmatched ``}`` drives the depth negative and hides later blocks, as in the reference)."""
-    init = F.struct(F.lit(0).alias("depth"), F.lit(-1).alias("start"), F.lit(False).alias("ins"),
-                    F.lit(False).alias("esc"), F.lit(0).alias("i"), F.array().cast(_CANDS).alias("cands"))
-
-    def step(st: Column, ch: Column) -> Column:
-        ins, esc, depth, start, i = st["ins"], st["esc"], st["depth"], st["start"], st["i"]
-        in_string = ins
-        new_ins = F.when(in_string & ~esc & (ch == '"'), F.lit(False)) \
-            .when(~in_string & (ch == '"'), F.lit(True)).otherwise(ins)
-        new_esc = F.when(in_string & ~esc & (ch == "\\"), F.lit(True)).otherwise(F.lit(False))
-        opening = ~in_string & (ch == "{")
-        closing = ~in_string & (ch == "}")
-        new_depth = F.when(opening, depth + 1).when(closing, depth - 1).otherwise(depth)
-        emit = closing & (depth - 1 == 0) & (start >= 0)
-        new_start = F.when(opening & (depth == 0), i).when(emit, F.lit(-1)).otherwise(start)
-        new_cands = F.when(emit, F.concat(st["cands"], F.array(F.struct(start.alias("s"), i.alias("e"))))) \
-            .otherwise(st["cands"])
-        return F.struct(new_depth.alias("depth"), new_start.alias("start"), new_ins.alias("ins"),
-                        new_esc.alias("esc"), (i + 1).alias("i"), new_cands.alias("cands"))
-
-    chars = F.split(s, "")
-    res = F.aggregate(chars, init, step)
-    return F.transform(res["cands"], lambda c: F.substring(s, c["s"] + 1, c["e"] - c["s"] + 1))
+def scanned_object(s: Column) -> Column:
+    """The first top-level balanced ``{...}`` block of ``s`` that is a JSON object, as VARIANT, or NULL.
+
+    The text is cut into string literals (escapes respected, the last may be open), single braces and
+    whatever lies between, and depth is carried over these pieces, so the work is linear in the text.  An
+    unmatched ``}`` drives the depth negative and hides later blocks, as in the reference."""
+    init = F.struct(s.cast("binary").alias("bytes"), F.lit(1).alias("at"), F.lit(0).alias("depth"), F.lit(0).alias("start"),
+                    F.try_parse_json(F.lit(None).cast("string")).alias("found"))
+
+    def step(st: Column, token: Column) -> Column:
+        at, depth, start = st["at"], st["depth"], st["start"]
+        opening, closing = token == "{", token == "}"
+        ends = closing & (depth == 1) & (start > 0)
+        # bytes are cut in place; characters would be counted from the beginning of the text, elements copied as a whole
+        block = F.try_parse_json(F.substring(st["bytes"], start, at - start + 1).cast("string"))
+        found = F.when(st["found"].isNull() & ends & is_object(block), block).otherwise(st["found"])
+        return F.struct(st["bytes"].alias("bytes"), (at + F.octet_length(token)).alias("at"),
+                        F.when(opening, depth + 1).when(closing, depth - 1).otherwise(depth).alias("depth"),
+                        F.when(opening & (depth == 0), at).when(ends, F.lit(0)).otherwise(start).alias("start"),
+                        found.alias("found"))
+
+    return F.aggregate(F.regexp_extract_all(s, F.lit(TOKEN), F.lit(0)), init, step)["found"]
 
 
 def recover_object(raw: Column) -> Column:
     """VARIANT holding the recovered JSON object, or NULL when none is found."""
     s = clean_model_text(raw)
     direct = F.try_parse_json(s)
-    parsed = F.transform(brace_blocks(s), lambda t: F.try_parse_json(t))
-    scanned = F.get(F.filter(parsed, lambda v: is_object(v)), 0)
-    return F.when(is_object(direct), direct).otherwise(scanned)
+    return F.when(is_object(direct), direct).otherwise(scanned_object(s))
 
 
 def object_links(v: Column) -> Column:

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.joins import broadcast_if_small
+from .vote import pack_links
 
 HALLU = "__hallu__:"  # fixed marker for schema-invalid identifiers in graded scoring
 NO_COLUMN = ""        # clc of a table row in the normal form
@@ -195,3 +196,15 @@ def resolve_mentions(mentions: DataFrame, catalog: DataFrame, qid: str = "query_
     t_rows = named.select(qid, "tlc", F.lit(NO_COLUMN).alias("clc"), F.col("tbl_c").alias("tbl"), null.alias("col"))
     c_rows = cols.select(qid, "tlc", "clc", F.col("tbl_c").alias("tbl"), F.col("col_c").alias("col"))
     return t_rows.unionByName(c_rows)
+
+
+def mention_records(queries: DataFrame, mentions: DataFrame, catalog: DataFrame, qid: str = "query_id",
+                    failed: str = "parse_failed", scope: Sequence[str] = SCOPE) -> DataFrame:
+    """C7 over a batch: one record ``qid, parse_failed, schema_links`` for each of ``queries(qid, parse_failed)``.  A
+    query that could not be parsed (a null counts as parsed) keeps its record with no links, whatever mentions
+    came with it; so does one that mentions nothing in the catalog."""
+    bad = F.coalesce(F.max(failed), F.lit(False)).alias(failed)
+    records = queries.groupBy(qid).agg(bad)
+    parsed = mentions.join(records.where(~F.col(failed)).select(qid), qid, "left_semi")
+    links = resolve_mentions(parsed, catalog, qid, scope)
+    return records.join(pack_links(links, [qid], records), qid).select(qid, failed, "schema_links")

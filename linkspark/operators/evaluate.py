@@ -75,6 +75,40 @@ def per_question_scores(pred: DataFrame, gold: DataFrame, questions: DataFrame |
                          F.col("_given").isNull().alias("missing_prediction"))
 
 
+def question_status(questions: DataFrame, catalog: DataFrame, gold_ids: DataFrame, predicted: DataFrame,
+                    keys: Sequence[str] = ("question_id",), scope: Sequence[str] = ("db_id",)) -> DataFrame:
+    """What becomes of each of ``questions(keys, scope)``: ``missing_schema`` where the catalog lacks its
+    database, else ``missing_gold`` where it has no gold record, else ``scored``; ``missing_prediction`` is true for
+    scored questions without a prediction record, which count as empty."""
+    keys, scope = list(keys), list(scope)
+    flag = lambda df, on, name: df.select(*on).distinct().withColumn(name, F.lit(True))
+    q = questions.select(*dict.fromkeys([*keys, *scope])).distinct()
+    j = (q.join(broadcast_if_small(flag(catalog, scope, "_schema")), scope, "left")
+         .join(flag(gold_ids, keys, "_gold"), keys, "left").join(flag(predicted, keys, "_given"), keys, "left"))
+    status = (F.when(F.col("_schema").isNull(), "missing_schema").when(F.col("_gold").isNull(), "missing_gold")
+              .otherwise("scored"))
+    return j.select(*q.columns, status.alias("status"),
+                    ((status == "scored") & F.col("_given").isNull()).alias("missing_prediction"))
+
+
+def evaluation_report(pred: DataFrame, gold: DataFrame, status: DataFrame, predicted: DataFrame,
+                      by: Sequence[str] = ("dataset",), keys: Sequence[str] = ("question_id",)) -> DataFrame:
+    """C3, C4, D9 in one row for each prediction file (``by``): macro averages over the scored questions, and how many
+    questions were skipped without a schema or without gold, scored as empty, or predicted without being asked.
+    ``status`` comes from :func:`question_status` with ``keys`` and ``by`` as its keys."""
+    on, by = [*keys, *by], list(by)
+    scores = per_question_scores(pred, gold, status.where("status = 'scored'"), on, predicted)
+    means = scores.groupBy(*by).agg(*[F.avg(m).alias(m) for m in METRICS])
+    counts = status.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_questions"),
+        *[_cnt(F.col("status") == s).alias(f"n_{s}") for s in ("scored", "missing_gold", "missing_schema")],
+        _cnt(F.col("missing_prediction")).alias("n_missing_prediction"))
+    extra = extra_predictions(predicted, status, on).groupBy(*by).agg(F.count(F.lit(1)).alias("n_extra"))
+    out = counts.join(means, by, "left").join(extra, by, "left").withColumn("n_extra", F.coalesce("n_extra", F.lit(0)))
+    score = (sum(F.col(m) for m in METRICS[:3]) + sum(F.col(m) for m in METRICS[3:])) / 6.0
+    return out.withColumn("leaderboard", score)
+
+
 def leaderboard(per_question: DataFrame, digits: int = 6) -> DataFrame:
     """Macro averages, table / column scores and 0.5·T + 0.5·C, one row."""
     agg = per_question.agg(F.count(F.lit(1)).alias("n_questions"),

@@ -33,6 +33,33 @@ def flatten_runs(nested: DataFrame) -> DataFrame:
     return e.select("experiment", "run", "metric", F.col("m.value").alias("value"), F.col("m.step").alias("step"))
 
 
+#: Layout of a run file: one experiment with its runs, their settings as text and the last value of each metric.
+RUN_FILE = ("experiment_name string, num_runs int, runs array<struct<run_name:string, status:string, start_time_ms:long, "
+            "end_time_ms:long, config:map<string,string>, final_metrics:map<string,struct<value:double,step:long>>>>")
+
+
+def read_run_files(spark: SparkSession, path: str, one_to_a_line: bool = False) -> DataFrame:
+    """Run files (one JSON object each, or with ``one_to_a_line`` many to a file) -> one row a run:
+    ``experiment, run, status, start_time_ms, end_time_ms, config, final_metrics``.  Absent fields are null."""
+    files = spark.read.schema(RUN_FILE).option("mode", "FAILFAST").option("multiLine", not one_to_a_line).json(path)
+    return files.select(F.col("experiment_name").alias("experiment"), F.explode("runs").alias("r")).select(
+        "experiment", F.col("r.run_name").alias("run"), "r.status", "r.start_time_ms", "r.end_time_ms", "r.config", "r.final_metrics")
+
+
+def write_run_files(runs: DataFrame, path: str, chunk: str | None = None) -> None:
+    """The run files behind :func:`read_run_files`, one object to a line; ``chunk`` names a column that cuts an
+    experiment with many runs into several objects, since an object is built in one task."""
+    by = ["experiment", *([chunk] if chunk else [])]
+    run = F.struct(F.col("run").alias("run_name"), "status", "start_time_ms", "end_time_ms", "config", "final_metrics")
+    (runs.groupBy(*by).agg(F.collect_list(run).alias("runs"))
+     .select(F.col("experiment").alias("experiment_name"), F.size("runs").alias("num_runs"), "runs").write.json(path))
+
+
+def run_settings(runs: DataFrame) -> DataFrame:
+    """One row for each (experiment, run, setting)."""
+    return runs.select("experiment", "run", "status", F.explode("config").alias("setting", "value"))
+
+
 def best_runs(final: DataFrame, higher_is_better: bool = True) -> DataFrame:
     """Best run per (experiment, metric) on the last value; ties -> lowest run id."""
     v = F.col("value") if higher_is_better else -F.col("value")

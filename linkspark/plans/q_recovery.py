@@ -91,3 +91,26 @@ def q_resolve_mentions(spark, d):
     m = fx.fx_mentions(spark, d)
     out = C.resolve_mentions(m, fx.fx_catalog(spark, d))
     return out.select("query_id", "tbl", "col")
+
+
+# C7 over a batch of queries, some of which the parser gave up on.
+define("mn_queries", (), "SELECT o_orderkey AS query_id, o_orderkey % 13 = 0 AS parse_failed FROM orders")
+
+
+@query("mention_records", with_views("""
+    SELECT q.query_id, q.parse_failed, CASE WHEN q.parse_failed THEN '{}' ELSE coalesce(l.links, '{}') END AS schema_links
+    FROM mn_queries q LEFT JOIN (
+      SELECT query_id, '{' || string_agg('"' || tbl_c || '":[' || cols || ']', ',' ORDER BY tbl_c) || '}' AS links
+      FROM (SELECT s.query_id, s.tbl_c, coalesce(string_agg('"' || c.col_c || '"', ',' ORDER BY c.col_c), '') AS cols
+            FROM mn_tables s LEFT JOIN (
+                 SELECT x.query_id, x.tlc, c.col_c FROM (SELECT query_id, db_id, tlc, clc FROM mn_qual
+                                                        UNION SELECT query_id, db_id, tlc, clc FROM mn_bare) x
+                 JOIN cat_c c ON c.db_id = x.db_id AND c.tlc = x.tlc AND c.clc = x.clc) c
+              ON c.query_id = s.query_id AND c.tlc = s.tlc
+            GROUP BY s.query_id, s.tlc, s.tbl_c) t GROUP BY query_id) l ON l.query_id = q.query_id""",
+    "mn_queries", "mn_tables", "mn_qual", "mn_bare", "cat_c"))
+def q_mention_records(spark, d):
+    queries = read_table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("query_id"), (F.col("o_orderkey") % 13 == 0).alias("parse_failed"))
+    out = C.mention_records(queries, fx.fx_mentions(spark, d), fx.fx_catalog(spark, d))
+    return out.withColumn("schema_links", F.to_json("schema_links"))

@@ -20,6 +20,42 @@ def q_run_metrics_flat(spark, d):
     return RU.flatten_runs(RU.nest_runs(fx.fx_runs(spark, d)))
 
 
+# The runs written as nested files, each with its settings, and read back.
+define("run_cfg", ("fx_runs",), """SELECT DISTINCT concat('sweep', CAST(experiment AS VARCHAR)) AS experiment, CAST(run AS VARCHAR) AS run,
+      CASE WHEN run % 4 = 0 THEN 'RUNNING' ELSE 'FINISHED' END AS status,
+      concat('0.000', CAST(run % 4 + 1 AS VARCHAR)) AS rate, CAST(run % 3 * 16 AS VARCHAR) AS rank FROM fx_runs""")
+RUNS_PER_OBJECT = 64
+
+
+def run_files(spark, d):
+    nested = RU.nest_runs(fx.fx_runs(spark, d))
+    run = F.col("run")
+    config = F.create_map(F.lit("training_args.learning_rate"), F.concat(F.lit("0.000"), (run % 4 + 1).cast("string")),
+                          F.lit("peft_params.r"), (run % 3 * 16).cast("string"))
+    files = nested.select(
+        F.concat(F.lit("sweep"), F.col("experiment").cast("string")).alias("experiment"), run.cast("string").alias("run"),
+        F.when(run % 4 == 0, "RUNNING").otherwise("FINISHED").alias("status"), (run * 1000).alias("start_time_ms"),
+        F.when(run % 4 != 0, run * 1000 + 1).alias("end_time_ms"), config.alias("config"), "final_metrics",
+        F.floor(run / (10 * RUNS_PER_OBJECT)).alias("chunk"))  # an experiment has every tenth run
+    path = _scratch(spark, "run_files")
+    RU.write_run_files(files, path, "chunk")
+    return RU.read_run_files(spark, path, one_to_a_line=True)
+
+
+@query("run_file_settings", with_views("""
+    SELECT experiment, run, status, 'training_args.learning_rate' AS setting, rate AS value FROM run_cfg
+    UNION ALL SELECT experiment, run, status, 'peft_params.r', rank FROM run_cfg""", "run_cfg"))
+def q_run_file_settings(spark, d):
+    return RU.run_settings(run_files(spark, d))
+
+
+@query("run_file_metrics", with_views("""
+    SELECT concat('sweep', CAST(experiment AS VARCHAR)) AS experiment, CAST(run AS VARCHAR) AS run, metric, value, step
+    FROM run_last""", "run_last"))
+def q_run_file_metrics(spark, d):
+    return RU.flatten_runs(run_files(spark, d))
+
+
 @query("best_run", with_views("""
     SELECT experiment, metric, arg_max(run, (value, -run)) AS best_run, max(value) AS best_value, count(*) AS n_runs
     FROM run_last WHERE NOT isnan(value) GROUP BY experiment, metric""", "run_last"))

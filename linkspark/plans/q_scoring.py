@@ -176,12 +176,16 @@ SCORE_SQL = with_views(f"""
     "counts_v", "gold_ids", "vote_ids")
 
 
+def _each(df: DataFrame) -> DataFrame:
+    """``df`` once for every voter."""
+    return df.withColumn("voter", F.explode(F.array(*[F.lit(v) for v in fx.VOTERS])))
+
+
 @query("score_questions", SCORE_SQL)
 def q_score_questions(spark, d):
     keys = ["question_id", "voter"]
-    each = lambda df: df.withColumn("voter", F.explode(F.array(*[F.lit(v) for v in fx.VOTERS])))
     pred = C.graded_normal_form(C.graded_links(fx.fx_votes(spark, d), fx.fx_catalog(spark, d), keys), keys)
-    pq = E.per_question_scores(pred, each(canon_gold(spark, d)), each(fx.fx_gold_ids(spark, d)), keys, fx.fx_vote_ids(spark, d))
+    pq = E.per_question_scores(pred, _each(canon_gold(spark, d)), _each(fx.fx_gold_ids(spark, d)), keys, fx.fx_vote_ids(spark, d))
     return pq.select(*keys, *[F.round(c, R).alias(c) for c in E.METRICS], "missing_prediction")
 
 
@@ -194,6 +198,51 @@ def q_hallucination_tally(spark, d):
     return C.hallucination_tally(g, pred_keys=["question_id", "voter"], by=["voter"])
 
 
+# The question list has questions of a database without a schema, and lacks some that were predicted.
+define("asked", (), """SELECT o_orderkey AS question_id, CASE WHEN o_orderkey % 11 = 0 THEN 'no schema'
+      ELSE concat('db', CAST(o_orderkey % 3 AS VARCHAR)) END AS db_id FROM orders WHERE o_orderkey % 7 <> 0""")
+define("asked_status", ("asked", "fx_catalog", "gold_ids", "vote_ids"), """SELECT question_id, voter, db_id, status,
+      status = 'scored' AND i IS NULL AS missing_prediction
+    FROM (SELECT a.question_id, a.voter, a.db_id, v.question_id AS i,
+            CASE WHEN a.db_id NOT IN (SELECT db_id FROM fx_catalog) THEN 'missing_schema'
+                 WHEN a.question_id NOT IN (SELECT question_id FROM gold_ids) THEN 'missing_gold' ELSE 'scored' END AS status
+          FROM (SELECT *, unnest([1, 2, 3, 4]) AS voter FROM asked) a
+          LEFT JOIN vote_ids v ON v.question_id = a.question_id AND v.voter = a.voter) s""")
+
+
+def asked_status(spark, d):
+    id_ = F.col("o_orderkey")
+    asked = read_table(spark, d, "orders").where(id_ % 7 != 0).select(
+        id_.alias("question_id"), F.when(id_ % 11 == 0, "no schema").otherwise(fx.question_db("o_orderkey")).alias("db_id"))
+    return E.question_status(_each(asked), fx.fx_catalog(spark, d), _each(fx.fx_gold_ids(spark, d)),
+                             fx.fx_vote_ids(spark, d), ["question_id", "voter"])
+
+
+@query("question_status", with_views("SELECT question_id, voter, db_id, status, missing_prediction FROM asked_status", "asked_status"))
+def q_question_status(spark, d):
+    return asked_status(spark, d).select("question_id", "voter", "db_id", "status", "missing_prediction")
+
+
+@query("evaluation_report", with_views(f"""
+    SELECT c.*, coalesce(x.n_extra, 0) AS n_extra, {", ".join(f"round({m}, {R}) AS {m}" for m in E.METRICS)},
+      round((p_t + r_t + f1_t + p_c + r_c + f1_c) / 6.0, {R}) AS leaderboard
+    FROM (SELECT voter, count(*) AS n_questions, count(*) FILTER (WHERE status = 'scored') AS n_scored,
+            count(*) FILTER (WHERE status = 'missing_gold') AS n_missing_gold,
+            count(*) FILTER (WHERE status = 'missing_schema') AS n_missing_schema,
+            count(*) FILTER (WHERE missing_prediction) AS n_missing_prediction FROM asked_status GROUP BY voter) c
+    LEFT JOIN (SELECT voter, {", ".join(f"avg({m}) AS {m}" for m in E.METRICS)} FROM scored GROUP BY voter) m ON m.voter = c.voter
+    LEFT JOIN (SELECT voter, count(*) AS n_extra FROM vote_ids WHERE question_id NOT IN (SELECT question_id FROM asked)
+               GROUP BY voter) x ON x.voter = c.voter""", "asked_status", "counts_v", "vote_ids", "asked", extra={
+    "scored": f"""SELECT voter, {_prf_sql('tp_t', 'n_pred_t', 'n_gold_t', 't')}, {_prf_sql('tp_c', 'n_pred_c', 'n_gold_c', 'c')}
+        FROM (SELECT g.voter, {_ZEROS} FROM asked_status g
+              LEFT JOIN counts_v c ON c.question_id = g.question_id AND c.voter = g.voter WHERE g.status = 'scored') z"""}))
+def q_evaluation_report(spark, d):
+    keys = ["question_id", "voter"]
+    pred = C.graded_normal_form(C.graded_links(fx.fx_votes(spark, d), fx.fx_catalog(spark, d), keys), keys)
+    out = E.evaluation_report(pred, _each(canon_gold(spark, d)), asked_status(spark, d), fx.fx_vote_ids(spark, d), ["voter"])
+    return out.withColumns({m: F.round(m, R) for m in (*E.METRICS, "leaderboard")})
+
+
 # Question set of the prediction-file checks = the questions that have gold.
 @query("extra_predictions", with_views("""
     SELECT DISTINCT question_id FROM fx_votes WHERE question_id NOT IN (SELECT question_id FROM fx_gold)""",

@@ -17,19 +17,19 @@ Likeness is the Jaccard similarity of the two digest sets, from their sizes and
 All texts of a batch are sketched and peeled together in numpy arrays.
 
 Defined cases: null and empty texts have no paragraphs; two empty sets have likeness 1; rows are ordered by
-(doc_id, text), null ids first, so repeated ids and rows have a next document too (a lone document is its
-own); an empty table gives an empty result; only ``doc_id`` and ``text`` are read.
+(doc_id, hash of the text, text), null ids as the least long, so repeated ids and rows have a next document too (a
+lone document is its own); only rows equal in id and text must share a range; an empty table gives an empty result; only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import json
 import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +41,8 @@ SPLIT, REST = 120, 240
 TABLES = 3
 LEAST = 4  # cells of a subtable
 #: Documents are dealt out in ranges of ids of about so many characters, out of so many slots at most.
-RANGE_CHARS, SLOTS = 4 << 20, 1 << 16
+RANGE_CHARS, RANGES, ROW_CHARS = 4 << 20, 1 << 16, 64  # a row counts as ROW_CHARS beyond its text
+NO_ID = -(1 << 63)  # rows without an id stand at the least id
 CHUNK = 256
 
 _PIECE = re.compile(rf"[^\n]{{{SPLIT}}}(?:[^\n]{{0,{REST}}}?[.!?](?= )|[^\n]{{0,{REST}}})|[^\n]+")
@@ -189,34 +190,60 @@ def fingerprint_likeness(a: str, b: str) -> float:
     return float(likeness(np.array([len(da)]), np.array([len(db)]), differences(zero(da), zero(db), 1))[0])
 
 
-def with_neighbours(docs: DataFrame) -> DataFrame | None:
-    """Rows ``range, tail, doc_id, text`` such that, sorted by these, the next document of every row with
-    ``tail`` 0 is the row behind it.  Ids fall into equal slots, neighbouring slots into ranges of about
-    ``RANGE_CHARS``; the first document of a range is also sent to the end of the range before.  One
-    exchange; the driver sees one row per slot, ``SLOTS`` at most.  None for an empty table."""
-    id_ = F.col("doc_id").cast("long")
-    low, high, rows = docs.agg(F.min(id_), F.max(id_), F.count("*")).first()
+def _order(docs: DataFrame) -> DataFrame:
+    """``key, tie, text, doc_id``: documents follow one another by ``(key, tie, text)``."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"),
+                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), "text", "doc_id")
+
+
+def range_starts(docs: DataFrame) -> np.ndarray:
+    """The least ``(key, tie)`` of each range, sorted, as an array of two columns; empty for an empty table.  Ranges
+    are those of Spark's range partitioning of the pairs alone, a pair standing there as many times as its
+    text is long, so they hold about ``RANGE_CHARS`` wherever the ids lie.  At most ``RANGES`` rows."""
+    keys = _order(docs).select("key", "tie", (F.coalesce(F.length("text"), F.lit(0)) + ROW_CHARS).cast("long").alias("weight"))
+    rows, weight = keys.agg(F.count("*"), F.sum("weight")).first()
     if not rows:
+        return np.empty((0, 2), np.int64)
+    n = min(RANGES, max(1, -(-weight // RANGE_CHARS)))
+    share = max(1, weight // rows)
+    weighed = keys.select("key", "tie", F.explode(F.sequence(F.lit(0), F.floor(F.col("weight") / F.lit(share)))))  # at most 2-3 a row on average
+    parts = weighed.select("key", "tie").repartitionByRange(n, "key", "tie")
+    firsts = parts.groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct("key", "tie")).alias("first")).collect()
+    return np.array(sorted(tuple(r["first"]) for r in firsts), np.int64)
+
+
+def range_numbers(starts: np.ndarray, key: np.ndarray, tie: np.ndarray) -> np.ndarray:
+    """The number of the last start that is not above each ``(key, tie)``."""
+    low, high = (np.searchsorted(starts[:, 0], key, side) for side in ("left", "right"))
+    out = high - 1
+    shared = np.flatnonzero(low < high)  # the key starts one or more ranges: the hash tells them apart
+    for k in np.unique(key[shared]):
+        at = shared[key[shared] == k]
+        first, last = low[at[0]], high[at[0]]
+        out[at] = first - 1 + np.searchsorted(starts[first:last, 1], tie[at], "right")
+    return out
+
+
+def with_neighbours(docs: DataFrame) -> DataFrame | None:
+    """Rows ``range, tail, doc_id, text`` such that, sorted within a range, the next document of every row with
+    ``tail`` 0 is the row behind it; the first document of a range is also sent to the end of the range
+    before.  One exchange of the texts.  None for an empty table."""
+    starts = range_starts(docs)
+    if not len(starts):
         return None
-    low, high = low or 0, high or 0
-    width = float(high - low + 1)
-    slot = F.coalesce(F.floor((id_ - F.lit(low)).cast("double") * F.lit((SLOTS - 2) / width)) + 1, F.lit(0)).cast("int")
-    slots = docs.groupBy(slot.alias("slot")).agg(F.sum(F.coalesce(F.length("text"), F.lit(0))).alias("n"), F.min(id_).alias("first")).collect()
-    range_of, firsts, filled = [0] * SLOTS, [], 0
-    for s in sorted(slots, key=lambda s: s["slot"]):
-        if not firsts or filled >= RANGE_CHARS:
-            firsts.append(s["first"])
-            filled = 0
-        filled += s["n"]
-        range_of[s["slot"]] = len(firsts) - 1
-    lookup = lambda values: F.from_json(F.lit(json.dumps(values)), "array<bigint>")  # noqa: E731  (folded to one literal)
-    here = docs.select("doc_id", "text", F.element_at(lookup(range_of), slot + 1).alias("range"))
-    here = here.withColumn("first", F.element_at(lookup(firsts), (F.col("range") + 1).cast("int")))
-    own = F.struct(F.col("range"), F.lit(0).alias("tail"))
-    back = F.struct(((F.col("range") + F.lit(len(firsts) - 1)) % F.lit(len(firsts))).alias("range"), F.lit(1).alias("tail"))
-    sent = F.explode(F.when(id_.eqNullSafe(F.col("first")), F.array(own, back)).otherwise(F.array(own)))
-    return (here.withColumn("to", sent).select("to.range", "to.tail", "doc_id", "text").repartition("range")
-            .sortWithinPartitions("range", "tail", "doc_id", "text"))
+
+    @F.pandas_udf("struct<range:int,first:boolean>")
+    def place(key: pd.Series, tie: pd.Series) -> pd.DataFrame:
+        key, tie = key.to_numpy(), tie.to_numpy()
+        number = range_numbers(starts, key, tie)
+        return pd.DataFrame({"range": number.astype(np.int32), "first": (starts[number] == np.stack([key, tie], 1)).all(1)})
+
+    here = _order(docs).withColumn("place", place("key", "tie"))
+    own = F.struct(F.col("place.range").alias("range"), F.lit(0).alias("tail"))
+    back = F.struct(F.pmod(F.col("place.range") - 1, F.lit(len(starts))).alias("range"), F.lit(1).alias("tail"))
+    sent = F.explode(F.when(F.col("place.first"), F.array(own, back)).otherwise(F.array(own)))
+    return (here.withColumn("to", sent).select("to.range", "to.tail", "doc_id", "text", "key", "tie").repartition("range")
+            .sortWithinPartitions("range", "tail", "key", "tie", "text").drop("key", "tie"))
 
 
 RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from linkspark.llm import paragraph_sketch as S
 
@@ -55,3 +56,41 @@ def test_query_on_odd_rows(spark, tmp_path, monkeypatch):
         res = S.op4_paragraph_sketch(spark, str(tmp_path / name)).collect()
         assert Counter(r.doc_id for r in res) == Counter(d[0] for d in data)
     assert res[0].near_next == 1.0
+
+
+def check_neighbours(spark, rows, most):
+    """Every row has the next one behind it, and no range holds more than ``most`` rows."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    parts = {}
+    for r in S.with_neighbours(docs).withColumn("p", F.spark_partition_id()).collect():
+        parts.setdefault((r.p, r.range), []).append(r)
+    sizes = [sum(not r.tail for r in part) for part in parts.values()]
+    assert sum(sizes) == len(rows) and max(sizes) <= most
+    key = lambda doc_id, text: (S.NO_ID if doc_id is None else doc_id, text or "")
+    follows = []
+    for part in parts.values():
+        follows += [(key(a.doc_id, a.text), key(b.doc_id, b.text)) for a, b in zip(part, part[1:]) if not a.tail]
+        assert part[-1].tail or len(part) == 1
+    assert sorted(a for a, _ in follows) == sorted(key(*r) for r in rows)
+    assert sorted(b for _, b in follows) == sorted(key(*r) for r in rows)  # each is the next of exactly one
+    assert sum(b[0] < a[0] for a, b in follows) <= 1  # ids fall once, from the last to the first
+
+
+def test_ranges_follow_the_ids(spark, monkeypatch):
+    monkeypatch.setattr(S, "RANGE_CHARS", 8000)
+    even = [(i, "word " * 10) for i in range(3000)]
+    outliers = even + [(10**15, "far"), (2**63 - 1, "last"), (-(2**63) + 1, None)]
+    clustered = [(c * 10**14 + i, "word " * 10) for c in range(5) for i in range(600)]
+    one_id = even + [(None, f"text {i}") for i in range(1500)] + [(7, f"text {i}") for i in range(1500)]
+    long_text = even + [(1500, "x" * 200_000), (1500, "y" * 200_000)]
+    for rows in (even, outliers, clustered, one_id, long_text):
+        check_neighbours(spark, rows, 500)
+    check_neighbours(spark, [(1, "same")] * 50 + [(None, None)] * 50, 100)
+
+
+def test_range_numbers():
+    starts = np.array([(-5, 3), (0, -9), (0, 4), (0, 8), (7, 1)])
+    rows = [(k, t) for k in range(-5, 9) for t in range(-9, 10) if (k, t) >= (-5, 3)]
+    want = [max(i for i, s in enumerate(starts.tolist()) if tuple(s) <= r) for r in rows]
+    key, tie = np.array(rows).T
+    assert S.range_numbers(starts, key, tie).tolist() == want

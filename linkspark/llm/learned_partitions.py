@@ -9,9 +9,14 @@ reranked by the exact inner product in double precision.  The query's
 ``k``-th best score among the sample's rows in its parts goes along as a floor, so a block of a part passes
 on no row that cannot be among the answers.
 
+A part of more than ``SPLIT_ROWS`` rows is divided again in the same way: a sample of its own rows, its own
+graph, parts and router, learned in a task.  Rows and queries then go to the leaves, ``MOST_PARTS`` squared at
+most, so with twice the rows a query meets leaves of the same size and not larger parts.
+
 Parts are searched in blocks: (part, block of rows, block of queries) groups hold at most about
 ``BLOCK_ROWS`` rows and ``BLOCK_QUERIES`` queries however large a part gets, so neither a part with a third
-of all rows nor many copies of one vector meets in a task.  The driver sees the sample and one count per part.
+of all rows nor many copies of one vector meets in a task.  The driver sees the sample, one count per leaf and the
+routers.
 
 Defined cases: vectors that are null, zero, of another length than the commonest, or hold a null or
 non-finite component take no part, nor do rows with a null id; a query's own id is no candidate; rows that
@@ -21,6 +26,8 @@ to search the result is empty; other columns are ignored.
 
 from __future__ import annotations
 
+import json
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +38,7 @@ from pyspark.sql import functions as F
 from linkspark.llm.common import materialise, read
 
 FIT_ROWS, DEGREE, PART_ROWS, MOST_PARTS = 8192, 16, 2048, 256
+SPLIT_ROWS = 16 * PART_ROWS
 TARGET = 0.95
 BLOCK_ROWS, BLOCK_QUERIES = 8192, 4096
 HIDDEN, EPOCHS, RATE = 128, 30, 0.05
@@ -123,10 +131,46 @@ class Router:
         return row, order[row, place]
 
 
-def fit(sample: np.ndarray, n_rows: int, k: int, target: float = TARGET, seed: int = 3) -> Router:
+class Leaves:
+    """The router of the parts and, for each large part, the router of its own parts.  A leaf is a part without
+    a router, or a part within a part; leaves are numbered in the order of their parts."""
+
+    def __init__(self, top: Router, below: dict[int, Router]):
+        self.top, self.below = top, below
+        n = [len(below[p].b2) if p in below else 1 for p in range(len(top.b2))]
+        self.start = np.concatenate([[0], np.cumsum(n)])
+
+    def __len__(self) -> int:
+        return int(self.start[-1])
+
+    def home(self, x: np.ndarray, part: np.ndarray) -> np.ndarray:
+        """The leaf of each row, whose part is known."""
+        leaf = self.start[part]
+        for p in np.unique(part):
+            if p in self.below:
+                at = np.flatnonzero(part == p)
+                leaf[at] += self.below[p](x[at]).argmax(axis=1)
+        return leaf
+
+    def probes(self, x: np.ndarray, held: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (row, leaf), as ``Router.probes`` has them: first the parts, then the leaves within each."""
+        row, part = self.top.probes(x, np.add.reduceat(held, self.start[:-1]), least)
+        large = np.isin(part, list(self.below))
+        rows, leaves = [row[~large]], [self.start[part[~large]]]
+        for p in np.unique(part[large]):
+            at = row[part == p]
+            r, leaf = self.below[p].probes(x[at], held[self.start[p]: self.start[p + 1]], least[at])
+            rows.append(at[r])
+            leaves.append(self.start[p] + leaf)
+        return np.concatenate(rows), np.concatenate(leaves)
+
+
+def fit(sample: np.ndarray, n_rows: int, k: int, target: float = TARGET, seed: int = 3, most: int | None = None,
+        part_rows: int | None = None) -> Router:
+    """A router for ``n_rows`` rows like those of the sample, of at most ``most`` parts of about ``part_rows``."""
     rng = np.random.default_rng(seed)
-    n_parts = 1
-    while n_parts < MOST_PARTS and n_parts * PART_ROWS < n_rows and n_parts * 2 * 32 <= len(sample):
+    n_parts, most, part_rows = 1, most or MOST_PARTS, part_rows or PART_ROWS
+    while n_parts < most and n_parts * part_rows < n_rows and n_parts * 2 * 32 <= len(sample):
         n_parts *= 2
     router = Router(sample.shape[1], n_parts, rng)
     if n_parts == 1:
@@ -166,6 +210,26 @@ def valid_vectors(table: DataFrame) -> DataFrame:
     return rows.where(F.size("v") == (common["n"] if common else 0))
 
 
+def split(indexed: DataFrame, part_rows: dict[int, int], k: int, target: float) -> dict[int, Router]:
+    """A router for each part of ``indexed`` (``part, vec_id, v``) with more than ``SPLIT_ROWS`` rows, learned in a task
+    from ``FIT_ROWS`` of its rows.  The driver gets at most ``MOST_PARTS`` of them, of
+    ``HIDDEN * (dimensions + MOST_PARTS)`` numbers each."""
+    large = {part: n for part, n in part_rows.items() if n > SPLIT_ROWS}
+    if not large:
+        return {}
+    settings = {"target": target, "most": MOST_PARTS, "part_rows": PART_ROWS}
+    first = F.row_number().over(Window.partitionBy("part").orderBy(F.xxhash64("vec_id"), "vec_id"))
+    samples = indexed.where(F.col("part").isin(list(large))).withColumn("place", first).where(F.col("place") <= FIT_ROWS)
+
+    def learn(rows: pa.Table) -> pa.Table:
+        part = rows["part"][0].as_py()
+        return pa.table({"part": pa.array([part], pa.int32()),
+                         "router": pa.array([pickle.dumps(fit(_matrix(rows["v"]), large[part], k, **settings))], pa.binary())})
+
+    learned = samples.groupBy("part").applyInArrow(learn, "part int, router binary").collect()
+    return {r["part"]: pickle.loads(r["router"]) for r in learned}
+
+
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -178,8 +242,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int, target: float = TARGET)
     if not n_rows:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     known, known_ids = _matrix(sample["v"]), sample["vec_id"].to_numpy()
-    router = spark.sparkContext.broadcast(fit(known, n_rows, k, target))
-    known = spark.sparkContext.broadcast((known, known_ids, router.value(known).argmax(axis=1)))  # at most FIT_ROWS vectors
+    # where the parts themselves will be split, each level may miss only its share
+    router = spark.sparkContext.broadcast(fit(known, n_rows, k, target ** 0.5 if n_rows > MOST_PARTS * SPLIT_ROWS else target))
     kind = rows.schema["v"].dataType.simpleString()
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,14 +252,32 @@ def search(rows: DataFrame, queries: DataFrame, k: int, target: float = TARGET)
                 part = pa.array(router.value(_matrix(b.column("v"))).argmax(axis=1), pa.int32())
                 yield pa.RecordBatch.from_arrays([part, *b.columns], ["part", "vec_id", "v"])
 
+    def counted(df: DataFrame) -> dict[int, int]:
+        return {r["part"]: r["count"] for r in df.groupBy("part").count().collect()}
+
+    indexed = materialise(rows.mapInArrow(index, f"part int, vec_id long, v {kind}"), "ann-index")
+    part_rows = counted(indexed)
+    leaves = spark.sparkContext.broadcast(Leaves(router.value, split(indexed, part_rows, k, target ** 0.5)))
+    if leaves.value.below:
+        def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if len(b):
+                    leaf = leaves.value.home(_matrix(b.column("v")), b.column("part").to_numpy())
+                    yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int32()), b.column("vec_id"), b.column("v")], ["part", "vec_id", "v"])
+
+        indexed = materialise(indexed.mapInArrow(refine, f"part int, vec_id long, v {kind}"), "ann-leaves")
+        part_rows = counted(indexed)
+    homes = leaves.value.home(known, router.value(known).argmax(axis=1))
+    known = spark.sparkContext.broadcast((known, known_ids, homes))  # at most FIT_ROWS vectors
+
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, len(b), 256):
                 c = b.slice(at, 256)
                 q, (v, ids, home) = _matrix(c.column("v")), known.value
-                row, part = router.value.probes(q, held.value, k + c.column("own").to_numpy())
+                row, part = leaves.value.probes(q, held.value, k + c.column("own").to_numpy())
                 s = q @ v.T
-                asked = np.zeros((len(q), len(router.value.b2)), bool)
+                asked = np.zeros((len(q), len(leaves.value)), bool)
                 asked[row, part] = True
                 s[(ids[None, :] == c.column("vec_id").to_numpy()[:, None]) | ~asked[:, home]] = -np.inf
                 floor = np.partition(s, -k, axis=1)[:, -k] if len(ids) >= k else np.full(len(q), -np.inf)
@@ -203,12 +285,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int, target: float = TARGET)
                     [pa.array(part, pa.int32()), *(c.column(n).take(pa.array(row)) for n in ("vec_id", "v")), pa.array(floor[row])],
                     ["part", "vec_id", "v", "floor"])
 
-    def counted(df: DataFrame) -> dict[int, int]:
-        return {r["part"]: r["count"] for r in df.groupBy("part").count().collect()}
-
-    indexed = materialise(rows.mapInArrow(index, f"part int, vec_id long, v {kind}"), "ann-index")
-    part_rows = counted(indexed)
-    held = spark.sparkContext.broadcast(np.array([part_rows.get(i, 0) for i in range(len(router.value.b2))]))
+    held = spark.sparkContext.broadcast(np.array([part_rows.get(i, 0) for i in range(len(leaves.value))]))
     # the rows of a query's own id are no answers to it, wherever they lie
     own_rows = rows.groupBy("vec_id").agg(F.count("*").alias("own"))
     once = (queries.groupBy("vec_id").agg(F.min("v").alias("v")).join(own_rows, "vec_id", "left")
@@ -216,8 +293,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int, target: float = TARGET)
     routed = materialise(once.mapInArrow(route, f"part int, vec_id long, v {kind}, floor double"), "ann-queries")
 
     def blocks(part_rows: dict[int, int], most: int):
-        n = {part: -(-count // most) for part, count in part_rows.items()}
-        return F.coalesce(F.create_map(*(F.lit(x) for item in (n or {-1: 1}).items() for x in item))[F.col("part")], F.lit(1))
+        n = [max(1, -(-part_rows.get(i, 0) // most)) for i in range(len(leaves.value))]
+        return F.get(F.from_json(F.lit(json.dumps(n)), "array<int>"), F.col("part"))  # folded to one literal
 
     row_blocks, query_blocks = blocks(part_rows, BLOCK_ROWS), blocks(counted(routed), BLOCK_QUERIES)
     every = lambda n: F.explode(F.sequence(F.lit(0), n.cast("int") - 1))

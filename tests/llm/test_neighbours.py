@@ -75,3 +75,37 @@ def test_few_rows(spark, tmp_path):
                                    (40, 1, 1, -1.0), (40, 2, 3, -1.0), (40, 3, 20, -1.0)]
         else:
             assert got == []
+
+
+def test_large_parts_are_divided_again(spark, monkeypatch):
+    """Beyond the most parts of one level a query still meets few rows, and finds them."""
+    for name, value in {"MOST_PARTS": 8, "PART_ROWS": 64, "SPLIT_ROWS": 256, "FIT_ROWS": 1024, "BLOCK_ROWS": 500}.items():
+        monkeypatch.setattr(L, name, value)
+    routers = []
+    made = L.Leaves.__init__
+    monkeypatch.setattr(L.Leaves, "__init__", lambda self, *a: routers.append(self) or made(self, *a))
+    rng = np.random.default_rng(4)
+    # groups of groups, and a fifth of the rows one vector
+    centres = (rng.normal(size=(12, 1, 16)) + rng.normal(size=(12, 10, 16)) * 0.5).reshape(-1, 16)
+    v = (centres[rng.integers(0, 120, 6000)] + rng.normal(size=(6000, 16)) * 0.15).astype(np.float32).astype(np.float64)
+    v[:1200] = v[0]
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    ids = rng.permutation(6000)
+    rows = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(ids, v)], "vec_id long, v array<double>").repartition(4)
+    found = L.search(rows, rows.where("vec_id % 20 = 0"), 10).collect()
+    want, got = brute(ids, v, 10), {}
+    for r in found:
+        got.setdefault(r.query_id, []).append(r)
+    assert set(got) == set(want) and all(len(r) == 10 for r in got.values())
+    assert sum(r.score >= want[q][-1][1] - 1e-12 for q, rs in got.items() for r in rs) >= 0.9 * 10 * len(want)
+    leaves = routers[0]
+    assert leaves.below and len(leaves) > 8
+    home = leaves.home(v, leaves.top(v).argmax(axis=1))
+    held = np.bincount(home, minlength=len(leaves))
+    other = np.flatnonzero((ids % 20 == 0) & (np.arange(6000) >= 1200))
+    row, leaf = leaves.probes(v[other], held, np.full(len(other), 11))
+    assert len(set(zip(row.tolist(), leaf.tolist()))) == len(row)
+    assert held[leaf].sum() / len(other) < 6000 / 4  # rows met by a query
+    own = np.zeros((len(other), len(leaves)), bool)
+    own[row, leaf] = True
+    assert own[np.arange(len(other)), home[other]].mean() > 0.9

@@ -1,6 +1,7 @@
 """Recover structured links from untidy model output (B13, B14), JVM-side.
 
-Direct path: clean the text, ``try_parse_json``, accept an OBJECT root.
+Direct path: clean the text, ``try_parse_json``, accept an OBJECT root.  An object with a repeated key (the last one
+counts) or with NaN or Infinity is read once more, by ``lenient_object``.
 Fallback (only rows whose direct parse is not an object): one pass over the string
 literals, braces and gaps of the text finds the top-level ``{...}`` blocks; the
 first block that parses to an object wins.  No Python UDF is involved.
@@ -34,6 +35,28 @@ def is_object(v: Column) -> Column:
     return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
+def lenient_object(s: Column) -> Column:
+    """The JSON object at the beginning of ``s`` as VARIANT, or NULL.  Of a repeated key the last value counts; NaN and
+    Infinity are numbers.  Keys repeated inside a nested object are not accepted."""
+    read = F.from_json(s, "map<string,variant>", {"allowSingleQuotes": "false"})
+
+    def last_of_each(m: Column) -> Column:
+        ordered = F.array_sort(F.transform(F.map_keys(m), lambda k, i: F.struct(k.alias("k"), i.alias("i"))))
+        pairs = F.arrays_zip(ordered.alias("this"), F.slice(ordered, 2, F.size(ordered)).alias("next"))
+        lasts = F.filter(pairs, lambda p: ~p["this"]["k"].eqNullSafe(p["next"]["k"]))
+        return F.transform(F.array(F.map_values(m)), lambda v: F.to_variant_object(F.map_from_arrays(
+            F.transform(lasts, lambda p: p["this"]["k"]), F.transform(lasts, lambda p: v[p["this"]["i"]]))))[0]
+
+    # a lambda variable holds the map, or each use of it would parse the text again
+    return F.transform(F.array(read), last_of_each)[0]
+
+
+def parse_object(s: Column) -> Column:
+    """``s`` as VARIANT if it is a JSON object, else NULL."""
+    strict = F.try_parse_json(s)
+    return F.when(is_object(strict), strict).when(strict.isNull(), lenient_object(s))
+
+
 def scanned_object(s: Column) -> Column:
     """The first top-level balanced ``{...}`` block of ``s`` that is a JSON object, as VARIANT, or NULL.
 
@@ -48,8 +71,8 @@ def scanned_object(s: Column) -> Column:
         opening, closing = token == "{", token == "}"
         ends = closing & (depth == 1) & (start > 0)
         # bytes are cut in place; characters would be counted from the beginning of the text, elements copied as a whole
-        block = F.try_parse_json(F.substring(st["bytes"], start, at - start + 1).cast("string"))
-        found = F.when(st["found"].isNull() & ends & is_object(block), block).otherwise(st["found"])
+        block = parse_object(F.substring(st["bytes"], start, at - start + 1).cast("string"))
+        found = F.when(st["found"].isNull() & ends, block).otherwise(st["found"])
         return F.struct(st["bytes"].alias("bytes"), (at + F.octet_length(token)).alias("at"),
                         F.when(opening, depth + 1).when(closing, depth - 1).otherwise(depth).alias("depth"),
                         F.when(opening & (depth == 0), at).when(ends, F.lit(0)).otherwise(start).alias("start"),
@@ -61,8 +84,7 @@ def scanned_object(s: Column) -> Column:
 def recover_object(raw: Column) -> Column:
     """VARIANT holding the recovered JSON object, or NULL when none is found."""
     s = clean_model_text(raw)
-    direct = F.try_parse_json(s)
-    return F.when(is_object(direct), direct).otherwise(scanned_object(s))
+    return F.coalesce(parse_object(s), scanned_object(s))
 
 
 def object_links(v: Column) -> Column:

@@ -24,6 +24,25 @@ def q_recover_links(spark, d):
     return links.select("event_id", F.col("l.tbl").alias("tbl"), F.col("l.col").alias("col"))
 
 
+# Objects that name a table twice (the last list counts) or hold NaN or Infinity, bare and inside a sentence.
+@query("recover_repeated_keys", """
+    SELECT event_id, event_type AS tbl, CAST(NULL AS VARCHAR) AS col FROM events
+    UNION ALL
+    SELECT event_id, event_type, 'c' || CAST(user_id % 5 AS VARCHAR) FROM events WHERE event_id % 4 <> 2
+    UNION ALL
+    SELECT event_id, 'other', CAST(NULL AS VARCHAR) FROM events WHERE event_id % 4 IN (0, 3)""")
+def q_recover_repeated_keys(spark, d):
+    ev = read_table(spark, d, "events").select("event_id", "event_type", "user_id")
+    key, col = F.concat(F.lit('"'), F.col("event_type"), F.lit('": ')), F.concat(F.lit('["c'), (F.col("user_id") % 5).cast("string"), F.lit('"]'))
+    twice = F.concat(F.lit("{"), key, F.lit('["old", "older"], "other": [], '), key, col, F.lit("}"))
+    number = F.concat(F.lit('{"n": [], '), key, F.lit("-Infinity, "), key, col, F.lit("}"))
+    m = F.col("event_id") % 4
+    raw = (F.when(m == 0, twice).when(m == 1, number).when(m == 2, F.concat(F.lit("{"), key, F.lit("NaN}")))
+           .otherwise(F.concat(F.lit("The links are {these}: "), twice, F.lit(" {"))))
+    links = ev.select("event_id", F.explode(RC.object_links(RC.recover_object(raw))).alias("l"))
+    return links.where("l.tbl != 'n'").select("event_id", F.col("l.tbl").alias("tbl"), F.col("l.col").alias("col"))
+
+
 # Generated lists arrive fenced, bare, or not as a list at all.
 @query("recover_array", with_views("""
     SELECT event_id, CASE WHEN event_id % 3 = 2 THEN 'not_a_list' ELSE 'ok' END AS status,

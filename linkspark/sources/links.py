@@ -1,8 +1,8 @@
 """Prediction / gold link files (A4, A6): ``[{question_id, schema_links: {table: [cols]}}]``.
 
 Reading keeps a table whose list is empty (``explode_outer``), credits the table
-only when the value is not a list, and ignores records whose links are not an
-object.  Writing packs the normal form back into one record per question.
+only when the value is not a list, takes the last value of a repeated table, and ignores
+records whose links are not an object.  Writing packs the normal form back into one record per question.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.recover import parse_object
 from ..operators.vote import pack_links
 
 RECORD_SCHEMA = "question_id long, schema_links string"
@@ -19,7 +20,7 @@ RECORD_SCHEMA = "question_id long, schema_links string"
 
 def explode_links(records: DataFrame, links_col: str = "schema_links", keys: Sequence[str] = ("question_id",)) -> DataFrame:
     """A4: records with a JSON-object text column -> raw link rows ``(keys, tbl, col)``."""
-    v = F.try_parse_json(F.col(links_col))
+    v = parse_object(F.col(links_col))
     m = F.try_variant_get(v, "$", "map<string,variant>")
     e = records.select(*keys, F.explode(m).alias("tbl", "val"))
     cols = F.try_variant_get("val", "$", "array<string>")

@@ -13,6 +13,12 @@ def test_all_records_come_back(spark, tmp_path):
     assert got == {(q, "T", "C" if q % 2 == 0 else None) for q in range(5)}
 
 
+def test_last_list_of_a_repeated_table_counts(spark, tmp_path):
+    (tmp_path / "x.json").write_text('{"question_id": 1, "schema_links": "{\\"T\\": [\\"a\\"], \\"U\\": NaN, \\"T\\": [\\"b\\"]}"}\n')
+    got = {(r.tbl, r.col) for r in read_link_file(spark, str(tmp_path / "x.json")).collect()}
+    assert got == {("T", "b"), ("U", None)}
+
+
 def test_question_lists(spark, tmp_path):
     (tmp_path / "list.json").write_text('[{"question_id": 1, "db_id": "a", "question": "x\\ny", "more": 2},\n {"question_id": 2}]')
     (tmp_path / "lines.json").write_text('{"question_id": 1, "db_id": "a", "question": "x\\ny", "more": 2}\n{"question_id": 2}\n')

@@ -118,6 +118,11 @@ def test_model_output_recovery(spark):
         ('{"A":["x"]}<|im_end|>', {"A": ["x"]}),
         ('x {bad} y {"A":["}"]} z {"B":[]}', {"A": ["}"]}),
         ('} {"A":[]}', {}),
+        ('{"A":["x"],"B":["b"],"A":["y"]}', {"A": ["y"], "B": ["b"]}),
+        ('{"A":["x"],"A":null,"B":NaN,"C":["c"]}', {"A": [], "B": [], "C": ["c"]}),
+        ('so {"A":Infinity,"A":["x"],"a":["z"]} {"B":[]}', {"A": ["x"], "a": ["z"]}),
+        ('{"A":{"k":1,"k":2}}', {}),  # repeated in a nested object
+        ("{'A':['x']}", {}),
         ("nope", {}),
         ("[1,2]", {}),
         (None, {}),

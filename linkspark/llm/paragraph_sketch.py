@@ -8,9 +8,10 @@ holds one digest, remove it from its other cells, go on) recovers the digests in
 Sizes are powers of two.  A fingerprint has the smallest size from ``n / 2`` cells a subtable at which it
 peels by itself, so it can be turned back into its digests.
 
-Fingerprints are not subtracted as they are.  Two texts are compared in a new, small sketch filled from the
-digests of both; where peeling gets stuck, the pair is tried again in one of twice the size.  Within the query
-the digests are those of the texts; ``fingerprint_likeness`` first turns both fingerprints back into theirs.
+Two fingerprints are folded to a common small size (a cell is picked by the low bits of a hash, so the cells of a
+smaller sketch are sums of those of a larger one), subtracted and peeled.  Where peeling gets stuck, the pair is
+folded less, up to the smaller fingerprint's own size; where their difference is larger than that can hold, both
+give back their digests, which fill sketches of twice the size until one peels.
 
 Likeness is the Jaccard similarity of the two digest sets, from their sizes and the recovered difference.
 
@@ -69,7 +70,7 @@ def digests(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def check_value(d: np.ndarray) -> np.ndarray:
-    return mix(d ^ _SALT[TABLES + 1]) >> np.uint64(32)
+    return (mix(d ^ _SALT[TABLES + 1]) >> np.uint64(32)).astype(np.uint32)
 
 
 class Sketches:
@@ -79,14 +80,14 @@ class Sketches:
         self.size = size.astype(np.int64)
         self.start = np.concatenate(([0], np.cumsum(self.size * TABLES)))
         n = int(self.start[-1])
-        self.count, self.key, self.check = np.zeros(n, np.int32), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+        self.count, self.key, self.check = np.zeros(n, np.int32), np.zeros(n, np.uint64), np.zeros(n, np.uint32)
         self.owner = np.repeat(np.arange(len(size)), self.size * TABLES)
         self.table = (np.arange(n) - self.start[self.owner]) // np.maximum(self.size[self.owner], 1)
 
     def add(self, d: np.ndarray, owner: np.ndarray, sign: np.ndarray | int = 1) -> Sketches:
         sign = np.broadcast_to(np.asarray(sign, np.int32), d.shape)
         wide = sign.astype(np.int64).astype(np.uint64)  # -1 wraps, and so do the sums
-        key, check = d * wide, check_value(d) * wide
+        key, check = d * wide, check_value(d) * wide.astype(np.uint32)
         for k in range(TABLES):
             at = self.start[owner] + k * self.size[owner] + (mix(d ^ _SALT[k]) & (self.size[owner] - 1).astype(np.uint64)).astype(np.int64)
             np.add.at(self.count, at, sign)
@@ -94,6 +95,29 @@ class Sketches:
             np.add.at(self.check, at, check)
         return self
 
+    def totals(self) -> np.ndarray:
+        """How many digests each sketch holds."""
+        return np.bincount(self.owner, self.count, len(self.size)).astype(np.int64) // TABLES
+
+    def folded(self, which: np.ndarray, size: np.ndarray) -> Sketches:
+        """The sketches numbered ``which``, each folded to ``size`` cells a subtable, at most its own."""
+        out = Sketches(size)
+        n = self.size[which] * TABLES
+        to = np.repeat(np.arange(len(which)), n)
+        cell = np.arange(len(to)) - np.repeat(np.cumsum(n) - n, n)
+        own, new, at = self.size[which][to], out.size[to], self.start[which][to] + cell
+        into = out.start[to] + cell // own * new + (cell % own & new - 1)
+        for mine, theirs in ((out.count, self.count), (out.key, self.key), (out.check, self.check)):
+            np.add.at(mine, into, theirs[at])
+        return out
+
+    def minus(self, other: Sketches) -> Sketches:
+        """Without the digests of ``other``, sketches of the same sizes."""
+        self.count -= other.count
+        self.key -= other.key
+        self.check -= other.check
+        return self
+
     def peel(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Empty the sketches: recovered digests, their texts and signs, and which texts got stuck."""
         found: list[tuple] = []
@@ -104,7 +128,7 @@ class Sketches:
                 sign = self.count[at]
                 wide = sign.astype(np.int64).astype(np.uint64)
                 d = self.key[at] * wide
-                pure = check_value(d) == self.check[at] * wide
+                pure = check_value(d) == self.check[at] * wide.astype(np.uint32)
                 if pure.any():
                     d, owner, sign = d[pure], self.owner[at[pure]], sign[pure]
                     self.add(d, owner, -sign)
@@ -121,10 +145,9 @@ def _power(n: np.ndarray) -> np.ndarray:
     return np.maximum(LEAST, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
 
 
-def fingerprints(d: np.ndarray, owner: np.ndarray, n_texts: int) -> list[str]:
-    """The fingerprint of each text: number of digests, then the cells in base64."""
-    n = np.bincount(owner, minlength=n_texts)
-    size = _power(n / 2)
+def sketches(d: np.ndarray, owner: np.ndarray, n_texts: int) -> Sketches:
+    """The sketch of each text, of the smallest size that peels by itself."""
+    size = _power(np.bincount(owner, minlength=n_texts) / 2)
     todo = np.arange(n_texts)
     while len(todo):  # retry larger until a sketch peels by itself
         place = np.full(n_texts, -1)
@@ -133,26 +156,57 @@ def fingerprints(d: np.ndarray, owner: np.ndarray, n_texts: int) -> list[str]:
         stuck = Sketches(size[todo]).add(d[mine], place[owner[mine]]).peel()[3]
         todo = todo[stuck]
         size[todo] *= 2
-    s = Sketches(size).add(d, owner)
-    check = s.check.astype(np.uint32)
-    return [f"{n[i]}:" + base64.b64encode(s.count[a:b].astype("<i4").tobytes() + s.key[a:b].astype("<u8").tobytes()
-                                          + check[a:b].astype("<u4").tobytes()).decode()
-            for i, (a, b) in enumerate(zip(s.start[:-1], s.start[1:]))]
+    return Sketches(size).add(d, owner)
+
+
+def encode(s: Sketches) -> list[str]:
+    """Fingerprints: number of digests, then the cells in base64."""
+    return [f"{n}:" + base64.b64encode(s.count[a:b].astype("<i4").tobytes() + s.key[a:b].astype("<u8").tobytes()
+                                       + s.check[a:b].astype("<u4").tobytes()).decode()
+            for n, a, b in zip(s.totals(), s.start[:-1], s.start[1:])]
+
+
+def decode(fingerprints: list[str]) -> Sketches:
+    """The sketches behind fingerprints."""
+    raw = [base64.b64decode(f.partition(":")[2]) for f in fingerprints]
+    s = Sketches(np.array([len(r) // (16 * TABLES) for r in raw]))
+    for r, a, b in zip(raw, s.start[:-1], s.start[1:]):
+        n = b - a
+        s.count[a:b], s.key[a:b], s.check[a:b] = np.frombuffer(r, "<i4", n), np.frombuffer(r, "<u8", n, 4 * n), np.frombuffer(r, "<u4", n, 12 * n)
+    return s
 
 
-def differences(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], n_pairs: int) -> np.ndarray:
-    """How many digests the two sides of each pair differ in; sides as ``(digests, pair)``."""
-    out, todo, size = np.zeros(n_pairs, np.int64), np.arange(n_pairs), LEAST * 2
+def fingerprints(d: np.ndarray, owner: np.ndarray, n_texts: int) -> list[str]:
+    """The fingerprint of each text."""
+    return encode(sketches(d, owner, n_texts))
+
+
+def differences(a: Sketches, i: np.ndarray, b: Sketches, j: np.ndarray) -> np.ndarray:
+    """How many digests sketch ``i`` of ``a`` and sketch ``j`` of ``b`` differ in, for each pair of them."""
+    out, todo = np.zeros(len(i), np.int64), np.arange(len(i))
+    most = np.minimum(a.size[i], b.size[j])
+    size = np.minimum(most, LEAST * 2)
+    full = [todo[:0]]  # pairs whose difference the smaller fingerprint cannot hold
     while len(todo):
-        place = np.full(n_pairs, -1)
-        place[todo] = np.arange(len(todo))
-        s = Sketches(np.full(len(todo), size))
-        for (d, pair), sign in ((a, 1), (b, -1)):
-            mine = place[pair] >= 0
-            s.add(d[mine], place[pair[mine]], sign)
-        _, owner, _, stuck = s.peel()
+        _, owner, _, stuck = a.folded(i[todo], size[todo]).minus(b.folded(j[todo], size[todo])).peel()
         out[todo] = np.bincount(owner, minlength=len(todo))
-        todo, size = todo[stuck], size * 2
+        todo = todo[stuck]
+        full.append(todo[size[todo] == most[todo]])
+        todo = todo[size[todo] < most[todo]]
+        size[todo] *= 2
+    todo = np.concatenate(full)
+    if len(todo):
+        (d, x, _, _), (e, y, _, _) = a.folded(i[todo], a.size[i[todo]]).peel(), b.folded(j[todo], b.size[j[todo]]).peel()
+        size, left = most[todo] * 2, np.arange(len(todo))
+        while len(left):
+            place = np.full(len(todo), -1)
+            place[left] = np.arange(len(left))
+            mine, theirs = place[x] >= 0, place[y] >= 0
+            both = Sketches(size[left]).add(d[mine], place[x[mine]]).add(e[theirs], place[y[theirs]], -1)
+            _, owner, _, stuck = both.peel()
+            out[todo[left]] = np.bincount(owner, minlength=len(left))
+            left = left[stuck]
+            size[left] *= 2
     return out
 
 
@@ -162,32 +216,17 @@ def likeness(n_a: np.ndarray, n_b: np.ndarray, differing: np.ndarray) -> np.ndar
 
 def recover(fingerprint: str) -> np.ndarray:
     """The digests behind one fingerprint, sorted."""
-    n, _, cells = fingerprint.partition(":")
-    raw = base64.b64decode(cells)
-    s = Sketches(np.array([len(raw) // (16 * TABLES)]))
-    k = TABLES * int(s.size[0])
-    s.count[:], s.key[:] = np.frombuffer(raw, "<i4", k), np.frombuffer(raw, "<u8", k, 4 * k)
-    # check sums travel modulo 2**32; the sums inside the sketch are compared in full, so restore them
-    s.check[:] = np.frombuffer(raw, "<u4", k, 12 * k)
-    found: list[np.ndarray] = []
-    while True:
-        pure = np.flatnonzero((s.count == 1) & (check_value(s.key) == s.check & np.uint64(0xFFFFFFFF)))
-        if not len(pure):
-            break
-        d = np.unique(s.key[pure])
-        s.add(d, np.zeros(len(d), np.int64), -1)
-        s.check &= np.uint64(0xFFFFFFFF)
-        found.append(d)
-    if s.count.any() or s.key.any():
+    found, _, sign, stuck = decode([fingerprint]).peel()
+    if stuck.any() or (sign < 0).any():
         raise ValueError("not a fingerprint")
-    return np.sort(np.concatenate(found)) if found else np.empty(0, np.uint64)
+    return np.sort(found)
 
 
 def fingerprint_likeness(a: str, b: str) -> float:
     """Likeness of two fingerprints, from the strings alone."""
-    da, db = recover(a), recover(b)
-    zero = lambda d: (d, np.zeros(len(d), np.int64))
-    return float(likeness(np.array([len(da)]), np.array([len(db)]), differences(zero(da), zero(db), 1))[0])
+    s = decode([a, b])
+    n, i, j = s.totals(), np.array([0]), np.array([1])
+    return float(likeness(n[i], n[j], differences(s, i, s, j))[0])
 
 
 def _order(docs: DataFrame) -> DataFrame:
@@ -254,14 +293,16 @@ def _fingerprint_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     def result(pairs: list[tuple]) -> pa.RecordBatch:
         texts, following = [p[1] for p in pairs], [p[2] for p in pairs]
         edited = [t[: len(t) - len(t) // 4] + f[: len(t) // 4] for t, f in zip(texts, following)]
-        own, new, nxt = digests(texts), digests(edited), digests(following)
-        n, m, k = (np.bincount(x[1], minlength=len(pairs)) for x in (own, new, nxt))
+        each = {t: i for i, t in enumerate(dict.fromkeys([*texts, *edited, *following]))}  # most next texts are texts, too
+        own, new, nxt = (np.array([each[t] for t in x]) for x in (texts, edited, following))
+        s = sketches(*digests(list(each)), len(each))
+        n, code = s.totals(), encode(s)
         return pa.RecordBatch.from_arrays([
             pa.array([p[0] for p in pairs], pa.int64()), pa.array([len(t) for t in texts], pa.int64()),
             pa.array([hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest() for e in edited]),
-            pa.array(fingerprints(*own, len(pairs))), pa.array(fingerprints(*new, len(pairs))),
-            pa.array(likeness(n, m, differences(own, new, len(pairs)))),
-            pa.array(likeness(n, k, differences(own, nxt, len(pairs)))),
+            pa.array([code[i] for i in own]), pa.array([code[i] for i in new]),
+            pa.array(likeness(n[own], n[new], differences(s, own, s, new))),
+            pa.array(likeness(n[own], n[nxt], differences(s, own, s, nxt))),
         ], [c.split()[0] for c in RESULT.split(", ")])
 
     pairs, last = [], None  # last: the range, id and text of the latest row that still needs its next one

@@ -1,9 +1,11 @@
 """Paragraph sketches against plain sets."""
 
+import base64
 import hashlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -23,13 +25,49 @@ def bag_likeness(a, b):
 @given(LINES.map("\n".join), LINES.map("\n".join))
 def test_likeness_equals_sets(a, b):
     own, other = S.digests([a]), S.digests([b])
-    got = S.likeness(np.array([len(own[0])]), np.array([len(other[0])]), S.differences(own, other, 1))[0]
-    assert abs(got - bag_likeness(a, b)) < 1e-12
     fa, fb = S.fingerprints(*own, 1)[0], S.fingerprints(*other, 1)[0]
-    assert S.fingerprint_likeness(fa, fb) == got
+    assert abs(S.fingerprint_likeness(fa, fb) - bag_likeness(a, b)) < 1e-12
     assert (S.recover(fa) == np.sort(own[0])).all()
 
 
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(0, 400), max_size=8), st.integers(0, 2**32))
+def test_folded_sketches_are_sketches_of_the_folded_size(sizes, seed):
+    rng = np.random.default_rng(seed)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    d = rng.integers(1, 2**63, len(owner)).astype(np.uint64)
+    s = S.sketches(d, owner, len(sizes))
+    which = rng.permutation(len(sizes))
+    small = s.size[which] >> rng.integers(0, 9, len(which))
+    small = np.maximum(small, 1)
+    got, want = s.folded(which, small), S.Sketches(small)
+    place = np.argsort(which)
+    want.add(d, place[owner] if len(d) else owner)
+    for x, y in ((got.count, want.count), (got.key, want.key), (got.check, want.check)):
+        assert (x == y).all()
+    assert S.decode(S.encode(s)).totals().tolist() == sizes
+
+
+def test_differences_of_few_and_of_all_paragraphs():
+    rng = np.random.default_rng(5)
+    base = rng.integers(1, 2**63, 5000).astype(np.uint64)
+    sides = [base, base[10:], np.concatenate([base[:-3], rng.integers(1, 2**63, 40).astype(np.uint64)]),
+             rng.integers(1, 2**63, 5000).astype(np.uint64), base[:7], base[:0]]
+    s = S.sketches(np.concatenate(sides), np.repeat(np.arange(len(sides)), [len(x) for x in sides]), len(sides))
+    i, j = (x.ravel() for x in np.indices((len(sides), len(sides))))
+    want = [len(set(sides[x].tolist()) ^ set(sides[y].tolist())) for x, y in zip(i, j)]
+    assert S.differences(s, i, s, j).tolist() == want
+
+
+def test_a_damaged_fingerprint_is_refused():
+    f = S.fingerprints(*S.digests(["one\ntwo\nthree"]), 1)[0]
+    n, _, cells = f.partition(":")
+    raw = bytearray(base64.b64decode(cells))
+    raw[60] ^= 1
+    with pytest.raises(ValueError):
+        S.recover(f"{n}:" + base64.b64encode(bytes(raw)).decode())
+
+
 def test_paragraphs_keep_the_text():
     text = "First line.\n" + "A sentence of some words. " * 60 + "\n\n" + "x" * 2000
     assert "".join("".join(S.paragraphs(text)).split()) == "".join(text.split())

@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from linkspark.llm.common import materialise, read, shared_path
 
 MIN_DUP_BYTES = 100
+#: A digest of so many pages at least, and of a HOT_DIGESTS-th of all pages, is looked up by broadcast: HOT_DIGESTS of them at most.
+HOT_ROWS, HOT_DIGESTS = 1000, 100_000
 #: Ranges of a file closer than this are read at once, up to MAX_READ bytes.
 GAP, MAX_READ, READ_TASK = 1 << 16, 8 << 20, 16 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -73,20 +75,26 @@ def _member(data: bytes, level: int = 3) -> bytes:
     return z.compress(data) + z.flush()
 
 
-def plan_records(pages: DataFrame, min_dup_bytes: int = MIN_DUP_BYTES) -> DataFrame:
-    """``page_id, url, payload, payload_digest, payload_bytes, refers_to`` of every page."""
+def plan_records(pages: DataFrame, min_dup_bytes: int = MIN_DUP_BYTES, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``page_id, url, payload, payload_digest, payload_bytes, refers_to`` of every page.  Digests that many pages
+    share are looked up in a broadcast table; other rows meet theirs by digest, and rows with nothing left to
+    look up are dealt out evenly."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     base = pages.select("page_id", "url", payload.alias("payload")).select(
         "*", F.sha2("payload", 256).alias("payload_digest"), F.octet_length("payload").cast("long").alias("payload_bytes"))
     large = F.col("payload_bytes") >= min_dup_bytes
-    dups = (base.where(large).groupBy("payload_digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
-            .where("n > 1").select(F.col("payload_digest").alias("k"), "first_id"))
-    # short payloads get keys of their own: many empty pages must not meet in one task
-    key = F.when(large, F.col("payload_digest")).otherwise(
-        F.concat(F.lit("short "), F.coalesce(F.xxhash64("page_id", "url").cast("string"), F.lit(""))))
-    return base.withColumn("k", key).join(dups, "k", "left").select(
+    dups = materialise(base.where(large).groupBy("payload_digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
+                       .where("n > 1"), "warc-equal")
+    many = F.col("n") >= max(hot_rows, pages.count() // HOT_DIGESTS)
+    hot = dups.where(many).select(F.col("payload_digest").alias("hot"), F.col("first_id").alias("hot_id"))
+    rest = dups.where(~many).select(F.col("payload_digest").alias("k"), "first_id")
+    known = base.join(F.broadcast(hot), F.col("payload_digest") == F.col("hot"), "left")
+    key = F.when(large & F.col("hot").isNull(), F.col("payload_digest")).otherwise(
+        F.concat(F.lit("alone "), F.xxhash64("page_id", "url", F.monotonically_increasing_id()).cast("string")))
+    first = F.coalesce("hot_id", "first_id")
+    return known.withColumn("k", key).join(rest, "k", "left").select(
         "page_id", "url", "payload", "payload_digest", "payload_bytes",
-        F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id")).alias("refers_to"))
+        F.when(~F.col("page_id").eqNullSafe(first), first).alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, folder: str, min_dup_bytes: int = MIN_DUP_BYTES,

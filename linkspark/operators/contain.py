@@ -16,8 +16,8 @@ from ..functions.text import meaningful_tokens
 
 
 def containment_index(columns: DataFrame, scope: Sequence[str] = ("db_id",), text: str = "col", min_tokens: int = 2) -> DataFrame:
-    """``columns`` whose ``text`` has at least ``min_tokens`` meaningful words, with ``tokens`` (rarest first) and
-    ``anchor``, the rarest."""
+    """``columns`` whose ``text`` has at least ``min_tokens`` meaningful words, with ``anchor``, the rarest of
+    them, ``second``, the next (null if there is none), and ``rest``, the others."""
     scope = list(scope)
     cols = columns.withColumn("tokens", meaningful_tokens(text)).where(F.size("tokens") >= min_tokens)
     names = columns.columns
@@ -25,16 +25,18 @@ def containment_index(columns: DataFrame, scope: Sequence[str] = ("db_id",), tex
     df = each.groupBy(*scope, "token").agg(F.count(F.lit(1)).alias("df"))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("df", "token"))), lambda x: x["token"])
     filed = each.join(df, [*scope, "token"]).groupBy(*names).agg(ordered.alias("tokens"))
-    return filed.withColumn("anchor", F.col("tokens")[0])
+    return filed.select(*names, F.col("tokens")[0].alias("anchor"), F.get("tokens", F.lit(1)).alias("second"),
+                        F.slice("tokens", 3, F.greatest(F.size("tokens") - 2, F.lit(0))).alias("rest"))
 
 
-def within(tokens: Column, asked: Column) -> Column:
-    """Are all ``tokens`` among ``asked``?"""
-    return F.forall(tokens, lambda t: F.array_contains(asked, t))
+def others_within(asked: Column) -> Column:
+    """Are a set's words beside its anchor among ``asked``?  Most sets have two words, and need one look."""
+    second, rest = F.col("second"), F.col("rest")
+    return (second.isNull() | F.array_contains(asked, second)) & ((F.size(rest) == 0) | (F.size(F.array_except(rest, asked)) == 0))
 
 
 def contained(asked: DataFrame, index: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``asked`` (with ``asked``, an array of distinct words) joined with the sets of ``index`` that they
     contain, both alike in ``on``."""
     each = asked.withColumn("anchor", F.explode_outer("asked"))
-    return each.join(index, [*on, "anchor"]).where(within(F.col("tokens"), F.col("asked"))).drop("anchor", "tokens")
+    return each.join(index, [*on, "anchor"]).where(others_within(F.col("asked"))).drop("anchor", "second", "rest")

@@ -177,14 +177,18 @@ def expand_columns(pred: DataFrame, questions: DataFrame, catalog_cols: DataFram
     question (``contain.containment_index``).
     """
     from ..functions.text import meaningful_tokens
-    from .contain import contained, containment_index
+    from .contain import containment_index, others_within
     keys, scope = list(keys), list(scope)
     asked = questions.select(*dict.fromkeys([*keys, *scope]), meaningful_tokens("question").alias("asked"))
     index = containment_index(catalog_cols.select(*scope, "tlc", "clc", "tbl", "col"), scope, "col", min_tokens)
-    named = pred.groupBy(*keys, "tlc").agg(F.collect_set("clc").alias("have"))
-    found = contained(named.join(asked, keys), broadcast_if_small(index), [*scope, "tlc"])
-    extra = found.where(~F.array_contains("have", F.col("clc"))).select(*keys, "tlc", "clc", "tbl", "col")
-    return pred.select(*keys, "tlc", "clc", "tbl", "col").unionByName(extra)
+    link = F.struct("clc", "tbl", "col")
+    named = pred.groupBy(*keys, "tlc").agg(F.collect_list(link).alias("links")).join(asked, keys, "left")
+    # a table's predicted links pass with a null word, beside the words its columns are looked up by
+    words = F.concat(F.array(F.lit(None).cast("string")), F.coalesce("asked", F.array().cast("array<string>")))
+    looked_up = named.withColumn("anchor", F.explode(words)).join(broadcast_if_small(index), [*scope, "tlc", "anchor"], "left")
+    fresh = others_within(F.col("asked")) & ~F.array_contains(F.col("links")["clc"], F.col("clc"))
+    links = F.when(F.col("anchor").isNull(), F.col("links")).when(F.col("clc").isNotNull() & fresh, F.array(link))
+    return looked_up.select(*keys, "tlc", F.inline(links)).select(*keys, "tlc", "clc", "tbl", "col")
 
 
 def sequential_admission(cand: DataFrame, existing: DataFrame, n: int, scratch: str, group: str = "db_id",

@@ -140,6 +140,19 @@ def q_serialize_compact(spark, d):
     return RD.serialize(RD.table_lines(_rendered(spark, d), "compact"))
 
 
+_TYPE = "col || ' (' || lower(data_type) || ')'"
+
+
+@query("serialize_types", with_views(_serialize_sql(_TYPE), "cat_r"))
+def q_serialize_types(spark, d):
+    return RD.serialize(RD.table_lines(_rendered(spark, d), "types"))
+
+
+@query("serialize_keys", with_views(_serialize_sql(_TK.replace(_TYPE, "col")), "cat_r"))
+def q_serialize_keys(spark, d):
+    return RD.serialize(RD.table_lines(_rendered(spark, d), "keys"))
+
+
 @query("serialize_types_keys", with_views(_serialize_sql(_TK), "cat_r"))
 def q_serialize_types_keys(spark, d):
     return RD.serialize(RD.table_lines(_rendered(spark, d), "types_keys"))

@@ -68,6 +68,20 @@ def test_containment(spark):
     assert got == [(1, "birth_place name"), (1, "place name"), (4, "birthDate")]
 
 
+def test_expansion_keeps_predicted_links_and_adds_contained_columns(spark):
+    links = "question_id long, tlc string, clc string, tbl string, col string"
+    pred = spark.createDataFrame([(1, "person", "", "Person", None), (1, "person", "id", "Person", "id"), (1, "person", "birthdate", "Person", "birthDate"),
+                                  (2, "city", "", "City", None), (3, "city", "", "City", None), (4, "person", "", "Person", None)], links)
+    asked = spark.createDataFrame([(1, "d", "birth date, or the name of the birth place?"), (2, "d", ""), (4, "e", "the date of birth")],
+                                  "question_id long, db_id string, question string")
+    cols = spark.createDataFrame([(d, t.lower(), c.lower(), t, c) for d, _, t, c in COLS], "db_id string, tlc string, clc string, tbl string, col string")
+    got = sorted((r.question_id, r.tbl, r.col or "") for r in CU.expand_columns(pred, asked, cols).collect())
+    assert got == [(1, "Person", ""), (1, "Person", "birthDate"), (1, "Person", "birth_place name"), (1, "Person", "id"),
+                   (2, "City", ""), (3, "City", ""), (4, "Person", ""), (4, "Person", "birthDate")]
+    single = CU.expand_columns(pred.where("question_id = 4"), asked, cols, min_tokens=1)
+    assert sorted(r.col or "" for r in single.collect()) == ["", "birthDate"]
+
+
 def test_lexical_predictor_gives_one_row_per_question(spark):
     cols = spark.createDataFrame(COLS, "db_id string, table_idx long, tbl string, col string")
     q = spark.createDataFrame([(1, "d", "Which city has a place name?"), (2, "d", "person by birth date"), (3, "d", ""), (4, "f", "person"), (5, "d", None)],

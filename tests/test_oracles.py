@@ -20,7 +20,8 @@ FAST = ["leaderboard", "canonicalize", "vote_maj2_or_lead", "score_questions", "
         "log_records", "run_status", "ensemble_search_many", "bm25_ranked", "predict_lexical", "recall_curve",
         "sequential_admission", "two_stage_a_records", "two_stage_b_records", "format_sft_reasoning", "length_percentiles",
         "link_versions_round_trip", "last_wins", "evaluation_report", "question_status", "mention_records",
-        "run_file_settings", "run_file_metrics", "recover_repeated_keys"]
+        "run_file_settings", "run_file_metrics", "recover_repeated_keys",
+        "serialize_types", "serialize_keys"]
 
 
 @pytest.fixture(scope="module")

@@ -52,9 +52,10 @@ def lenient_object(s: Column) -> Column:
 
 
 def parse_object(s: Column) -> Column:
-    """``s`` as VARIANT if it is a JSON object, else NULL."""
+    """``s`` as VARIANT if it is a JSON object, else NULL; only what looks like one is read a second time."""
     strict = F.try_parse_json(s)
-    return F.when(is_object(strict), strict).when(strict.isNull(), lenient_object(s))
+    likely = s.startswith("{") & s.endswith("}") & s.contains('"')
+    return F.when(is_object(strict), strict).when(likely & strict.isNull(), lenient_object(s))
 
 
 def scanned_object(s: Column) -> Column:

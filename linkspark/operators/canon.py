@@ -66,7 +66,7 @@ def _normal_rows(df: DataFrame, keys: Sequence[str], tbl_c: Column, col_c: Colum
 
 def canonicalize(links: DataFrame, catalog: DataFrame, keys: Sequence[str] = ("question_id",),
                  tbl: str = "tbl", col: str = "col", partition_keys: Sequence[str] | None = None,
-                 scope: Sequence[str] = SCOPE) -> DataFrame:
+                 scope: Sequence[str] = SCOPE, exchange: bool = True, parts: int | None = None) -> DataFrame:
     """Drop unknown tables (with their columns) and unknown columns, re-case to the
     catalog, merge keys that differ only in case, keep tables whose column list is empty.
 
@@ -74,6 +74,8 @@ def canonicalize(links: DataFrame, catalog: DataFrame, keys: Sequence[str] = ("q
     Returns the normal form, de-duplicated on ``keys + (tlc, clc)`` and hash
     partitioned on ``partition_keys + (tlc, clc)`` (default ``keys``).  Voting passes
     the question keys without the voter so the vote aggregation needs no new exchange.
+    ``parts`` is the number of partitions; with ``exchange=False``, for links that come partitioned by their
+    keys, they stay where they are.
     """
     keys, scope = list(keys), list(scope)
     tables = broadcast_if_small(catalog_tables(catalog, scope))
@@ -84,7 +86,9 @@ def canonicalize(links: DataFrame, catalog: DataFrame, keys: Sequence[str] = ("q
     out = _normal_rows(j, keys, F.col("tbl_c"), F.col("col_c"))
     # One exchange on (question keys, tlc, clc); voting and scoring reuse it.
     part = list(partition_keys) if partition_keys is not None else keys
-    return out.repartition(*part, "tlc", "clc").dropDuplicates([*keys, "tlc", "clc"])
+    if exchange:
+        out = out.repartition(*([parts] if parts else []), *part, "tlc", "clc")
+    return out.dropDuplicates([*keys, "tlc", "clc"])
 
 
 def graded_links(links: DataFrame, catalog: DataFrame, keys: Sequence[str] = ("question_id",),

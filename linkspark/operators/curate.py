@@ -251,6 +251,13 @@ def length_percentiles(lengths: DataFrame, group: str, shares: Sequence[float],
     """Per group, and over all (``group`` '*'), how many examples, the longest, and exact percentiles (the least
     length that so large a share does not exceed).  Lengths are counted before they are exchanged, so a
     group costs the number of its different lengths."""
-    each = [F.expr(f"percentile_disc({q}) within group (order by {n})").cast("long").alias(f"p{round(q * 100):d}_chars") for q in shares]
-    return lengths.rollup(group).agg(F.count(F.lit(1)).alias("n_examples"), F.max(n).alias("max_chars"), *each).withColumn(
+    counts = lengths.groupBy(group, F.col(n).alias("_n")).agg(F.count(F.lit(1)).alias("_c"))
+    # over all: the same counts with no group of their own; a window's rows are the different lengths of a group
+    every = F.array(F.struct(F.lit(False).alias("_all"), F.col(group)), F.struct(F.lit(True).alias("_all"), F.lit(None).alias(group)))
+    counts = counts.select(F.inline(every), "_n", "_c").groupBy("_all", group, "_n").agg(F.sum("_c").alias("_c"))
+    known = F.when(F.col("_n").isNotNull(), F.col("_c"))
+    of = Window.partitionBy("_all", group)
+    upto = counts.select("*", F.sum(known).over(of.orderBy("_n")).alias("_upto"), F.sum(known).over(of).alias("_known"))
+    each = [F.min(F.when(F.col("_upto") >= F.col("_known") * F.lit(float(q)), F.col("_n"))).cast("long").alias(f"p{round(q * 100):d}_chars") for q in shares]
+    return upto.groupBy("_all", group).agg(F.sum("_c").alias("n_examples"), F.max("_n").alias("max_chars"), *each).drop("_all").withColumn(
         group, F.coalesce(group, F.lit("*")))

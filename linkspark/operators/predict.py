@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import meaningful_tokens
+from ..plans.joins import broadcast_if_small, written
 from . import render as RD
 from . import retrieve as RT
 from .contain import contained, containment_index
@@ -38,10 +39,10 @@ def predict_lexical(questions: DataFrame, columns: DataFrame, k: int, min_tokens
         "db_id", "table_idx", "tbl", F.concat_ws(" ", "tbl", "cols").alias("text"))
     scores = RT.bm25(questions, tables)
     best = RT.best_of(scores, k)
-    named = best.join(tables.select("db_id", "table_idx", "tbl"), ["db_id", "table_idx"])
+    named = best.join(broadcast_if_small(tables.select("db_id", "table_idx", "tbl")), ["db_id", "table_idx"])
     asked = questions.select("question_id", meaningful_tokens("question").alias("asked"))
-    index = containment_index(columns.select("db_id", "table_idx", "tbl", "col").distinct(), min_tokens=min_tokens).drop("tbl")
-    extra = contained(named.join(asked, "question_id"), index, ["db_id", "table_idx"])
+    index = written(containment_index(columns.select("db_id", "table_idx", "tbl", "col").distinct(), min_tokens=min_tokens).drop("tbl"), "index")
+    extra = contained(named.join(asked, "question_id"), broadcast_if_small(index), ["db_id", "table_idx"])
     tlc = F.lower("tbl").alias("tlc")
     links = named.select("question_id", tlc, "tbl", F.lit(None).cast("string").alias("col")).unionByName(
         extra.select("question_id", tlc, "tbl", "col"))

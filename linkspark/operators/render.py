@@ -71,9 +71,10 @@ def serialize(lines: DataFrame) -> DataFrame:
 
 
 def context_for_questions(kept: DataFrame, lines: DataFrame, keys: Sequence[str] = ("question_id",)) -> DataFrame:
-    """B6 (assembly): ``kept(keys, db_id, table_idx)`` -> the kept tables' lines in schema order."""
+    """B6 (assembly): ``kept(keys, db_id, table_idx)`` -> the kept tables' lines in schema order.  Lines are looked
+    up where ``kept`` is, if they are small, and not exchanged where it comes partitioned by ``keys``."""
     keys = list(keys)
-    j = kept.join(lines.select("db_id", "table_idx", "line"), ["db_id", "table_idx"])
+    j = kept.join(broadcast_if_small(lines.select("db_id", "table_idx", "line")), ["db_id", "table_idx"])
     g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("table_idx", "line"))).alias("l"))
     return g.select(*keys, F.size("l").alias("n_tables"),
                     F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("context"))

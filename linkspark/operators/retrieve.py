@@ -24,11 +24,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import tokenize
-from ..plans.joins import broadcast_if_small, spread
+from ..plans.joins import broadcast_if_small, estimated_size_bytes, spread, written
 
 K1 = 1.5   # fixed BM25 constants of the reference ranking
 B = 0.75
 RRF_K = 60
+BROADCAST_POSTINGS = 500_000  # an index of so many postings goes to all tasks
 TIE_DIGITS = 9  # scores are rounded before ranking so 1-ulp summation noise cannot flip ties
 
 
@@ -65,16 +66,24 @@ def bm25(questions: DataFrame, docs: DataFrame, qid: str = "question_id", corpus
     ``idf = ln(1 + (N - df + .5) / (df + .5))`` per corpus, ``dl = max(1, len)``,
     ``avgdl`` over all documents of the corpus.  Documents of a corpus no question
     targets never reach a shuffle.
+
+    Where the questions are the larger side, the index is written once, of all terms, and goes to all tasks if it is
+    small: questions that come partitioned by ``qid`` are then scored where they are, and no match is exchanged.
     """
     qt = question_terms(questions, qid, corpus, q_text)
-    vocab = qt.select("corpus", "term").distinct()
-    stats, tf = doc_terms(docs, corpus, doc, d_text, vocab)
+    sizes = estimated_size_bytes(questions), estimated_size_bytes(docs)
+    many = None not in sizes and sizes[0] > sizes[1]
+    stats, tf = doc_terms(docs, corpus, doc, d_text, None if many else qt.select("corpus", "term").distinct())
     df = tf.groupBy("corpus", "term").agg(F.count(F.lit(1)).alias("df"))
     st = broadcast_if_small(stats)
     idf = (df.join(st, "corpus")
            .select("corpus", "term", "avgdl",
                    F.log(1.0 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")))
-    hits = tf.join(idf, ["corpus", "term"]).join(qt, ["corpus", "term"])
+    index = tf.join(idf, ["corpus", "term"])
+    if many:
+        index = written(index, "index")
+        index = F.broadcast(index) if index.count() <= BROADCAST_POSTINGS else index
+    hits = qt.join(index, ["corpus", "term"])
     w = F.col("f") * (k1 + 1) / (F.col("f") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
     scored = hits.groupBy("qid", "corpus", "doc").agg(F.sum(F.col("qf") * F.col("idf") * w).alias("score"))
     return scored.select(F.col("qid").alias(qid), F.col("corpus").alias(corpus),

@@ -9,9 +9,13 @@ at runtime once the real size of the materialised side is known.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 
 
@@ -38,6 +42,24 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame
     return df
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written below ``spark.checkpoint.dir`` and read back: it is computed once however often it is used,
+    and its size is that of its files instead of an estimate over joins."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/linkspark/{label}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+ROWS_A_PART = 250_000  # rows of the driving table a partition holds, about
+
+
+def parts_for(table: DataFrame, rows: int = ROWS_A_PART) -> int:
+    """How many partitions hold ``table`` with about ``rows`` rows each, so that a task's memory does not grow with
+    it.  The count reads no column."""
+    return max(table.sparkSession.sparkContext.defaultParallelism, -(-table.count() // rows))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over all cores where its scan has fewer splits than the cluster has cores: such an input is
     small (a split a core at most), and costly expressions above it would run in a few tasks."""

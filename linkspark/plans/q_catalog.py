@@ -19,6 +19,7 @@ from ..operators.curate import length_percentiles
 from ..operators import retrieve as RT
 from ..sources import catalog as CAT
 from ..sources.tables import read_table
+from .joins import broadcast_if_small, parts_for, written
 from .oracle_fixtures import define, with_views
 from .q_retrieval import _bm25_sql
 from .q_scoring import R
@@ -35,7 +36,7 @@ def _cat_parts(spark, d):
 
 def derived_spider(spark, d):
     """One Spider document per database, built per schema (bounded by its width)."""
-    p = _cat_parts(spark, d)
+    p = written(_cat_parts(spark, d), "parts")
     t = (p.select("db_id", "tbl").distinct()
          .withColumn("tidx", F.dense_rank().over(Window.partitionBy("db_id").orderBy("tbl")) - 1))
     c = (p.join(t, ["db_id", "tbl"])
@@ -65,6 +66,7 @@ def derived_spider(spark, d):
 
 
 def catalog(spark, d):
+    """Columns and foreign keys of the derived documents, which are built once for both."""
     return CAT.normalize_catalog(derived_spider(spark, d))
 
 
@@ -160,18 +162,30 @@ def q_serialize_types_keys(spark, d):
 
 # ---------------------------------------------------------------- examples and prompts
 
-def examples(spark, d):
+EXAMPLE_ROWS = 150_000  # lines of orders a partition of examples holds, about
+
+
+def examples(spark, d, rows: int = EXAMPLE_ROWS):
+    """Questions and their gold links.  Examples are built and written once, one row each; both sides come
+    partitioned by ``question_id`` alike, so that no operator on a question's own rows exchanges them again."""
+    lines = parts_for(read_table(spark, d, "lineitem"), EXAMPLE_ROWS)
     li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     part = read_table(spark, d, "part").select("p_partkey", "p_brand", "p_type", "p_name")
     b = li.join(part, li.l_partkey == part.p_partkey).select(
         (F.col("l_orderkey") * 100 + F.regexp_extract("p_brand", r"(\d+)$", 1).cast("long")).alias("question_id"),
         F.col("p_brand").alias("db_id"), F.col("l_linenumber").alias("ln"),
         F.col("p_type").alias("tbl"), F.col("p_name").alias("col"))
-    q = b.groupBy("question_id", "db_id").agg(
+    q = b.repartition(lines, "question_id").groupBy("question_id", "db_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ln", "col"))), lambda x: x["col"]), " ")
-        .alias("question"))
-    gold = b.select("question_id", "db_id", "tbl", "col")
-    return q, gold
+        .alias("question"), F.collect_list(F.struct("tbl", "col")).alias("links"))
+    q = written(q, "examples").repartition(lines * EXAMPLE_ROWS // rows, "question_id")
+    return q.drop("links"), q.select("question_id", "db_id", F.inline("links"))
+
+
+def prepared(spark, d, rows: int = EXAMPLE_ROWS):
+    """Columns, questions and gold links, each computed once for a whole query."""
+    cols, _ = catalog(spark, d)
+    return written(cols, "catalog"), *examples(spark, d, rows)
 
 
 define("ex_base", (), """SELECT l_orderkey * 100 + CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS BIGINT) AS question_id,
@@ -192,11 +206,13 @@ define("pr_qt", ("ex_qs",), f"""SELECT question_id, db_id, term, count(*) AS qf
 define("pr_sc", ("pr_qt", "pr_tf", "pr_df", "pr_st"), _bm25_sql("pr_qt", "pr_tf", "pr_df", "pr_st", "pair"))
 
 
+PAIR_ROWS = 15_000  # a question matches about a hundred pairs, so fewer of them make a partition
+
+
 @query("bm25_pairs", with_views(f"SELECT question_id, db_id, pair, round(score, {R}) AS score FROM pr_sc", "pr_sc"))
 def q_bm25_pairs(spark, d):
     """Every positive score of a question's pairs (ranking them is E1)."""
-    cols, _ = catalog(spark, d)
-    q, _ = examples(spark, d)
+    cols, q, _ = prepared(spark, d, PAIR_ROWS)
     docs = cols.select("db_id", F.concat_ws(".", "tbl", "col").alias("pair"), F.concat_ws(" ", "tbl", "col").alias("text"))
     return RT.bm25(q, docs, doc="pair").select("question_id", "db_id", "pair", F.round("score", R).alias("score"))
 
@@ -244,31 +260,34 @@ _USER = ("'Database: ' || q.db_id || chr(10) || 'Schema:' || chr(10) || c.contex
          "'Question: ' || q.question || chr(10) || chr(10) || 'Output the schema_links JSON now.'")
 
 
-def kept_tables(spark, d, top: int | None = None, with_gold: bool = False):
-    """B6 selection: every table of the question's database, or its ``top`` tables by BM25
-    (zero-filled), plus gold tables at training time (C5)."""
-    cols, _ = catalog(spark, d)
-    q, gold = examples(spark, d)
+def kept_tables(cols, q, gold, top: int, with_gold: bool = False):
+    """B6 selection: the question's ``top`` tables by BM25 (zero-filled), plus gold tables at training time."""
     tdocs = cols.groupBy("db_id", "table_idx", "tbl").agg(
         F.array_sort(F.collect_list(F.struct("column_idx", "col"))).alias("c"))
     tdocs = tdocs.select("db_id", "table_idx", "tbl", F.concat_ws(" ", F.col("tbl"), F.array_join(
         F.transform("c", lambda x: x["col"]), " ")).alias("text"))
     tables = tdocs.select("db_id", "table_idx")
-    kept = (q.join(tables, "db_id") if top is None else RT.top_k_with_fill(RT.bm25(q, tdocs), q, tables, top)).select(
-        "question_id", "db_id", "table_idx")
+    kept = RT.top_k_with_fill(RT.bm25(q, tdocs), q, tables, top).select("question_id", "db_id", "table_idx")
     if with_gold:
         tnames = tdocs.select("db_id", "table_idx", F.lower("tbl").alias("tlc"))
         g = (gold.select("question_id", "db_id", F.lower("tbl").alias("tlc")).distinct()
-             .join(tnames, ["db_id", "tlc"]).select("question_id", "db_id", "table_idx"))
+             .join(broadcast_if_small(tnames), ["db_id", "tlc"]).select("question_id", "db_id", "table_idx"))
         kept = kept.unionByName(g)
-    return kept.distinct(), q, cols
+    return kept.distinct()
+
 
+def _lines(cols):
+    return RD.table_lines(cols.withColumn("to_table", F.lit(None).cast("string"))
+                          .withColumn("to_column", F.lit(None).cast("string")), "compact")
 
-def contexts(spark, d, top: int | None = None, with_gold: bool = False):
-    kept, q, cols = kept_tables(spark, d, top, with_gold)
-    lines = RD.table_lines(cols.withColumn("to_table", F.lit(None).cast("string"))
-                           .withColumn("to_column", F.lit(None).cast("string")), "compact")
-    return RD.context_for_questions(kept, lines), q
+
+def contexts(cols, q, gold, top: int, with_gold: bool = False):
+    return RD.context_for_questions(kept_tables(cols, q, gold, top, with_gold), _lines(cols))
+
+
+def with_question(q, other):
+    """``other`` joined to its questions, which are the smaller rows of a partition."""
+    return other.join(q.hint("shuffle_hash"), "question_id")
 
 
 def _md5_cols(text):
@@ -278,32 +297,39 @@ def _md5_cols(text):
 @query("prompt_context", with_views("SELECT question_id, n_tables, CAST(length(context) AS BIGINT) AS n_chars, "
                                     "md5(context) AS md5 FROM ctx_all", "ctx_all"))
 def q_prompt_context(spark, d):
-    """B6 with the whole schema."""
-    ctx, _ = contexts(spark, d)
+    """B6 with the whole schema: its text is assembled once for the databases of a question (one, unless ids of
+    questions meet), not once a question."""
+    cols, q, _ = prepared(spark, d)
+    asked = q.groupBy("question_id").agg(F.array_sort(F.collect_set("db_id")).alias("dbs"))
+    tables = cols.select("db_id", "table_idx").distinct()
+    kept = written(asked.select("dbs").distinct(), "schemas").withColumn("db_id", F.explode("dbs")).join(broadcast_if_small(tables), "db_id")
+    texts = written(RD.context_for_questions(kept, _lines(cols), ("dbs",)), "schema_texts")
+    ctx = asked.join(broadcast_if_small(texts), "dbs")
     return ctx.select("question_id", F.col("n_tables").cast("long").alias("n_tables"), *_md5_cols(F.col("context")))
 
 
 @query("prompt_context_topk", with_views("SELECT question_id, n_tables, context FROM ctx_top", "ctx_top"))
 def q_prompt_context_topk(spark, d):
     """B6 with the best tables by BM25."""
-    ctx, _ = contexts(spark, d, TOP_TABLES)
+    ctx = contexts(*prepared(spark, d), TOP_TABLES)
     return ctx.select("question_id", F.col("n_tables").cast("long").alias("n_tables"), "context")
 
 
 @query("build_prompt", with_views(f"""SELECT q.question_id, {_USER} AS user_text
     FROM ex_qs q JOIN ctx_top c ON c.question_id = q.question_id""", "ex_qs", "ctx_top"))
 def q_build_prompt(spark, d):
-    ctx, q = contexts(spark, d, TOP_TABLES)
-    j = q.join(ctx, "question_id")
+    cols, q, gold = prepared(spark, d)
+    j = with_question(q, contexts(cols, q, gold, TOP_TABLES))
     user = RD.user_message(F.col("db_id"), F.col("question"), F.col("context"))
     return j.select("question_id", user.alias("user_text"))
 
 
-def gold_targets(spark, d):
-    cols, _ = catalog(spark, d)
-    _, gold = examples(spark, d)
-    links = C.canonicalize(gold.select("question_id", "db_id", "tbl", "col"), cols.select("db_id", "tbl", "col"))
-    return RD.canonical_target(links)
+def gold_targets(cols, gold):
+    return RD.canonical_target(gold_links(cols, gold))
+
+
+def gold_links(cols, gold):
+    return C.canonicalize(gold.select("question_id", "db_id", "tbl", "col"), cols.select("db_id", "tbl", "col"), exchange=False)
 
 
 define("ex_gold", ("ex_base",), "SELECT DISTINCT question_id, tbl, col FROM ex_base")
@@ -314,7 +340,8 @@ define("ex_target", ("ex_gold",), """SELECT question_id, '{' || string_agg(item,
 
 @query("canonical_target", with_views("SELECT question_id, target FROM ex_target", "ex_target"))
 def q_canonical_target(spark, d):
-    return gold_targets(spark, d)
+    cols, _, gold = prepared(spark, d)
+    return gold_targets(cols, gold)
 
 
 SFT_SQL = with_views(f"""SELECT q.question_id, 3 AS n_messages, {_USER} AS user_text, t.target
@@ -322,10 +349,10 @@ SFT_SQL = with_views(f"""SELECT q.question_id, 3 AS n_messages, {_USER} AS user_
     "ex_qs", "ctx_train", "ex_target")
 
 
-def sft_records(spark, d):
+def sft_records(cols, q, gold):
     """[system, user (context with gold tables forced in), assistant = canonical target]."""
-    ctx, q = contexts(spark, d, TOP_TABLES, with_gold=True)
-    j = q.join(ctx, "question_id").join(gold_targets(spark, d), "question_id")
+    ctx = contexts(cols, q, gold, TOP_TABLES, with_gold=True)
+    j = with_question(q, ctx).join(gold_targets(cols, gold).hint("shuffle_hash"), "question_id")
     msgs = F.array(F.struct(F.lit("system").alias("role"), F.lit(RD.SYSTEM_PROMPT).alias("content")),
                    F.struct(F.lit("user").alias("role"),
                             RD.user_message(F.col("db_id"), F.col("question"), F.col("context")).alias("content")),
@@ -340,7 +367,7 @@ def sft_columns(m):
 
 @query("format_sft", SFT_SQL)
 def q_format_sft(spark, d):
-    return sft_columns(sft_records(spark, d))
+    return sft_columns(sft_records(*prepared(spark, d)))
 
 
 @query("two_stage_a", with_views("""SELECT q.question_id, md5('Database: ' || q.db_id || chr(10) || 'Tables:' || chr(10)
@@ -349,11 +376,10 @@ def q_format_sft(spark, d):
       ON t.db_id = q.db_id""", "ex_qs", "cat_t2"))
 def q_two_stage_a(spark, d):
     """B10 stage A (schemas here have at most 40 tables, so no table filter applies)."""
-    cols, _ = catalog(spark, d)
-    q, _ = examples(spark, d)
+    cols, q, _ = prepared(spark, d)
     tl = cols.select("db_id", "table_idx", "tbl").distinct().groupBy("db_id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("table_idx", "tbl"))), lambda x: x["tbl"]).alias("tl"))
-    j = q.join(tl, "db_id")
+    j = q.join(broadcast_if_small(tl), "db_id")
     return j.select("question_id", F.md5(RD.stage_a_user(F.col("db_id"), F.col("question"), F.col("tl"))).alias("md5"))
 
 
@@ -365,12 +391,11 @@ def q_two_stage_a(spark, d):
       ON c.db_id = q.db_id AND c.tbl = g.tbl""", "ex_qs", "ex_gold", "cat_cols"))
 def q_two_stage_b(spark, d):
     """B10 stage B: one row per gold table of an example (explode gold x catalog columns)."""
-    cols, _ = catalog(spark, d)
-    q, gold = examples(spark, d)
+    cols, q, gold = prepared(spark, d)
     cl = cols.groupBy("db_id", "tbl").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("column_idx", "col"))), lambda x: x["col"]).alias("cl"))
     g = gold.select("question_id", "tbl").distinct()
-    j = q.join(g, "question_id").join(cl, ["db_id", "tbl"])
+    j = with_question(q, g).join(broadcast_if_small(cl), ["db_id", "tbl"])
     return j.select("question_id", "tbl",
                     F.md5(RD.stage_b_user(F.col("db_id"), F.col("question"), F.col("tbl"), F.col("cl"))).alias("md5"))
 
@@ -396,12 +421,11 @@ def turns(records):
     "ex_qs", "cat_t2", "ex_gold"))
 def q_two_stage_a_records(spark, d):
     """B10 stage A: the whole record, one per example."""
-    cols, _ = catalog(spark, d)
-    q, gold = examples(spark, d)
+    cols, q, gold = prepared(spark, d)
     names = F.transform(F.array_sort(F.collect_set(F.struct("table_idx", "tbl"))), lambda x: x["tbl"])
     shown = cols.groupBy("db_id").agg(names.alias("tl"))
     wanted = gold.groupBy("question_id").agg(F.array_sort(F.collect_set("tbl")).alias("gold"))
-    j = q.join(shown, "db_id").join(wanted, "question_id")
+    j = with_question(q.join(broadcast_if_small(shown), "db_id"), wanted)
     user = RD.stage_a_user(F.col("db_id"), F.col("question"), F.col("tl"))
     return turns(j.select(*STAGE_KEYS, RD.messages(RD.STAGE_A_SYSTEM, user, RD.named_list("tables", F.col("gold"))).alias("messages")))
 
@@ -415,13 +439,11 @@ def q_two_stage_a_records(spark, d):
       ON c.db_id = q.db_id AND c.tbl = g.tbl""", "ex_qs", "ex_gold", "cat_cols"))
 def q_two_stage_b_records(spark, d):
     """B10 stage B: the whole record, one per gold table of an example."""
-    cols, _ = catalog(spark, d)
-    q, gold = examples(spark, d)
+    cols, q, gold = prepared(spark, d)
     cl = cols.groupBy("db_id", "tbl").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("column_idx", "col"))), lambda x: x["col"]).alias("cl"))
-    links = C.canonicalize(gold.select("question_id", "db_id", "tbl", "col"), cols.select("db_id", "tbl", "col"))
-    g = links.groupBy("question_id", "tbl").agg(F.array_sort(F.collect_set("col")).alias("gold"))
-    j = q.join(g, "question_id").join(cl, ["db_id", "tbl"])
+    g = gold_links(cols, gold).groupBy("question_id", "tbl").agg(F.array_sort(F.collect_set("col")).alias("gold"))
+    j = with_question(q, g).join(broadcast_if_small(cl), ["db_id", "tbl"])
     user = RD.stage_b_user(F.col("db_id"), F.col("question"), F.col("tbl"), F.col("cl"))
     return turns(j.select(*STAGE_KEYS, "tbl", RD.messages(RD.STAGE_B_SYSTEM, user, RD.named_list("columns", F.col("gold"))).alias("messages")))
 
@@ -437,10 +459,10 @@ define("ex_reasons", ("ex_qs",), """SELECT question_id, CASE WHEN question_id %
     JOIN ex_reasons r ON r.question_id = q.question_id WHERE r.reasoning <> ''""", "ex_qs", "ctx_train", "ex_target", "ex_reasons"))
 def q_format_sft_reasoning(spark, d):
     """Examples without a rationale are left out, the others answer with it before the target."""
-    q, _ = examples(spark, d)
+    cols, q, gold = prepared(spark, d)
     said = F.concat(F.lit("  It asks of "), F.length("question").cast("string"), F.lit(" letters. \n"))
     reasons = q.select("question_id", F.when(F.col("question_id") % 3 == 0, F.lit(None)).when(F.col("question_id") % 5 == 0, "").otherwise(said).alias("reasoning"))
-    j = sft_columns(sft_records(spark, d)).join(reasons, "question_id")
+    j = with_question(reasons, sft_columns(sft_records(cols, q, gold)))
     return j.withColumn("target", RD.reasoned(F.col("reasoning"), F.col("target"))).where(F.col("target").isNotNull()).select(
         "question_id", "user_text", "target")
 
@@ -452,6 +474,7 @@ def q_format_sft_reasoning(spark, d):
           FROM ex_qs q JOIN ctx_train c ON c.question_id = q.question_id JOIN ex_target t ON t.question_id = q.question_id) x
     GROUP BY ROLLUP (db_id)""", "ex_qs", "ctx_train", "ex_target"))
 def q_length_percentiles(spark, d):
-    records = sft_records(spark, d).join(examples(spark, d)[0].select("question_id", "db_id"), "question_id")
+    cols, q, gold = prepared(spark, d)
+    records = with_question(q.select("question_id", "db_id"), sft_records(cols, q, gold))
     n = F.aggregate("messages", F.lit(0), lambda a, m: a + F.length(m["content"])).cast("long")
     return length_percentiles(records.select("db_id", n.alias("n")), "db_id", (0.5, 0.9, 0.99))

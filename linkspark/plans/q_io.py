@@ -13,7 +13,7 @@ from ..operators.predict import predict, predict_lexical
 from . import fixtures as fx
 from .oracle_fixtures import with_views
 from .registry import query
-from .q_catalog import SFT_SQL, catalog, examples, sft_columns, sft_records
+from .q_catalog import SFT_SQL, prepared, sft_columns, sft_records
 from .q_curate import audited
 from .q_scoring import PACK_SQL, SCORE_SQL, ensemble, links_as_text, q_score_questions
 from .q_stream import _scratch
@@ -59,9 +59,9 @@ def q_question_file_round_trip(spark, d):
 
 @query("sft_round_trip", SFT_SQL)
 def q_sft_round_trip(spark, d):
-    """A7 then A5: the chat records as JSON lines and back."""
+    """A7 then A5: the chat records as JSON lines and back, packed, since prompts repeat their schema."""
     path = _scratch(spark, "sft")
-    write_jsonl(sft_records(spark, d), path)
+    write_jsonl(sft_records(*prepared(spark, d)), path, "gzip")
     return sft_columns(read_jsonl(spark, path, "question_id long, messages array<struct<role:string,content:string>>"))
 
 
@@ -111,6 +111,5 @@ LEXICAL_TABLES = 3
         "lx_cols": f"""SELECT db_id, table_idx, col, list_distinct(list_filter({tokenize_sql('col')},
             lambda t: length(t) >= 3 AND NOT list_contains({stopwords_sql()}, t))) AS ct FROM cat_cols"""}))
 def q_predict_lexical(spark, d):
-    cols, _ = catalog(spark, d)
-    questions, _ = examples(spark, d)
+    cols, questions, _ = prepared(spark, d)
     return predict_lexical(questions, cols.select("db_id", "table_idx", "tbl", "col"), LEXICAL_TABLES)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def write_jsonl(records: DataFrame, path: str) -> None:
-    """One JSON object per record; fields that are null are left out and come back as null."""
-    records.write.mode("overwrite").json(path)
+def write_jsonl(records: DataFrame, path: str, compression: str = "none") -> None:
+    """One JSON object per record; fields that are null are left out and come back as null.  A part written with
+    ``compression="gzip"`` is read by one task."""
+    records.write.mode("overwrite").json(path, compression=compression)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -203,9 +203,12 @@ def recall_at_k(ranked: DataFrame, gold: DataFrame, ks: Sequence[int], qid: str
                 doc: str = "table_idx") -> DataFrame:
     """Share of gold documents that appear within the top-k, for every k in ``ks``
     (``ranked`` carries ``rank`` and must hold at least max(ks) per question)."""
-    j = gold.select(qid, doc).join(ranked.select(qid, doc, "rank"), [qid, doc], "left")
-    return j.agg(*[F.avg(F.when(F.col("rank") <= k, 1.0).otherwise(0.0)).alias(f"recall_at_{k}") for k in ks],
-                 F.count(F.lit(1)).alias("n_gold"))
+    # both sides in one aggregation, in place where they are partitioned by question alike; null keys match nothing
+    places = ranked.where(F.col(qid).isNotNull() & F.col(doc).isNotNull()).select(qid, doc, "rank")
+    j = (gold.select(qid, doc, F.lit(1).cast("long").alias("_g")).unionByName(places, allowMissingColumns=True)
+         .groupBy(qid, doc).agg(F.sum("_g").alias("_g"), F.min("rank").alias("rank")).where("_g is not null"))
+    return j.agg(*[(F.sum(F.when(F.col("rank") <= k, F.col("_g")).otherwise(0)) / F.sum("_g")).alias(f"recall_at_{k}") for k in ks],
+                 F.coalesce(F.sum("_g"), F.lit(0)).alias("n_gold"))
 
 
 def recall_curve(ranked: DataFrame, gold: DataFrame, most: int, by: Sequence[str] = ("retriever",), qid: str = "question_id",

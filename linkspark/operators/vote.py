@@ -112,8 +112,12 @@ def ensemble_search(canon: DataFrame, gold: DataFrame, combos: Sequence[Sequence
     on = [*keys, "tlc", "clc"]
     masks = canon.where(F.col(voter).isin(voters)).groupBy(*on).agg(F.bit_or(bit).alias("mask"))
     gk = gold.select(*on).distinct()
-    hits = masks.join(gk.withColumn("_g", F.lit(1)), on, "left")
-    per_mask = hits.groupBy(*keys, (F.col("clc") == "").alias("t"), "mask", F.col("_g").isNotNull().alias("g")) \
+    # both sides in one aggregation, which exchanges nothing where they are partitioned by question alike; only links
+    # without a null key are matched with gold
+    named = gk.where(" and ".join(f"{k} is not null" for k in on)).withColumn("_g", F.lit(True))
+    hits = (masks.unionByName(named, allowMissingColumns=True).groupBy(*on)
+            .agg(F.max("mask").alias("mask"), F.coalesce(F.max("_g"), F.lit(False)).alias("g")).where("mask is not null"))
+    per_mask = hits.groupBy(*keys, (F.col("clc") == "").alias("t"), "mask", "g") \
         .agg(F.count(F.lit(1)).alias("n"))
     found = per_mask.groupBy(*keys).agg(F.collect_list(F.struct("t", "mask", "g", "n")).alias("found"))
     gcount = gk.groupBy(*keys).agg(F.count(F.when(F.col("clc") == "", 1)).alias("n_gold_t"),

@@ -13,14 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
+from .joins import parts_for, written
 
 VOTERS = (1, 2, 3, 4)
 
 
 def fx_catalog(spark: SparkSession, d: str) -> DataFrame:
     """Catalog of three databases: brand = table, part name = column.  Database k lacks the
-    tables whose last digit + k divides by 3; database 1 spells its tables in capitals."""
-    part = read_table(spark, d, "part").select("p_brand", "p_name").distinct()
+    tables whose last digit + k divides by 3; database 1 spells its tables in capitals.  Its distinct rows are
+    written, so that joins know how small they are however large ``part`` is."""
+    part = written(read_table(spark, d, "part").select("p_brand", "p_name").distinct(), "catalog")
     k = F.col("k")
     return (part.withColumn("k", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
             .where((F.substring("p_brand", -1, 1).cast("int") + k) % 3 != 0)
@@ -34,29 +36,35 @@ def question_db(question_id: str):
     return F.concat(F.lit("db"), (F.col(question_id) % 3).cast("string")).alias("db_id")
 
 
+def by_question(spark: SparkSession, d: str, df: DataFrame, key: str = "question_id") -> DataFrame:
+    """``df`` partitioned by question, alike for all views, in as many parts as its lines of orders need."""
+    return df.repartition(parts_for(read_table(spark, d, "lineitem")), key)
+
+
 def fx_base(spark: SparkSession, d: str) -> DataFrame:
+    """Rows are partitioned by question before voters multiply them, so what follows on a question stays in place."""
     li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     part = read_table(spark, d, "part").select("p_partkey", "p_brand", "p_name")
-    return (li.join(part, li.l_partkey == part.p_partkey)
-            .select(F.col("l_orderkey").alias("question_id"), question_db("l_orderkey"), F.col("l_linenumber").alias("ln"),
-                    F.col("l_partkey").alias("pk"), F.col("p_brand").alias("tbl"),
-                    F.col("p_name").alias("col")))
+    b = (li.join(part, li.l_partkey == part.p_partkey)
+         .select(F.col("l_orderkey").alias("question_id"), F.col("l_linenumber").alias("ln"),
+                 F.col("l_partkey").alias("pk"), F.col("p_brand").alias("tbl"), F.col("p_name").alias("col")))
+    return by_question(spark, d, b).select("question_id", question_db("question_id"), "ln", "pk", "tbl", "col")
 
 
 def fx_questions_ids(spark: SparkSession, d: str) -> DataFrame:
     """The question set of the voting fixtures: every order that has a line item."""
-    return read_table(spark, d, "lineitem").select(F.col("l_orderkey").alias("question_id")).distinct()
+    return by_question(spark, d, read_table(spark, d, "lineitem").select(F.col("l_orderkey").alias("question_id"))).distinct()
 
 
 def fx_gold_ids(spark: SparkSession, d: str) -> DataFrame:
     """Questions with a gold record, also where none of its links is valid."""
-    return (read_table(spark, d, "lineitem").where((F.col("l_orderkey") + F.col("l_partkey")) % 3 != 0)
-            .select(F.col("l_orderkey").alias("question_id")).distinct())
+    li = read_table(spark, d, "lineitem").where((F.col("l_orderkey") + F.col("l_partkey")) % 3 != 0)
+    return by_question(spark, d, li.select(F.col("l_orderkey").alias("question_id"))).distinct()
 
 
 def fx_vote_ids(spark: SparkSession, d: str) -> DataFrame:
     """``question_id, voter`` of every prediction record, also where none of its links is valid."""
-    li = read_table(spark, d, "lineitem").withColumn("voter", F.explode(F.array(*[F.lit(v) for v in VOTERS])))
+    li = by_question(spark, d, read_table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber"), "l_orderkey").withColumn("voter", F.explode(F.array(*[F.lit(v) for v in VOTERS])))
     return (li.where((F.col("l_partkey") * F.col("voter") + F.col("l_orderkey") + F.col("l_linenumber")) % 5 > 1)
             .select(F.col("l_orderkey").alias("question_id"), "voter").distinct())
 

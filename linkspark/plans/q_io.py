@@ -11,11 +11,12 @@ from ..operators import vote as V
 from ..sources.versions import publish, read_version
 from ..operators.predict import predict, predict_lexical
 from . import fixtures as fx
+from .joins import written
 from .oracle_fixtures import with_views
 from .registry import query
 from .q_catalog import SFT_SQL, prepared, sft_columns, sft_records
 from .q_curate import audited
-from .q_scoring import PACK_SQL, SCORE_SQL, ensemble, links_as_text, q_score_questions
+from .q_scoring import PACK_SQL, SCORE_SQL, canon_votes, ensemble, links_as_text, q_score_questions
 from .q_stream import _scratch
 
 
@@ -44,8 +45,9 @@ def q_link_file_round_trip(spark, d):
 def q_link_versions_round_trip(spark, d):
     """Two versions published one after the other, first all voted links, then the majority's; readers get the last."""
     path, schema = _scratch(spark, "link_versions"), "question_id long, schema_links map<string,array<string>>"
+    votes = written(V.vote_counts(canon_votes(spark, d), lead_voter=fx.VOTERS[0]), "votes")  # counted once for both
     for mode in ("union", "maj2"):
-        publish(V.pack_links(ensemble(spark, d, mode), questions=fx.fx_questions_ids(spark, d)), path)
+        publish(V.pack_links(fx.by_question(spark, d, V.vote_filter(votes, mode)), questions=fx.fx_questions_ids(spark, d)), path)
     return links_as_text(read_version(spark, path, schema))
 
 

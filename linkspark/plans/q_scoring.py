@@ -18,11 +18,11 @@ R = 6  # digits kept for every reported double (both engines round the same way)
 
 def canon_votes(spark: SparkSession, d: str) -> DataFrame:
     return C.canonicalize(fx.fx_votes(spark, d), fx.fx_catalog(spark, d),
-                          keys=["question_id", "voter"], partition_keys=["question_id"])
+                          keys=["question_id", "voter"], exchange=False)
 
 
 def canon_gold(spark: SparkSession, d: str) -> DataFrame:
-    return C.canonicalize(fx.fx_gold(spark, d), fx.fx_catalog(spark, d), keys=["question_id"])
+    return C.canonicalize(fx.fx_gold(spark, d), fx.fx_catalog(spark, d), keys=["question_id"], exchange=False)
 
 
 def ensemble(spark: SparkSession, d: str, mode: str, k: int = 2) -> DataFrame:

@@ -101,5 +101,5 @@ for _name in _renamed:
 @query("ensemble_search_many", with_views(_many(SEARCH_SQL_BODY), "sr_scores_many"))
 def q_ensemble_search_many(spark, d):
     """46 combinations in three modes: 138 cells."""
-    votes = C.canonicalize(fx.fx_votes(spark, d, MANY), fx.fx_catalog(spark, d), keys=["question_id", "voter"], partition_keys=["question_id"])
+    votes = C.canonicalize(fx.fx_votes(spark, d, MANY), fx.fx_catalog(spark, d), keys=["question_id", "voter"], exchange=False)
     return V.ensemble_search(votes, canon_gold(spark, d), MANY_COMBOS, fx.fx_gold_ids(spark, d), digits=R)

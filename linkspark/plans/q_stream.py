@@ -22,6 +22,9 @@ from .registry import query
 from .q_scoring import R
 
 
+TRIGGERS = 8  # micro-batches that a replay of the votes takes at most
+
+
 def _scratch(spark, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "linkspark", name, uuid.uuid4().hex)
 
@@ -36,9 +39,11 @@ def q_stream_votes(spark, d):
     sent = votes.withColumn("n_links", F.lit(None).cast("long")).unionByName(SV.end_records(votes))
     sent.withColumn("arrival", F.col("voter")).write.partitionBy("arrival").parquet(src)
     out = os.path.join(root, "out")
+    # as many triggers whatever the number of files, since each one goes through the whole state
+    files = len(spark.read.parquet(src).inputFiles())
     SV.run_incremental_vote(spark, os.path.join(src, "arrival=*"), fx.fx_catalog(spark, d), out,
                             os.path.join(root, "checkpoint"), n_voters=len(fx.VOTERS),
-                            max_files_per_trigger=8, compact_every=4)
+                            max_files_per_trigger=max(8, -(-files // TRIGGERS)), compact_every=4)
     return SV.latest_publication(spark, out).select("question_id", "tbl", "col")
 
 

@@ -30,6 +30,7 @@ K1 = 1.5   # fixed BM25 constants of the reference ranking
 B = 0.75
 RRF_K = 60
 BROADCAST_POSTINGS = 500_000  # an index of so many postings goes to all tasks
+INDEX_BYTES = 8 * 1024 * 1024  # documents of so few bytes are indexed whole
 TIE_DIGITS = 9  # scores are rounded before ranking so 1-ulp summation noise cannot flip ties
 
 
@@ -67,12 +68,12 @@ def bm25(questions: DataFrame, docs: DataFrame, qid: str = "question_id", corpus
     ``avgdl`` over all documents of the corpus.  Documents of a corpus no question
     targets never reach a shuffle.
 
-    Where the questions are the larger side, the index is written once, of all terms, and goes to all tasks if it is
+    Where the documents are few, or the questions the larger side, the index is written once, of all terms, and goes to all tasks if it is
     small: questions that come partitioned by ``qid`` are then scored where they are, and no match is exchanged.
     """
     qt = question_terms(questions, qid, corpus, q_text)
     sizes = estimated_size_bytes(questions), estimated_size_bytes(docs)
-    many = None not in sizes and sizes[0] > sizes[1]
+    many = None not in sizes and (sizes[1] <= INDEX_BYTES or sizes[0] > sizes[1])
     stats, tf = doc_terms(docs, corpus, doc, d_text, None if many else qt.select("corpus", "term").distinct())
     df = tf.groupBy("corpus", "term").agg(F.count(F.lit(1)).alias("df"))
     st = broadcast_if_small(stats)

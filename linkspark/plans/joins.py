@@ -23,7 +23,7 @@ def estimated_size_bytes(df: DataFrame) -> int | None:
     """Optimizer's size estimate of ``df`` (None when unavailable)."""
     try:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes().toString()))
+        return int(str(stats.sizeInBytes()))  # an int or a JVM object, by version
     except Exception:  # pragma: no cover - non-classic sessions
         return None
 
@@ -51,7 +51,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-ROWS_A_PART = 250_000  # rows of the driving table a partition holds, about
+ROWS_A_PART = 60_000  # rows of the driving table a partition holds, about
 
 
 def parts_for(table: DataFrame, rows: int = ROWS_A_PART) -> int:

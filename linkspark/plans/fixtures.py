@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from .joins import parts_for, written
+from .joins import by_rows, parts_for, written
 
 VOTERS = (1, 2, 3, 4)
 
@@ -44,7 +44,7 @@ def by_question(spark: SparkSession, d: str, df: DataFrame, key: str = "question
 def fx_base(spark: SparkSession, d: str) -> DataFrame:
     """Rows are partitioned by question before voters multiply them, so what follows on a question stays in place."""
     li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    part = read_table(spark, d, "part").select("p_partkey", "p_brand", "p_name")
+    part = by_rows(read_table(spark, d, "part").select("p_partkey", "p_brand", "p_name"))
     b = (li.join(part, li.l_partkey == part.p_partkey)
          .select(F.col("l_orderkey").alias("question_id"), F.col("l_linenumber").alias("ln"),
                  F.col("l_partkey").alias("pk"), F.col("p_brand").alias("tbl"), F.col("p_name").alias("col")))
@@ -151,14 +151,14 @@ def fx_runs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def fx_mentions(spark: SparkSession, d: str) -> DataFrame:
-    """Extracted SQL mentions: alias -> table, column possibly unqualified, star on line 7."""
+    """Extracted SQL mentions: alias -> table, column possibly unqualified, star on line 7.  Partitioned by query."""
     li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    part = read_table(spark, d, "part").select("p_partkey", "p_brand", "p_name")
+    part = by_rows(read_table(spark, d, "part").select("p_partkey", "p_brand", "p_name"))
     alias = F.concat(F.lit("t"), F.col("l_linenumber").cast("string"))
-    return (li.join(part, li.l_partkey == part.p_partkey)
-            .select(F.col("l_orderkey").alias("query_id"), question_db("l_orderkey"), alias.alias("alias"),
+    m = by_question(spark, d, li.join(part, li.l_partkey == part.p_partkey).drop("l_partkey", "p_partkey"), "l_orderkey")
+    return m.select(F.col("l_orderkey").alias("query_id"), question_db("l_orderkey"), alias.alias("alias"),
                     F.col("p_brand").alias("tbl"),
                     F.when(F.col("l_linenumber") % 3 == 0, F.lit(None).cast("string"))
                     .otherwise(alias).alias("col_alias"),
                     F.when(F.col("l_linenumber") == 7, F.lit("*"))
-                    .otherwise(F.lower("p_name")).alias("col")))
+                    .otherwise(F.lower("p_name")).alias("col"))

@@ -42,6 +42,15 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame
     return df
 
 
+BROADCAST_ROWS = 500_000  # rows of a table that goes to all tasks
+
+
+def by_rows(table: DataFrame) -> DataFrame:
+    """``table`` marked for broadcast where it has few rows, else for a join by exchange.  Left to itself Spark goes by
+    the bytes of the files, of which a million packed rows fill few, and builds their hash table on the driver."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table.hint("merge")
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written below ``spark.checkpoint.dir`` and read back: it is computed once however often it is used,
     and its size is that of its files instead of an estimate over joins."""

@@ -19,7 +19,7 @@ from ..operators.curate import length_percentiles
 from ..operators import retrieve as RT
 from ..sources import catalog as CAT
 from ..sources.tables import read_table
-from .joins import broadcast_if_small, parts_for, written
+from .joins import broadcast_if_small, by_rows, parts_for, written
 from .oracle_fixtures import define, with_views
 from .q_retrieval import _bm25_sql
 from .q_scoring import R
@@ -163,6 +163,7 @@ def q_serialize_types_keys(spark, d):
 # ---------------------------------------------------------------- examples and prompts
 
 EXAMPLE_ROWS = 150_000  # lines of orders a partition of examples holds, about
+SCORED_ROWS = 60_000  # where their questions are scored against tables, which takes a row a match
 
 
 def examples(spark, d, rows: int = EXAMPLE_ROWS):
@@ -170,7 +171,7 @@ def examples(spark, d, rows: int = EXAMPLE_ROWS):
     partitioned by ``question_id`` alike, so that no operator on a question's own rows exchanges them again."""
     lines = parts_for(read_table(spark, d, "lineitem"), EXAMPLE_ROWS)
     li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    part = read_table(spark, d, "part").select("p_partkey", "p_brand", "p_type", "p_name")
+    part = by_rows(read_table(spark, d, "part").select("p_partkey", "p_brand", "p_type", "p_name"))
     b = li.join(part, li.l_partkey == part.p_partkey).select(
         (F.col("l_orderkey") * 100 + F.regexp_extract("p_brand", r"(\d+)$", 1).cast("long")).alias("question_id"),
         F.col("p_brand").alias("db_id"), F.col("l_linenumber").alias("ln"),
@@ -182,7 +183,7 @@ def examples(spark, d, rows: int = EXAMPLE_ROWS):
     return q.drop("links"), q.select("question_id", "db_id", F.inline("links"))
 
 
-def prepared(spark, d, rows: int = EXAMPLE_ROWS):
+def prepared(spark, d, rows: int = SCORED_ROWS):
     """Columns, questions and gold links, each computed once for a whole query."""
     cols, _ = catalog(spark, d)
     return written(cols, "catalog"), *examples(spark, d, rows)

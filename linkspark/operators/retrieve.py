@@ -38,20 +38,37 @@ def doc_terms(docs: DataFrame, corpus: str, doc: str, text: str, vocabulary: Dat
     """Tokenise documents once.
 
     Returns ``(stats, tf)``: ``stats(corpus, n_docs, avgdl)`` over *all* documents and
-    ``tf(corpus, doc, term, f, dl)`` restricted to ``vocabulary(corpus, term)`` when given.
+    ``tf(corpus, doc, term, f, dl)`` restricted to ``vocabulary(corpus, term)`` when given.  With a vocabulary the counts
+    are written, so that both sides, however often they are used, take one pass over the texts.
     """
     toks = spread(docs.select(F.col(corpus).alias("corpus"), F.col(doc).alias("doc"), F.col(text).alias("text")))
     toks = toks.select("corpus", "doc", tokenize("text").alias("toks")).withColumn("len", F.size("toks"))
+    if vocabulary is not None:
+        return _counted_terms(toks, vocabulary)
     stats = toks.groupBy("corpus").agg(F.count(F.lit(1)).alias("n_docs"),
                                        F.avg("len").alias("avgdl"))
     terms = toks.select("corpus", "doc", F.greatest(F.lit(1), F.col("len")).alias("dl"),
                         F.explode_outer("toks").alias("term")).where(F.col("term").isNotNull())
-    if vocabulary is not None:
-        terms = terms.join(broadcast_if_small(vocabulary), ["corpus", "term"], "left_semi")
     tf = terms.groupBy("corpus", "doc", "term").agg(F.count(F.lit(1)).alias("f"), F.first("dl").alias("dl"))
     return stats, tf
 
 
+def _counted_terms(toks: DataFrame, vocabulary: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """:func:`doc_terms` of ``toks(corpus, doc, toks, len)`` in one pass: a row for the document itself (no term) and one
+    for each of its different terms in the vocabulary."""
+    known = broadcast_if_small(vocabulary.select("corpus", "term").distinct())
+    itself = F.array(F.lit(None).cast("string"))
+    words = toks.select("corpus", "doc", "len", F.explode(F.concat(itself, F.coalesce("toks", F.array().cast("array<string>")))).alias("term"))
+    found = words.join(known.withColumn("known", F.lit(True)), ["corpus", "term"], "left").where("known or term is null")
+    counted = written(found.groupBy("corpus", "doc", "len", "term").agg(F.count(F.lit(1)).alias("n")), "terms")
+    rows = counted.where("term is null")
+    sized = F.sum(F.when(F.col("len").isNotNull(), F.col("n")))
+    stats = rows.groupBy("corpus").agg(F.sum("n").alias("n_docs"), (F.sum(F.col("len").cast("long") * F.col("n")) / sized).alias("avgdl"))
+    tf = (counted.where("term is not null").groupBy("corpus", "doc", "term")
+          .agg(F.sum("n").alias("f"), F.first(F.greatest(F.lit(1), F.col("len"))).alias("dl")))
+    return stats, tf
+
+
 def question_terms(questions: DataFrame, qid: str, corpus: str, text: str) -> DataFrame:
     """``(qid, corpus, term, qf)``: repeated question words count once per occurrence."""
     q = questions.select(F.col(qid).alias("qid"), F.col(corpus).alias("corpus"),
@@ -217,6 +234,7 @@ def recall_curve(ranked: DataFrame, gold: DataFrame, most: int, by: Sequence[str
     """For each retriever of ``ranked (by, qid, doc, rank)`` and every k up to ``most``, the share of gold documents
     among the k best.  One count per rank, added up over at most ``most`` rows a retriever."""
     by = list(by)
+    ranked = written(ranked.select(*by, qid, doc, "rank"), "ranked")  # used twice, but ranked once
     total = gold.select(qid, doc).distinct().agg(F.count(F.lit(1)).alias("n_gold"))
     hits = (gold.select(qid, doc).distinct().join(ranked.where(F.col("rank") <= most), [qid, doc])
             .groupBy(*by, "rank").agg(F.count(F.lit(1)).alias("hits")))
@@ -310,7 +328,8 @@ def rrf_top_k(scores: DataFrame, questions: DataFrame, docs: DataFrame, doc_vecs
     dv = d.join(v, "doc", "left")
     pos = scores.select(F.col(qid).cast("long").alias("qid"), F.col(doc).cast("long").alias("doc"), "score")
     wb = Window.partitionBy("qid").orderBy(F.desc(F.round("score", TIE_DIGITS)), F.asc("doc"))
-    pos = pos.withColumn("rb_pos", F.row_number().over(wb) - 1)
+    # ranked once, and so are the candidates below: each is used several times
+    pos = written(pos.withColumn("rb_pos", F.row_number().over(wb) - 1), "ranks")
     n_pos = pos.groupBy("qid").agg(F.count(F.lit(1)).alias("n_pos"))
     # candidates: BM25 top-M (positives, then zero-score fill from the first M docs) and embedding top-M
     first_m = (d.withColumn("_r", F.row_number().over(Window.partitionBy("corpus").orderBy("doc")))
@@ -325,6 +344,7 @@ def rrf_top_k(scores: DataFrame, questions: DataFrame, docs: DataFrame, doc_vecs
             .withColumn("cos", F.when(F.col("vec").isNotNull() & F.col("qvec").isNotNull(),
                                       cosine_native(F.col("qvec"), F.col("vec"))))
             .drop("vec"))
+    cand = written(cand, "candidates")
     # (c) counts over every document of the corpus, block by block
     cb, dvb = _grid(cand.select("corpus", "qid", "doc", "qvec", "cos"), dv.select("corpus", "doc", "vec"),
                     q.select("corpus", "qid"), query_rows, block_rows)

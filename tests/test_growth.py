@@ -1,5 +1,8 @@
 """What must not grow with the tables: broadcasts, passes over the documents, a task's rows."""
 
+from pyspark.sql import functions as F
+
+from linkspark.operators import retrieve as RT
 from linkspark.plans import fixtures as fx
 from linkspark.plans import joins
 from linkspark.plans import q_catalog as qc
@@ -25,3 +28,45 @@ def test_parts_of_many_rows_are_not_broadcast(spark, tmp_path, monkeypatch):
         assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
         assert sorted(map(tuple, df.collect()), key=str) == rows
     assert sorted(map(tuple, qc.examples(spark, d)[0].collect())) == asked and len(asked) == 5
+
+
+def corpus(spark, folder):
+    """Questions, and documents on disk: an id that comes twice, a text without words, one that is null."""
+    texts = ["red gear hot bolt", "red red bolt", "", None, "old gear", "unasked words only", "gear"]
+    rows = [(f"d{i % 2}", i, t) for i, t in enumerate(texts)] + [("d0", 0, "red gear hot bolt"), ("d2", 9, None), ("d1", 11, "gear bolt " * 40)]
+    spark.createDataFrame(rows, "db_id string, table_idx long, text string").write.parquet(f"{folder}/docs")
+    asked = [(1, "d0", "red gear"), (2, "d1", "bolt bolt hot"), (3, "d1", "gear"), (4, "d2", "red"), (5, "d0", None)]
+    spark.createDataFrame(asked, "question_id long, db_id string, question string").write.parquet(f"{folder}/asked")
+    return spark.read.parquet(f"{folder}/asked"), spark.read.parquet(f"{folder}/docs")
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_documents_are_tokenised_once(spark, tmp_path, monkeypatch):
+    asked, docs = corpus(spark, str(tmp_path))
+    scored = lambda df: sorted((r.question_id, r.db_id, r.table_idx, round(r.score, 12)) for r in df.collect())
+    whole = scored(RT.bm25(asked, docs))
+    monkeypatch.setattr(RT, "estimated_size_bytes", lambda df: 2**40 if "text" in df.columns else 1)
+    by_vocabulary = RT.bm25(asked, docs)
+    # the questions are read here; the documents' texts were counted and written before
+    assert "text#" not in plan(by_vocabulary)
+    assert scored(by_vocabulary) == whole and len(whole) == 6
+
+
+def test_rankings_are_computed_once(spark, tmp_path):
+    asked, docs = corpus(spark, str(tmp_path))
+    docs = docs.dropDuplicates(["table_idx"])
+    vec = F.array(F.col("table_idx").cast("double") + 1.0, F.lit(1.0))
+    vectors = docs.where("table_idx <> 4").select("table_idx", vec.alias("vec"))
+    q = asked.select("question_id", "db_id", F.array(F.lit(1.0), F.col("question_id").cast("double")).alias("qvec"))
+    top = RT.rrf_top_k(RT.bm25(asked, docs), q, docs.select("db_id", "table_idx"), vectors, 2)
+    assert plan(top).count("FlatMapCoGroupsInPandas") == 1  # the counts; the nearest vectors are written candidates
+    best = {r.question_id: r.table_idx for r in top.where("rank = 1").collect()}
+    assert best == {1: 6, 2: 11, 3: 11, 4: 9, 5: 0}
+    ranked = top.select(F.sha2(F.lit("bm25"), 256).alias("retriever"), "question_id", "table_idx", "rank")
+    curve = RT.recall_curve(ranked, top.select("question_id", "table_idx"), 2)
+    ranked_again = plan(curve).count("FlatMapCoGroupsInPandas")
+    assert ranked_again <= 2  # in the gold alone
+    assert [r.found for r in curve.orderBy("k").collect()] == [5, top.count()]

@@ -11,6 +11,7 @@ from ..operators import ranked as RK
 from ..operators import retrieve as RT
 from ..operators.canon import catalog_tables
 from . import fixtures as fx
+from .joins import written
 from .oracle_fixtures import define, with_views
 from .q_scoring import R, canon_gold, canon_votes, ensemble
 from .q_stream import _scratch
@@ -67,7 +68,11 @@ def q_bm25_tables(spark, d):
       LEFT JOIN bm_sc s ON s.question_id = q.question_id AND s.table_idx = x.table_idx) r
     WHERE rank <= {TOP_K}""", "bm_sc", "fx_questions", "fx_docs"))
 def q_bm25_topk(spark, d):
-    top = RT.top_k_with_fill(bm25_tables(spark, d), fx.fx_questions(spark, d), fx.fx_docs(spark, d), TOP_K)
+    return bm25_best(spark, d, bm25_tables(spark, d))
+
+
+def bm25_best(spark, d, scores):
+    top = RT.top_k_with_fill(scores, fx.fx_questions(spark, d), fx.fx_docs(spark, d), TOP_K)
     return top.select("question_id", "table_idx", F.col("rank").cast("long").alias("rank"),
                       F.round("score", R).alias("score"))
 
@@ -165,13 +170,17 @@ RRF_TOP_K = 10
           LEFT JOIN bm_sc s ON s.question_id = g.question_id AND s.table_idx = g.table_idx) r1) r2) r3
     WHERE rank <= {RRF_TOP_K}""", "bm_sc", "fx_questions", "fx_docs"))
 def q_rrf_topk(spark, d):
+    return rrf_best(spark, d, bm25_tables(spark, d))
+
+
+def rrf_best(spark, d, scores):
     from ..sources.tables import read_table
     emb = read_table(spark, d, "embeddings").select("vec_id", "embedding")
     qs = fx.fx_questions(spark, d)
     qv = qs.join(emb, qs.question_id == emb.vec_id, "left").select("question_id", "db_id", F.col("embedding").alias("qvec"))
     docs = fx.fx_docs(spark, d)
     dv = emb.select(F.col("vec_id").alias("table_idx"), F.col("embedding").alias("vec"))
-    top = RT.rrf_top_k(bm25_tables(spark, d), qv, docs.select("db_id", "table_idx"), dv, RRF_TOP_K)
+    top = RT.rrf_top_k(scores, qv, docs.select("db_id", "table_idx"), dv, RRF_TOP_K)
     return top.select("question_id", "table_idx", F.col("rank_bm25").cast("long").alias("rank_bm25"),
                       F.col("rank_embed").cast("long").alias("rank_embed"), F.round("fused", R).alias("fused"),
                       F.col("rank").cast("long").alias("rank"))
@@ -188,9 +197,9 @@ VOTER_SPEC, DEFAULT_RETRIEVER, CONTEXT_K = "v1:bm25, v2 : rrf,,v3, dir:v4:bm25",
           UNION ALL SELECT 'rrf', question_id, table_idx, rank FROM ({ORACLES['rrf_topk']}) f) r USING (retriever)
     WHERE r.rank <= {CONTEXT_K}""")
 def q_voter_contexts(spark, d):
-    rankings = None
-    for name, ranked in (("bm25", q_bm25_topk), ("rrf", q_rrf_topk)):
-        r = ranked(spark, d).select(F.lit(name).alias("retriever"), "question_id", "table_idx", "rank")
+    rankings, scores = None, written(bm25_tables(spark, d), "scores")  # which both rankings start from
+    for name, ranked in (("bm25", bm25_best), ("rrf", rrf_best)):
+        r = ranked(spark, d, scores).select(F.lit(name).alias("retriever"), "question_id", "table_idx", "rank")
         rankings = r if rankings is None else rankings.unionByName(r)
     voters = RT.voter_retrievers(spark.range(1).select(F.lit(VOTER_SPEC).alias("spec")), DEFAULT_RETRIEVER)
     return RT.voter_contexts(voters, rankings, CONTEXT_K)
@@ -224,8 +233,8 @@ def q_recall_curve(spark, d):
     vectors = docs.join(emb, docs.table_idx == emb.vec_id).select("table_idx", "db_id", "embedding")
     near = RT.cosine_top_k(asked, vectors, CURVE_K, qid="question_id", doc="table_idx")
     cols = ["question_id", "table_idx", "rank"]
-    ranked = None
-    for name, r in (("bm25", q_bm25_topk(spark, d)), ("embed", near), ("rrf", q_rrf_topk(spark, d))):
+    ranked, scores = None, written(bm25_tables(spark, d), "scores")
+    for name, r in (("bm25", bm25_best(spark, d, scores)), ("embed", near), ("rrf", rrf_best(spark, d, scores))):
         one = r.select(F.lit(name).alias("retriever"), *cols)
         ranked = one if ranked is None else ranked.unionByName(one)
     gold = questions.join(docs, "db_id").where((F.col("table_idx") + F.col("question_id")) % 40 == 0).select("question_id", "table_idx")

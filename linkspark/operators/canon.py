@@ -174,7 +174,8 @@ def resolve_mentions(mentions: DataFrame, catalog: DataFrame, qid: str = "query_
     its alias, if any) and column mention (qualifier may be NULL; ``*`` names no column).
     Every mentioned catalog table is a link even without columns; a qualified column
     resolves through the query's aliases and the tables' own names; a bare column resolves to
-    its unique owner among the query's tables (ambiguous or unknown mentions are dropped).
+    its unique owner among the query's tables (ambiguous or unknown mentions are dropped).  Mentions that come partitioned
+    by ``qid`` are resolved where they are.
     """
     scope = list(scope)
     own = _columns([qid], scope)
@@ -182,20 +183,22 @@ def resolve_mentions(mentions: DataFrame, catalog: DataFrame, qid: str = "query_
     columns = broadcast_if_small(catalog_columns(catalog, scope))
     named = (mentions.select(*own, F.lower("tbl").alias("tlc")).join(tables, [*scope, "tlc"])
              .dropDuplicates([*own, "tlc"]))
-    aliases = (mentions.select(*own, F.explode(F.array(F.lower("alias"), F.lower("tbl"))).alias("alias"),
-                               F.lower("tbl").alias("tlc"))
-               .where(F.col("alias").isNotNull()).distinct())
-    colm = mentions.where(F.col("col") != "*")
-    qualified = (colm.where(F.col("col_alias").isNotNull())
-                 .select(*own, F.lower("col_alias").alias("alias"), F.lower("col").alias("clc"))
-                 .join(aliases, [*own, "alias"]).select(*own, "tlc", "clc"))
-    bare = (colm.where(F.col("col_alias").isNull()).select(*own, F.lower("col").alias("clc")).distinct()
-            .join(named.select(*own, "tlc"), own)  # the query's few tables first, then their columns
-            .join(columns.select(*scope, "tlc", "clc"), [*scope, "tlc", "clc"], "left_semi")
-            .groupBy(*own, "clc").agg(F.count(F.lit(1)).alias("owners"), F.min("tlc").alias("tlc"))
-            .where(F.col("owners") == 1).select(*own, "tlc", "clc"))
-    cols = (qualified.unionByName(bare).join(columns, [*scope, "tlc", "clc"]).join(tables, [*scope, "tlc"])
-            .dropDuplicates([*own, "tlc", "clc"]))
+    # what a name stands for and what it qualifies meet in one group a name; bare columns and tables in the group without one
+    word = lambda c: F.lower(c) if isinstance(c, str) else F.lit(None).cast("string")
+    entry = lambda name, tlc, clc: F.struct(word(name).alias("name"), word(tlc).alias("tlc"), word(clc).alias("clc"))
+    said = F.when(F.col("col") != "*", F.array(entry("col_alias", None, "col")))
+    entries = F.concat(F.filter(F.array(entry("alias", "tbl", None), entry("tbl", "tbl", None)), lambda e: e["name"].isNotNull()),
+                       F.array(entry(None, "tbl", None)), F.coalesce(said, F.array().cast("array<struct<name:string,tlc:string,clc:string>>")))
+    met = (mentions.where(" and ".join(f"`{k}` is not null" for k in own)).select(*own, F.explode(entries).alias("e"))
+           .groupBy(*own, F.col("e.name").alias("name")).agg(F.collect_set("e.tlc").alias("t"), F.collect_set("e.clc").alias("c")))
+    pairs = (met.select(*own, F.col("name").isNull().alias("bare"), F.explode("c").alias("clc"), "t")
+             .select(*own, "bare", "clc", F.explode("t").alias("tlc")).join(columns, [*scope, "tlc", "clc"]))
+    # a qualified pair counts as it is, a bare column if it has one owner
+    owner = F.when(~F.col("bare"), F.col("tlc"))
+    owned = (pairs.groupBy(*own, "bare", "clc", owner.alias("owner")).agg(
+                F.count(F.lit(1)).alias("owners"), F.min("tlc").alias("tlc"), F.min("col_c").alias("col_c"))
+             .where("owners = 1 or not bare"))
+    cols = owned.join(tables, [*scope, "tlc"]).dropDuplicates([*own, "tlc", "clc"])
     null = F.lit(None).cast("string")
     t_rows = named.select(qid, "tlc", F.lit(NO_COLUMN).alias("clc"), F.col("tbl_c").alias("tbl"), null.alias("col"))
     c_rows = cols.select(qid, "tlc", "clc", F.col("tbl_c").alias("tbl"), F.col("col_c").alias("col"))

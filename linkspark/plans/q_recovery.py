@@ -131,5 +131,6 @@ define("mn_queries", (), "SELECT o_orderkey AS query_id, o_orderkey % 13 = 0 AS
 def q_mention_records(spark, d):
     queries = read_table(spark, d, "orders").select(
         F.col("o_orderkey").alias("query_id"), (F.col("o_orderkey") % 13 == 0).alias("parse_failed"))
+    queries = fx.by_question(spark, d, queries, "query_id")  # as the mentions are
     out = C.mention_records(queries, fx.fx_mentions(spark, d), fx.fx_catalog(spark, d))
     return out.withColumn("schema_links", F.to_json("schema_links"))

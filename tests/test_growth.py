@@ -1,13 +1,25 @@
 """What must not grow with the tables: broadcasts, passes over the documents, a task's rows."""
 
+import re
+
 from pyspark.sql import functions as F
 
+from linkspark.operators import canon as C
 from linkspark.operators import retrieve as RT
 from linkspark.plans import fixtures as fx
 from linkspark.plans import joins
 from linkspark.plans import q_catalog as qc
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(df):
+    """The columns of each exchange by hash that an operator needed."""
+    return [re.sub(r"#\d+L?", "", x) for x in re.findall(r"Exchange hashpartitioning\(([^)]*?), \d+\), ENSURE", plan(df))]
+
+
 def orders_and_parts(spark, folder):
     """Tables of six lines over four parts."""
     spark.createDataFrame([(k, f"Brand#{k % 2 + 1}", "SMALL", f"red gear{k}") for k in range(4)],
@@ -25,7 +37,7 @@ def test_parts_of_many_rows_are_not_broadcast(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 3)
     for df, rows in zip(joined(), few):
         # the files are far below Spark's own limit
-        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan(df)
         assert sorted(map(tuple, df.collect()), key=str) == rows
     assert sorted(map(tuple, qc.examples(spark, d)[0].collect())) == asked and len(asked) == 5
 
@@ -40,10 +52,6 @@ def corpus(spark, folder):
     return spark.read.parquet(f"{folder}/asked"), spark.read.parquet(f"{folder}/docs")
 
 
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def test_documents_are_tokenised_once(spark, tmp_path, monkeypatch):
     asked, docs = corpus(spark, str(tmp_path))
     scored = lambda df: sorted((r.question_id, r.db_id, r.table_idx, round(r.score, 12)) for r in df.collect())
@@ -70,3 +78,22 @@ def test_rankings_are_computed_once(spark, tmp_path):
     ranked_again = plan(curve).count("FlatMapCoGroupsInPandas")
     assert ranked_again <= 2  # in the gold alone
     assert [r.found for r in curve.orderBy("k").collect()] == [5, top.count()]
+
+
+def test_mentions_are_resolved_with_their_queries(spark, tmp_path):
+    cat = [("d", "T", "a"), ("d", "T", "b"), ("d", "U", "a"), ("d", "U", "c"), ("e", "T", "z")]
+    spark.createDataFrame(cat, "db_id string, tbl string, col string").write.parquet(str(tmp_path / "cat"))  # of known size
+    cat = spark.read.parquet(str(tmp_path / "cat"))
+    said = [(1, "d", "x", "t", "X", "A"), (1, "d", "y", "U", None, "a"), (1, "d", "y", "U", None, "c"),  # a has two owners here
+            (2, "d", None, "T", "t", "B"), (2, "d", None, "T", None, "a"), (2, "d", "n", None, "n", "a"),
+            (3, "d", "x", "no", "x", "a"), (3, "d", "x", "U", "x", "c"),  # x stands for both
+            (4, "e", "q", "T", "q", "*"), (5, None, "q", "T", "q", "a"), (None, "d", "q", "T", "q", "a"), (6, "d", "q", "T", "q", None)]
+    said = spark.createDataFrame(said, "query_id long, db_id string, alias string, tbl string, col_alias string, col string").repartition(8, "query_id")
+    queries = spark.createDataFrame([(k, k == 6) for k in range(1, 8)], "query_id long, parse_failed boolean").repartition(8, "query_id")
+    out = C.mention_records(queries, said, cat)
+    assert not [x for x in exchanges(out) if "query_id," in x] and plan(out).count("Exchange hashpartitioning(query_id") == 6  # four of the queries, two of the mentions
+    assert {r.query_id: r.schema_links for r in out.collect()} == {
+        1: {"T": ["a"], "U": ["c"]}, 2: {"T": ["a", "b"]}, 3: {"U": ["a", "c"]}, 4: {"T": []}, 5: {}, 6: {}, 7: {}}
+    links = C.resolve_mentions(said, cat).collect()
+    assert sorted((r.tlc, r.clc) for r in links if r.query_id is None) == [("t", "")]
+    assert sorted((r.query_id, r.tlc, r.clc) for r in links if r.query_id in (1, 6)) == [(1, "t", ""), (1, "t", "a"), (1, "u", ""), (1, "u", "c"), (6, "t", "")]

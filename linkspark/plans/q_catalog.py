@@ -298,15 +298,15 @@ def _md5_cols(text):
 @query("prompt_context", with_views("SELECT question_id, n_tables, CAST(length(context) AS BIGINT) AS n_chars, "
                                     "md5(context) AS md5 FROM ctx_all", "ctx_all"))
 def q_prompt_context(spark, d):
-    """B6 with the whole schema: its text is assembled once for the databases of a question (one, unless ids of
-    questions meet), not once a question."""
+    """B6 with the whole schema: its text is assembled, and its digest taken, once for the databases of a question (one,
+    unless ids of questions meet), not once a question."""
     cols, q, _ = prepared(spark, d)
     asked = q.groupBy("question_id").agg(F.array_sort(F.collect_set("db_id")).alias("dbs"))
     tables = cols.select("db_id", "table_idx").distinct()
     kept = written(asked.select("dbs").distinct(), "schemas").withColumn("db_id", F.explode("dbs")).join(broadcast_if_small(tables), "db_id")
-    texts = written(RD.context_for_questions(kept, _lines(cols), ("dbs",)), "schema_texts")
-    ctx = asked.join(broadcast_if_small(texts), "dbs")
-    return ctx.select("question_id", F.col("n_tables").cast("long").alias("n_tables"), *_md5_cols(F.col("context")))
+    texts = RD.context_for_questions(kept, _lines(cols), ("dbs",))
+    texts = written(texts.select("dbs", F.col("n_tables").cast("long").alias("n_tables"), *_md5_cols(F.col("context"))), "schema_texts")
+    return asked.join(broadcast_if_small(texts), "dbs").select("question_id", "n_tables", "n_chars", "md5")
 
 
 @query("prompt_context_topk", with_views("SELECT question_id, n_tables, context FROM ctx_top", "ctx_top"))

@@ -1,5 +1,6 @@
 """What must not grow with the tables: broadcasts, passes over the documents, a task's rows."""
 
+import hashlib
 import re
 
 from pyspark.sql import functions as F
@@ -97,3 +98,11 @@ def test_mentions_are_resolved_with_their_queries(spark, tmp_path):
     links = C.resolve_mentions(said, cat).collect()
     assert sorted((r.tlc, r.clc) for r in links if r.query_id is None) == [("t", "")]
     assert sorted((r.query_id, r.tlc, r.clc) for r in links if r.query_id in (1, 6)) == [(1, "t", ""), (1, "t", "a"), (1, "u", ""), (1, "u", "c"), (6, "t", "")]
+
+
+def test_a_schema_is_digested_once(spark, tmp_path):
+    out = qc.q_prompt_context(spark, orders_and_parts(spark, str(tmp_path)))
+    assert "md5(" not in plan(out)
+    digest = lambda text: (1, len(text), hashlib.md5(text.encode()).hexdigest())
+    one, two = digest("SMALL: red gear0, red gear2"), digest("SMALL: red gear1, red gear3")
+    assert {r[0]: tuple(r)[1:] for r in out.collect()} == {101: one, 102: two, 201: one, 202: two, 302: two}

@@ -36,8 +36,9 @@ def q_stream_votes(spark, d):
     root = _scratch(spark, "stream_votes")
     src = os.path.join(root, "in")
     votes = fx.fx_votes(spark, d).withColumn("voter", F.col("voter").cast("int"))
-    sent = votes.withColumn("n_links", F.lit(None).cast("long")).unionByName(SV.end_records(votes))
-    sent.withColumn("arrival", F.col("voter")).write.partitionBy("arrival").parquet(src)
+    arriving = lambda rows: rows.withColumn("arrival", F.col("voter")).write.partitionBy("arrival").mode("append").parquet(src)
+    arriving(votes.withColumn("n_links", F.lit(None).cast("long")))
+    arriving(SV.end_records(spark.read.schema(SV.LINK_SCHEMA).parquet(src)))
     out = os.path.join(root, "out")
     # as many triggers whatever the number of files, since each one goes through the whole state
     files = len(spark.read.parquet(src).inputFiles())

@@ -118,6 +118,20 @@ def test_compaction_keeps_the_publication(spark, tmp_path):
     assert often[-1][0]["base"] is not None and len(often[-1][0]["deltas"]) < 2 and never[-1][0]["base"] is None
 
 
+def test_votes_are_kept_in_files(spark, tmp_path):
+    # a vote that comes again, in a later epoch and spelt otherwise, is one; no executor keeps what has come before
+    files = [[link(1, 1, "T1", "x"), link(7, 1, "T2", "y"), end(2, 3)], [link(1, 1, "t1", "X"), link(1, 2, "T1"), link(7, 2, "T2")],
+             [link(1, 2, "T1", "x"), end(1, 3)]]
+    found, out = vote(spark, tmp_path, files, 2, compact_every=3)
+    assert not os.path.exists(tmp_path / "ckpt" / "state")
+    m, rows = found[-1]
+    assert m["mode"] == "maj2" and m["voters"] == {1: {"seen": 3, "sent": 3}, 2: {"seen": 3, "sent": 3}}
+    assert [r[1:] for r in found[0][1]] == [("T1", "", 1), ("T1", "x", 1), ("T2", "", 1), ("T2", "y", 1)]
+    assert rows == [(1, "T1", "", 2), (1, "T1", "x", 2), (7, "T2", "", 2)]
+    kept = spark.read.parquet(f"{out}/base/epoch={m['base']}")
+    assert m["deltas"] == [] and kept.count() == kept.distinct().count() == 5
+
+
 def test_an_unfinished_manifest_is_not_followed(spark, tmp_path):
     found, out = vote(spark, tmp_path, [[link(1, 1, "T1")], [link(1, 2, "T1")]], 2)
     last = SV._epochs(spark, f"{out}/manifest")[-1]

@@ -15,10 +15,12 @@ documents, or most of the questions, therefore spreads over many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +32,7 @@ K1 = 1.5   # fixed BM25 constants of the reference ranking
 B = 0.75
 RRF_K = 60
 BROADCAST_POSTINGS = 500_000  # an index of so many postings goes to all tasks
+MATCHES = 500_000  # matches that a task adds up at once; a question's own stay together
 INDEX_BYTES = 8 * 1024 * 1024  # documents of so few bytes are indexed whole
 TIE_DIGITS = 9  # scores are rounded before ranking so 1-ulp summation noise cannot flip ties
 
@@ -76,9 +79,66 @@ def question_terms(questions: DataFrame, qid: str, corpus: str, text: str) -> Da
     return q.groupBy("qid", "corpus", "term").agg(F.count(F.lit(1)).alias("qf"))
 
 
+def _postings(index: DataFrame) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray]:
+    """``index(corpus, term, d, impact)`` as arrays: the number of each (corpus, term), where its postings start, and the
+    document and impact of each posting."""
+    t = index.select(F.col("corpus").cast("string").alias("corpus"), "term", "d", "impact").toArrow().sort_by([("corpus", "ascending"), ("term", "ascending"), ("d", "ascending")])
+    names = list(zip(t["corpus"].to_pylist(), t["term"].to_pylist()))
+    first = [i for i, name in enumerate(names) if i == 0 or name != names[i - 1]]
+    return {names[i]: k for k, i in enumerate(first)}, np.array([*first, len(names)], np.int64), t["d"].to_numpy(), t["impact"].to_numpy()
+
+
+def _add_up(question: np.ndarray, d: np.ndarray, share: np.ndarray, questions: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different documents ``d`` of each question, in order, and the sums of their shares; before them, where each of the
+    ``questions`` starts."""
+    if not len(d):
+        return np.zeros(questions + 1, np.int64), d, share
+    docs = int(d.max()) + 1
+    key = question * docs + d
+    order = np.argsort(key, kind="stable")  # runs of ascending documents are merged
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    starts = np.searchsorted(key[first], np.arange(questions + 1) * docs)
+    return starts, d[order[first]], np.add.reduceat(share[order], first)
+
+
+def _add_up_batches(index: Broadcast):
+    """An Arrow function of ``(corpus, terms)``: the documents that a question matches, by number, and their scores.
+    ``index`` holds the :func:`_postings`."""
+    @F.arrow_udf("struct<d:array<int>,score:array<double>>")
+    def score(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        numbers, starts, doc, impact = index.value
+        for corpus, terms in batches:
+            words, where = terms.flatten().dictionary_encode(), corpus.dictionary_encode()
+            question = np.repeat(np.arange(len(terms)), terms.value_lengths().fill_null(0).to_numpy())
+            of = where.indices.fill_null(len(where.dictionary)).to_numpy()[question].astype(np.int64)
+            # each different (corpus, word) of the batch is looked up once
+            pairs, which = np.unique(of * max(len(words.dictionary), 1) + words.indices.to_numpy(), return_inverse=True)
+            corpora, said = [*where.dictionary.to_pylist(), None], words.dictionary.to_pylist()
+            found = np.array([numbers.get((corpora[p // len(said)], said[p % len(said)]), -1) for p in pairs.tolist()], np.int64)[which]
+            # a word that a question repeats is one, with its count
+            terms_of, qf = np.unique((question * len(starts) + found)[found >= 0], return_counts=True)
+            question, found = terms_of // len(starts), terms_of % len(starts)
+            n = starts[found + 1] - starts[found]
+            upto = np.concatenate([[0], np.cumsum(np.bincount(question, n, len(terms)).astype(np.int64))])
+            begin = 0
+            while begin < len(terms):
+                end = max(begin + 1, int(np.searchsorted(upto, upto[begin] + MATCHES, "right")) - 1)
+                here = slice(*np.searchsorted(question, [begin, end]))
+                many, total = n[here], int(n[here].sum())
+                at = np.repeat(starts[found[here]] - (np.cumsum(many) - many), many) + np.arange(total)
+                offsets, d, scores = _add_up(np.repeat(question[here] - begin, many), doc[at], impact[at] * np.repeat(qf[here], many), end - begin)
+                offsets = pa.array(offsets, pa.int32())
+                yield pa.StructArray.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(d, pa.int32())),
+                                                  pa.ListArray.from_arrays(offsets, pa.array(scores, pa.float64()))], ["d", "score"])
+                begin = end
+
+    return score
+
+
 def bm25(questions: DataFrame, docs: DataFrame, qid: str = "question_id", corpus: str = "db_id",
          q_text: str = "question", doc: str = "table_idx", d_text: str = "text",
-         k1: float = K1, b: float = B) -> DataFrame:
+         k1: float = K1, b: float = B, as_arrays: bool = False) -> DataFrame:
     """``(qid, corpus, doc, score)`` for every (question, document) with score > 0.
 
     ``idf = ln(1 + (N - df + .5) / (df + .5))`` per corpus, ``dl = max(1, len)``,
@@ -86,7 +146,9 @@ def bm25(questions: DataFrame, docs: DataFrame, qid: str = "question_id", corpus
     targets never reach a shuffle.
 
     Where the documents are few, or the questions the larger side, the index is written once, of all terms, and goes to all tasks if it is
-    small: questions that come partitioned by ``qid`` are then scored where they are, and no match is exchanged.
+    small: questions that come partitioned by ``qid`` are then scored where they are, and no match is exchanged.  With ``as_arrays`` a
+    task then adds up the matches of its questions in NumPy, for questions with many matches each; Spark does not know afterwards
+    that the scores are partitioned as the questions are.
     """
     qt = question_terms(questions, qid, corpus, q_text)
     sizes = estimated_size_bytes(questions), estimated_size_bytes(docs)
@@ -98,16 +160,35 @@ def bm25(questions: DataFrame, docs: DataFrame, qid: str = "question_id", corpus
            .select("corpus", "term", "avgdl",
                    F.log(1.0 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")))
     index = tf.join(idf, ["corpus", "term"])
+    few = False
     if many:
         index = written(index, "index")
-        index = F.broadcast(index) if index.count() <= BROADCAST_POSTINGS else index
-    hits = qt.join(index, ["corpus", "term"])
+        few = index.count() <= BROADCAST_POSTINGS
     w = F.col("f") * (k1 + 1) / (F.col("f") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-    scored = hits.groupBy("qid", "corpus", "doc").agg(F.sum(F.col("qf") * F.col("idf") * w).alias("score"))
+    if few and as_arrays:
+        scored = _scored_as_arrays(questions, index.select("corpus", "doc", "term", (F.col("idf") * w).alias("impact")), qid, corpus, q_text)
+    else:
+        hits = qt.join(F.broadcast(index) if few else index, ["corpus", "term"])
+        scored = hits.groupBy("qid", "corpus", "doc").agg(F.sum(F.col("qf") * F.col("idf") * w).alias("score"))
     return scored.select(F.col("qid").alias(qid), F.col("corpus").alias(corpus),
                          F.col("doc").alias(doc), "score")
 
 
+def _scored_as_arrays(questions: DataFrame, index: DataFrame, qid: str, corpus: str, text: str) -> DataFrame:
+    """``qid, corpus, doc, score`` of ``questions`` by an ``index(corpus, doc, term, impact)`` that goes to all tasks."""
+    docs = written(index.select("corpus", "doc").distinct().coalesce(1).withColumn("d", F.monotonically_increasing_id().cast("int")), "docs")
+    same = (F.col("i.corpus") == F.col("n.corpus")) & F.col("i.doc").eqNullSafe(F.col("n.doc"))
+    numbered = index.alias("i").join(F.broadcast(docs).alias("n"), same).select("i.corpus", "term", "d", "impact")
+    score = _add_up_batches(questions.sparkSession.sparkContext.broadcast(_postings(numbered)))
+    # a question that comes in several rows is one
+    q = questions.select(F.col(qid).alias("qid"), F.col(corpus).alias("corpus"), tokenize(text).alias("terms"))
+    q = q.groupBy("qid", "corpus").agg(F.flatten(F.collect_list("terms")).alias("terms"))
+    found = q.select("qid", "corpus", score(F.col("corpus").cast("string"), "terms").alias("found"))
+    each = found.select("qid", "corpus", F.col("found.score").alias("scores"), F.posexplode_outer("found.d").alias("i", "d"))
+    return (each.join(F.broadcast(docs.select("d", "doc")), "d")
+            .select("qid", "corpus", "doc", F.get("scores", F.col("i")).alias("score")))
+
+
 def top_k_with_fill(scores: DataFrame, questions: DataFrame, docs: DataFrame, k: int,
                     qid: str = "question_id", corpus: str = "db_id", doc: str = "table_idx") -> DataFrame:
     """Top-k documents per question by score desc, ties by document order, and

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions.numbers import rounded
 from ..functions.text import tokenize_sql
 from ..operators import canon as C
 from ..operators import render as RD
@@ -207,15 +208,12 @@ define("pr_qt", ("ex_qs",), f"""SELECT question_id, db_id, term, count(*) AS qf
 define("pr_sc", ("pr_qt", "pr_tf", "pr_df", "pr_st"), _bm25_sql("pr_qt", "pr_tf", "pr_df", "pr_st", "pair"))
 
 
-PAIR_ROWS = 15_000  # a question matches about a hundred pairs, so fewer of them make a partition
-
-
 @query("bm25_pairs", with_views(f"SELECT question_id, db_id, pair, round(score, {R}) AS score FROM pr_sc", "pr_sc"))
 def q_bm25_pairs(spark, d):
     """Every positive score of a question's pairs (ranking them is E1)."""
-    cols, q, _ = prepared(spark, d, PAIR_ROWS)
+    cols, q, _ = prepared(spark, d)
     docs = cols.select("db_id", F.concat_ws(".", "tbl", "col").alias("pair"), F.concat_ws(" ", "tbl", "col").alias("text"))
-    return RT.bm25(q, docs, doc="pair").select("question_id", "db_id", "pair", F.round("score", R).alias("score"))
+    return RT.bm25(q, docs, doc="pair", as_arrays=True).select("question_id", "db_id", "pair", rounded("score", R).alias("score"))
 
 
 define("tb_docs", ("cat_cols",), """SELECT db_id, table_idx, tbl || ' ' || string_agg(col, ' ' ORDER BY column_idx) AS text

@@ -1,10 +1,15 @@
 """What must not grow with the tables: broadcasts, passes over the documents, a task's rows."""
 
 import hashlib
+import random
 import re
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from linkspark.functions.numbers import rounded
 from linkspark.operators import canon as C
 from linkspark.operators import retrieve as RT
 from linkspark.plans import fixtures as fx
@@ -106,3 +111,46 @@ def test_a_schema_is_digested_once(spark, tmp_path):
     digest = lambda text: (1, len(text), hashlib.md5(text.encode()).hexdigest())
     one, two = digest("SMALL: red gear0, red gear2"), digest("SMALL: red gear1, red gear3")
     assert {r[0]: tuple(r)[1:] for r in out.collect()} == {101: one, 102: two, 201: one, 202: two, 302: two}
+
+
+def test_matches_are_added_up_as_arrays(spark, tmp_path):
+    asked, docs = corpus(spark, str(tmp_path))
+    odd = [(1, "d0", "bolt, red unknown"), (None, "d0", "gear"), (None, "d0", "gear"), (None, "d1", "hot"), (6, None, "gear"), (7, "d9", "gear"), (8, "d0", "")]
+    asked = asked.unionByName(spark.createDataFrame(odd, asked.schema))
+    docs = docs.unionByName(spark.createDataFrame([("d0", None, "old red gear"), (None, 3, "gear")], docs.schema))
+    docs.write.parquet(str(tmp_path / "docs2"))  # of known size
+    asked.write.parquet(str(tmp_path / "asked2"))
+    asked, docs = (spark.read.parquet(str(tmp_path / x)) for x in ("asked2", "docs2"))
+    scored = lambda df: sorted(((r.question_id, r.db_id, r.table_idx, round(r.score, 12)) for r in df.collect()), key=str)
+    rows = scored(RT.bm25(asked, docs, as_arrays=True))
+    assert rows == scored(RT.bm25(asked, docs)) and len(rows) == 11
+    none = docs.where("false")
+    none.write.parquet(str(tmp_path / "none"))
+    assert RT.bm25(asked, spark.read.parquet(str(tmp_path / "none")), as_arrays=True).collect() == []
+
+
+def test_pairs_are_not_grouped_match_by_match(spark, tmp_path):
+    out = qc.q_bm25_pairs(spark, orders_and_parts(spark, str(tmp_path)))
+    assert "sum(" not in plan(out) and "ArrowEvalPython" in plan(out)
+    assert sorted((r.question_id, r.pair) for r in out.where("score > 0").collect()) == [
+        (k * 100 + b, f"SMALL.red gear{i}") for k, b in ((1, 1), (1, 2), (2, 1), (2, 2), (3, 2)) for i in (b - 1, b + 1)]
+
+
+def test_a_task_adds_up_few_questions_at_once(monkeypatch):
+    monkeypatch.setattr(RT, "MATCHES", 3)
+    index = ({("d", "a"): 0, ("d", "b"): 1}, np.array([0, 3, 5]), np.array([0, 1, 2, 1, 2], np.int32), np.array([1.0, 2.0, 3.0, 10.0, 20.0]))
+    corpora, terms = ["d", "d", "e", None, "d", "d", "d"], [["a", "b", "a"], ["b", "x"], ["a"], ["a"], [], None, ["a"]]
+    batches = [(pa.array(corpora), pa.array(terms)), (pa.array([], pa.string()), pa.array([], pa.list_(pa.string())))]
+    parts = list(RT._add_up_batches(SimpleNamespace(value=index)).func(iter(batches)))
+    assert [len(x) for x in parts] == [1, 5, 1]
+    nothing = {"d": [], "score": []}
+    assert [r for x in parts for r in x.to_pylist()] == [{"d": [0, 1, 2], "score": [2.0, 14.0, 26.0]}, {"d": [1, 2], "score": [10.0, 20.0]},
+                                                         nothing, nothing, nothing, nothing, {"d": [0, 1, 2], "score": [1.0, 2.0, 3.0]}]
+
+
+def test_rounding_is_that_of_spark(spark):
+    some = random.Random(1)
+    xs = [0.0, -0.0, 0.5, 1.0000005, -1.0000005, 2.4999995, 0.1234565, 1e-9, -1e-9, 5e-7, 1e6 + 0.3, 1e12 + 0.3, -1e15 - 0.3, 1e300, None,
+          float("nan"), float("inf"), float("-inf"), *(some.uniform(-30, 30) for _ in range(2000)), *(round(some.uniform(0, 9), 7) for _ in range(2000))]
+    out = spark.createDataFrame([(x,) for x in xs], "x double").select(rounded("x", 6).alias("a"), F.round("x", 6).alias("b")).collect()
+    assert [repr(r.a) for r in out] == [repr(r.b) for r in out]
